@@ -2,6 +2,7 @@
 
 from loadcast.queries import (  # noqa: F401  (import registers)
     q_cleaning,
+    q_summaries,
 )
 from loadcast.registry import ORACLES, QUERIES
 

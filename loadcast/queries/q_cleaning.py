@@ -198,10 +198,11 @@ def zone_to_calendar(spark, sf_dir):
                                cal.zone_to_calendar("zone", zmap).alias("calendar")))
 
 
-@query("holiday_lookup", W(*_ODAILY, ("hol", O.holiday_dim_sql("d"))) + "\nSELECT calendar, holiday_date FROM hol")
+@query("holiday_lookup", W(*_ODAILY, ("hol", O.holiday_dim_sql("d"))) + "\nSELECT calendar, CAST(holiday_date AS TIMESTAMP) AS holiday_date FROM hol")
 def holiday_lookup(spark, sf_dir):
     d = td.orders_daily(spark, sf_dir)
-    return finish(cal.holiday_dimension(cal.years_of(d)).select("calendar", "holiday_date"))
+    dim = cal.holiday_dimension(cal.years_of(d))
+    return finish(dim.select("calendar", F.col("holiday_date").cast("timestamp_ntz").alias("holiday_date")))
 
 
 def _roll_sel(kind):

@@ -3,6 +3,7 @@
 from loadcast.queries import (  # noqa: F401  (import registers)
     q_cleaning,
     q_summaries,
+    q_ingest,
 )
 from loadcast.registry import ORACLES, QUERIES
 

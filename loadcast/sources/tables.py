@@ -50,7 +50,8 @@ def bronze_typed(df: DataFrame, ingested_at=None) -> DataFrame:
     # non-null key columns: filter rows that would violate the schema
     df = df.filter(F.col("timestamp_utc").isNotNull() & F.col("country").isNotNull()
                    & F.col("kind").isNotNull() & F.col("ingested_at").isNotNull())
-    return df.to(BRONZE_SCHEMA)
+    # ``to`` checks names and types; key non-nullness is enforced by the filter
+    return df.to(T.StructType([T.StructField(f.name, f.dataType, True) for f in BRONZE_SCHEMA.fields]))
 
 
 def overwrite_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",),

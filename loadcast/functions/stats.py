@@ -29,19 +29,27 @@ def mae(y: str = "y", p: str = "prediction") -> Column:
     return F.avg(F.abs(F.col(y) - F.col(p)))
 
 
-def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sample KS p-value from the Kolmogorov series.
+def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 6) -> Column:
+    """Asymptotic two-sample KS p-value Q(lambda).
 
-    p = 2 * sum_{k>=1} (-1)^(k-1) exp(-2 k^2 lambda^2),
     lambda = (sqrt(ne) + 0.12 + 0.11/sqrt(ne)) * d,  ne = n*m/(n+m).
+    Q = 1 - sqrt(2 pi)/lambda * sum exp(-(2k-1)^2 pi^2 / (8 lambda^2))  for lambda < 1.18,
+    Q = 2 * sum (-1)^(k-1) exp(-2 k^2 lambda^2)                          otherwise
+    (both series converge in a few terms on their side of the split).
     """
     ne = n * m / (n + m)
     lam = (F.sqrt(ne) + F.lit(0.12) + F.lit(0.11) / F.sqrt(ne)) * d
-    series = None
+    small = None
     for k in range(1, terms + 1):
-        term = F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam)
-        series = term if series is None else series + term
-    return F.when(lam < F.lit(1e-3), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+        t = F.exp(F.lit(-((2 * k - 1) ** 2) * math.pi ** 2 / 8.0) / (lam * lam))
+        small = t if small is None else small + t
+    small = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * small
+    large = None
+    for k in range(1, terms + 1):
+        t = F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam)
+        large = t if large is None else large + t
+    q = F.when(lam < F.lit(1e-3), F.lit(1.0)).when(lam < F.lit(1.18), small).otherwise(large)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
 def c_factor(n: float) -> float:

@@ -4,6 +4,7 @@ from loadcast.queries import (  # noqa: F401  (import registers)
     q_cleaning,
     q_summaries,
     q_ingest,
+    q_drift,
 )
 from loadcast.registry import ORACLES, QUERIES
 

@@ -5,6 +5,7 @@ from loadcast.queries import (  # noqa: F401  (import registers)
     q_summaries,
     q_ingest,
     q_drift,
+    q_forecast,
 )
 from loadcast.registry import ORACLES, QUERIES
 

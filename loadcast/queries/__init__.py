@@ -6,6 +6,7 @@ from loadcast.queries import (  # noqa: F401  (import registers)
     q_ingest,
     q_drift,
     q_forecast,
+    q_anomaly,
 )
 from loadcast.registry import ORACLES, QUERIES
 

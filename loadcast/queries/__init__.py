@@ -7,6 +7,7 @@ from loadcast.queries import (  # noqa: F401  (import registers)
     q_drift,
     q_forecast,
     q_anomaly,
+    q_streaming,
 )
 from loadcast.registry import ORACLES, QUERIES
 

@@ -36,6 +36,14 @@ FROM (SELECT zz.country, zz.kind, hh.timestamp_utc
 LEFT JOIN {src} s ON s.country = z.country AND s.kind = z.kind AND s.timestamp_utc = z.timestamp_utc"""
 
 
+def grid_zone_of(src: str, step: str = "1 HOUR") -> str:
+    """Densify with each zone's own [min, max]."""
+    return f"""SELECT z.timestamp_utc, z.country, z.kind, s.load_mw, s.ingested_at
+FROM (SELECT country, kind, unnest(generate_series(min(timestamp_utc), max(timestamp_utc), INTERVAL {step})) AS timestamp_utc
+      FROM {src} GROUP BY country, kind) z
+LEFT JOIN {src} s ON s.country = z.country AND s.kind = z.kind AND s.timestamp_utc = z.timestamp_utc"""
+
+
 ORDERS_DAILY_RAW = """SELECT CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS timestamp_utc, o_orderpriority AS country,
        'actual' AS kind, sum(o_totalprice) AS load_mw, max(o_orderdate) AS ingested_at
 FROM orders GROUP BY 1, 2, 3"""

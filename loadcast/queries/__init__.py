@@ -8,6 +8,7 @@ from loadcast.queries import (  # noqa: F401  (import registers)
     q_forecast,
     q_anomaly,
     q_streaming,
+    q_jobs,
 )
 from loadcast.registry import ORACLES, QUERIES
 

@@ -186,52 +186,9 @@ def rolling_origin_cv(spark, sf_dir):
     return finish(ev.forecast_metrics(both, by=["fold", "model"]))
 
 
-CANDIDATES = ["gbt", "seasonal", "sequence", "seasonal_naive", "mean"]
-
-
 def train_forecasters_df(spark, sf_dir, gbt_params=None, seq_len=24, save_dir=None):
-    """Fit every candidate; one failing candidate does not stop the others.
-    Returns (metrics DataFrame with status and champion flag, run records)."""
-    gbt_params = gbt_params or GBT_QUICK
-    g = ev.time_split(layers.gold_grid(spark, sf_dir, drop=False), TEST_DAYS).withColumn("y", F.col("load_mw_clean"))
-    gold = g.na.drop(subset=[c for c in g.columns if c.startswith("load_mw_clean_lag_")])
-    train, test = gold.filter("split = 'train'"), gold.filter("split = 'test'")
-    runs, frames = [], []
-
-    def add(name, params, pred_fn):
-        try:
-            pred = pred_fn()
-            m = ev.forecast_metrics(ev.mask_valid(pred)).withColumn("model", F.lit(name)).withColumn("status", F.lit("ok"))
-            frames.append(m)
-            runs.append({"family": name, "params": params})
-        except Exception as exc:  # noqa: BLE001 - isolate candidate failures
-            frames.append(spark.createDataFrame([(name, f"failed: {type(exc).__name__}")], "model string, status string"))
-
-    def gbt():
-        model = fc.fit_gbt(train, **gbt_params)
-        if save_dir:
-            model.write().overwrite().save(f"{save_dir}/gbt")
-        return fc.predict(model, test)
-
-    def seasonal():
-        coefs, st = fc.fit_seasonal(train)
-        return fc.predict_seasonal(test, coefs, st)
-
-    def sequence():
-        fitted = fc.fit_sequence(g.filter("split = 'train'"), length=seq_len)
-        return fc.predict_sequence(fitted, g).filter("split = 'test'")
-
-    add("gbt", gbt_params, gbt)
-    add("seasonal", {"changepoints": 5}, seasonal)
-    add("sequence", {"length": seq_len}, sequence)
-    add("seasonal_naive", {}, lambda: test.withColumn("prediction", F.col("load_mw_clean_lag_24")))
-    add("mean", {}, lambda: ev.mean_baseline(train, test))
-    metrics = frames[0]
-    for f in frames[1:]:
-        metrics = metrics.unionByName(f, allowMissingColumns=True)
-    ok = metrics.filter("status = 'ok'")
-    champ = ev.champion_pick(ok, CANDIDATES).select("model").scalar()
-    return metrics.withColumn("is_champion", F.coalesce(F.col("model") == champ, F.lit(False))), runs
+    from loadcast.operators.training import train_forecasters as tf
+    return tf(layers.gold_grid(spark, sf_dir, drop=False), TEST_DAYS, gbt_params or GBT_QUICK, seq_len, save_dir)
 
 
 @query("train_forecasters")

@@ -55,9 +55,13 @@ def bronze_typed(df: DataFrame, ingested_at=None) -> DataFrame:
 
 
 def overwrite_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",),
-                          sort_within: Sequence[str] = ("timestamp_utc",)) -> str:
-    """Full replace, partitioned; rows sorted by time inside each file."""
-    (df.repartition(*partition_by).sortWithinPartitions(*partition_by, *sort_within)
+                          sort_within: Sequence[str] = ("timestamp_utc",), obs: Observation | None = None) -> str:
+    """Full replace, partitioned; rows sorted by time inside each file.
+
+    A rebalance on the partition columns lets AQE split a large zone over
+    several tasks (and merge small ones), so files are neither tiny nor one
+    per hot zone."""
+    (_observed(df, obs).hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_within)
        .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
     return path
 
@@ -92,17 +96,23 @@ def _publish(path: str, snapshot: str) -> None:
     os.replace(tmp, _pointer(path))  # atomic switch
 
 
-def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",)) -> str:
-    """First write of a snapshot table (bronze_create)."""
+def _observed(df: DataFrame, obs: Observation | None) -> DataFrame:
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs is not None else df
+
+
+def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",),
+                 obs: Observation | None = None) -> str:
+    """First write of a snapshot table (bronze_create).  Pass an
+    ``Observation`` to get the written row count without a second scan."""
     os.makedirs(path, exist_ok=True)
     snap = f"snap-{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(os.path.join(path, snap))
+    _observed(df, obs).write.mode("errorifexists").partitionBy(*partition_by).parquet(os.path.join(path, snap))
     _publish(path, snap)
     return path
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str] = tuple(KEY),
-           partition_by: Sequence[str] = ("country",)) -> str:
+           partition_by: Sequence[str] = ("country",), obs: Observation | None = None) -> str:
     """Insert-or-replace ``source`` rows into the table at ``path`` on ``key``.
 
     Source rows must be unique per key (dedup first).  Target rows whose key
@@ -114,14 +124,14 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str]
     """
     key = list(key)
     if not os.path.exists(_pointer(path)):
-        return create_table(source, path, partition_by)
+        return create_table(source, path, partition_by, obs)
     current = resolve(path)
     target = spark.read.parquet(current)
     cols = source.columns
     merged = (target.select(*cols).join(source.select(*key), key, "left_anti")
               .unionByName(source.select(*cols)))
     snap = f"snap-{uuid.uuid4().hex[:12]}"
-    merged.write.mode("errorifexists").partitionBy(*partition_by).parquet(os.path.join(path, snap))
+    _observed(merged, obs).write.mode("errorifexists").partitionBy(*partition_by).parquet(os.path.join(path, snap))
     _publish(path, snap)
     return path
 

@@ -78,8 +78,13 @@ def gbt_pipeline(features: Sequence[str] = tuple(FEATURE_COLS), max_iter: int =
     return Pipeline(stages=[assembler(features), gbt])
 
 
+def _labelled(df: DataFrame, label: str) -> DataFrame:
+    """Training rows need a label: NULL / NaN targets are dropped."""
+    return df.withColumn("label", F.col(label).cast("double")).filter(F.col("label").isNotNull() & ~F.isnan("label"))
+
+
 def fit_gbt(train: DataFrame, label: str = TARGET, **params) -> PipelineModel:
-    return gbt_pipeline(**params).fit(train.withColumn("label", F.col(label).cast("double")))
+    return gbt_pipeline(**params).fit(_labelled(train, label))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -174,7 +179,7 @@ def fit_sequence(train: DataFrame, length: int = 168, target: str = TARGET, reg:
     stats = standardize_stats(train, [target])
     z = standardize(train, [target], stats)
     seq = sequence_windows(z, f"{target}_z", length, bucket_steps=bucket_steps)
-    data = seq.select(array_to_vector("seq").alias("features"), F.col(f"{target}_z").alias("label"))
+    data = _labelled(seq.select(array_to_vector("seq").alias("features"), F.col(f"{target}_z").alias("y_z")), "y_z")
     lr = LinearRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=0.0,
                           solver="l-bfgs", maxIter=100)
     return {"model": lr.fit(data), "stats": stats, "length": length, "target": target, "bucket_steps": bucket_steps}

@@ -148,6 +148,18 @@ def rule_date(y: Column, rule: tuple) -> Column:
     raise ValueError(rule)
 
 
+def movable_holiday_flag(ts: Column | str, calendar: Column) -> Column:
+    """1 when the row's date is a rule holiday of its calendar, evaluated as
+    column expressions of the row's own year: no dimension, no join."""
+    d = F.to_date(_c(ts))
+    y = F.year(_c(ts))
+    hit = F.lit(False)
+    for cal in sorted({c for c, _, _ in HOLIDAY_RULES}):
+        days = [rule_date(y, rule) for c, _, rule in HOLIDAY_RULES if c == cal]
+        hit = hit | ((calendar == F.lit(cal)) & F.coalesce(d.isin(*days), F.lit(False)))
+    return hit.cast("bigint")
+
+
 def holiday_dimension(years: DataFrame, year_col: str = "year") -> DataFrame:
     """(calendar, holiday_date, name) for every year in ``years``.
 

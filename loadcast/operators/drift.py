@@ -32,10 +32,14 @@ def window_bounds(df: DataFrame, ref_days: int, cur_days: int, ts: str = "timest
 
 
 def label_windows(df: DataFrame, ref_days: int = 60, cur_days: int = 7, ts: str = "timestamp_utc") -> DataFrame:
-    b = window_bounds(df, ref_days, cur_days, ts)
+    """drift_window = current / reference / NULL (max(ts) evaluated once)."""
+    mx = df.select(F.max(ts)).scalar()
     t = F.col(ts)
-    return df.withColumn("drift_window", F.when(t >= b["cur_start"], F.lit("current"))
-                         .when((t >= b["ref_start"]) & (t < b["cur_start"]), F.lit("reference")))
+    out = df.withColumn("_mx", mx)
+    cur_start = date_offset("_mx", days=-cur_days)
+    ref_start = date_offset(cur_start, days=-ref_days)
+    return out.withColumn("drift_window", F.when(t >= cur_start, F.lit("current"))
+                          .when((t >= ref_start) & (t < cur_start), F.lit("reference"))).drop("_mx")
 
 
 def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -22,22 +22,14 @@ def add_holidays(df: DataFrame, ts: str = "timestamp_utc", zone: str = "country"
                  zone_map: dict[str, str] | None = None, mode: str = "movable") -> DataFrame:
     """is_holiday (and its alias is_holiday_es) for the zone's calendar.
 
-    ``mode='fixed'`` checks the month-day fallback set; ``'movable'`` left-joins
-    the rule-built holiday dimension on (calendar, date).  The dimension has
-    about 21 rows per year of the data span, so it is broadcast.
+    ``mode='fixed'`` checks the month-day fallback set; ``'movable'`` checks
+    the national rules (fixed dates, n-th weekdays, Easter offsets) computed
+    from each row's own year, so the flag is a pure projection (no join and
+    no extra pass over the data to find the year span).
     """
     calendar = cal.zone_to_calendar(zone, zone_map)
-    if mode == "fixed":
-        flag = cal.fixed_holiday_flag(ts, calendar)
-        return df.withColumn("is_holiday", flag).withColumn("is_holiday_es", F.col("is_holiday"))
-    dim = cal.holiday_dimension(cal.years_of(df, ts)).select(
-        F.col("calendar").alias("_cal"), F.col("holiday_date").alias("_hd"))
-    keyed = df.withColumn("_cal", calendar).withColumn("_hd", F.to_date(ts))
-    # (calendar, date) is unique in the dimension, so the join adds no rows
-    flagged = keyed.join(F.broadcast(dim.withColumn("_hit", F.lit(1))), ["_cal", "_hd"], "left")
-    return (flagged.withColumn("is_holiday", F.coalesce(F.col("_hit"), F.lit(0)).cast("bigint"))
-            .withColumn("is_holiday_es", F.col("is_holiday"))
-            .drop("_cal", "_hd", "_hit"))
+    flag = cal.fixed_holiday_flag(ts, calendar) if mode == "fixed" else cal.movable_holiday_flag(ts, calendar)
+    return df.withColumn("is_holiday", flag).withColumn("is_holiday_es", F.col("is_holiday"))
 
 
 def lag_columns(target: str = TARGET, lags: Sequence[int] = DEFAULT_LAGS, horizon: int = 1):

@@ -110,9 +110,13 @@ def importance_rank(imp: DataFrame) -> DataFrame:
 def seasonal_design(df: DataFrame, origin: Column, span_hours: Column, ts: str = "timestamp_utc",
                     changepoints: int = 5, daily: int = 3, weekly: int = 3, yearly: int = 2) -> tuple[DataFrame, list[str]]:
     """Trend (intercept, t, hinges at evenly spaced changepoints) + Fourier
-    terms for daily, weekly and yearly seasonality (additive model)."""
+    terms for daily, weekly and yearly seasonality (additive model).
+
+    ``origin`` / ``span_hours`` may be scalar subqueries: they are bound to a
+    column once, so each is evaluated once."""
+    df = df.withColumns({"_origin_h": epoch_hours(origin).cast("double"), "_span_h": F.greatest(span_hours, F.lit(1.0))})
     h = epoch_hours(ts).cast("double")
-    t = (h - epoch_hours(origin).cast("double")) / F.greatest(span_hours, F.lit(1.0))
+    t = (h - F.col("_origin_h")) / F.col("_span_h")
     cols = {"x_int": F.lit(1.0), "x_t": t}
     for j in range(1, changepoints + 1):
         c = 0.8 * j / (changepoints + 1)
@@ -122,7 +126,7 @@ def seasonal_design(df: DataFrame, origin: Column, span_hours: Column, ts: str =
             ang = F.lit(2 * math.pi * k / period) * h
             cols[f"x_{name}s{k}"] = F.sin(ang)
             cols[f"x_{name}c{k}"] = F.cos(ang)
-    return df.withColumns(cols), list(cols)
+    return df.withColumns(cols).drop("_origin_h", "_span_h"), list(cols)
 
 
 def fit_seasonal(train: DataFrame, target: str = TARGET, ridge: float = 1e-3, by: str = "country",
@@ -133,8 +137,10 @@ def fit_seasonal(train: DataFrame, target: str = TARGET, ridge: float = 1e-3, by
     the small p x p system of each zone is solved in ``applyInPandas``.
     Returns (coefficients per zone, design settings for prediction).
     """
-    origin = train.select(F.min("timestamp_utc")).scalar()
-    span = train.select((epoch_hours(F.max("timestamp_utc")) - epoch_hours(F.min("timestamp_utc"))).cast("double")).scalar()
+    # the trend scale is fitted once on the training rows (two scalars, then kept)
+    b = train.agg(F.min("timestamp_utc").alias("o"),
+                  (epoch_hours(F.max("timestamp_utc")) - epoch_hours(F.min("timestamp_utc"))).cast("double").alias("s")).first()
+    origin, span = F.lit(b["o"]).cast("timestamp_ntz"), F.lit(b["s"])
     X, names = seasonal_design(train.filter(F.col(target).isNotNull()), origin, span, **design)
     p = len(names)
     aggs = []

@@ -42,14 +42,16 @@ def densify(df: DataFrame, keys: Sequence[str] = ("country", "kind"), ts: str =
     ``bounds='global'``: every series spans the overall [min, max] (two scalar
     subqueries, no join).  ``bounds='zone'``: each series its own [min, max].
     The grid is generated per series with ``explode(sequence)`` and left-joined
-    back on (keys, ts).
+    back on (keys, ts).  Grid size is bounded by the time span (not by the
+    input rows): one row per step and series.
     """
     keys = list(keys)
     interval = F.expr(f"INTERVAL {step}")
     if bounds == "global":
-        lo = df.select(F.min(ts)).scalar()
-        hi = df.select(F.max(ts)).scalar()
-        grid = df.select(*keys).distinct().select(*keys, F.explode(F.sequence(lo, hi, interval)).alias(ts))
+        # one scalar subquery for both bounds
+        b = df.select(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
+        zones = df.select(*keys).distinct().withColumn("_b", b)
+        grid = zones.select(*keys, F.explode(F.sequence("_b.lo", "_b.hi", interval)).alias(ts))
     else:
         b = df.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
         grid = b.select(*keys, F.explode(F.sequence("_lo", "_hi", interval)).alias(ts))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loadcast.operators.features import build_gold
 from loadcast.operators.quality import flag_and_fill, silver_projection
+from loadcast.session import work_dir
 from loadcast.sources import testdata as td
 
 # Zone -> calendar for the daily order series.
@@ -23,6 +24,22 @@ def gold_grid(spark: SparkSession, sf_dir: str, drop: bool = True, holidays: str
                       drop=drop, bucket_steps=bucket_steps)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint root and read it
+    back: one job, lineage cut (a lost executor re-reads files instead of
+    recomputing the plan), and later scans get column pruning."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def gold_table(spark: SparkSession, sf_dir: str, drop: bool = True) -> DataFrame:
+    """Gold written once: model and drift jobs read it many times (splits,
+    scalar bounds, several fits)."""
+    return materialize(gold_grid(spark, sf_dir, drop=drop), "gold")
+
+
 def silver_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_projection(flag_and_fill(td.orders_daily(spark, sf_dir), bucket_steps=None))
 

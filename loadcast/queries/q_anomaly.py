@@ -53,7 +53,7 @@ def impute_mean(spark, sf_dir):
 
 
 def _forest(spark, sf_dir, contamination=0.01):
-    g = layers.gold_grid(spark, sf_dir)
+    g = layers.gold_table(spark, sf_dir)
     return an.train_anomaly(g, n_trees=QUICK_TREES, contamination=contamination)
 
 
@@ -165,7 +165,7 @@ def batch_forecast(spark, sf_dir):
 @query("batch_anomaly")
 def batch_anomaly(spark, sf_dir):
     """Score anomaly requests (continuous score and flag, training-mean imputation)."""
-    g = layers.gold_grid(spark, sf_dir)
+    g = layers.gold_table(spark, sf_dir)
     train = g.na.drop(subset=ANOMALY_FEATURES)
     nodes = an.fit_forest(train, n_trees=QUICK_TREES).cache()
     means = an.impute_means(train, ANOMALY_FEATURES)

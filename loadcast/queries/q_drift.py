@@ -20,7 +20,7 @@ MX = "(SELECT max(timestamp_utc) FROM gold)"
 
 
 def _labelled(spark, sf_dir):
-    return dr.label_windows(layers.gold_grid(spark, sf_dir), REF_DAYS, CUR_DAYS)
+    return dr.label_windows(layers.gold_table(spark, sf_dir), REF_DAYS, CUR_DAYS)
 
 
 def _pvalue_sql(d="ks_stat", n="n_ref", m="n_cur", terms=6):

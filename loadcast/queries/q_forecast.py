@@ -28,7 +28,7 @@ GBT_QUICK = dict(max_iter=10, max_depth=4, step_size=0.1, min_instances=20, seed
 
 
 def split(spark, sf_dir):
-    g = ev.time_split(layers.gold_grid(spark, sf_dir), TEST_DAYS).withColumn("y", F.col("load_mw_clean"))
+    g = ev.time_split(layers.gold_table(spark, sf_dir), TEST_DAYS).withColumn("y", F.col("load_mw_clean"))
     return g.filter("split = 'train'"), g.filter("split = 'test'")
 
 
@@ -129,7 +129,7 @@ def fit_seasonal(spark, sf_dir):
 @query("fit_sequence")
 def fit_sequence(spark, sf_dir):
     """AR(24) on standardised sequence windows; metrics on the test rows."""
-    g = ev.time_split(layers.gold_grid(spark, sf_dir, drop=False), TEST_DAYS).withColumn("y", F.col("load_mw_clean"))
+    g = ev.time_split(layers.gold_table(spark, sf_dir, drop=False), TEST_DAYS).withColumn("y", F.col("load_mw_clean"))
     fitted = fc.fit_sequence(g.filter("split = 'train'"), length=24)
     pred = fc.predict_sequence(fitted, g).filter("split = 'test'")
     return finish(ev.forecast_metrics(ev.mask_valid(pred), by=["country"]))
@@ -188,7 +188,7 @@ def rolling_origin_cv(spark, sf_dir):
 
 def train_forecasters_df(spark, sf_dir, gbt_params=None, seq_len=24, save_dir=None):
     from loadcast.operators.training import train_forecasters as tf
-    return tf(layers.gold_grid(spark, sf_dir, drop=False), TEST_DAYS, gbt_params or GBT_QUICK, seq_len, save_dir)
+    return tf(layers.gold_table(spark, sf_dir, drop=False), TEST_DAYS, gbt_params or GBT_QUICK, seq_len, save_dir)
 
 
 @query("train_forecasters")

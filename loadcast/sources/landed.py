@@ -50,21 +50,22 @@ def write_landed_pages(series: DataFrame, path: str, days: int = 60, ts: str = "
     start (scalar subqueries), so no join; a row on a shared edge goes to
     both pages.  A page holds at most ``days * 24 + 1`` rows.
     """
-    lo = series.select(F.min(ts)).scalar()
-    hi = series.select(F.max(ts)).scalar()
+    b = series.select(F.struct(F.min(ts).alias("lo"), F.max(ts).alias("hi"))).scalar()
+    series = series.withColumn("_b", b)
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
     secs = F.unix_seconds(F.col(ts).cast("timestamp")) - F.unix_seconds(lo.cast("timestamp"))
     span = days * 86400
     n_win = F.greatest(F.ceil((F.unix_seconds(hi.cast("timestamp")) - F.unix_seconds(lo.cast("timestamp"))) / span), F.lit(1))
     k = F.least(F.floor(secs / span), n_win - 1)
     on_edge = (F.pmod(secs, F.lit(span)) == 0) & (secs > 0) & (F.floor(secs / span) <= n_win - 1)
     ks = F.when(on_edge, F.array(k - 1, k)).otherwise(F.array(k))
-    rows = series.select(zone, ts, value, F.explode(ks).alias("_k"))
+    rows = series.select(zone, ts, value, "_b", F.explode(ks).alias("_k"))
     entry = F.struct(hour_key(ts).alias("period"), F.col(zone).alias("respondent"),
                      F.col(value).cast("string").alias("value"))
-    w_start = lo + F.make_interval(days=F.col("_k") * days)
-    w_end = F.least(w_start + F.expr(f"INTERVAL {days} DAY"), hi)
+    w_start = F.col("_lo") + F.make_interval(days=F.col("_k") * days)
+    w_end = F.least(w_start + F.expr(f"INTERVAL {days} DAY"), F.col("_hi"))
     pages = (rows.groupBy(zone, "_k")
-             .agg(F.sort_array(F.collect_list(entry)).alias("data"))
+             .agg(F.sort_array(F.collect_list(entry)).alias("data"), F.min("_b.lo").alias("_lo"), F.min("_b.hi").alias("_hi"))
              .select(F.to_json(F.struct(
                  F.struct(F.col(zone).alias("respondent"), hour_key(w_start).alias("start"),
                           hour_key(w_end).alias("end")).alias("request"),
@@ -153,5 +154,6 @@ def source_dispatch(readers: dict[str, Callable[..., DataFrame]], name: str, *ar
 
 def ingest_window(df: DataFrame, as_of: Column, days: int = 7, ts: str = "timestamp_utc") -> DataFrame:
     """Keep [as_of - days, as_of]; ``as_of`` is passed in, never the wall clock."""
-    start = as_of - F.expr(f"INTERVAL {days} DAY")
-    return df.filter(F.col(ts).between(start, as_of))
+    out = df.withColumn("_as_of", as_of)
+    start = F.col("_as_of") - F.expr(f"INTERVAL {days} DAY")
+    return out.filter(F.col(ts).between(start, F.col("_as_of"))).drop("_as_of")

@@ -73,7 +73,7 @@ def ks_per_feature(labelled: DataFrame, features: Sequence[str], alpha: float =
     n = long.groupBy("feature").agg(F.sum(is_ref).alias("n_ref"), F.sum(is_cur).alias("n_cur"))
     d = (cum.join(n, "feature")
          .groupBy("feature", "n_ref", "n_cur")
-         .agg(F.max(F.abs(F.col("rr") / F.col("n_ref") - F.col("rc") / F.col("n_cur"))).alias("ks_stat")))
+         .agg(F.max(F.abs(F.try_divide("rr", "n_ref") - F.try_divide("rc", "n_cur"))).alias("ks_stat")))
     p = ks_pvalue(F.col("ks_stat"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     return (d.withColumn("p_value", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), p))
             .withColumn("drifted", F.col("p_value") < F.lit(alpha)))

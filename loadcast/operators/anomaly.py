@@ -38,7 +38,8 @@ def impute_means(train: DataFrame, cols: Sequence[str]) -> DataFrame:
 def impute(df: DataFrame, cols: Sequence[str], means: DataFrame) -> DataFrame:
     """Fill NULL/NaN with the training means (scalar subqueries), so a score
     never depends on which rows share its batch."""
-    return df.withColumns({c: F.coalesce(F.when(~F.isnan(c), F.col(c)), means.select(c).scalar()) for c in cols})
+    m = means.first()  # one row of fitted means
+    return df.withColumns({c: F.coalesce(F.when(~F.isnan(c), F.col(c)), F.lit(m[c]).cast("double")) for c in cols})
 
 
 def _grow(pdf: pd.DataFrame, features: list[str], sample_size: int, seed: int) -> pd.DataFrame:
@@ -160,7 +161,8 @@ def score_samples(df: DataFrame, nodes: DataFrame, features: Sequence[str] = tup
 
 def fit_offset(train_scored: DataFrame, contamination: float = 0.01, col: str = "raw_score"):
     """The contamination quantile of training scores, as a scalar column."""
-    return train_scored.select(F.percentile_approx(col, contamination, 100000)).scalar()
+    v = train_scored.select(F.percentile_approx(col, contamination, 100000)).first()[0]  # fitted threshold
+    return F.lit(v).cast("double")
 
 
 def detect(df: DataFrame, nodes: DataFrame, offset, features: Sequence[str] = tuple(ANOMALY_FEATURES),

@@ -92,25 +92,27 @@ def drift_report(labelled: DataFrame, features: Sequence[str], threshold: float
         F.max(ts).alias("max_ts"),
         F.sum((F.col("drift_window") == "reference").cast("bigint")).alias("ref_rows"),
         F.sum((F.col("drift_window") == "current").cast("bigint")).alias("cur_rows"))
-    share = drift_share(ks_per_feature(labelled, features), threshold)
+    # one row (share over <= a few dozen features), fetched as values
+    share = drift_share(ks_per_feature(labelled, features), threshold).first()
     ok = (F.col("ref_rows") >= min_rows) & (F.col("cur_rows") >= min_rows)
     return counts.select(
         "max_ts", report_tag("max_ts").alias("report_tag"), "ref_rows", "cur_rows",
         F.when(ok, F.lit("ok")).otherwise(F.lit("insufficient")).alias("status"),
-        F.when(ok, share.select("drift_share").scalar()).otherwise(F.lit(0.0)).alias("drift_share"),
-        F.when(ok, share.select("drift_detected").scalar()).otherwise(F.lit(False)).alias("drift_detected"))
+        F.when(ok, F.lit(share["drift_share"]).cast("double")).otherwise(F.lit(0.0)).alias("drift_share"),
+        F.when(ok, F.lit(share["drift_detected"]).cast("boolean")).otherwise(F.lit(False)).alias("drift_detected"))
 
 
 def report_document(labelled: DataFrame, features: Sequence[str], threshold: float = 0.15) -> DataFrame:
     """The drift result as one nested document: a ``metrics`` array with one
     entry per feature and one dataset entry carrying the share."""
     per = ks_per_feature(labelled, features)
-    share = drift_share(per, threshold)
+    sh = drift_share(per, threshold).first()  # one row
+    tag = labelled.select(report_tag(F.max("timestamp_utc"))).first()[0]
     col_metrics = per.agg(F.sort_array(F.collect_list(F.struct(
         F.col("feature").alias("column_name"), F.col("ks_stat").alias("drift_score"),
         F.col("p_value"), F.col("drifted").alias("drift_detected")))).alias("cols"))
     return col_metrics.select(
-        labelled.select(report_tag(F.max("timestamp_utc"))).scalar().alias("tag"),
+        F.lit(tag).alias("tag"),
         F.concat(
             F.transform("cols", lambda c: F.struct(F.lit("ColumnDriftMetric").alias("metric"),
                                                    F.struct(c["column_name"].alias("column_name"),
@@ -123,9 +125,9 @@ def report_document(labelled: DataFrame, features: Sequence[str], threshold: flo
                              F.struct(F.lit(None).cast("string").alias("column_name"),
                                       F.lit(None).cast("double").alias("drift_score"),
                                       F.lit(None).cast("double").alias("p_value"),
-                                      share.select("drift_detected").scalar().alias("drift_detected"),
-                                      share.select("drift_share").scalar().alias("share_of_drifted_columns"),
-                                      share.select("n_features").scalar().alias("number_of_columns")).alias("result")))
+                                      F.lit(sh["drift_detected"]).cast("boolean").alias("drift_detected"),
+                                      F.lit(sh["drift_share"]).cast("double").alias("share_of_drifted_columns"),
+                                      F.lit(sh["n_features"]).cast("bigint").alias("number_of_columns")).alias("result")))
         ).alias("metrics"))
 
 

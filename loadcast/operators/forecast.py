@@ -42,10 +42,12 @@ def standardize_stats(train: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def standardize(df: DataFrame, cols: Sequence[str], stats: DataFrame, suffix: str = "_z") -> DataFrame:
-    """(x - mean) / std with the training statistics as scalar subqueries."""
+    """(x - mean) / std with the fitted training statistics (one row, fetched
+    once like any fitted model parameter)."""
+    st = stats.first()
     out = {}
     for c in cols:
-        m, s = stats.select(f"{c}__mean").scalar(), stats.select(f"{c}__std").scalar()
+        m, s = F.lit(st[f"{c}__mean"]).cast("double"), F.lit(st[f"{c}__std"]).cast("double")
         out[f"{c}{suffix}"] = (F.col(c) - m) / F.when(s > 0, s).otherwise(F.lit(1.0))
     return df.withColumns(out)
 
@@ -182,7 +184,7 @@ def fit_sequence(train: DataFrame, length: int = 168, target: str = TARGET, reg:
                  bucket_steps: int | None = 2016):
     """Next value from the previous ``length`` standardised values: an AR(L)
     fitted by MLlib linear regression on sequence windows."""
-    stats = standardize_stats(train, [target])
+    stats = standardize_stats(train, [target]).cache()
     z = standardize(train, [target], stats)
     seq = sequence_windows(z, f"{target}_z", length, bucket_steps=bucket_steps)
     data = _labelled(seq.select(array_to_vector("seq").alias("features"), F.col(f"{target}_z").alias("y_z")), "y_z")
@@ -198,8 +200,8 @@ def predict_sequence(fitted: dict, df: DataFrame) -> DataFrame:
     z = standardize(df, [target], fitted["stats"])
     seq = sequence_windows(z, f"{target}_z", length, bucket_steps=fitted["bucket_steps"])
     scored = fitted["model"].transform(seq.withColumn("features", array_to_vector("seq")))
-    m = fitted["stats"].select(f"{target}__mean").scalar()
-    s = fitted["stats"].select(f"{target}__std").scalar()
+    st = fitted["stats"].first()
+    m, s = F.lit(st[f"{target}__mean"]).cast("double"), F.lit(st[f"{target}__std"]).cast("double")
     scored = scored.withColumn("prediction", F.col("prediction") * s + m)
     keys = ["timestamp_utc", "country", "kind"]
     return df.join(scored.select(*keys, "prediction"), keys, "left")

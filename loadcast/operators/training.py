@@ -59,5 +59,5 @@ def train_forecasters(gold_all: DataFrame, test_days: int = 30, gbt_params: dict
     for f in frames[1:]:
         metrics = metrics.unionByName(f, allowMissingColumns=True)
     ok = metrics.filter("status = 'ok'")
-    champ = ev.champion_pick(ok, CANDIDATES).select("model").scalar()
-    return metrics.withColumn("is_champion", F.coalesce(F.col("model") == champ, F.lit(False))), runs
+    champ = ev.champion_pick(ok, CANDIDATES).first()["model"]  # a handful of candidate rows
+    return metrics.withColumn("is_champion", F.coalesce(F.col("model") == F.lit(champ), F.lit(False))), runs

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from loadcast.functions.timecols import epoch_hours
 
-_B, _H = "_halo_bucket", "_halo_copy"
+_B, _H, _P = "_halo_bucket", "_halo_copy", "_halo_part"
 
 
 def series_window(
@@ -56,9 +56,15 @@ def series_window(
     original = df.columns
     exploded = (df.withColumn("_hc", F.explode(copies))
                 .withColumn(_B, F.col("_hc.b")).withColumn(_H, F.col("_hc.h")).drop("_hc"))
-    w = Window.partitionBy(*keys, _B).orderBy(ts)
+    # Explicit hash partitioning on (keys, bucket): without it Spark may keep
+    # an existing partitioning on the zone alone (it satisfies the window's
+    # clustering), which would put a whole zone back into one task.
+    # One hash column of (keys, bucket) leads the window spec, so that single
+    # partitioning satisfies the window whatever the optimizer folds away.
+    exploded = exploded.withColumn(_P, F.xxhash64(*[F.col(k) for k in keys], F.col(_B))).repartition(_P)
+    w = Window.partitionBy(_P, *keys, _B).orderBy(ts)
     out = _apply(exploded, columns(w)).filter(~F.col(_H))
-    new_cols = [c for c in out.columns if c not in (_B, _H) and c not in original]
+    new_cols = [c for c in out.columns if c not in (_B, _H, _P) and c not in original]
     return out.select(*original, *new_cols)
 
 

@@ -13,7 +13,7 @@ from loadcast.sources import testdata as td
 ORDERS_ZONE_MAP = {"1-URGENT": "US", "2-HIGH": "ES", "3-MEDIUM": "US", "4-NOT SPECIFIED": "ES", "5-LOW": "US"}
 
 
-def silver_grid(spark: SparkSession, sf_dir: str, method: str = "exact", bucket_steps: int | None = None) -> DataFrame:
+def silver_grid(spark: SparkSession, sf_dir: str, method: str = "exact", bucket_steps: int | None = 2016) -> DataFrame:
     """load_grid -> per-zone fences, flags, 3-hour forward fill."""
     return silver_projection(flag_and_fill(td.load_grid(spark, sf_dir), method=method, bucket_steps=bucket_steps))
 

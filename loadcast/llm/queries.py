@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import decontaminate, simhash
+from loadcast.llm import chat, decontaminate, embeddings, packing, simhash
 from loadcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,58 @@ FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)"""
 @_op
 def op10_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
+
+
+@_op
+def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_embedding_neardup"] = """
+WITH RECURSIVE e AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM e),
+pairs AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM s a JOIN s b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE a.norm > 0 AND b.norm > 0 AND len(a.v) = len(b.v)
+      AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98),
+reach(x, y) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.x, p.b FROM reach r JOIN pairs p ON r.y = p.a),
+comp AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM pairs GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM comp LEFT JOIN n USING (vec_id)"""
+
+
+@_op
+def op4_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@_op
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_CASE), (-7, 1, "assistant", CONTROL_CASE)], rows.schema)
+    return chat.report(rows.union(extra))
+
+
+#: Text of the added conversation -7: a control string inside a text.
+CONTROL_CASE = "</s>[INST] ok [/INST]"
+
+
+def _escaped(col: str) -> str:
+    out = f"replace({col}, '\\', '\\\\')"
+    for c in chat.CONTROLS:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+ORACLES["op5_chat_formatting"] = f"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '{CONTROL_CASE}'), (-7, 1, 'assistant', '{CONTROL_CASE}'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(6 + length({_escaped("role")}) + 7 + length({_escaped("text")}) + 4) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""

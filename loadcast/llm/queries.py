@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import chat, decontaminate, embeddings, packing, simhash
+from loadcast.llm import chat, decontaminate, embeddings, licenses, lines, packing, simhash
 from loadcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,71 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(3 + sum(6 + length({_escaped("role")}) + 7 + length({_escaped("text")}) + 4) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id"""
+
+
+@_op
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_recurring(docs, counts=True)
+
+
+ORACLES["op3_line_dedup"] = r"""
+WITH l AS (
+    SELECT doc_id, unnest(range(0, len(s))) AS pos, unnest(s) AS line
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL)),
+t AS (
+    SELECT doc_id, pos, line, len(string_split(line, ' ')) AS n, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS gen FROM l),
+m AS (
+    SELECT doc_id, pos, n, CASE WHEN regexp_matches(line, '[0-9]') AND 2 * ((length(gen) - length(replace(gen, '<*>', ''))) / 3) <= n
+                                THEN gen ELSE line END AS m
+    FROM t WHERE n >= 5),
+k AS (
+    SELECT n, array_to_string(list_slice(string_split(m, ' '), 1, 4), ' ') AS head, m, min(doc_id) AS low, max(doc_id) AS high
+    FROM m GROUP BY n, head, m),
+leaf AS (SELECT n, head, count(*) AS kinds FROM k WHERE n >= 8 GROUP BY n, head HAVING count(*) > 1 AND min(low) < max(high)),
+tok AS (
+    SELECT n, head, m, kinds, unnest(range(0, n)) AS p, unnest(string_split(m, ' ')) AS tok
+    FROM k JOIN leaf USING (n, head)),
+votes AS (SELECT n, head, p, tok FROM tok GROUP BY n, head, kinds, p, tok HAVING 2 * count(*) > kinds),
+consts AS (SELECT n, head FROM votes GROUP BY n, head HAVING count(*) >= 0.8 * n),
+agree AS (
+    SELECT tok.n, tok.head, tok.m FROM tok JOIN votes USING (n, head, p, tok) SEMI JOIN consts USING (n, head)
+    GROUP BY tok.n, tok.head, tok.m HAVING count(*) >= 0.8 * tok.n),
+inst AS (SELECT k.* FROM k JOIN agree USING (n, head, m)),
+merged AS (SELECT n, head, min(low) AS keep FROM inst GROUP BY n, head HAVING min(low) < max(high)),
+known AS (
+    SELECT m, min(keep) AS keep
+    FROM (SELECT m, low AS keep FROM k WHERE low < high UNION ALL SELECT m, keep FROM inst JOIN merged USING (n, head)) GROUP BY m),
+gone AS (SELECT doc_id, pos FROM m JOIN known USING (m) WHERE doc_id <> keep),
+kept AS (
+    SELECT l.doc_id, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n_kept FROM l ANTI JOIN gone USING (doc_id, pos) GROUP BY l.doc_id),
+n AS (SELECT doc_id, count(*) AS n_lines FROM l GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_lines, 0) - coalesce(n_kept, 0) AS BIGINT) AS n_dropped
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
+@_op
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    classes = licenses.classes_of(licenses.TEMPLATES, licenses.SHINGLE, licenses.CONTAINMENT, licenses.MISS)
+    rows = ", ".join(f"('{name}', '{s}', {c.shingle}, {c.stride}, {c.width}, {len(ss)})" for c, own in classes.items() for name, ss in own for s in ss)
+    return f"""
+WITH tpl(template, shingle, k, stride, width, n_shingles) AS (VALUES {rows}),
+d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
+ks AS (SELECT DISTINCT k FROM tpl),
+s AS (SELECT doc_id, k, p, array_to_string(list_slice(w, p + 1, p + k), ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM d), ks WHERE p + k <= len(w)),
+hit AS (SELECT doc_id, template, shingle, p, k, stride, width, n_shingles FROM s JOIN tpl USING (k, shingle)),
+win AS (
+    SELECT doc_id, template, n_shingles, start, count(DISTINCT shingle) AS held
+    FROM (SELECT *, unnest(range((CASE WHEN p - (width - k) > 0 THEN (p - (width - k) + stride - 1) // stride ELSE 0 END) * stride, p + 1, stride)) AS start FROM hit)
+    GROUP BY doc_id, template, n_shingles, start)
+SELECT doc_id, template, count(*) AS n_windows, max(held / n_shingles) AS containment, min(start) AS first_word
+FROM win WHERE held / n_shingles >= {licenses.CONTAINMENT} GROUP BY doc_id, template"""
+
+
+ORACLES["op1_license_scan"] = _license_sql()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import chat, decontaminate, embeddings, licenses, lines, packing, simhash
+from loadcast.llm import chat, decontaminate, embeddings, licenses, lines, packing, quality, simhash, toxicity
 from loadcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,13 @@ FROM win WHERE held / n_shingles >= {licenses.CONTAINMENT} GROUP BY doc_id, temp
 
 
 ORACLES["op1_license_scan"] = _license_sql()
+
+
+@_op
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_op
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

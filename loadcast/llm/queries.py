@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import chat, decontaminate, embeddings, licenses, lines, packing, quality, simhash, toxicity
+from loadcast.llm import chat, decontaminate, embeddings, licenses, lines, packing, pii, quality, simhash, toxicity
 from loadcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_op
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_op
+def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from loadcast.llm import quality as q
+
+SF = "/root/testdata/sf0.1"
+
+
+def brute_model(texts):
+    """Log-probability function of interpolated modified Kneser-Ney, by definition."""
+    counts = {q.ORDER: Counter()}
+    for t in texts:
+        s = q.symbols_of(t.encode()).tolist()
+        counts[q.ORDER].update(tuple(s[i:i + q.ORDER]) for i in range(len(s) - q.ORDER + 1))
+    for n in range(q.ORDER - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    parts = {}
+    for n, c in counts.items():
+        n1, n2, n3, n4 = (sum(v == k for v in c.values()) for k in (1, 2, 3, 4))
+        y = n1 / max(1, n1 + 2 * n2)
+        raw = (1 - 2 * y * n2 / max(1, n1), 2 - 3 * y * n3 / max(1, n2), 3 - 4 * y * n4 / max(1, n3))
+        d = [0, *(x if 0 < x < k else k / 2 for k, x in enumerate(raw, 1))]
+        total, off = defaultdict(int), defaultdict(float)
+        for g, v in c.items():
+            total[g[:-1]] += v
+            off[g[:-1]] += d[min(v, 3)]
+        parts[n] = c, d, total, off
+
+    def prob(g):
+        if not g:
+            return 1 / q.SIZE
+        c, d, total, off = parts[len(g)]
+        h, low = g[:-1], prob(g[1:])
+        if not total[h]:
+            return low
+        v = c[g]
+        return (v - d[min(v, 3)]) / total[h] + off[h] / total[h] * low
+    return prob
+
+
+def test_model_matches_the_definition(spark):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abc d.E\né") for _ in range(rng.randrange(1, 80))) for _ in range(60)] + ["la la la la", "Ab ab ab"]
+    df = spark.createDataFrame([(t.encode(),) for t in texts] + [(None,), (b"",)], "t binary").repartition(3)
+    model, prob = q.fit(df), brute_model(texts)
+    table = model.table
+    for _ in range(400):
+        g = tuple(rng.choice([0, 1, 2, 3, 28, 29, 30, 59, 32]) for _ in range(q.ORDER))
+        key = 0
+        for s in g:
+            key = key * q.SIZE + s
+        assert table[key] == pytest.approx(math.log(prob(g)), abs=2e-4), g
+    for t in texts[:10]:
+        nll, n = model.score(t.encode())
+        s = q.symbols_of(t.encode()).tolist()
+        assert n == len(s) - q.ORDER + 1
+        assert nll == pytest.approx(-sum(math.log(prob(tuple(s[i:i + q.ORDER]))) for i in range(n)), rel=1e-4)
+    sums = np.exp(table.reshape(-1, q.SIZE)[:2000]).sum(axis=1)
+    assert np.allclose(sums, 1, atol=1e-3)
+
+
+def test_labels_are_told_apart(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    out = q.report(docs, labels).cache()
+    assert out.count() == docs.count()
+    shares = {r["quality"]: r["kept"] for r in out.join(labels, "doc_id").filter(F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+              .groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()}
+    assert shares[1] > 0.985 and shares[0] < 0.35
+
+
+def test_edges(spark):
+    text = "the quick brown fox jumps over the lazy dog and runs on. "
+    docs = [(i, text * (1 + i % 4), "en", i) for i in range(60)] + [(70, None, "en", 0), (71, "", "en", 0), (72, text, None, 0), (73, text, "xx", 0),
+                                                                  (74, "#### $$$$ @@@@ %%%% &&&&", "en", 0), (75, text, "en", 0), (75, text, "en", 0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, perplexity long").selectExpr("*", "1 as row", "2 as t", "3 as threshold")
+    labels = spark.createDataFrame([(i, 1) for i in range(60)] + [(3, 1), (None, 1), (74, None)], "doc_id long, quality int")
+    kept = q.keep_good(df, labels)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(60), 72, 73, 75, 75]
+    small = q.keep_good(df, labels, broadcast_ids=1)
+    assert sorted(r.doc_id for r in small.collect()) == [*range(60), 72, 73, 75, 75]
+    assert q.keep_good(df.limit(0), labels).count() == 0
+    assert q.keep_good(df, labels.limit(0)).count() == len(docs) - 2

@@ -42,9 +42,12 @@ CACHE = 1 << 18  # words whose ids a task remembers
 class WordEncoder:
     """Token ids of texts as little-endian uint32 bytes.
 
-    The tokenizer drops white space and none of its rules look across it, so a
-    text's ids are those of its words one after the other; words are encoded
-    once and remembered, up to ``cache`` of them."""
+    The tokenizer lower-cases, drops white space, and none of its rules look
+    across it, so a text's ids are those of its words one after the other.
+    Words are encoded once and remembered, in two generations of ``cache``
+    words; new ones are encoded together, parted by a word of their own."""
+
+    PART = b"|"
 
     def __init__(self, tokenizer: str, cache: int = CACHE) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,19 +55,38 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
-        self.limit, self.known = cache, {}
+        self.limit, self.known, self.old = cache, {}, {}
+        self.parting = self._ids([self.PART])[0]
+        if len(self.parting) != 4:
+            raise ValueError("the parting word must be one token")
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        found = self.encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain = [w for w in words if self.PART not in w]
+        odd = [w for w in words if self.PART in w]
+        self.known.update(zip(odd, self._ids(odd), strict=True))
+        if plain:
+            raw = self._ids([(b" " + self.PART + b" ").join(plain)])[0]
+            cut = np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.parting, "<u4")[0]) * 4
+            for w, start, end in zip(plain, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)], strict=True):
+                self.known[w] = raw[start:end]
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        known = self.known
-        split = [(t or b"").split() for t in texts]
-        new = list(set().union(*split).difference(known)) if split else []
-        if len(known) + len(new) > self.limit:
-            keep = set().union(*split)
-            self.known = known = {w: v for w, v in known.items() if w in keep}
+        if len(self.known) > self.limit:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
+        # ASCII upper case goes first (fewer words); not next to special tokens.
+        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+        new = set().union(*split).difference(known)
+        for w in [w for w in new if w in old]:
+            known[w] = old[w]
+            new.discard(w)
+        new = sorted(new)
         for s in range(0, len(new), 4096):
-            part = new[s:s + 4096]
-            for w, e in zip(part, self.encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            self._learn(new[s:s + 4096])
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 

@@ -1,7 +1,5 @@
 """Feature attribution as Spark jobs.
 
-* ``linear_attribution``: exact Shapley values of a linear model with
-  independent features, phi_j = w_j * (x_j - mean_j) (Lundberg & Lee 2017).
 * ``sampled_shapley``: model-agnostic permutation sampling (Strumbelj &
   Kononenko 2014).  For each (row, permutation) a background row is drawn
   and the F+1 coalition rows along the permutation are scored with one
@@ -20,18 +18,10 @@ from pyspark.sql import functions as F
 
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """Deterministic sample of n rows: the n smallest seeded hashes."""
-    h = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
 
 
-def linear_attribution(df: DataFrame, weights: dict[str, float], means: dict[str, float],
-                       key: Sequence[str]) -> DataFrame:
-    long = df.select(*key, F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), (F.lit(w) * (F.col(f) - F.lit(means[f]))).alias("phi"))
-        for f, w in weights.items()])).alias("a"))
-    return long.select(*key, "a.feature", "a.phi")
-
-
 def sampled_shapley(model, rows: DataFrame, background: DataFrame, features: Sequence[str],
                     key: Sequence[str], permutations: int = 16, seed: int = 7,
                     prediction: str = "prediction") -> DataFrame:

@@ -55,14 +55,14 @@ def roll_columns(target: str = TARGET, windows: Sequence[int] = DEFAULT_ROLLS, h
 
 def add_lags_rolls(df: DataFrame, target: str = TARGET, lags: Sequence[int] = DEFAULT_LAGS,
                    rolls: Sequence[int] = DEFAULT_ROLLS, horizon: int = 1,
-                   bucket_steps: int | None = None, step_hours: int = 1) -> DataFrame:
+                   bucket_steps: int | None = None, step_hours: int = 1, dense: bool = False) -> DataFrame:
     """Lags and rolls over one window spec (one Exchange + Sort)."""
     lookback = max([*lags, *[r + horizon - 1 for r in rolls], 0])
 
     def cols(w):
         return {**lag_columns(target, lags, horizon)(w), **roll_columns(target, rolls, horizon)(w)}
 
-    return series_window(df, cols, lookback=lookback, bucket_steps=bucket_steps, step_hours=step_hours)
+    return series_window(df, cols, lookback=lookback, bucket_steps=bucket_steps, step_hours=step_hours, dense=dense)
 
 
 def lag_by_time(df: DataFrame, target: str = TARGET, lags: Sequence[int] = DEFAULT_LAGS,
@@ -93,7 +93,8 @@ def drop_incomplete_lags(df: DataFrame, target: str = TARGET) -> DataFrame:
 def build_gold(silver: DataFrame, target: str = TARGET, lags: Sequence[int] = DEFAULT_LAGS,
                rolls: Sequence[int] = DEFAULT_ROLLS, zone_map: dict[str, str] | None = None,
                holidays: str = "movable", horizon: int = 1, bucket_steps: int | None = 2016,
-               step_hours: int = 1, ffill_rows: int | None = None, drop: bool = True) -> DataFrame:
+               step_hours: int = 1, ffill_rows: int | None = None, drop: bool = True,
+               dense: bool = False) -> DataFrame:
     """silver -> gold: calendar + holidays + lags + rolls (+ drop incomplete).
 
     All series windows share one (zone, kind[, bucket]) window spec, so the
@@ -111,5 +112,5 @@ def build_gold(silver: DataFrame, target: str = TARGET, lags: Sequence[int] = DE
         out.append({**lag_columns(target, lags, horizon)(w), **roll_columns(target, rolls, horizon)(w)})
         return out
 
-    df = series_window(df, stages, lookback=lookback, bucket_steps=bucket_steps, step_hours=step_hours)
+    df = series_window(df, stages, lookback=lookback, bucket_steps=bucket_steps, step_hours=step_hours, dense=dense)
     return drop_incomplete_lags(df, target) if drop else df

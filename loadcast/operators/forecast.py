@@ -53,13 +53,13 @@ def standardize(df: DataFrame, cols: Sequence[str], stats: DataFrame, suffix: st
 
 
 def sequence_windows(df: DataFrame, value: str, length: int, out: str = "seq",
-                     bucket_steps: int | None = 2016) -> DataFrame:
+                     bucket_steps: int | None = 2016, dense: bool = False) -> DataFrame:
     """Previous ``length`` values as an array (oldest first); rows without a
     full window are dropped.  Nulls must be imputed before (collect_list
     skips them)."""
     def cols(w):
         return {out: F.collect_list(value).over(w.rowsBetween(-length, -1))}
-    seq = series_window(df, cols, lookback=length, bucket_steps=bucket_steps)
+    seq = series_window(df, cols, lookback=length, bucket_steps=bucket_steps, dense=dense)
     return seq.filter(F.size(out) == length)
 
 

@@ -36,12 +36,6 @@ def append_ledger(df: DataFrame, path: str) -> str:
     return path
 
 
-def staging(ledger: DataFrame) -> DataFrame:
-    """The newest champion row ("staging" alias)."""
-    champs = ledger.filter(F.col("alias") == "champion")
-    return champs.orderBy(F.col("logged_at").desc(), F.col("run_id").desc()).limit(1)
-
-
 def signature(df: DataFrame, columns: list[str]) -> str:
     return df.select(*columns).schema.json()
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadcast.functions.quantiles import exact_quantiles
 from loadcast.plans.halo import series_window
 from loadcast.schemas import KEY, SILVER_COLUMNS
 
@@ -64,15 +65,14 @@ def iqr_fences(df: DataFrame, value: str = "load_mw", scope: str = "zone", k: fl
     """q1, q3, iqr and the ±k·IQR fences, per zone or over everything.
 
     ``method='approx'`` is ``percentile_approx`` (bounded sketch, relative
-    error 1/accuracy); ``'exact'`` is ``percentile`` (linear interpolation,
-    a value->count map merged from map-side partials).
+    error 1/accuracy); ``'exact'`` counts in ranges (linear interpolation; no
+    group is gathered in one buffer).
     """
+    keys = list(by) if scope == "zone" else []
     if method == "approx":
-        q = F.percentile_approx(value, [0.25, 0.75], accuracy)
+        agg = df.groupBy(*keys).agg(F.percentile_approx(value, [0.25, 0.75], accuracy).alias("_q"))
     else:
-        q = F.percentile(value, [0.25, 0.75])
-    keys = list(by) if scope == "zone" else []
-    agg = df.groupBy(*keys).agg(q.alias("_q"))
+        agg = exact_quantiles(df, value, [0.25, 0.75], keys).withColumnRenamed("q", "_q")
     return agg.select(
         *keys,
         F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"),
@@ -117,20 +117,15 @@ def ffill(value: str = "load_mw", rows: int = 3):
 
 def flag_and_fill(df: DataFrame, value: str = "load_mw", scope: str = "zone", method: str = "exact",
                   k: float = 3.0, ffill_rows: int = 3, bucket_steps: int | None = None,
-                  mask_outliers: bool = False) -> DataFrame:
+                  dense: bool = False) -> DataFrame:
     """Fences -> is_outlier -> quality_flag -> load_mw_clean (bounded ffill)."""
     fences = iqr_fences(df, value, scope=scope, k=k, method=method)
     flagged = (attach_fences(df, fences, scope)
                .withColumn("is_outlier", outlier_flag(value))
                .withColumn("quality_flag", quality_flag(value))
                .drop("lower", "upper"))
-    src = value
-    if mask_outliers:
-        flagged = flagged.withColumn("_masked", F.when(~F.col("is_outlier"), F.col(value)))
-        src = "_masked"
-    out = series_window(flagged, lambda w: {"load_mw_clean": ffill(src, ffill_rows)(w)},
-                        lookback=ffill_rows, bucket_steps=bucket_steps)
-    return out.drop("_masked") if mask_outliers else out
+    return series_window(flagged, lambda w: {"load_mw_clean": ffill(value, ffill_rows)(w)},
+                         lookback=ffill_rows, bucket_steps=bucket_steps, dense=dense)
 
 
 def silver_projection(df: DataFrame) -> DataFrame:

@@ -32,9 +32,9 @@ def as_request(df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -
     return df.select(*extra, *cols)
 
 
-def check_request(req: DataFrame, schema: T.StructType, batch: str = "batch_id") -> DataFrame:
-    """Typed request rows + ``valid`` and ``reason`` per row, and the batch
-    size rule (1..10,000 rows) as ``batch_status``.
+def check_request(req: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed request rows + ``valid`` and ``reason`` per row.  Every valid row
+    is scored, whatever the size of its batch.
 
     A field is invalid when it is missing, NULL, or does not convert
     (``try_cast`` NULL on a non-NULL input).
@@ -58,20 +58,21 @@ def check_request(req: DataFrame, schema: T.StructType, batch: str = "batch_id")
     reasons = F.filter(F.array(*problems), lambda x: x.isNotNull())
     out = req.select(*[c for c in req.columns if c not in typed], *[v.alias(k) for k, v in typed.items()],
                      reasons.alias("_reasons"))
-    from pyspark.sql import Window
-    # batch size per request batch (a request body holds at most 10,000 valid rows)
-    n = F.count(F.lit(1)).over(Window.partitionBy(batch)) if batch in req.columns else F.lit(None).cast("bigint")
-    out = out.withColumn("batch_rows", n)
     return (out.withColumn("valid", F.size("_reasons") == 0)
-            .withColumn("reason", F.array_join("_reasons", ","))
-            .withColumn("batch_status", F.when((F.col("batch_rows") >= 1) & (F.col("batch_rows") <= MAX_ROWS),
-                                               F.lit("ok")).otherwise(F.lit("rejected")))
-            .drop("_reasons"))
+            .withColumn("reason", F.array_join("_reasons", ",")).drop("_reasons"))
+
+
+def batch_report(checked: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """Per batch: rows, valid and invalid ones, and whether the batch would fit
+    one request body (``MAX_ROWS``).  A report only: nothing is rejected by it."""
+    n_valid = F.sum(F.col("valid").cast("bigint"))
+    return checked.groupBy(batch).agg(F.count(F.lit(1)).alias("n_rows"), n_valid.alias("n_valid"),
+                                      (F.count(F.lit(1)) - n_valid).alias("n_invalid")).withColumn(
+        "batch_status", F.when(F.col("n_rows").between(1, MAX_ROWS), F.lit("ok")).otherwise(F.lit("rejected")))
 
 
 def score_counters(checked: DataFrame, endpoint: str) -> DataFrame:
-    """Rows by (endpoint, status): scored / invalid_row / rejected_batch."""
-    status = (F.when(F.col("batch_status") != "ok", F.lit("rejected_batch"))
-              .when(~F.col("valid"), F.lit("invalid_row")).otherwise(F.lit("scored")))
+    """Rows by (endpoint, status): scored / invalid_row."""
+    status = F.when(F.col("valid"), F.lit("scored")).otherwise(F.lit("invalid_row"))
     return checked.groupBy(F.lit(endpoint).alias("endpoint"), status.alias("status")).agg(
         F.count(F.lit(1)).alias("n"))

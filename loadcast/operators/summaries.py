@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadcast.functions.calendar import US_SOURCE_ZONES
+from loadcast.functions.quantiles import exact_quantiles
 
 
 def kpi_summary(df: DataFrame, value: str = "load_mw_clean", ts: str = "timestamp_utc") -> DataFrame:
@@ -23,10 +24,10 @@ def kpi_summary(df: DataFrame, value: str = "load_mw_clean", ts: str = "timestam
 
 def hourly_profile(df: DataFrame, value: str = "load_mw_clean", exact: bool = True) -> DataFrame:
     """Median and inter-quartile band of load per (zone, hour of day)."""
-    q = (F.percentile(value, [0.5, 0.25, 0.75]) if exact
-         else F.percentile_approx(value, [0.5, 0.25, 0.75], 10000))
-    return (df.groupBy("country", "hour").agg(q.alias("_q"))
-            .select("country", "hour", F.col("_q")[0].alias("median"), F.col("_q")[1].alias("q25"),
+    probs = [0.5, 0.25, 0.75]
+    q = (exact_quantiles(df, value, probs, ["country", "hour"]).withColumnRenamed("q", "_q") if exact
+         else df.groupBy("country", "hour").agg(F.percentile_approx(value, probs, 10000).alias("_q")))
+    return (q.select("country", "hour", F.col("_q")[0].alias("median"), F.col("_q")[1].alias("q25"),
                     F.col("_q")[2].alias("q75")))
 
 

@@ -58,6 +58,8 @@ def train_forecasters(gold_all: DataFrame, test_days: int = 30, gbt_params: dict
     metrics = frames[0]
     for f in frames[1:]:
         metrics = metrics.unionByName(f, allowMissingColumns=True)
+    if not runs:
+        raise RuntimeError("every forecasting candidate failed")
     ok = metrics.filter("status = 'ok'")
     champ = ev.champion_pick(ok, CANDIDATES).first()["model"]  # a handful of candidate rows
     return metrics.withColumn("is_champion", F.coalesce(F.col("model") == F.lit(champ), F.lit(False))), runs

@@ -31,23 +31,26 @@ def _count(obs: Observation) -> int:
 
 def job_bronze(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], source: str,
                bronze_path: str, ingested_at) -> DataFrame:
-    """dispatch -> typed -> one row per key -> upsert -> observed count."""
+    """dispatch -> typed -> one row per key -> upsert -> observed count; rows
+    that lack a required value go to a table of their own, counted too."""
     raw = source_dispatch(readers, source)
     typed = tables.bronze_typed(raw, ingested_at=ingested_at)
     batch = dedup_latest(typed, order=[F.col("ingested_at")])
-    obs = Observation("bronze")
+    obs, bad = Observation("bronze"), Observation("rejects")
     tables.upsert(spark, batch, bronze_path, obs=obs)
-    return spark.createDataFrame([("bronze", _count(obs))], "layer string, rows bigint")
+    (tables.bronze_rejects(raw, ingested_at).observe(bad, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").parquet(f"{bronze_path}_rejects"))
+    return spark.createDataFrame([("bronze", _count(obs)), ("bronze_rejects", _count(bad))], "layer string, rows bigint")
 
 
 def job_silver(spark: SparkSession, bronze_path: str, silver_path: str, fence_method: str = "approx",
-               scope: str = "zone", bucket_steps: int | None = None) -> DataFrame:
+               scope: str = "zone", bucket_steps: int | None = 2016) -> DataFrame:
     """scan -> latest per key -> hourly grid per zone -> fences -> flags ->
     bounded fill -> projection -> upsert."""
     b = tables.scan_layer(spark, bronze_path)
     latest = dedup_latest(b.select("timestamp_utc", "country", "kind", "load_mw", "ingested_at"))
     grid = densify(latest, bounds="zone")
-    silver = silver_projection(flag_and_fill(grid, scope=scope, method=fence_method, bucket_steps=bucket_steps))
+    silver = silver_projection(flag_and_fill(grid, scope=scope, method=fence_method, bucket_steps=bucket_steps, dense=True))
     obs = Observation("silver")
     tables.upsert(spark, silver, silver_path, obs=obs)
     return spark.createDataFrame([("silver", _count(obs))], "layer string, rows bigint")

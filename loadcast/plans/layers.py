@@ -15,13 +15,13 @@ ORDERS_ZONE_MAP = {"1-URGENT": "US", "2-HIGH": "ES", "3-MEDIUM": "US", "4-NOT SP
 
 def silver_grid(spark: SparkSession, sf_dir: str, method: str = "exact", bucket_steps: int | None = 2016) -> DataFrame:
     """load_grid -> per-zone fences, flags, 3-hour forward fill."""
-    return silver_projection(flag_and_fill(td.load_grid(spark, sf_dir), method=method, bucket_steps=bucket_steps))
+    return silver_projection(flag_and_fill(td.load_grid(spark, sf_dir), method=method, bucket_steps=bucket_steps, dense=True))
 
 
 def gold_grid(spark: SparkSession, sf_dir: str, drop: bool = True, holidays: str = "movable",
               bucket_steps: int | None = 2016) -> DataFrame:
     return build_gold(silver_grid(spark, sf_dir), zone_map=td.FIXTURE_ZONE_MAP, holidays=holidays,
-                      drop=drop, bucket_steps=bucket_steps)
+                      drop=drop, bucket_steps=bucket_steps, dense=True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -39,12 +39,3 @@ def gold_table(spark: SparkSession, sf_dir: str, drop: bool = True) -> DataFrame
     scalar bounds, several fits)."""
     return materialize(gold_grid(spark, sf_dir, drop=drop), "gold")
 
-
-def silver_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_projection(flag_and_fill(td.orders_daily(spark, sf_dir), bucket_steps=None))
-
-
-def gold_daily(spark: SparkSession, sf_dir: str, drop: bool = True) -> DataFrame:
-    """Daily long-horizon gold: lags 1, 7, 14, 28 days, rolls 7 and 28."""
-    return build_gold(silver_daily(spark, sf_dir), lags=(1, 7, 14, 28), rolls=(7, 28),
-                      zone_map=ORDERS_ZONE_MAP, drop=drop, bucket_steps=364, step_hours=24)

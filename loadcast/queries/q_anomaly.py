@@ -24,7 +24,7 @@ GOLD = O.silver_ctes() + O.gold_ctes()
 GOLD_ALL = O.silver_ctes() + O.gold_ctes(drop=False)
 CUT = f"(SELECT max(timestamp_utc) - INTERVAL {TEST_DAYS} DAY FROM gold)"
 KEY = ["timestamp_utc", "country"]
-QUICK_TREES = 100  # the job default is 200
+QUICK_TREES = 200
 
 
 def _sel(cols):
@@ -146,9 +146,7 @@ FROM gold GROUP BY 1""")
 def score_request_check(spark, sf_dir):
     """Forecast requests in daily batches: rows with a missing lag/roll are invalid."""
     chk = sc.check_request(_forecast_request(spark, sf_dir), sc.FORECAST_REQUEST)
-    return finish(chk.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("valid").cast("bigint")).alias("n_valid"),
-        F.sum((~F.col("valid")).cast("bigint")).alias("n_invalid"), F.first("batch_status").alias("batch_status")))
+    return finish(sc.batch_report(chk))
 
 
 @query("batch_forecast")
@@ -159,7 +157,7 @@ def batch_forecast(spark, sf_dir):
     fc.fit_gbt(train, **GBT_QUICK).write().overwrite().save(path)
     model = PipelineModel.load(path)
     chk = sc.check_request(_forecast_request(spark, sf_dir), sc.FORECAST_REQUEST)
-    return finish(fc.predict(model, chk.filter("valid AND batch_status = 'ok'")).select("timestamp_utc", "country", "prediction"))
+    return finish(fc.predict(model, chk.filter("valid")).select("timestamp_utc", "country", "prediction"))
 
 
 @query("batch_anomaly")
@@ -171,8 +169,7 @@ def batch_anomaly(spark, sf_dir):
     means = an.impute_means(train, ANOMALY_FEATURES)
     offset = an.fit_offset(an.score_samples(train, nodes))
     chk = sc.check_request(_anomaly_request(spark, sf_dir), sc.ANOMALY_REQUEST)
-    ok = chk.filter("batch_status = 'ok'")
-    return finish(an.detect(ok, nodes, offset, ANOMALY_FEATURES, means)
+    return finish(an.detect(chk.filter("valid"), nodes, offset, ANOMALY_FEATURES, means)
                   .select("timestamp_utc", "country", "anomaly_score", "is_anomaly"))
 
 

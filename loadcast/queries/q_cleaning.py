@@ -43,7 +43,7 @@ def densify_hourly(spark, sf_dir):
 def ffill_3(spark, sf_dir):
     g = td.load_grid(spark, sf_dir)
     from loadcast.plans.halo import series_window
-    out = series_window(g, lambda w: {"load_mw_clean": qa.ffill("load_mw", 3)(w)}, lookback=3)
+    out = series_window(g, lambda w: {"load_mw_clean": qa.ffill("load_mw", 3)(w)}, lookback=3, bucket_steps=2016, dense=True)
     return finish(out.select("timestamp_utc", "country", "load_mw", "load_mw_clean"))
 
 
@@ -54,7 +54,7 @@ _LAGS = ", ".join(f"{R(f'load_mw_clean_lag_{k}')} AS load_mw_clean_lag_{k}" for
        + f"\nSELECT timestamp_utc, country, {R('load_mw_clean')} AS load_mw_clean, {_LAGS} FROM f")
 def lag_features(spark, sf_dir):
     s = layers.silver_grid(spark, sf_dir)
-    out = feat.add_lags_rolls(s, rolls=(), bucket_steps=2016)
+    out = feat.add_lags_rolls(s, rolls=(), bucket_steps=2016, dense=True)
     return finish(out.select("timestamp_utc", "country", "load_mw_clean",
                              *[f"load_mw_clean_lag_{k}" for k in (1, 24, 48, 168)]))
 
@@ -212,14 +212,14 @@ def _roll_sel(kind):
 @query("rolling_mean", W(*SILVER, ("f", f"SELECT *, {O.lags_rolls_sql(lags=())} FROM silver"))
        + f"\nSELECT timestamp_utc, country, {_roll_sel('mean')} FROM f")
 def rolling_mean(spark, sf_dir):
-    out = feat.add_lags_rolls(layers.silver_grid(spark, sf_dir), lags=(), bucket_steps=2016)
+    out = feat.add_lags_rolls(layers.silver_grid(spark, sf_dir), lags=(), bucket_steps=2016, dense=True)
     return finish(out.select("timestamp_utc", "country", "load_mw_clean_roll_mean_24", "load_mw_clean_roll_mean_168"))
 
 
 @query("rolling_std", W(*SILVER, ("f", f"SELECT *, {O.lags_rolls_sql(lags=())} FROM silver"))
        + f"\nSELECT timestamp_utc, country, {_roll_sel('std')} FROM f")
 def rolling_std(spark, sf_dir):
-    out = feat.add_lags_rolls(layers.silver_grid(spark, sf_dir), lags=(), bucket_steps=2016)
+    out = feat.add_lags_rolls(layers.silver_grid(spark, sf_dir), lags=(), bucket_steps=2016, dense=True)
     return finish(out.select("timestamp_utc", "country", "load_mw_clean_roll_std_24", "load_mw_clean_roll_std_168"))
 
 

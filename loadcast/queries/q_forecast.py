@@ -144,7 +144,7 @@ _H_COLS = [f"load_mw_clean_lag_{k}" for k in _H_LAGS] + [f"load_mw_clean_roll_{s
        + "\nSELECT timestamp_utc, country, " + ", ".join(f"{R(c)} AS {c}" for c in _H_COLS) + " FROM f")
 def horizon_24(spark, sf_dir):
     """24-hour-ahead features: lags >= 24 and rolls ending 24 rows back."""
-    out = feat.add_lags_rolls(layers.silver_grid(spark, sf_dir), horizon=_H, bucket_steps=2016)
+    out = feat.add_lags_rolls(layers.silver_grid(spark, sf_dir), horizon=_H, bucket_steps=2016, dense=True)
     return finish(out.select("timestamp_utc", "country", *_H_COLS))
 
 

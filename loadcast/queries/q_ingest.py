@@ -99,7 +99,7 @@ _SERIES_SQL = W(*GRID) + f"\nSELECT timestamp_utc, country, {R('load_mw')} AS lo
 
 @query("pages_to_series", _SERIES_SQL)
 def pages_to_series(spark, sf_dir):
-    rows = landed.scan_json_pages(spark, landed_pages(spark, sf_dir))
+    rows = landed.scan_json_pages(spark, landed_pages(spark, sf_dir), with_request=True)
     return finish(landed.pages_to_series(rows, "actual"))
 
 
@@ -128,7 +128,7 @@ def scan_load_series(spark, sf_dir):
 @query("source_dispatch", _SERIES_SQL)
 def source_dispatch(spark, sf_dir):
     readers = {
-        "eia": lambda: landed.pages_to_series(landed.scan_json_pages(spark, landed_pages(spark, sf_dir))),
+        "eia": lambda: landed.pages_to_series(landed.scan_json_pages(spark, landed_pages(spark, sf_dir), with_request=True)),
         "entsoe": lambda: landed.scan_load_series(td.generation_wide(spark, sf_dir).drop("country"), "timestamp_utc", "click"),
     }
     return finish(landed.source_dispatch(readers, "eia"))
@@ -283,5 +283,5 @@ def weather_join(spark, sf_dir):
         F.avg(F.get_json_object("props", "$.k").cast("double")).alias("exo"))
     s = layers.silver_grid(spark, sf_dir).join(exo, "timestamp_utc", "left")
     out = series_window(s, lambda w: {"exo_asof": F.last("exo", ignorenulls=True).over(w.rowsBetween(-24, 0))},
-                        lookback=24, bucket_steps=2016)
+                        lookback=24, bucket_steps=2016, dense=True)
     return finish(out.select("timestamp_utc", "country", "load_mw_clean", F.col("exo").alias("exo_raw"), "exo_asof"))

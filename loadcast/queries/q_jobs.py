@@ -30,7 +30,7 @@ _SILVER_SEL = ", ".join(f"{R(c)} AS {c}" if c in ("load_mw", "load_mw_clean") el
 
 
 def _readers(spark, sf_dir):
-    return {"eia": lambda: landed.pages_to_series(landed.scan_json_pages(spark, landed_pages(spark, sf_dir)))}
+    return {"eia": lambda: landed.pages_to_series(landed.scan_json_pages(spark, landed_pages(spark, sf_dir), with_request=True))}
 
 
 def _as_of(spark, sf_dir):
@@ -73,7 +73,7 @@ def job_train(spark, sf_dir):
     """Candidates on the job's gold table (7-day holdout), champion, forest, ledger."""
     p = _run(spark, sf_dir, "gold")
     m = jobs.job_train(spark, p["gold"], p["models"], p["ledger"], test_days=7, gbt_params=GBT_QUICK,
-                       seq_len=24, n_trees=100)
+                       seq_len=24, n_trees=200)
     return finish(m.select("model", "status", "mape", "rmse", "mae", "is_champion"))
 
 
@@ -98,5 +98,5 @@ def job_full(spark, sf_dir):
     root = work_dir(spark, "job_full")
     return finish(jobs.job_full(spark, root, _readers(spark, sf_dir), "eia", _as_of(spark, sf_dir),
                                 zone_map=td.FIXTURE_ZONE_MAP, fence_method="exact",
-                                train_kwargs={"test_days": 7, "gbt_params": GBT_QUICK, "seq_len": 24, "n_trees": 100},
+                                train_kwargs={"test_days": 7, "gbt_params": GBT_QUICK, "seq_len": 24, "n_trees": 200},
                                 drift_kwargs={"ref_days": 20, "cur_days": 7}))

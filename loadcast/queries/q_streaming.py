@@ -141,4 +141,4 @@ def stream_score(spark, sf_dir):
     out = os.path.join(d, "out")
     st.stream_score(src, lambda b: fc.predict(model, b).select("timestamp_utc", "country", "y", "prediction"),
                     out, os.path.join(d, "ckpt"))
-    return finish(spark.read.parquet(out))
+    return finish(spark.read.parquet(out).select("timestamp_utc", "country", "y", "prediction"))

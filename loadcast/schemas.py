@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Columns of the layer tables and their key.
 KEY = ["timestamp_utc", "country", "kind"]
 
 BRONZE_SCHEMA = T.StructType([
@@ -19,17 +20,6 @@ SILVER_COLUMNS = [
     "is_outlier", "quality_flag", "ingested_at",
 ]
 
-SILVER_SCHEMA = T.StructType([
-    T.StructField("timestamp_utc", T.TimestampNTZType(), False),
-    T.StructField("country", T.StringType(), False),
-    T.StructField("kind", T.StringType(), False),
-    T.StructField("load_mw", T.DoubleType(), True),
-    T.StructField("load_mw_clean", T.DoubleType(), True),
-    T.StructField("is_outlier", T.BooleanType(), True),
-    T.StructField("quality_flag", T.StringType(), True),
-    T.StructField("ingested_at", T.TimestampNTZType(), True),
-])
-
 TARGET = "load_mw_clean"
 DEFAULT_LAGS = (1, 24, 48, 168)
 DEFAULT_ROLLS = (24, 168)

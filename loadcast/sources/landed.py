@@ -20,6 +20,7 @@ PAGE_SCHEMA = T.StructType([
         T.StructField("respondent", T.StringType()),
         T.StructField("start", T.StringType()),
         T.StructField("end", T.StringType()),
+        T.StructField("type", T.StringType()),
     ])),
     T.StructField("response", T.StructType([
         T.StructField("data", T.ArrayType(T.StructType([
@@ -43,7 +44,7 @@ def plan_fetch_windows(start: Column, end: Column, days: int = 60) -> Column:
 
 
 def write_landed_pages(series: DataFrame, path: str, days: int = 60, ts: str = "timestamp_utc",
-                       value: str = "load_mw", zone: str = "country") -> str:
+                       value: str = "load_mw", zone: str = "country", kind: str = "actual") -> str:
     """Write one page per (zone, fetch window) as JSON lines.
 
     Window membership is arithmetic on the row's offset from the global
@@ -68,7 +69,7 @@ def write_landed_pages(series: DataFrame, path: str, days: int = 60, ts: str = "
              .agg(F.sort_array(F.collect_list(entry)).alias("data"), F.min("_b.lo").alias("_lo"), F.min("_b.hi").alias("_hi"))
              .select(F.to_json(F.struct(
                  F.struct(F.col(zone).alias("respondent"), hour_key(w_start).alias("start"),
-                          hour_key(w_end).alias("end")).alias("request"),
+                          hour_key(w_end).alias("end"), kind_code(F.lit(kind)).alias("type")).alias("request"),
                  F.struct(F.col("data")).alias("response"))).alias("value")))
     pages.write.mode("overwrite").text(path)
     return path
@@ -80,17 +81,37 @@ def read_pages(spark: SparkSession, path: str, multiline: bool = False) -> DataF
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
 
 
-def scan_json_pages(spark: SparkSession, path: str, keep_nulls: bool = False, multiline: bool = False) -> DataFrame:
-    """response.data[] -> (timestamp_utc, country, load_mw); bad numbers and
-    bad periods become NULL; a page without response/data yields no rows."""
-    pages = read_pages(spark, path, multiline)
-    rows = pages.select(F.explode("response.data").alias("d"))
-    out = rows.select(
+def _entries(pages: DataFrame) -> DataFrame:
+    """Typed page entries beside their raw text and the request they answer."""
+    return pages.select("request", F.explode("response.data").alias("d")).select(
         parse_utc(F.col("d.period"), "yyyy-MM-dd'T'HH").alias("timestamp_utc"),
         F.col("d.respondent").alias("country"),
         F.expr("try_cast(d.value AS DOUBLE)").alias("load_mw"),
-    )
-    return out if keep_nulls else out.na.drop()
+        F.col("request.start").alias("window_start"), F.col("request.type").alias("type"), F.to_json("d").alias("raw"))
+
+
+def scan_json_pages(spark: SparkSession, path: str, keep_nulls: bool = False, multiline: bool = False,
+                    with_request: bool = False) -> DataFrame:
+    """response.data[] -> (timestamp_utc, country, load_mw), with the request's
+    window start and type code if asked for; bad numbers and bad periods become
+    NULL.  What is left out (incomplete entries, unreadable pages and pages
+    without data) is what ``page_rejects`` returns."""
+    out = _entries(read_pages(spark, path, multiline))
+    out = out.select("timestamp_utc", "country", "load_mw", *(("window_start", "type") if with_request else ()))
+    return out if keep_nulls else out.na.drop(subset=["timestamp_utc", "country", "load_mw"])
+
+
+def page_rejects(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """(raw, reason) of all that ``scan_json_pages`` leaves out: unreadable
+    documents, pages without ``response.data``, entries without a usable
+    period, zone or value."""
+    pages = read_pages(spark, path, multiline)
+    bad = pages.select(F.coalesce("_corrupt_record", F.to_json(F.struct("request", "response"))).alias("raw"), F.when(
+        F.col("_corrupt_record").isNotNull(), F.lit("unreadable")).when(F.col("response.data").isNull(), F.lit("no data")).alias("reason"))
+    entries = _entries(pages)
+    lacking = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in ("timestamp_utc", "country", "load_mw")]))
+    rows = entries.select("raw", F.concat(F.lit("null:"), F.array_join(lacking, ",")).alias("reason")).filter(F.size(lacking) > 0)
+    return bad.filter("reason is not null").unionByName(rows)
 
 
 def page_summary(spark: SparkSession, path: str) -> DataFrame:
@@ -115,9 +136,14 @@ def kind_code(kind: Column | str) -> Column:
 
 
 def pages_to_series(pages: DataFrame, kind: str = "actual") -> DataFrame:
-    """Union of page rows -> one row per (hour, zone, kind) (edge hours repeat)."""
-    out = pages.withColumn("kind", F.lit(kind))
-    return out.dropDuplicates(["timestamp_utc", "country", "kind"]).select("timestamp_utc", "country", "load_mw", "kind")
+    """Union of page rows -> one row per (hour, zone, kind).  An edge hour is on
+    two pages: the one of the earlier window wins, then the smaller value.  Rows
+    that carry the request's type code keep to pages of ``kind``."""
+    if "type" in pages.columns:
+        pages = pages.filter(F.coalesce(F.col("type") == kind_code(F.lit(kind)), F.lit(True)))
+    first = F.struct(F.col("window_start") if "window_start" in pages.columns else F.lit(""), F.col("load_mw"))
+    out = pages.groupBy("timestamp_utc", "country").agg(F.min_by("load_mw", first).alias("load_mw"))
+    return out.select("timestamp_utc", "country", "load_mw", F.lit(kind).alias("kind"))
 
 
 def known_zone_check(zones: DataFrame, known: DataFrame, zone: str = "country") -> DataFrame:

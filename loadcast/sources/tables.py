@@ -1,14 +1,17 @@
 """Layer tables on Parquet: typed scans, partitioned writes, upserts, audit.
 
-Without a row-level table format, an upsert never rewrites the folder it
-reads: every write goes to a new snapshot folder, and a small pointer file
-(``_CURRENT``) names the live snapshot.  Readers resolve the pointer.
+Paths are plain strings for Spark's readers and writers (``/x``, ``file:///x``,
+``hdfs://...``, ``s3a://...``); existence is asked of the Hadoop file system of
+the path, never of the driver's disk.  Tables are partitioned by zone and month
+(``_month`` is technical and not returned by ``scan_layer``).  An upsert writes
+what it computes to the shared checkpoint folder first and then replaces the
+touched partitions only (dynamic partition overwrite): a job that fails before
+the replacement leaves the table as it was, and since an upsert is idempotent a
+retry after it gives the same table.  One writer per table at a time.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +20,9 @@ from pyspark.sql import types as T
 
 from loadcast.functions.timecols import hour_floor
 from loadcast.schemas import BRONZE_SCHEMA, KEY
+from loadcast.session import work_dir
+
+MONTH = "_month"
 
 EVENTS_READ_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -26,13 +32,18 @@ EVENTS_READ_SCHEMA = T.StructType([
 ])
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists on its own file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scan_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a layer (resolving a snapshot pointer when present)."""
-    path = resolve(path)
+    """Read a layer; the technical month partition is left out."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(path).drop(MONTH)
 
 
 def events_as_bronze(ev: DataFrame) -> DataFrame:
@@ -41,28 +52,47 @@ def events_as_bronze(ev: DataFrame) -> DataFrame:
                      F.col("ts").alias("ingested_at"), "event_id")
 
 
+def _stamped(df: DataFrame, ingested_at=None) -> DataFrame:
+    return df if ingested_at is None else df.withColumn("ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
+
+
+def _null_keys(df: DataFrame) -> F.Column:
+    """Names of the required columns that are null in a row."""
+    required = [f.name for f in BRONZE_SCHEMA.fields if not f.nullable]
+    return F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
+
+
 def bronze_typed(df: DataFrame, ingested_at=None) -> DataFrame:
-    """Apply the fixed bronze schema: NaN -> NULL, stamp ingested_at, enforce types."""
-    if ingested_at is not None:
-        df = df.withColumn("ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
+    """Apply the fixed bronze schema: NaN -> NULL, stamp ingested_at, enforce
+    types.  Rows without a required value go to ``bronze_rejects``."""
+    df = _stamped(df, ingested_at)
     df = df.withColumn("load_mw", F.when(F.isnan("load_mw"), None).otherwise(F.col("load_mw")).cast("double"))
     df = df.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMA.fields])
-    # non-null key columns: filter rows that would violate the schema
-    df = df.filter(F.col("timestamp_utc").isNotNull() & F.col("country").isNotNull()
-                   & F.col("kind").isNotNull() & F.col("ingested_at").isNotNull())
+    df = df.filter(F.size(_null_keys(df)) == 0)
     # ``to`` checks names and types; key non-nullness is enforced by the filter
     return df.to(T.StructType([T.StructField(f.name, f.dataType, True) for f in BRONZE_SCHEMA.fields]))
 
 
+def bronze_rejects(df: DataFrame, ingested_at=None) -> DataFrame:
+    """The rows that ``bronze_typed`` leaves out, with the columns they lack."""
+    df = _stamped(df, ingested_at)
+    lacking = _null_keys(df)
+    return df.withColumn("reason", F.concat(F.lit("null:"), F.array_join(lacking, ","))).filter(F.size(lacking) > 0)
+
+
 def overwrite_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",),
                           sort_within: Sequence[str] = ("timestamp_utc",), obs: Observation | None = None) -> str:
     """Full replace, partitioned; rows sorted by time inside each file.
 
-    A rebalance on the partition columns lets AQE split a large zone over
-    several tasks (and merge small ones), so files are neither tiny nor one
-    per hot zone."""
-    (_observed(df, obs).hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_within)
-       .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
+    The result is computed and written to the shared checkpoint folder before
+    the live table is touched, so a failing computation leaves it in place.  A
+    rebalance on the partition columns lets AQE split a large zone over several
+    tasks (and merge small ones)."""
+    spark = df.sparkSession
+    staged = f"{work_dir(spark, 'staged')}/t"
+    _observed(df, obs).write.parquet(staged)
+    (spark.read.parquet(staged).hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_within)
+     .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
     return path
 
 
@@ -75,64 +105,54 @@ def write_counted(df: DataFrame, path: str, mode: str = "overwrite",
     return path, int(obs.get["rows"])
 
 
-# ---------------------------------------------------------------- snapshots
-
-def _pointer(path: str) -> str:
-    return os.path.join(path, "_CURRENT")
-
-
-def resolve(path: str) -> str:
-    p = _pointer(path)
-    if "://" not in path and os.path.exists(p):
-        with open(p, encoding="utf-8") as fh:
-            return os.path.join(path, fh.read().strip())
-    return path
-
-
-def _publish(path: str, snapshot: str) -> None:
-    tmp = _pointer(path) + f".{uuid.uuid4().hex}"
-    with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(snapshot)
-    os.replace(tmp, _pointer(path))  # atomic switch
-
-
 def _observed(df: DataFrame, obs: Observation | None) -> DataFrame:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs is not None else df
 
 
-def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",),
-                 obs: Observation | None = None) -> str:
-    """First write of a snapshot table (bronze_create).  Pass an
-    ``Observation`` to get the written row count without a second scan."""
-    os.makedirs(path, exist_ok=True)
-    snap = f"snap-{uuid.uuid4().hex[:12]}"
-    _observed(df, obs).write.mode("errorifexists").partitionBy(*partition_by).parquet(os.path.join(path, snap))
-    _publish(path, snap)
+def _by_month(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn(MONTH, F.date_format(ts, "yyyy-MM"))
+
+
+def create_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",), obs: Observation | None = None,
+                 ts: str = "timestamp_utc") -> str:
+    """First write of a table.  Pass an ``Observation`` to get the written row
+    count without a second scan."""
+    parts = [*partition_by, MONTH]
+    (_observed(_by_month(df, ts), obs).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path))
     return path
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str] = tuple(KEY),
-           partition_by: Sequence[str] = ("country",), obs: Observation | None = None) -> str:
-    """Insert-or-replace ``source`` rows into the table at ``path`` on ``key``.
-
-    Source rows must be unique per key (dedup first).  Target rows whose key
-    is in the source are dropped (left anti join: a shuffle join on the key,
-    never a broadcast of an unbounded side), source rows are added, and the
-    result is written as a new snapshot; the pointer switch publishes it, so
-    a failed or retried job never leaves a half-written live table.
-    Applying the same source twice gives the same table.
+           partition_by: Sequence[str] = ("country",), obs: Observation | None = None, ts: str = "timestamp_utc") -> str:
+    """Insert-or-replace ``source`` rows into the table at ``path`` on ``key``
+    (which includes the partition columns and the time).
+
+    Source rows must be unique per key (dedup first); the source is evaluated
+    once.  Only partitions that it touches are read, merged (left anti join on
+    the key: a shuffle join, never a broadcast of an unbounded side), staged
+    and replaced.  ``obs`` counts the rows of the table afterwards.  Applying
+    the same source twice gives the same table.
     """
-    key = list(key)
-    if not os.path.exists(_pointer(path)):
-        return create_table(source, path, partition_by, obs)
-    current = resolve(path)
-    target = spark.read.parquet(current)
+    key, parts = list(key), [*partition_by, MONTH]
+    if not exists(spark, path):
+        return create_table(source, path, partition_by, obs, ts)
+    folder = work_dir(spark, "upsert")
     cols = source.columns
-    merged = (target.select(*cols).join(source.select(*key), key, "left_anti")
-              .unionByName(source.select(*cols)))
-    snap = f"snap-{uuid.uuid4().hex[:12]}"
-    _observed(merged, obs).write.mode("errorifexists").partitionBy(*partition_by).parquet(os.path.join(path, snap))
-    _publish(path, snap)
+    _by_month(source, ts).write.parquet(f"{folder}/source")
+    batch = spark.read.parquet(f"{folder}/source")
+    table = spark.read.parquet(path)
+    touched = batch.select(*parts).distinct()
+    # Zones and months prune the scan as literals; few of either, whatever the rows.
+    pruned = table
+    for c in parts:
+        pruned = pruned.filter(F.col(c).isin([r[0] for r in batch.select(c).distinct().collect()]))
+    old = pruned.join(touched, parts, "left_semi").select(*cols, MONTH)
+    merged = old.join(batch.select(*key), key, "left_anti").unionByName(batch.select(*cols, MONTH))
+    merged.write.parquet(f"{folder}/merged")
+    (spark.read.parquet(f"{folder}/merged").hint("rebalance", *parts).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    if obs is not None:
+        spark.read.parquet(path).observe(obs, F.count(F.lit(1)).alias("rows")).agg(F.count(F.lit(1))).collect()
     return path
 
 

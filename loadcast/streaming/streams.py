@@ -94,7 +94,8 @@ def stream_to_parquet(df: DataFrame, sink: str, checkpoint: str) -> None:
 
 
 def stream_score(stream: DataFrame, score: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str) -> None:
-    """Score each micro-batch with a fitted model; append to the sink."""
-    def run(batch: DataFrame, _epoch: int) -> None:
-        score(batch).write.mode("append").parquet(sink)
+    """Score each micro-batch with a fitted model.  A batch has a folder of its
+    own, so one that is replayed replaces its rows instead of adding them."""
+    def run(batch: DataFrame, epoch: int) -> None:
+        score(batch).write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
     drain(stream.writeStream.foreachBatch(run), checkpoint)

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-import math
+import datetime as dt
 import sys
 import tempfile
 from pathlib import Path
@@ -29,20 +29,38 @@ def spark():
     s.stop()
 
 
+def sawtooth(hour: int, zone: int) -> float:
+    """Load of a zone at an hour: a daily triangle on a weekly staircase, and a
+    deterministic wobble."""
+    day = hour // 24
+    triangle = 1 - abs((hour % 24) - 14) / 14
+    step = (0, 2, 3, 3, 2, -4, -6)[day % 7]
+    return 900.0 + 250.0 * zone + 400.0 * triangle + 30.0 * step + (hour * 7919 % 97) / 10.0
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(
+        [(t, z, "actual", v, v, False, "ok", t) for t, z, v in rows],
+        "timestamp_utc timestamp_ntz, country string, kind string, load_mw double, load_mw_clean double, is_outlier boolean, "
+        "quality_flag string, ingested_at timestamp_ntz")
+
+
 @pytest.fixture(scope="session")
 def synthetic(spark):
-    """14 days x 24 hours, one zone: diurnal sine, weekend dip, Gaussian noise
-    (seeded, one partition so it is reproducible)."""
-    from pyspark.sql import functions as F
-    df = spark.range(0, 336, 1, 1)
-    ts = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).cast("timestamp_ntz")  # 2024-01-01 UTC
-    hour = F.col("id") % 24
-    dow = F.weekday(ts)
-    load = (F.lit(25000.0) + F.lit(8000.0) * F.sin(F.lit(2 * math.pi) * (hour - 6) / 24)
-            - F.lit(3000.0) * (dow >= 5).cast("double") + F.lit(500.0) * F.randn(42))
-    return df.select(ts.alias("timestamp_utc"), F.lit("ES").alias("country"), F.lit("actual").alias("kind"),
-                     load.alias("load_mw"), load.alias("load_mw_clean"), F.lit(False).alias("is_outlier"),
-                     F.lit("ok").alias("quality_flag"), ts.alias("ingested_at"))
+    """Sixteen days of one zone, every hour present, no randomness."""
+    start = dt.datetime(2023, 5, 3)
+    return _frame(spark, [(start + dt.timedelta(hours=h), "ES", sawtooth(h, 0)) for h in range(16 * 24)])
+
+
+@pytest.fixture(scope="session")
+def gappy(spark):
+    """Two zones over forty days: one with holes of one to thirty hours, the
+    other with a row every second hour."""
+    start = dt.datetime(2023, 5, 3)
+    holes = {h for s in range(50, 960, 110) for h in range(s, s + 1 + s % 30)}
+    rows = [(start + dt.timedelta(hours=h), "ES", sawtooth(h, 0)) for h in range(960) if h not in holes]
+    rows += [(start + dt.timedelta(hours=h), "US", sawtooth(h, 1)) for h in range(0, 960, 2)]
+    return _frame(spark, rows)
 
 
 @pytest.fixture(scope="session")

@@ -18,18 +18,24 @@ ROWS_PER_RANGE = 100_000
 MOST_RANGES = 4096
 
 
+def range_edges(rows: DataFrame, value: str, by: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``(by..., _n, _edges)``: non-null values per group and the inner edges of
+    its ranges, about one range per ``rows_per_range`` values."""
+    points = ", ".join(f"{k / MOST_RANGES}D" for k in range(1, MOST_RANGES))
+    fine = F.expr(f"percentile_approx({value}, array({points}), 10000)")
+    cuts = F.least(F.lit(MOST_RANGES), F.ceil(F.col("_n") / rows_per_range)).cast("int")
+    edges = F.when(cuts > 1, F.transform(F.sequence(F.lit(1), cuts - 1), lambda k: F.get(
+        F.col("_fine"), F.floor(k * MOST_RANGES / cuts).cast("int") - 1))).otherwise(F.expr("cast(array() as array<double>)"))
+    return rows.groupBy(*by).agg(F.count(value).alias("_n"), fine.alias("_fine")).select(*by, "_n", edges.alias("_edges"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``(by..., q array<double>)``: linearly interpolated quantiles of the
     non-null values, as ``percentile`` gives them; null for a group without any."""
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("_v"))
-    fine = F.expr(f"percentile_approx(_v, array({', '.join(f'{k / MOST_RANGES}D' for k in range(1, MOST_RANGES))}), 10000)")
-    cuts = F.least(F.lit(MOST_RANGES), F.ceil(F.col("_n") / rows_per_range)).cast("int")
-    edges = F.when(cuts > 1, F.transform(F.sequence(F.lit(1), cuts - 1), lambda k: F.get(
-        F.col("_fine"), F.floor(k * MOST_RANGES / cuts).cast("int") - 1))).otherwise(F.expr("cast(array() as array<double>)"))
-    groups = (rows.groupBy(*by).agg(F.count("_v").alias("_n"), fine.alias("_fine"))
-              .select(*by, "_n", edges.alias("_edges")))
+    groups = range_edges(rows, "_v", by, rows_per_range)
     at = F.size(F.filter("_edges", lambda e: e < F.col("_v")))
     if by:
         placed = rows.filter("_v is not null").join(groups, by)

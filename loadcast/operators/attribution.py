@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_BACKGROUND = 10_000
+
 
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """Deterministic sample of n rows: the n smallest seeded hashes."""
@@ -27,9 +29,12 @@ def sampled_shapley(model, rows: DataFrame, background: DataFrame, features: Seq
                     prediction: str = "prediction") -> DataFrame:
     """(key..., feature, phi) by permutation sampling over ``model.transform``.
 
-    ``background`` must be small (it is broadcast): pass a ``sample_n``.
+    ``background`` is broadcast and numbered in one task: over
+    ``MAX_BACKGROUND`` rows it is refused (pass a ``sample_n``).
     """
     features = list(features)
+    if background.limit(MAX_BACKGROUND + 1).count() > MAX_BACKGROUND:
+        raise ValueError(f"background has over {MAX_BACKGROUND} rows; draw a sample_n of it")
     nf = len(features)
     bg = background.select(*[F.col(f).alias(f"_b_{f}") for f in features])
     bg = bg.withColumn("_bid", F.row_number().over(Window.orderBy(*[f"_b_{f}" for f in features])) - 1)

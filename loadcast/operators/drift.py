@@ -7,7 +7,7 @@ asymptotic p-value, and the share of drifted features.
 The empirical CDFs need a running count in value order.  A window
 partitioned by feature alone would hold a whole feature in one task, so
 the running count is computed in two levels: values are cut into
-``buckets`` ranges by approximate quantile edges (a bounded sketch), bucket
+ranges by approximate quantile edges (a bounded sketch), bucket
 totals are prefix-summed (one tiny window over buckets), and the running
 count inside each (feature, bucket) partition is added to its bucket's
 offset.  The result is exact; the edges only balance the work.
@@ -15,31 +15,34 @@ offset.  The result is exact; the edges only balance the work.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadcast.functions.quantiles import range_edges
 from loadcast.functions.stats import ks_pvalue
-from loadcast.functions.timecols import date_offset, report_tag
-
-
-def window_bounds(df: DataFrame, ref_days: int, cur_days: int, ts: str = "timestamp_utc") -> dict[str, Column]:
-    """Scalar bounds: current [max - cur_days, max], reference [cur_start - ref_days, cur_start)."""
-    mx = df.select(F.max(ts)).scalar()
-    cur_start = date_offset(mx, days=-cur_days)
-    return {"max_ts": mx, "cur_start": cur_start, "ref_start": date_offset(cur_start, days=-ref_days)}
-
-
-def label_windows(df: DataFrame, ref_days: int = 60, cur_days: int = 7, ts: str = "timestamp_utc") -> DataFrame:
-    """drift_window = current / reference / NULL (max(ts) evaluated once)."""
-    mx = df.select(F.max(ts)).scalar()
+from loadcast.functions.timecols import report_tag
+from loadcast.session import work_dir
+
+
+def label_windows(df: DataFrame, ref_days: int = 60, cur_days: int = 7, ts: str = "timestamp_utc",
+                  only: bool = False) -> DataFrame:
+    """drift_window = current / reference / NULL.  The newest time is fetched
+    first (one value), so the bounds are literals; with ``only`` rows outside
+    both windows are left out, by a filter that reaches the scan."""
+    newest = df.agg(F.max(ts)).first()[0]
+    if newest is None:
+        return df.withColumn("drift_window", F.lit(None).cast("string"))
+    cur_start = newest - dt.timedelta(days=cur_days)
+    ref_start = cur_start - dt.timedelta(days=ref_days)
+    literal = lambda t: F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(dict(df.dtypes)[ts])
     t = F.col(ts)
-    out = df.withColumn("_mx", mx)
-    cur_start = date_offset("_mx", days=-cur_days)
-    ref_start = date_offset(cur_start, days=-ref_days)
-    return out.withColumn("drift_window", F.when(t >= cur_start, F.lit("current"))
-                          .when((t >= ref_start) & (t < cur_start), F.lit("reference"))).drop("_mx")
+    if only:
+        df = df.filter(t >= literal(ref_start))
+    return df.withColumn("drift_window", F.when(t >= literal(cur_start), F.lit("current"))
+                         .when(t >= literal(ref_start), F.lit("reference")))
 
 
 def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -49,36 +52,47 @@ def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def ks_per_feature(labelled: DataFrame, features: Sequence[str], alpha: float = 0.05,
-                   buckets: int = 64) -> DataFrame:
-    """One row per feature: n_ref, n_cur, ks_stat, p_value, drifted."""
+                   values_per_range: int = 100_000) -> DataFrame:
+    """One row per feature: n_ref, n_cur, ks_stat, p_value, drifted.
+
+    Distinct values are counted once (partial aggregates, stored); they are cut
+    into ranges whose number follows from how many there are, range totals are
+    summed up, and running counts are kept inside a range only."""
     long = _long(labelled, [f for f in features])
     long = long.withColumn("value", F.col("value").cast("double"))
     is_ref = (F.col("drift_window") == "reference").cast("bigint")
     is_cur = (F.col("drift_window") == "current").cast("bigint")
-    # distinct values with their counts on each side (map-side partial aggregation)
-    vc = long.groupBy("feature", "value").agg(F.sum(is_ref).alias("cr"), F.sum(is_cur).alias("cc"))
-    # bucket edges per feature from a bounded quantile sketch
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = long.groupBy("feature").agg(F.percentile_approx("value", probs, 10000).alias("edges"))
-    vb = (vc.join(edges, "feature", "left")
-          .withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col("value")))).drop("edges"))
+    path = f"{work_dir(labelled.sparkSession, 'ks')}/values"
+    long.groupBy("feature", "value").agg(F.sum(is_ref).alias("cr"), F.sum(is_cur).alias("cc")).write.parquet(path)
+    vc = labelled.sparkSession.read.parquet(path)
+    edges = range_edges(vc, "value", ["feature"], values_per_range).select("feature", "_edges")
+    vb = (vc.join(edges, "feature")
+          .withColumn("bucket", F.size(F.filter("_edges", lambda e: e < F.col("value")))).drop("_edges"))
     tot = vb.groupBy("feature", "bucket").agg(F.sum("cr").alias("br"), F.sum("cc").alias("bc"))
-    wb = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("feature")
+    wb = every.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select("feature", "bucket", F.coalesce(F.sum("br").over(wb), F.lit(0)).alias("off_r"),
-                     F.coalesce(F.sum("bc").over(wb), F.lit(0)).alias("off_c"))
-    wv = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+                     F.coalesce(F.sum("bc").over(wb), F.lit(0)).alias("off_c"),
+                     F.sum("br").over(every).alias("n_ref"), F.sum("bc").over(every).alias("n_cur"))
+    vb = vb.withColumn("_part", F.xxhash64("feature", "bucket"))
+    wv = Window.partitionBy("_part", "feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     cum = (vb.join(tot, ["feature", "bucket"])
-           .select("feature", (F.col("off_r") + F.sum("cr").over(wv)).alias("rr"),
+           .select("feature", "n_ref", "n_cur", (F.col("off_r") + F.sum("cr").over(wv)).alias("rr"),
                    (F.col("off_c") + F.sum("cc").over(wv)).alias("rc")))
-    n = long.groupBy("feature").agg(F.sum(is_ref).alias("n_ref"), F.sum(is_cur).alias("n_cur"))
-    d = (cum.join(n, "feature")
-         .groupBy("feature", "n_ref", "n_cur")
+    d = (cum.groupBy("feature", "n_ref", "n_cur")
          .agg(F.max(F.abs(F.try_divide("rr", "n_ref") - F.try_divide("rc", "n_cur"))).alias("ks_stat")))
     p = ks_pvalue(F.col("ks_stat"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     return (d.withColumn("p_value", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), p))
             .withColumn("drifted", F.col("p_value") < F.lit(alpha)))
 
 
+def fetched(per_feature: DataFrame) -> DataFrame:
+    """The tests as a local table (a row per feature), so that a report, a
+    document and a share made from them run them once."""
+    spark = per_feature.sparkSession
+    return spark.createDataFrame(per_feature.collect(), per_feature.schema)
+
+
 def drift_share(per_feature: DataFrame, threshold: float = 0.15) -> DataFrame:
     return per_feature.agg(F.avg(F.col("drifted").cast("double")).alias("drift_share"),
                            F.count(F.lit(1)).alias("n_features")).withColumn(
@@ -86,14 +100,14 @@ def drift_share(per_feature: DataFrame, threshold: float = 0.15) -> DataFrame:
 
 
 def drift_report(labelled: DataFrame, features: Sequence[str], threshold: float = 0.15,
-                 min_rows: int = 100, ts: str = "timestamp_utc") -> DataFrame:
+                 min_rows: int = 100, ts: str = "timestamp_utc", per_feature: DataFrame | None = None) -> DataFrame:
     """One row: window sizes, status (ok / insufficient), share and flag."""
     counts = labelled.agg(
         F.max(ts).alias("max_ts"),
         F.sum((F.col("drift_window") == "reference").cast("bigint")).alias("ref_rows"),
         F.sum((F.col("drift_window") == "current").cast("bigint")).alias("cur_rows"))
     # one row (share over <= a few dozen features), fetched as values
-    share = drift_share(ks_per_feature(labelled, features), threshold).first()
+    share = drift_share(per_feature if per_feature is not None else ks_per_feature(labelled, features), threshold).first()
     ok = (F.col("ref_rows") >= min_rows) & (F.col("cur_rows") >= min_rows)
     return counts.select(
         "max_ts", report_tag("max_ts").alias("report_tag"), "ref_rows", "cur_rows",
@@ -102,10 +116,11 @@ def drift_report(labelled: DataFrame, features: Sequence[str], threshold: float
         F.when(ok, F.lit(share["drift_detected"]).cast("boolean")).otherwise(F.lit(False)).alias("drift_detected"))
 
 
-def report_document(labelled: DataFrame, features: Sequence[str], threshold: float = 0.15) -> DataFrame:
+def report_document(labelled: DataFrame, features: Sequence[str], threshold: float = 0.15,
+                    per_feature: DataFrame | None = None) -> DataFrame:
     """The drift result as one nested document: a ``metrics`` array with one
     entry per feature and one dataset entry carrying the share."""
-    per = ks_per_feature(labelled, features)
+    per = per_feature if per_feature is not None else fetched(ks_per_feature(labelled, features))
     sh = drift_share(per, threshold).first()  # one row
     tag = labelled.select(report_tag(F.max("timestamp_utc"))).first()[0]
     col_metrics = per.agg(F.sort_array(F.collect_list(F.struct(

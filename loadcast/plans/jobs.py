@@ -91,9 +91,10 @@ def job_drift(spark: SparkSession, gold_path: str, out_dir: str, ref_days: int =
               threshold: float = 0.15) -> DataFrame:
     """scan -> windows -> KS tests -> report row + JSON document."""
     gold = tables.scan_layer(spark, gold_path)
-    lab = dr.label_windows(gold, ref_days, cur_days)
-    report = dr.drift_report(lab, DRIFT_FEATURES, threshold)
-    dr.sink_drift_json(dr.report_document(lab, DRIFT_FEATURES, threshold), out_dir)
+    lab = dr.label_windows(gold, ref_days, cur_days, only=True)
+    per = dr.fetched(dr.ks_per_feature(lab, DRIFT_FEATURES))
+    report = dr.drift_report(lab, DRIFT_FEATURES, threshold, per_feature=per)
+    dr.sink_drift_json(dr.report_document(lab, DRIFT_FEATURES, threshold, per_feature=per), out_dir)
     return report
 
 

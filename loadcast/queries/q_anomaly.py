@@ -25,6 +25,8 @@ GOLD_ALL = O.silver_ctes() + O.gold_ctes(drop=False)
 CUT = f"(SELECT max(timestamp_utc) - INTERVAL {TEST_DAYS} DAY FROM gold)"
 KEY = ["timestamp_utc", "country"]
 QUICK_TREES = 200
+SAMPLE_ROWS = 2000     # rows that attribution explains (the operator's definition)
+BACKGROUND_ROWS = 64   # rows that stand in for absent features
 
 
 def _sel(cols):
@@ -85,18 +87,20 @@ def train_anomaly(spark, sf_dir):
     return finish(s.withColumn("n_trees", nodes.select(F.countDistinct("tree_id")).scalar()))
 
 
-@query("sample_n")
+@query("sample_n", W(*GOLD) + f"""
+SELECT timestamp_utc, country, {R('load_mw_clean')} AS load_mw_clean FROM gold WHERE timestamp_utc > {CUT}
+ORDER BY md5(CAST(timestamp_utc AS VARCHAR) || '|' || country || '|42'), timestamp_utc, country LIMIT {SAMPLE_ROWS}""")
 def sample_n(spark, sf_dir):
     _, test = split(spark, sf_dir)
-    return finish(at.sample_n(test, 2000, KEY).select(*KEY, "load_mw_clean"))
+    return finish(at.sample_n(test, SAMPLE_ROWS, KEY).select(*KEY, "load_mw_clean"))
 
 
 def _attribution(spark, sf_dir):
     train, test = split(spark, sf_dir)
     model = fc.fit_gbt(train, **GBT_QUICK)
-    rows = at.sample_n(test, 2000, KEY)
-    background = at.sample_n(train, 64, KEY, seed=11)
-    return at.sampled_shapley(model, rows, background, FEATURE_COLS, KEY, permutations=8)
+    rows = at.sample_n(test, SAMPLE_ROWS, KEY)
+    background = at.sample_n(train, BACKGROUND_ROWS, KEY, seed=11)
+    return at.sampled_shapley(model, rows, background, FEATURE_COLS, KEY)
 
 
 @query("attribution_sampled")

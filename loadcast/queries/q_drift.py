@@ -19,8 +19,8 @@ GOLD = O.silver_ctes() + O.gold_ctes()
 MX = "(SELECT max(timestamp_utc) FROM gold)"
 
 
-def _labelled(spark, sf_dir):
-    return dr.label_windows(layers.gold_table(spark, sf_dir), REF_DAYS, CUR_DAYS)
+def _labelled(spark, sf_dir, only=True):
+    return dr.label_windows(layers.gold_table(spark, sf_dir), REF_DAYS, CUR_DAYS, only=only)
 
 
 def _pvalue_sql(d="ks_stat", n="n_ref", m="n_cur", terms=6):
@@ -35,9 +35,9 @@ def _pvalue_sql(d="ks_stat", n="n_ref", m="n_cur", terms=6):
     return f"least(1.0, greatest(0.0, {q}))"
 
 
-def ks_ctes(features):
+def ks_ctes(features, gold=None):
     casts = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in features)
-    return GOLD + [
+    return (gold or GOLD) + [
         ("lab", f"""SELECT *, CASE WHEN timestamp_utc >= {MX} - INTERVAL {CUR_DAYS} DAY THEN 'current'
   WHEN timestamp_utc >= {MX} - INTERVAL {CUR_DAYS + REF_DAYS} DAY AND timestamp_utc < {MX} - INTERVAL {CUR_DAYS} DAY THEN 'reference' END AS drift_window FROM gold"""),
         ("wide", f"SELECT drift_window, {casts} FROM lab WHERE drift_window IS NOT NULL"),
@@ -61,7 +61,7 @@ SELECT timestamp_utc, country, CASE WHEN timestamp_utc >= {MX} - INTERVAL {CUR_D
   WHEN timestamp_utc >= {MX} - INTERVAL {CUR_DAYS + REF_DAYS} DAY AND timestamp_utc < {MX} - INTERVAL {CUR_DAYS} DAY THEN 'reference' END AS drift_window
 FROM gold""")
 def drift_windows(spark, sf_dir):
-    return finish(_labelled(spark, sf_dir).select("timestamp_utc", "country", "drift_window"))
+    return finish(_labelled(spark, sf_dir, only=False).select("timestamp_utc", "country", "drift_window"))
 
 
 @query("drift_per_feature", W(*ks_ctes(DRIFT_FEATURES)) + f"\nSELECT {KS_SEL} FROM ksd")
@@ -83,15 +83,18 @@ def drift_share(spark, sf_dir):
     return finish(dr.drift_share(dr.ks_per_feature(_labelled(spark, sf_dir), DRIFT_FEATURES)))
 
 
-@query("drift_report", W(*ks_ctes(DRIFT_FEATURES),
-                         ("sh", "SELECT avg(CAST(drifted AS DOUBLE)) AS s FROM ksd"),
-                         ("cn", "SELECT max(timestamp_utc) AS max_ts, sum(CASE WHEN drift_window = 'reference' THEN 1 ELSE 0 END) AS ref_rows, sum(CASE WHEN drift_window = 'current' THEN 1 ELSE 0 END) AS cur_rows FROM lab"))
-       + f"""
+def report_sql(gold=None):
+    return W(*ks_ctes(DRIFT_FEATURES, gold),
+             ("sh", "SELECT avg(CAST(drifted AS DOUBLE)) AS s FROM ksd"),
+             ("cn", "SELECT max(timestamp_utc) AS max_ts, sum(CASE WHEN drift_window = 'reference' THEN 1 ELSE 0 END) AS ref_rows, sum(CASE WHEN drift_window = 'current' THEN 1 ELSE 0 END) AS cur_rows FROM lab")) + f"""
 SELECT max_ts, strftime(max_ts, '%Y%m%d_%H%M') AS report_tag, CAST(ref_rows AS BIGINT) AS ref_rows, CAST(cur_rows AS BIGINT) AS cur_rows,
   CASE WHEN ref_rows >= 100 AND cur_rows >= 100 THEN 'ok' ELSE 'insufficient' END AS status,
   {R("CASE WHEN ref_rows >= 100 AND cur_rows >= 100 THEN (SELECT s FROM sh) ELSE 0.0 END")} AS drift_share,
   CASE WHEN ref_rows >= 100 AND cur_rows >= 100 THEN (SELECT s FROM sh) >= 0.15 ELSE false END AS drift_detected
-FROM cn""")
+FROM cn"""
+
+
+@query("drift_report", report_sql())
 def drift_report(spark, sf_dir):
     return finish(dr.drift_report(_labelled(spark, sf_dir), DRIFT_FEATURES))
 

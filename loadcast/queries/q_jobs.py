@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loadcast import oracle_sql as O
 from loadcast.plans import jobs
 from loadcast.present import finish
+from loadcast.queries.q_drift import report_sql
 from loadcast.queries.q_forecast import GBT_QUICK
 from loadcast.queries.q_ingest import landed_pages
 from loadcast.registry import query
@@ -77,7 +78,7 @@ def job_train(spark, sf_dir):
     return finish(m.select("model", "status", "mape", "rmse", "mae", "is_champion"))
 
 
-@query("job_drift")
+@query("job_drift", report_sql(GOLD))
 def job_drift(spark, sf_dir):
     p = _run(spark, sf_dir, "gold")
     return finish(jobs.job_drift(spark, p["gold"], p["drift"], ref_days=20, cur_days=7))
@@ -92,7 +93,11 @@ def job_dashboard_tables(spark, sf_dir):
     return finish(jobs.job_dashboard_tables(spark, p["gold"], p["dashboard"]))
 
 
-@query("job_full")
+@query("job_full", W(*GOLD) + """
+SELECT 'bronze' AS layer, count(*) AS rows FROM bronze UNION ALL SELECT 'bronze_rejects', 0
+UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'gold', count(*) FROM gold
+UNION ALL SELECT 'models', 5 UNION ALL SELECT 'drift', 1
+UNION ALL SELECT 'dashboard', count(DISTINCT country) FROM gold""")
 def job_full(spark, sf_dir):
     """All stages in order; one row per layer with its row count."""
     root = work_dir(spark, "job_full")

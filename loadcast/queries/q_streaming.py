@@ -45,7 +45,8 @@ def stream_upsert(spark, sf_dir):
     return finish(tables.scan_layer(spark, table).select("timestamp_utc", "country", "kind", "load_mw", "ingested_at", "event_id"))
 
 
-@query("stream_dedup")
+@query("stream_dedup", """
+SELECT DISTINCT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp_utc, event_type AS country, 'actual' AS kind FROM events""")
 def stream_dedup(spark, sf_dir):
     """First arrival per (hour, zone) within a 3-hour watermark."""
     d = work_dir(spark, "stream_dedup")

@@ -19,7 +19,7 @@ def _brute_ks(a, b):
 def test_ks_statistic_matches_brute_force(spark):
     ev = td.table(spark, SF01, "events").withColumnRenamed("ts", "timestamp_utc")
     lab = dr.label_windows(ev, ref_days=20, cur_days=7)
-    got = dr.ks_per_feature(lab, ["value"], buckets=16).first()
+    got = dr.ks_per_feature(lab, ["value"], values_per_range=50).first()
     pdf = lab.filter(F.col("drift_window").isNotNull()).select("drift_window", "value").toPandas()
     ref = pdf[pdf.drift_window == "reference"].value.to_numpy()
     cur = pdf[pdf.drift_window == "current"].value.to_numpy()

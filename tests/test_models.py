@@ -61,7 +61,7 @@ def test_sequence_model_finite_after_window(spark, synthetic):
 
 def test_isolation_forest_share_and_spike(spark, synthetic_gold):
     # a planted anomaly: every load-derived feature of one row is far out
-    at = F.col("timestamp_utc") == F.lit("2024-01-12 12:00:00").cast("timestamp_ntz")
+    at = F.col("timestamp_utc") == F.lit("2023-05-15 12:00:00").cast("timestamp_ntz")
     spiked = synthetic_gold.withColumns({c: F.when(at, F.lit(90000.0)).otherwise(F.col(c)) for c in
                                          ["load_mw_clean", "load_mw_clean_lag_24", "load_mw_clean_lag_168",
                                           "load_mw_clean_roll_mean_24", "load_mw_clean_roll_std_24"]})
@@ -69,7 +69,7 @@ def test_isolation_forest_share_and_spike(spark, synthetic_gold):
     share = scored.agg(F.avg("is_anomaly")).first()[0]
     assert 0 < share < 0.2
     top = scored.orderBy("anomaly_score").first()
-    assert str(top["timestamp_utc"]) == "2024-01-12 12:00:00"
+    assert str(top["timestamp_utc"]) == "2023-05-15 12:00:00"
     assert nodes.select("tree_id").distinct().count() == 50
     assert nodes.agg(F.max("size")).first()[0] <= 128
 

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]"]
 TURNS = "array<struct<role:string,text:string>>"
 LOSS_ROLE = "assistant"
+VARIANT_BYTES = 100_000_000  # Spark's variants hold 128 MB; beyond this, records are parsed by their message arrays
+_CHUNK = 200
 
 
 @dataclass(frozen=True)
@@ -82,9 +84,12 @@ def fingerprint(record: Column) -> Column:
     return F.xxhash64(normal_paths(F.schema_of_variant(record)))
 
 
-def _messages(v: Column, m: Mapping) -> Column:
-    order = f"{m.order}:bigint," if m.order else ""
-    items = F.variant_get(v, m.path, f"array<struct<{order}{m.role}:string,{m.text}:string>>")
+def _items_type(m: Mapping) -> str:
+    return f"array<struct<{f'`{m.order}`:bigint,' if m.order else ''}`{m.role}`:string,`{m.text}`:string>>"
+
+
+def _messages(items: Column, m: Mapping) -> Column:
+    """Canonical turns of the objects that a ``messages`` mapping names."""
     if m.order:
         items = F.array_sort(F.transform(items, lambda x: F.struct(
             x[m.order].alias("o"), F.coalesce(x[m.role], F.lit("")).alias("r"), F.coalesce(x[m.text], F.lit("")).alias("t"))))
@@ -105,21 +110,31 @@ def _fields(v: Column, m: Mapping) -> Column:
     return F.filter(parts, lambda x: x["text"] != "")
 
 
-def canonical_turns(records: DataFrame, *, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+def canonical_turns(records: DataFrame, *, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS,
+                    variant_bytes: int = VARIANT_BYTES) -> DataFrame:
     """``records`` plus ``layout``, ``fingerprint`` and ``turns``.  A record is
-    JSON text; text that is no JSON has a null fingerprint and null turns."""
+    JSON text; text that is no JSON has a null fingerprint and null turns.  A
+    record too long for a variant has no fingerprint either; the first mapping
+    whose array of messages it holds (top-level paths) gives its turns."""
     spark = records.sparkSession
     rows = [(m.name, s) for m in mappings for s in m.example_schemas]
     known = {r[0]: r[1] for r in spark.createDataFrame(rows, "name string, s string")
              .select(F.xxhash64(normal_paths(F.col("s"))).alias("f"), "name").collect()}  # a few mappings
-    v = F.try_parse_json(F.col(record_col))
+    long = F.octet_length(record_col) > variant_bytes
+    v = F.when(~long, F.try_parse_json(F.col(record_col)))
     with_print = records.select(*[c for c in records.columns if c not in ("fingerprint", "layout", "turns")],
                                 v.alias("_variant"), F.when(v.isNotNull(), fingerprint(v)).alias("fingerprint"))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for m in mappings:
+    for m in mappings:  # a record has one fingerprint, so the order is of no consequence
         hit = F.col("fingerprint").isin([f for f, name in known.items() if name == m.name])
         layout = F.when(hit, m.name).otherwise(layout)
-        turns = F.when(hit, (_messages if m.kind == "messages" else _fields)(F.col("_variant"), m).cast(TURNS)).otherwise(turns)
+        own = _messages(F.variant_get("_variant", m.path, _items_type(m)), m) if m.kind == "messages" else _fields(F.col("_variant"), m)
+        turns = F.when(hit, own.cast(TURNS)).otherwise(turns)
+    for m in reversed([m for m in mappings if m.kind == "messages" and m.path.count(".") == 1]):
+        name = m.path.removeprefix("$.")
+        items = F.from_json(F.col(record_col), f"struct<`{name}`:{_items_type(m)}>")[name]
+        turns = F.when(long & items.isNotNull(), _messages(items, m).cast(TURNS)).otherwise(turns)
+        layout = F.when(long & items.isNotNull(), m.name).otherwise(layout)
     return with_print.withColumn("layout", layout).withColumn("turns", turns).drop("_variant")
 
 
@@ -143,11 +158,9 @@ def format_turns(turns: Column) -> Column:
 def parse_turns(formatted: Column) -> Column:
     """Back from the training text: ``array<struct<role, text, start, end>>``;
     ``start`` and ``end`` (code points, end exclusive) are the place of the
-    escaped text, which under the loss mask is that of the assistant's turns."""
-    body = F.expr("'</s>'")
-    pieces = F.slice(F.split(F.substr(formatted, F.lit(4)), body, -1), F.lit(1),
-                     F.size(F.split(F.substr(formatted, F.lit(4)), body, -1)) - 1)
-    first = F.struct(F.lit(3).cast("long").alias("at"), F.expr("cast(array() as array<struct<role:string,text:string,start:bigint,`end`:bigint>>)").alias("out"))
+    escaped text, which under the loss mask is that of the assistant's turns.
+    Built in chunks, so that very many turns take time in proportion."""
+    none = F.expr("cast(array() as array<struct<role:string,text:string,start:bigint,`end`:bigint>>)")
 
     def step(acc: Column, x: Column) -> Column:
         head = F.substring_index(x, "[/INST]", 1)
@@ -156,7 +169,19 @@ def parse_turns(formatted: Column) -> Column:
         return F.struct((acc["at"] + F.length(x) + 4).alias("at"), F.concat(acc["out"], F.array(F.struct(
             unescape(F.substr(head, F.lit(7))).alias("role"), unescape(text).alias("text"),
             start.cast("long").alias("start"), (start + F.length(text)).cast("long").alias("end")))).alias("out"))
-    return F.aggregate(pieces, first, step, lambda acc: acc["out"])
+
+    def chunk(acc: Column, part: Column) -> Column:
+        own = F.aggregate(part, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return F.struct(own["at"].alias("at"), F.concat(acc["out"], own["out"]).alias("out"))
+
+    def located(pieces: Column) -> Column:  # a variable, so that the text is split once
+        n = F.size(pieces) - 1  # nothing follows the last end mark
+        chunks = F.transform(F.sequence(F.lit(0), F.floor(n / _CHUNK).cast("int")), lambda c: F.slice(
+            pieces, c * _CHUNK + 1, F.greatest(F.least(F.lit(_CHUNK), n - c * _CHUNK), F.lit(0))))
+        first = F.struct(F.lit(3).cast("long").alias("at"), none.alias("out"))
+        return F.aggregate(chunks, first, chunk, lambda acc: acc["out"])
+
+    return F.get(F.transform(F.array(F.split(F.substr(formatted, F.lit(4)), "</s>", -1)), located), F.lit(0))
 
 
 def conversation_records(conversations: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",

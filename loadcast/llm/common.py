@@ -23,10 +23,21 @@ cloudpickle.register_pickle_by_value(loadcast)
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` under the cluster's shared checkpoint folder
     and read it back, so a lost executor never repeats what came before."""
+    return stored(df, name)[0]
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``written``, and the folder, for a caller that knows when it is done."""
     spark: SparkSession = df.sparkSession
     path = f"{work_dir(spark, name)}/t"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stored`` made."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def n_blocks(rows: int, per_block: int) -> int:

@@ -3,7 +3,7 @@
 Nodes are longs.  No step gathers a neighbourhood into one row: each star is a
 minimum (partially aggregated) joined back to the edges, so a hub that holds a
 third of all edges is an ordinary skewed join, which AQE splits.  Each round is
-written to the shared folder; rounds grow with the logarithm of the diameter.
+written to the shared folder and replaces the one before; rounds grow with the logarithm of the diameter.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import written
+from loadcast.llm.common import discard, stored
 
 
 def _round(edges: DataFrame) -> DataFrame:
@@ -34,12 +34,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(a long, b long)`` -> ``(node, component)`` for every node but the
     smallest of its component; ``component`` is that smallest node.  Self
     loops, repeated edges and an empty table are fine."""
-    edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                    .distinct(), "cc")
+    edges, path = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                         .distinct(), "cc")
     mark = _mark(edges)
     while mark[0]:
-        edges = written(_round(edges), "cc")
-        new = _mark(edges)
+        edges, now = stored(_round(edges), "cc")
+        discard(edges.sparkSession, path)  # the next round is whole
+        path, new = now, _mark(edges)
         if new == mark:
             break
         mark = new

@@ -160,10 +160,10 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tem
             size = 0
         passes[-1].append(t)
         size += n
-    verified = None
-    for own in passes:
+    verified = base.select("id", "version", F.lit("").alias("template"), F.lit(0).alias("start"), F.lit(0.0).alias("share")).limit(0)
+    for own in passes if any(words_of(t) for _, t in templates) else []:
         hit = _pass(base, list(classes_of(own, shingle, containment, miss).items()), containment)
-        verified = hit if verified is None else verified.union(hit)
+        verified = hit if own is passes[0] else verified.union(hit)
     return (verified.groupBy("id", "version", "template").agg(
         F.count_distinct("start").alias("n_windows"), F.max("share").alias("containment"), F.min("start").cast("long").alias("first_word"))
         .select(F.col("id").alias(id_col), "template", "n_windows", "containment", "first_word"))

@@ -37,6 +37,9 @@ def test_layouts(spark):
                      "question": [("user", "x"), ("assistant", "y")], "turns": [("user", "1"), ("assistant", "2")],
                      "unknown": None, "broken": None, "null": None}
     assert all(got[k].layout == k for k in list(records)[:6])
+    long = {r.name: r for r in chat.canonical_turns(df, variant_bytes=10).collect()}
+    for k in ("messages", "share", "turns"):
+        assert [(x.role, x.text) for x in long[k].turns] == turns[k] and long[k].layout == k
     assert got["unknown"].fingerprint is not None and got["broken"].fingerprint is None
 
 
@@ -52,3 +55,10 @@ def test_conversations(spark):
         assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest()
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert chat.report(df.limit(0)).count() == 0
+
+
+def test_many_turns(spark):
+    df = spark.range(1001).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('t<s>', id) as text")
+    r = chat.report(df).first()
+    texts = [f"t<s>{i}" for i in range(1001)]
+    assert r.n_turns == 1001 and r.loss_sha256 == hashlib.sha256("".join(texts[1::2]).encode()).hexdigest()

@@ -1,7 +1,7 @@
 """Quality classifier: interpolated modified Kneser-Ney n-gram perplexity.
 
 The model reads texts as symbols: UTF-8 bytes mapped to 64 classes, where a
-word that repeats the one before it is a single symbol.  With order 4 there are
+word that repeats the one before it is a single symbol (its space included).  With order 4 there are
 at most 64^4 n-grams, so the finished table has a proven bound (64 MB) whatever
 the corpus; only its seen entries travel, and a task unfolds them once.
 
@@ -25,6 +25,7 @@ gives an empty result; all columns are returned by ``keep_good``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +67,9 @@ SYMBOLS = bytes(_symbol(c) for c in range(256))
 
 def symbols_of(text: bytes) -> np.ndarray:
     words = text.split(b" ")
-    words[1:] = [b"\0" if x == y and x else x for x, y in zip(words[1:], words, strict=False)]
-    return np.frombuffer(bytes([LINE]) * (ORDER - 1) + b" ".join(words).translate(SYMBOLS), np.uint8)
+    if any(map(eq, words[1:], words)):
+        text = b"".join([words[0], *[b"\0" if x == y and x else b" " + x for x, y in zip(words[1:], words, strict=False)]])
+    return np.frombuffer(bytes([LINE]) * (ORDER - 1) + text.translate(SYMBOLS), np.uint8)
 
 
 def keys_of(symbols: np.ndarray) -> np.ndarray:

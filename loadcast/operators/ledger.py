@@ -41,10 +41,17 @@ def signature(df: DataFrame, columns: list[str]) -> str:
 
 
 def signature_check(df: DataFrame, stored: str) -> DataFrame:
-    """Per expected column: present?, expected and actual type, ok."""
+    """Per expected column: present?, expected and actual type, ok; and, over
+    all rows, how many there are and how many hold a value of the expected
+    type (one aggregate pass)."""
     expected = T.StructType.fromJson(json.loads(stored))
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(f.name, f.dataType.simpleString(), actual.get(f.name), f.name in actual,
-             actual.get(f.name) == f.dataType.simpleString()) for f in expected.fields]
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "column string, expected string, actual string, present boolean, ok boolean")
+    usable = [F.count(F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})") if f.name in actual else F.lit(None)).alias(f.name)
+              for f in expected.fields]
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"), F.struct(*usable).alias("u"))
+    rows = F.array(*[F.struct(
+        F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("expected"),
+        F.lit(actual.get(f.name)).cast("string").alias("actual"), F.lit(f.name in actual).alias("present"),
+        F.lit(actual.get(f.name) == f.dataType.simpleString()).alias("ok"), F.col("u")[f.name].alias("n_usable"))
+        for f in expected.fields])
+    return counts.select("n_rows", F.explode(rows).alias("r")).select("r.*", "n_rows")

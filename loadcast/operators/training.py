@@ -30,8 +30,8 @@ def train_forecasters(gold_all: DataFrame, test_days: int = 30, gbt_params: dict
         try:
             pred = pred_fn()
             m = ev.forecast_metrics(ev.mask_valid(pred)).withColumn("model", F.lit(name)).withColumn("status", F.lit("ok"))
-            m.first()  # evaluate now, so a failure is attributed to this candidate
-            frames.append(m)
+            # one row, kept: a failure is attributed to this candidate, and nothing is scored again
+            frames.append(spark.createDataFrame([m.first()], m.schema))
             runs.append({"family": name, "params": params})
         except Exception as exc:  # noqa: BLE001 - isolate candidate failures
             frames.append(spark.createDataFrame([(name, f"failed: {type(exc).__name__}")], "model string, status string"))

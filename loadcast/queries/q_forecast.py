@@ -212,7 +212,18 @@ def model_ledger(spark, sf_dir):
                       F.to_json("params").alias("params"))
 
 
-@query("signature_check")
+def _signature_sql():
+    """Every feature with its fixed type; the last one arrives as text."""
+    parts = []
+    for f in FEATURE_COLS:
+        kind = "double" if f.startswith("load_mw") or f.endswith(("_sin", "_cos")) else "bigint"
+        last = f == FEATURE_COLS[-1]
+        parts.append(f"SELECT '{f}' AS \"column\", '{kind}' AS expected, '{'string' if last else kind}' AS actual, true AS present, "
+                     f"{str(not last).lower()} AS ok, count({f}) AS n_usable, count(*) AS n_rows FROM gold")
+    return W(*GOLD) + "\n" + "\nUNION ALL ".join(parts)
+
+
+@query("signature_check", _signature_sql())
 def signature_check(spark, sf_dir):
     """Signature stored at training time vs the columns of a scoring batch."""
     g = layers.gold_grid(spark, sf_dir)

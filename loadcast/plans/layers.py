@@ -14,8 +14,10 @@ ORDERS_ZONE_MAP = {"1-URGENT": "US", "2-HIGH": "ES", "3-MEDIUM": "US", "4-NOT SP
 
 
 def silver_grid(spark: SparkSession, sf_dir: str, method: str = "exact", bucket_steps: int | None = 2016) -> DataFrame:
-    """load_grid -> per-zone fences, flags, 3-hour forward fill."""
-    return silver_projection(flag_and_fill(td.load_grid(spark, sf_dir), method=method, bucket_steps=bucket_steps, dense=True))
+    """load_grid (written once: fences, flags and fill all read it) -> per-zone
+    fences, flags, 3-hour forward fill."""
+    grid = materialize(td.load_grid(spark, sf_dir), "grid")
+    return silver_projection(flag_and_fill(grid, method=method, bucket_steps=bucket_steps, dense=True))
 
 
 def gold_grid(spark: SparkSession, sf_dir: str, drop: bool = True, holidays: str = "movable",

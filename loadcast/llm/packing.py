@@ -36,7 +36,7 @@ END_ID = 1
 CAPACITY = 4096
 PER_SHARD = 50_000
 GROUPS = 48
-CACHE = 1 << 18  # words whose ids a task remembers
+CACHE = 1 << 19  # words whose ids a task remembers, in each of two generations
 
 
 class WordEncoder:
@@ -59,6 +59,7 @@ class WordEncoder:
         self.parting = self._ids([self.PART])[0]
         if len(self.parting) != 4:
             raise ValueError("the parting word must be one token")
+        self.marks = dict(zip((b".", b","), self._ids([b".", b","]), strict=True))
 
     def _ids(self, words: list[bytes]) -> list[bytes]:
         found = self.encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
@@ -84,9 +85,13 @@ class WordEncoder:
         for w in [w for w in new if w in old]:
             known[w] = old[w]
             new.discard(w)
-        new = sorted(new)
-        for s in range(0, len(new), 4096):
-            self._learn(new[s:s + 4096])
+        # A mark after a letter or digit is a word of its own to the tokenizer.
+        marked = [w for w in new if w[-1:] in self.marks and w[-2:-1].isalnum()]
+        plain = list(new.difference(marked).union(w[:-1] for w in marked).difference(known))
+        for s in range(0, len(plain), 4096):
+            self._learn(plain[s:s + 4096])
+        for w in marked:
+            known[w] = known[w[:-1]] + self.marks[w[-1:]]
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 

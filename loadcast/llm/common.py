@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ import loadcast
 from loadcast.session import work_dir
 from loadcast.sources.testdata import table  # noqa: F401  (re-exported)
 
+BATCH_ROWS = 1000
+
 # Task functions travel by value: workers need no copy of the package.
 cloudpickle.register_pickle_by_value(loadcast)
 
@@ -40,6 +44,24 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def in_small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """``df``, whose texts go to Python in batches of at most ``rows`` (the
+    session's own setting if that is smaller), so that a task's memory does not
+    grow with long texts times a large batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= rows:
+        df.sparkSession.conf.set(key, rows)
+    return df
+
+
+def texts_of(batch: pa.RecordBatch, field: str | None = None) -> list[bytes | None]:
+    """The texts of a batch as UTF-8: its column ``t``, or a field of ``row``
+    (so that a text that travels with its row is sent once)."""
+    if field is None:
+        return batch.column("t").to_pylist()
+    return pc.struct_field(batch.column("row"), field).cast(pa.binary()).to_pylist()
+
+
 def n_blocks(rows: int, per_block: int) -> int:
     """Blocks of about ``per_block`` rows; at least one, growing with the data."""
     return max(1, math.ceil(rows / per_block))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import n_blocks
+from loadcast.llm.common import in_small_batches, n_blocks, texts_of
 
 WINDOW = 10
 MAX_WORDS = 4_000_000
@@ -93,7 +93,7 @@ class WindowIndex:
         return len(words), list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)), items
 
 
-def _scan_block(state: DataFrame, items: list, n: int) -> DataFrame:
+def _scan_block(state: DataFrame, items: list, n: int, field: str | None) -> DataFrame:
     """Add what one block of the benchmark hits to every document row."""
     index = state.sparkSession.sparkContext.broadcast(WindowIndex(items, n))
     spans_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
@@ -102,17 +102,18 @@ def _scan_block(state: DataFrame, items: list, n: int) -> DataFrame:
         ix = index.value
         for b in batches:
             n_words, spans, names = [], [], []
-            for text, had, known in zip(b.column("t").to_pylist(), b.column("spans").to_pylist(),
+            for text, had, known in zip(texts_of(b, field), b.column("spans").to_pylist(),
                                         b.column("items").to_pylist(), strict=True):
                 count, hit, new = ix.scan(text or b"")
                 n_words.append(count)
                 spans.append([{"s": x, "e": y} for x, y in merged([(h["s"], h["e"]) for h in had] + hit)])
                 names.append(sorted(known + [str(ix.items[k]) for k in new]))
+            own = ["row"] if field else ["row", "t"]
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("t"), pa.array(n_words, pa.int64()), pa.array(spans, spans_type),
-                 pa.array(names, pa.list_(pa.string()))], ["row", "t", "n_words", "spans", "items"])
+                [*(b.column(c) for c in own), pa.array(n_words, pa.int64()), pa.array(spans, spans_type),
+                 pa.array(names, pa.list_(pa.string()))], [*own, "n_words", "spans", "items"])
 
-    return state.mapInArrow(scan, state.schema)
+    return in_small_batches(state).mapInArrow(scan, state.schema)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -125,11 +126,13 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, *, row: F.Column, text_col: str = "text", item_col: str = "item_id",
+def scan(docs: DataFrame, benchmark: DataFrame, *, row: F.Column, field: str | None = None, text_col: str = "text", item_col: str = "item_id",
          item_text: str = "text", n: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """``(row, n_words, spans, items)`` for every document row: hit word ranges
-    and the ids (as strings, sorted) of the items that occur."""
-    state = docs.select(row.alias("row"), F.col(text_col).cast("binary").alias("t"), F.lit(0).cast("long").alias("n_words"),
+    and the ids (as strings, sorted) of the items that occur.  ``field`` names
+    the text inside ``row``, if ``row`` holds it."""
+    text = [] if field else [F.col(text_col).cast("binary").alias("t")]
+    state = docs.select(row.alias("row"), *text, F.lit(0).cast("long").alias("n_words"),
                         F.expr("cast(array() as array<struct<s:bigint,e:bigint>>)").alias("spans"),
                         F.expr("cast(array() as array<string>)").alias("items"))
     bench = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).cast("binary").alias("t"))
@@ -138,7 +141,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, row: F.Column, text_col: str
     blocks = n_blocks(total, 2 * max_words)
     for k in range(blocks):
         own = bench.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
-        state = _scan_block(state, [(r["i"], r["t"] and bytes(r["t"])) for r in own.collect()], n)
+        state = _scan_block(state, [(r["i"], r["t"] and bytes(r["t"])) for r in own.collect()], n, field)
     return state.drop("t")
 
 
@@ -167,7 +170,7 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text"
     returned as they are, all columns kept."""
     bench = benchmark.select("item_id", "text")
     whole = F.struct(*[docs[c] for c in docs.columns])
-    found = scan(docs, bench, row=whole, text_col=text_col, n=n, max_words=max_words)
+    found = scan(docs, bench, row=whole, field=text_col, n=n, max_words=max_words)
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:

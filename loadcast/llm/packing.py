@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import n_blocks, written
+from loadcast.llm.common import in_small_batches, n_blocks, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -113,7 +113,7 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
                     ["doc_id", "piece", "start", "length", "ids"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
+    return (in_small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t")))
             .mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary"))
 
 

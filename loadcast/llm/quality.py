@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import written
+from loadcast.llm.common import in_small_batches, texts_of, written
 
 ORDER = 4
 QUANTILE = 0.99
@@ -44,7 +44,7 @@ BROADCAST_IDS = 2_000_000  # trusted ids that may be broadcast (16 MB)
 BITS = 6
 SIZE = 1 << BITS
 LINE = 29  # symbol of a line break, also what precedes a text
-_CHUNK = 4_000_000
+_CHUNK = 2_000_000
 
 
 def _symbol(c: int) -> int:
@@ -97,11 +97,18 @@ class Model:
                 if n > 1:
                     weight = np.zeros(SIZE ** (n - 1), np.float32)
                     weight[contexts] = backoff
-                    full = (np.tile(full.reshape(-1, SIZE), (SIZE, 1)) + weight[:, None]).reshape(-1)
+                    lower, full = full, np.empty(SIZE ** n, np.float32)
+                    full.reshape(SIZE, -1)[:] = lower  # whatever comes before it
+                    rows = full.reshape(-1, SIZE)
+                    rows += weight[:, None]
                 full[keys] = logp
             self._table = full
         return self._table
 
+    def fold(self) -> None:
+        """Free the table; workers outlive their tasks."""
+        self._table = None
+
     def score(self, text: bytes) -> tuple[float, int]:
         """Negative log-likelihood and number of symbols."""
         keys = keys_of(symbols_of(text))
@@ -138,7 +145,7 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
         if parts:
             yield rows(parts)
 
-    return texts.mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    return in_small_batches(texts).mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
 def fit(texts: DataFrame) -> Model:
@@ -173,25 +180,28 @@ def fit(texts: DataFrame) -> Model:
     return Model(orders)
 
 
-def scored(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows(row, lang, t)`` -> ``(row, lang, perplexity)``."""
+def scored(rows: DataFrame, model: Model, field: str | None = None) -> DataFrame:
+    """``rows(row, lang, t)`` -> ``(row, lang, perplexity)``; with ``field`` the
+    text is that field of ``row``."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            found = [m.score(t) if t else None for t in b.column("t").to_pylist()]
+            found = [m.score(t) if t else None for t in texts_of(b, field)]
             ppl = [None if x is None else float(np.exp(x[0] / x[1])) for x in found]
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("lang"), pa.array(ppl, pa.float64())], ["row", "lang", "perplexity"])
+        m.fold()
 
     schema = rows.select("row", "lang", F.lit(0.0).cast("double").alias("perplexity")).schema
     schema["perplexity"].nullable = True
-    return rows.select("row", "lang", "t").mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)
 
 
-def judged(docs: DataFrame, labels: DataFrame, *, row: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+def judged(docs: DataFrame, labels: DataFrame, *, row: Column, field: str | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            quantile: float = QUANTILE, slack: float = SLACK, folds: int = FOLDS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
-    """``(row, perplexity, threshold, keep)`` of every document."""
+    """``(row, perplexity, threshold, keep)`` of every document; ``field`` names
+    the text inside ``row``, if ``row`` holds it."""
     trusted = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("trusted_id")).distinct()
     text = F.col(text_col).cast("binary").alias("t")
     train = trusted.filter(~_held_out("trusted_id", folds))
@@ -204,7 +214,7 @@ def judged(docs: DataFrame, labels: DataFrame, *, row: Column, id_col: str = "do
     overall = tried.agg(level).first()["q"]
     by_lang = tried.groupBy("lang").agg(level, F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     limits = {r["lang"]: slack * (r["q"] if r["n"] >= FEW else max(r["q"], overall)) for r in by_lang if r["lang"] is not None}
-    all_docs = scored(docs.select(row.alias("row"), F.col(lang_col).cast("string").alias("lang"), text), model)
+    all_docs = scored(docs.select(row.alias("row"), F.col(lang_col).cast("string").alias("lang"), *([] if field else [text])), model, field)
     threshold = F.lit(None if overall is None else slack * overall).cast("double")
     if limits:
         known = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
@@ -217,7 +227,7 @@ def judged(docs: DataFrame, labels: DataFrame, *, row: Column, id_col: str = "do
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the rejected ones, columns unchanged."""
     row = F.struct(*[docs[c] for c in docs.columns])
-    kept = judged(docs, labels, row=row, **options).filter("keep")
+    kept = judged(docs, labels, row=row, field=options.get("text_col", "text"), **options).filter("keep")
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

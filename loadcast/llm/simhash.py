@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import written
+from loadcast.llm.common import in_small_batches, written
 from loadcast.llm.components import Forest, connected_components
 
 SHINGLE = 3
@@ -89,7 +89,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             fps = np.array([fingerprint(t or b"", k) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
+    return (in_small_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t")))
             .mapInArrow(run, "id long, fp long"))
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import written
+from loadcast.llm.common import in_small_batches, written
 
 SAMPLE = 3000
 FOLDS = 5
@@ -344,7 +344,7 @@ def scores(docs: DataFrame, tagger: Tagger | None, *, id_col: str = "doc_id", te
                         found.append([])
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.float64()), pa.array(found, span)], ["doc_id", "score", "spans"])
 
-    scored = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(
+    scored = in_small_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))).mapInArrow(
         run, f"doc_id {dict(docs.dtypes)[id_col]}, score double, spans array<struct<start:bigint,end:bigint,p:double>>")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 

@@ -7,6 +7,8 @@ or clashing columns of the input never reach its plan.
 from __future__ import annotations
 
 import math
+import pickle
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +46,13 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def shared(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast a bounded object together with its class (workers need no copy
+    of the package); a task gets it by calling the result."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def in_small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """``df``, whose texts go to Python in batches of at most ``rows`` (the
     session's own setting if that is smaller), so that a task's memory does not

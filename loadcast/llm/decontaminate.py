@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import in_small_batches, n_blocks, texts_of
+from loadcast.llm.common import in_small_batches, n_blocks, shared, texts_of
 
 WINDOW = 10
 MAX_WORDS = 4_000_000
@@ -95,11 +95,11 @@ class WindowIndex:
 
 def _scan_block(state: DataFrame, items: list, n: int, field: str | None) -> DataFrame:
     """Add what one block of the benchmark hits to every document row."""
-    index = state.sparkSession.sparkContext.broadcast(WindowIndex(items, n))
+    index = shared(state.sparkSession, WindowIndex(items, n))
     spans_type = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = index.value
+        ix = index()
         for b in batches:
             n_words, spans, names = [], [], []
             for text, had, known in zip(texts_of(b, field), b.column("spans").to_pylist(),

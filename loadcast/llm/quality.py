@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import in_small_batches, texts_of, written
+from loadcast.llm.common import in_small_batches, shared, texts_of, written
 
 ORDER = 4
 QUANTILE = 0.99
@@ -105,10 +105,6 @@ class Model:
             self._table = full
         return self._table
 
-    def fold(self) -> None:
-        """Free the table; workers outlive their tasks."""
-        self._table = None
-
     def score(self, text: bytes) -> tuple[float, int]:
         """Negative log-likelihood and number of symbols."""
         keys = keys_of(symbols_of(text))
@@ -183,15 +179,14 @@ def fit(texts: DataFrame) -> Model:
 def scored(rows: DataFrame, model: Model, field: str | None = None) -> DataFrame:
     """``rows(row, lang, t)`` -> ``(row, lang, perplexity)``; with ``field`` the
     text is that field of ``row``."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    held = shared(rows.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = held()
         for b in batches:
             found = [m.score(t) if t else None for t in texts_of(b, field)]
             ppl = [None if x is None else float(np.exp(x[0] / x[1])) for x in found]
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("lang"), pa.array(ppl, pa.float64())], ["row", "lang", "perplexity"])
-        m.fold()
 
     schema = rows.select("row", "lang", F.lit(0.0).cast("double").alias("perplexity")).schema
     schema["perplexity"].nullable = True

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import in_small_batches, written
+from loadcast.llm.common import in_small_batches, shared, written
 from loadcast.llm.components import Forest, connected_components
 
 SHINGLE = 3
@@ -146,11 +146,12 @@ def _routed(fps: DataFrame, trees, reach: int, queries: bool) -> DataFrame:
     asked for, as a query in each shard within reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = trees()
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False)
             for half, codes in enumerate(_halves(fp)):
                 for query in (False, True)[:1 + queries]:
-                    row, node = trees.value[half].route(codes, reach if query else 0)
+                    row, node = both[half].route(codes, reach if query else 0)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(node * 2 + half), pa.array(fp[row]), pa.array(np.full(len(row), query))],
                         ["shard", "fp", "query"])
@@ -183,7 +184,7 @@ def link_fingerprints(fps: DataFrame, *, max_bits: int = MAX_BITS, sample: int =
                      .limit(2 * sample).collect()], np.int64)
     depth = max(0, math.ceil(math.log2(max(1, n / shard))))
     depth = min(depth, max(0, math.ceil(math.log2(max(1, len(drawn) / 8)))))
-    trees = spark.sparkContext.broadcast([Tree(c, depth) for c in _halves(drawn)])
+    trees = shared(spark, [Tree(c, depth) for c in _halves(drawn)])
     reach = max_bits // 2
     # Shards are bounded by the trees (2^depth each), so their sizes may travel.
     sizes = (_routed(fps, trees, reach, True).groupBy("shard", "query").count())

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import in_small_batches, written
+from loadcast.llm.common import in_small_batches, shared, written
 
 SAMPLE = 3000
 FOLDS = 5
@@ -322,11 +322,11 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Tagger
 def scores(docs: DataFrame, tagger: Tagger | None, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``(doc_id, held_out, score, predicted, spans)``; spans are the tokens
     (code points, end exclusive) with a marginal of at least ``threshold``."""
-    shared = docs.sparkSession.sparkContext.broadcast(tagger)
+    held = shared(docs.sparkSession, tagger)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = held()
         for batch in batches:
             for s in range(0, len(batch), 1000):
                 b = batch.slice(s, 1000)

@@ -1,11 +1,19 @@
-"""Quality classifier: interpolated modified Kneser-Ney n-gram perplexity.
+"""Quality classifier: Kneser-Ney perplexity over word and over byte n-grams.
 
-The model reads texts as symbols: UTF-8 bytes mapped to 64 classes, where a
+A document's perplexity is the worse of two: per word by word trigrams
+(``wordmodel``, whose tables grow with the trusted text), which judges what
+words there are and how they follow each other, and per symbol by an
+interpolated modified Kneser-Ney model of bytes, which judges their spelling.
+The former is scaled, language by language, so that the high quantiles of both
+over trusted documents agree.
+
+The byte model reads texts as symbols: UTF-8 bytes mapped to 64 classes, where a
 word that repeats the one before it is a single symbol (its space included).  With order 4 there are
 at most 64^4 n-grams, so the finished table has a proven bound (64 MB) whatever
 the corpus; only its seen entries travel, and a task unfolds them once.
 
-Counts are taken over all trusted text (labels with quality 1): tasks count
+Both count the trusted text (labels with quality 1) but for the part that
+thresholds are taken from (one id in ``FOLDS``).  Of the byte model tasks count
 blocks of symbols, partial sums meet sharded by n-gram.  Lower orders count
 distinct predecessors; discounts come from the counts of counts; every order's
 probabilities are a join of n-gram shards with context shards and with the
@@ -33,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import in_small_batches, shared, texts_of, written
+from loadcast.llm.wordmodel import WordModel
 
 ORDER = 4
 QUANTILE = 0.99
@@ -177,44 +186,65 @@ def fit(texts: DataFrame) -> Model:
 
 
 def scored(rows: DataFrame, model: Model, field: str | None = None) -> DataFrame:
-    """``rows(row, lang, t)`` -> ``(row, lang, perplexity)``; with ``field`` the
-    text is that field of ``row``."""
+    """``rows(row, lang, doc, t)`` -> ``(row, lang, doc, h)``, ``h`` the mean
+    negative log-likelihood of a symbol; with ``field`` the text is that field
+    of ``row``."""
     held = shared(rows.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held()
         for b in batches:
             found = [m.score(t) if t else None for t in texts_of(b, field)]
-            ppl = [None if x is None else float(np.exp(x[0] / x[1])) for x in found]
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("lang"), pa.array(ppl, pa.float64())], ["row", "lang", "perplexity"])
+            means = [None if x is None else x[0] / x[1] for x in found]
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("lang"), b.column("doc"), pa.array(means, pa.float64())], ["row", "lang", "doc", "h"])
 
-    schema = rows.select("row", "lang", F.lit(0.0).cast("double").alias("perplexity")).schema
-    schema["perplexity"].nullable = True
+    schema = rows.select("row", "lang", "doc", F.lit(0.0).cast("double").alias("h")).schema
+    schema["h"].nullable = True
     return in_small_batches(rows).mapInArrow(run, schema)
 
 
+def perplexities(docs: DataFrame, models: tuple[Model, WordModel], *, row: Column, field: str | None, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``(row, lang, spelled, worded)``: perplexity by symbol and by word."""
+    letters, words = models
+    doc, text = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.col(text_col).cast("binary").alias("t")
+    spelled = scored(docs.select(row.alias("row"), F.col(lang_col).cast("string").alias("lang"), doc.alias("doc"), *([] if field else [text])), letters, field)
+    worded = words.score(docs.select(doc.alias("doc"), F.col(text_col).cast("string").alias("t"))).withColumnRenamed("h", "h_words")
+    return spelled.join(worded, "doc", "left").select("row", "lang", F.exp("h").alias("spelled"), F.exp("h_words").alias("worded"))
+
+
+def _levels(tried: DataFrame, column: str, quantile: float) -> dict[str | None, float | None]:
+    """High quantile of every language, and under ``None`` of all."""
+    level = F.percentile_approx(column, quantile, 10_000).alias("q")
+    overall = tried.agg(level).first()["q"]
+    by_lang = tried.filter(F.col(column).isNotNull()).groupBy("lang").agg(level, F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    return {r["lang"]: r["q"] if r["n"] >= FEW else max(r["q"], overall) for r in by_lang if r["lang"] is not None} | {None: overall}
+
+
+def _by_lang(values: dict[str | None, float | None]) -> Column:
+    """The value of the row's language; that of all for others."""
+    rest = F.lit(values.get(None)).cast("double")
+    known = [F.lit(x) for k, v in values.items() if k is not None for x in (k, v)]
+    return F.coalesce(F.when(F.col("lang").isNotNull(), F.try_element_at(F.create_map(*known), F.col("lang"))), rest) if known else rest
+
+
 def judged(docs: DataFrame, labels: DataFrame, *, row: Column, field: str | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            quantile: float = QUANTILE, slack: float = SLACK, folds: int = FOLDS, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """``(row, perplexity, threshold, keep)`` of every document; ``field`` names
     the text inside ``row``, if ``row`` holds it."""
     trusted = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("trusted_id")).distinct()
-    text = F.col(text_col).cast("binary").alias("t")
-    train = trusted.filter(~_held_out("trusted_id", folds))
-    model = fit(_of_ids(docs, train, id_col, broadcast_ids).select(text))
+    train = _of_ids(docs, trusted.filter(~_held_out("trusted_id", folds)), id_col, broadcast_ids)
+    models = fit(train.select(F.col(text_col).cast("binary").alias("t"))), WordModel(train.select(F.col(text_col).cast("string").alias("t")))
+    names = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
     apart = trusted.filter(_held_out("trusted_id", folds))
-    tried = scored(_of_ids(docs, apart, id_col, broadcast_ids)
-                   .select(F.col(id_col).alias("row"), F.col(lang_col).cast("string").alias("lang"), text), model).filter("perplexity is not null")
+    tried = perplexities(_of_ids(docs, apart, id_col, broadcast_ids), models, row=F.col(id_col), field=None, **names).filter("spelled is not null")
     tried = written(tried, "trusted-perplexity")
-    level = F.percentile_approx("perplexity", quantile, 10_000).alias("q")
-    overall = tried.agg(level).first()["q"]
-    by_lang = tried.groupBy("lang").agg(level, F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    limits = {r["lang"]: slack * (r["q"] if r["n"] >= FEW else max(r["q"], overall)) for r in by_lang if r["lang"] is not None}
-    all_docs = scored(docs.select(row.alias("row"), F.col(lang_col).cast("string").alias("lang"), *([] if field else [text])), model, field)
-    threshold = F.lit(None if overall is None else slack * overall).cast("double")
-    if limits:
-        known = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
-        threshold = F.coalesce(F.when(F.col("lang").isNotNull(), F.try_element_at(known, F.col("lang"))), threshold)
-    return all_docs.withColumn("threshold", threshold).select(
+    by_symbol, by_word = (_levels(tried, c, quantile) for c in ("spelled", "worded"))
+    scale = {k: by_symbol[k] / x for k, x in by_word.items() if x}
+    worse = F.greatest("spelled", F.col("worded") * F.coalesce(_by_lang(scale), F.lit(1.0)))
+    limits = _levels(tried.withColumn("perplexity", worse), "perplexity", quantile)
+    all_docs = perplexities(docs, models, row=row, field=field, **names)
+    threshold = _by_lang({k: None if x is None else slack * x for k, x in limits.items()})
+    return all_docs.withColumn("perplexity", worse).withColumn("threshold", threshold).select(
         "row", "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.coalesce("threshold", F.lit(float("inf"))), F.lit(False)).alias("keep"))
 

@@ -88,3 +88,49 @@ def test_edges(spark):
     assert sorted(r.doc_id for r in small.collect()) == [*range(60), 72, 73, 75, 75]
     assert q.keep_good(df.limit(0), labels).count() == 0
     assert q.keep_good(df, labels.limit(0)).count() == len(docs) - 2
+
+
+def test_words_in_random_order_are_rejected(spark):
+    rng = random.Random(5)
+    pick = lambda *xs: rng.choice(xs)
+    def prose():
+        return " ".join(f"the {pick('old', 'young', 'tired')} {pick('farmer', 'teacher', 'sailor')} walked to the {pick('market', 'harbour', 'village')}"
+                        f" and bought {pick('some bread', 'fresh fish', 'two apples')} for {pick('his', 'her')} family." for _ in range(12))
+    good = [prose() for _ in range(300)]
+    mixed = []
+    for t in good[:20]:
+        w = t.split(" ")
+        rng.shuffle(w)
+        mixed.append(" ".join(w))
+    docs = [(i, t, "en") for i, t in enumerate(good + mixed)]
+    labels = spark.createDataFrame([(i, 1) for i in range(280)], "doc_id long, quality int")
+    kept = {r.doc_id for r in q.keep_good(spark.createDataFrame(docs, "doc_id long, text string, lang string"), labels).collect()}
+    assert not kept & set(range(300, 320))
+    assert len(kept & set(range(280, 300))) >= 18
+
+
+def test_word_model_matches_the_definition(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(["a", "b", "c", "dd", "e,", "東京", "f"], k=rng.randrange(1, 30))) for _ in range(40)]
+    new = ["a b c dd", "zz a b", "東京 東 dd zz yy", "", None, "  "]
+    split = lambda t: [x for y in t.split() for x in (list(y) if "東" in y else [y[:-1], ","] if y.endswith(",") else [y])]
+    c3 = Counter(g for t in texts for s in [["", "", *split(t)]] for g in zip(s, s[1:], s[2:]))
+    c2 = Counter(g[1:] for g in c3)
+    c1 = Counter(g[1:] for g in c2)
+    def order(c, low):
+        n1, n2 = (sum(v == k for v in c.values()) for k in (1, 2))
+        d = n1 / max(1, n1 + 2 * n2)
+        d = d if 0 < d < 1 else 0.5
+        total, kinds = Counter(), Counter()
+        for g, v in c.items():
+            total[g[:-1]] += v
+            kinds[g[:-1]] += 1
+        def prob(g):
+            h = g[:-1]
+            return low(g[1:]) if not total[h] else max(c[g] - d, 0) / total[h] + d * kinds[h] / total[h] * low(g[1:])
+        return prob
+    prob = order(c3, order(c2, order(c1, lambda g: 1 / (len(c1) + 1))))
+    model = q.WordModel(spark.createDataFrame([(t,) for t in texts], "t string"))
+    got = {r.doc: r.h for r in model.score(spark.createDataFrame(list(enumerate(texts[:10] + new)), "doc long, t string")).collect()}
+    want = {i: -np.mean([math.log(prob(g)) for s in [["", "", *split(t)]] for g in zip(s, s[1:], s[2:])]) for i, t in enumerate(texts[:10] + new) if t and t.strip()}
+    assert got == pytest.approx(want, rel=1e-9)

@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 MISS = 1e-6
 MAX_SHINGLES = 5000  # of the templates of one pass
+PART = 128  # words of a part of a full licence text
 
 # Texts of public licences and notices, and their SPDX names.
 TEMPLATES = (
@@ -49,6 +51,38 @@ TEMPLATES = (
      " Public License as published by the Free Software Foundation."),
 )
 
+# Standard headers and notices that are not part of the full texts.
+HEADERS = (
+    ("AGPL-3.0", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("LGPL", "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    ("CC-BY-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-SA-4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-ND-4.0", "licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-ND-4.0", "licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("BSD-2-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following"
+     " disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT"),
+    ("BSD-style", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
+)
+
+
+def parts_of(name: str, text: str, part: int = PART) -> list[tuple[str, str]]:
+    """A full text as templates ``name#1``, ``name#2``, ... of at most ``part``
+    words that together hold every word of it; the last one ends with the text."""
+    w = words_of(text)
+    starts = [*range(0, max(0, len(w) - part), part), max(0, len(w) - part)]
+    return [(f"{name}#{n}", " ".join(w[s:s + part])) for n, s in enumerate(starts, 1)]
+
+
+def known_templates() -> list[tuple[str, str]]:
+    """Notices, standard headers, and the parts of the full texts that lie
+    beside this module (file name: SPDX name)."""
+    full = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return [*TEMPLATES, *[(f"{n}-header", t) for n, t in HEADERS], *[x for f in full for x in parts_of(f.stem, f.read_text("utf-8"))]]
+
 
 @dataclass(frozen=True)
 class LengthClass:
@@ -148,7 +182,10 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tem
     """``(doc_id, template, n_windows, containment, first_word)`` for every
     template found in a text: windows that hold it, the best share of its
     shingles, and the first word of the first such window.  Rows with the same
-    id and text give one result."""
+    id and text give one result.  ``templates`` are pairs of a name and a text,
+    or a table of two such columns."""
+    if isinstance(templates, DataFrame):
+        templates = [tuple(r) for r in templates.collect()]
     base = (docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("version"),
                         F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "").alias("words"))
             .withColumn("codes", F.transform("words", lambda w: F.xxhash64(w))))

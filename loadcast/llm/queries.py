@@ -150,7 +150,7 @@ FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 @_op
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), templates=licenses.known_templates())
 
 
 def _license_sql() -> str:

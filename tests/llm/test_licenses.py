@@ -45,3 +45,22 @@ def test_bands_guarantee_retrieval():
             need = math.ceil(0.8 * len(s))
             jaccard = need / (shape.width - shape.shingle + 1 + len(s) - need)
             assert (1 - jaccard) ** shape.bands <= 1e-6 * 1.0001 or jaccard == 1
+
+
+def test_parts_hold_the_whole_text():
+    for name, text in [("x", " ".join(f"w{i}" for i in range(n))) for n in (1, 127, 128, 129, 256, 1000)]:
+        parts = lic.parts_of(name, text)
+        assert {w for _, t in parts for w in t.split()} == set(text.split()) and all(len(t.split()) <= lic.PART for _, t in parts)
+        assert len({n for n, _ in parts}) == len(parts) == -(-len(text.split()) // lic.PART)
+
+
+def test_full_texts_and_headers_are_found(spark):
+    known = lic.known_templates()
+    assert len({n for n, _ in known}) == len(known)
+    names = {n.partition("#")[0] for n, _ in known}
+    assert {"MIT", "Apache-2.0", "BSD-3-Clause", "ISC", "MPL-2.0", "LGPL-3.0", "GPL-3.0", "CC0-1.0", "Unlicense", "CC-BY-SA-4.0-header", "AGPL-3.0-header"} <= names
+    own = [(n, t) for n, t in known if n.partition("#")[0] in {"MIT", "BSD-3-Clause", "ISC", "CC-BY-SA-4.0-header", "MPL-2.0-header"}]
+    docs = [(i, f"some words before it {t} and after") for i, (_, t) in enumerate(own)] + [(100, "an ordinary text about a house and a garden")]
+    templates = spark.createDataFrame(own, "name string, text string")
+    got = {(r.doc_id, r.template) for r in lic.scan(spark.createDataFrame(docs, "doc_id long, text string"), templates=templates).collect()}
+    assert {(i, n) for i, (n, _) in enumerate(own)} <= got and not [d for d, _ in got if d == 100]

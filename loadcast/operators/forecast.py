@@ -90,9 +90,15 @@ def fit_gbt(train: DataFrame, label: str = TARGET, **params) -> PipelineModel:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Every row of ``df``; rows with a missing feature have a NULL prediction."""
     if model is None:
         raise RuntimeError("model is not fitted")
-    return model.transform(df).drop("features")
+    stages = [s.copy({s.handleInvalid: "keep"}) if isinstance(s, VectorAssembler) else s for s in model.stages]
+    missing = F.lit(False)
+    for c in [c for s in stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]:
+        missing = missing | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    scored = PipelineModel(stages).transform(df)
+    return scored.withColumn("prediction", F.when(~missing, F.col("prediction"))).drop("features")
 
 
 def gbt_importance(spark: SparkSession, model: PipelineModel, features: Sequence[str] = tuple(FEATURE_COLS)) -> DataFrame:

@@ -90,3 +90,16 @@ def test_champion_tie_goes_to_first_declared(spark):
     m = spark.createDataFrame([("b", 0.1), ("a", 0.1), ("c", 0.2)], "model string, mape double")
     assert ev.champion_pick(m, ["a", "b", "c"]).first()["model"] == "a"
     assert ev.champion_pick(m, ["b", "a", "c"]).first()["model"] == "b"
+
+
+def test_rows_with_a_missing_feature_stay_without_a_prediction(synthetic_gold):
+    train, test = _split(synthetic_gold, 2)
+    model = fc.fit_gbt(train, max_iter=3, max_depth=3, min_instances=5)
+    feature = model.stages[0].getInputCols()[-1]
+    holes = test.withColumn(feature, F.when(F.hour("timestamp_utc") != 5, F.col(feature)))
+    n = test.filter(F.hour("timestamp_utc") == 5).count()
+    pred = fc.predict(model, holes)
+    assert n > 0 and pred.count() == test.count()
+    assert pred.filter("prediction is null").count() == n == pred.filter("prediction is null and hour(timestamp_utc) = 5").count()
+    whole = fc.predict(model, test).select("timestamp_utc", "prediction").exceptAll(pred.select("timestamp_utc", "prediction"))
+    assert whole.count() == n

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 import pickle
+import sys
+import types
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -53,6 +55,15 @@ def shared(spark: SparkSession, value: object) -> Callable[[], object]:
     return lambda: pickle.loads(held.value)
 
 
+def kept(name: str, make: Callable[[], object]) -> object:
+    """An object that a worker process makes once and keeps for later tasks
+    (a bounded cache; tasks give the same results without it)."""
+    held = sys.modules.setdefault("loadcast_worker_state", types.ModuleType("loadcast_worker_state")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def in_small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """``df``, whose texts go to Python in batches of at most ``rows`` (the
     session's own setting if that is smaller), so that a task's memory does not

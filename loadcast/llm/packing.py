@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import in_small_batches, n_blocks, written
+from loadcast.llm.common import in_small_batches, kept, n_blocks, written
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -100,7 +100,7 @@ def pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
     """``(doc_id, piece, start, length, ids)``; ``ids`` are little-endian uint32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = WordEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        enc, end = kept(f"words:{tokenizer}", lambda: WordEncoder(tokenizer)), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for s in range(0, len(batch), 256):
                 b = batch.slice(s, 256)

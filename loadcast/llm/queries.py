@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import chat, decontaminate, embeddings, licenses, lines, packing, pii, quality, simhash, toxicity
+from loadcast.llm import chat, decontaminate, embeddings, fim, licenses, lines, packing, pii, quality, simhash, tokenfiles, toxicity
 from loadcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,35 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_op
 def op6_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@_op
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+    SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n,
+           CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2,
+           CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS z,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+    SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:z], '') AS m,
+           array_to_string(u[z + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p"""
+
+
+@_op
+def op12_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.report(table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadcast.llm import chat, decontaminate, embeddings, fim, licenses, lines, packing, pii, quality, simhash, tokenfiles, toxicity
+from loadcast.llm import balltree, chat, decontaminate, embeddings, fim, licenses, lines, packing, pii, quality, simhash, tokenfiles, toxicity
 from loadcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,23 @@ FROM p"""
 @_op
 def op12_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.report(table(spark, sf_dir, "documents"))
+
+
+@_op
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = _WORDS.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+ORACLES["op13_lexical_search"] = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS t FROM documents),
+nl AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d WHERE len(t) > 0),
+tf AS (SELECT doc_id, term, CAST(len(t) AS BIGINT) AS n, count(*) AS tf
+       FROM (SELECT row_number() OVER () AS r, doc_id, t, unnest(t) AS term FROM d) GROUP BY r, doc_id, t, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, nl GROUP BY term, docs),
+q AS (SELECT item_id, term, count(*) AS times
+      FROM (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, term),
+s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term), nl GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20"""

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,71 +37,105 @@ from loadcast.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-PER_SEGMENT = 1 << 22   # tokens, about; a segment ends after the document that reaches it
-PER_FILE = 4            # segments of a file
+PER_SEGMENT = 1 << 21   # tokens, about; a segment ends after the document that reaches it
+PER_FILE = 8            # segments of a file
 PER_PART = 48 << 20     # bytes of text dealt to one task, about
-CACHE = 1 << 18         # words remembered by a worker, in each of two generations
+CACHE = 1 << 19         # chunks remembered by a worker, in each of two generations
 
 # White space of the tokenizer's own rules (\s of Unicode), as a fixed value.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-class ByteEncoder:
-    """Token ids of texts as little-endian uint32 bytes.
+class ByteEncoder(dict):
+    """Token ids of texts as little-endian uint32 bytes; the dictionary holds
+    the ids of the chunks that a worker has met.
 
     No rule of the tokenizer joins a character to white space after it, so a
     text's ids are those of its chunks (white space and what follows up to the
-    next) one after the other.  A worker encodes a chunk once and remembers it;
-    unseen chunks are encoded together, parted by a chunk that is one token."""
+    next) one after the other.  Chunks are remembered in two generations of
+    ``cache``.  A chunk of letters is one unit to the tokenizer's rules and goes
+    straight to its merges; marks after letters are a unit of their own.
 
-    PART = " |"
+    Texts whose white space is single spaces and line feeds are cut by a plain
+    split: there, a chunk's key is its bytes without the leading space.  A tab
+    starts the key of a chunk that is taken as it stands."""
+
+    MARKS = b"!#$%&()*+,-./:;<=>?@[]^_{|}~"
+    #: White space other than a single space or line feed between two characters, in UTF-8.
+    ODD = [b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\x0b", b"\x0c", b"\r", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x81\x9f",
+           b"\xe3\x80\x80"]
+    WIDE = rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]"
 
     def __init__(self, tokenizer: str, cache: int = CACHE) -> None:
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer))
+        self.merges = self.encoder.model.tokenize
+        # Byte-level vocabularies write a byte that does not print as a letter from U+0100 on.
+        shown = [b for b in range(256) if chr(b).isprintable() and b != 32]
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.space = self.letters[32]
         self.chunks = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
-        self.white = frozenset(re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001)))))
-        self.limit, self.known, self.old = cache, {}, {}
-        self.parting = self._ids([self.PART])[0]
-        if len(self.parting) != 4:
-            raise ValueError("the parting chunk must be one token")
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.encoder.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if c[0] in self.white and c[-1] not in self.white and "|" not in c]
-        odd = list(set(chunks).difference(plain))
-        self.known.update(zip(odd, self._ids(odd), strict=True))
-        if plain:
-            raw = self._ids([self.PART.join(plain)])[0]
-            cut = np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.parting, "<u4")[0]) * 4
-            for c, start, end in zip(plain, [0, *(cut + 4).tolist()], [*cut.tolist(), len(raw)], strict=True):
-                self.known[c] = raw[start:end]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.known) > self.limit:
-            self.old, self.known = self.known, {}
-        known, old = self.known, self.old
-        split = [self.chunks(t) if t else [] for t in texts]
-        new = set().union(*split).difference(known)
-        for c in [c for c in new if c in old]:
-            known[c] = old[c]
-            new.discard(c)
-        new = list(new)
-        for s in range(0, len(new), 4096):
-            self._learn(new[s:s + 4096])
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        self.wide = re.compile(self.WIDE).search
+        self.limit, self.old = cache, {}
+
+    def _whole(self, chunk: bytes) -> bytes:
+        ids = self.encoder.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, key: bytes) -> bytes | None:
+        """Ids of a space and letters (of scripts with settled tables)."""
+        if key.isalpha():
+            word = key.decode("ascii")
+        else:
+            word = key.decode("utf-8", "replace")
+            if not word.isalpha() or max(word) > "\u024f":
+                return None
+            word = key.decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.merges(self.space + word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _ids(self, key: bytes) -> bytes:
+        if key[:1] == b"\t":
+            return self._whole(key[1:])
+        bare = key.rstrip(self.MARKS)
+        if bare == key:
+            word = self._word(key)
+        else:
+            word = None
+            if b"<|" not in key:
+                word = bare[-1:].isalnum() and self.get(bare) or self._word(bare)
+            if word:
+                return word + self[b"\t" + key[len(bare):]]
+        return word or self._whole(key if key[:1] == b"\n" else b" " + key)
+
+    def __missing__(self, key: bytes) -> bytes:
+        ids = self[key] = self.old.get(key) or self._ids(key)
+        return ids
+
+    def _cut(self, text: bytes) -> list[bytes]:
+        """Keys of a text's chunks."""
+        if text[0] in b" \n" or text[-1] in b" \n" or any(map(text.__contains__, self.ODD)) or b"\xe2\x80" in text and self.wide(text):
+            return [b"\t" + c.encode() for c in self.chunks(text.decode("utf-8", "replace"))]
+        return (b"\t" + text.replace(b"\n", b" \n")).split(b" ")
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        get = self.__getitem__
+        return [b"".join(map(get, self._cut(t))) if t else b"" for t in texts]
 
 
 def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER,
           end_id: int = END_ID, per_segment: int = PER_SEGMENT, per_file: int = PER_FILE, per_part: int = PER_PART,
           **codec: int) -> None:
     """Write the token ids of ``docs`` to a new folder, ascending by id."""
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
     size = own.agg(F.coalesce(F.sum(F.octet_length("t") + 8), F.lit(0))).first()[0]
     own = own.withColumn("h", F.xxhash64("t"))
     ordered = own.repartitionByRange(n_blocks(size, per_part), "doc_id", "h").sortWithinPartitions("doc_id", "h")

@@ -1,27 +1,32 @@
 """Distribution drift between a reference and a current window.
 
-Per feature, the two-sample Kolmogorov-Smirnov statistic
-D = max_v |F_ref(v) - F_cur(v)| over the pooled distinct values, its
-asymptotic p-value, and the share of drifted features.
-
-The empirical CDFs need a running count in value order.  A window
-partitioned by feature alone would hold a whole feature in one task, so
-the running count is computed in two levels: values are cut into
-ranges by approximate quantile edges (a bounded sketch), bucket
-totals are prefix-summed (one tiny window over buckets), and the running
-count inside each (feature, bucket) partition is added to its bucket's
-offset.  The result is exact; the edges only balance the work.
+Tests per feature, all from one table of value counts:
+
+- ``ks``: D = max_v |F_ref(v) - F_cur(v)| and its asymptotic p-value;
+- ``wasserstein``: the integral of |F_ref - F_cur| over the gaps between
+  values, divided by the reference's standard deviation (at least 0.001);
+- ``jensenshannon``: the Jensen-Shannon distance of the value frequencies
+  (natural logarithm), meant for few distinct values;
+- ``auto``: ``jensenshannon`` up to five distinct values, else ``wasserstein``
+  for over 1000 reference rows, else ``ks``.
+
+The distribution functions need running counts in value order.  Distinct values
+are counted once (partial aggregates), dealt by range of (feature, value) and
+stored with the number of their range.  Totals per range, summed up along the
+feature, give each range its offset and the first value of the next one (the
+gap across the border); the running count inside a range is added to it.  No
+feature is sorted in one task, and results are exact whatever the ranges.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadcast.functions.quantiles import range_edges
 from loadcast.functions.stats import ks_pvalue
 from loadcast.functions.timecols import report_tag
 from loadcast.session import work_dir
@@ -51,39 +56,82 @@ def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
+def value_counts(labelled: DataFrame, features: Sequence[str], values_per_range: int = 100_000) -> DataFrame:
+    """``(feature, value, cr, cc, part)``: stored counts of every distinct value
+    in both windows; ``part`` numbers ranges in order of (feature, value)."""
+    spark = labelled.sparkSession
+    long = _long(labelled, list(features)).withColumn("value", F.col("value").cast("double"))
+    in_window = {c: F.count_if(F.col("drift_window") == w).alias(c) for c, w in (("cr", "reference"), ("cc", "current"))}
+    folder = work_dir(spark, "drift-counts")
+    long.groupBy("feature", "value").agg(in_window["cr"], in_window["cc"]).write.parquet(f"{folder}/values")
+    counts = spark.read.parquet(f"{folder}/values")
+    ranges = math.ceil(counts.count() / values_per_range)
+    if ranges <= 1:
+        return counts.withColumn("part", F.lit(0))
+    (counts.repartitionByRange(ranges, "feature", "value").withColumn("part", F.spark_partition_id())
+     .write.parquet(f"{folder}/ranges"))
+    return spark.read.parquet(f"{folder}/ranges")
+
+
+def drift_scores(labelled: DataFrame, features: Sequence[str], values_per_range: int = 100_000) -> DataFrame:
+    """One row per feature: n_ref, n_cur, n_values and the three scores."""
+    vc = value_counts(labelled, features, values_per_range)
+    v, every = F.col("value"), Window.partitionBy("feature")
+    along = every.orderBy("part")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    tot = (vc.groupBy("feature", "part").agg(F.sum("cr").alias("br"), F.sum("cc").alias("bc"), F.count(F.lit(1)).alias("bn"),
+                                             F.sum(F.col("cr") * v).alias("bs"), F.min(v).alias("least"))
+           .select("feature", "part", F.coalesce(F.sum("br").over(earlier), F.lit(0)).alias("off_r"),
+                   F.coalesce(F.sum("bc").over(earlier), F.lit(0)).alias("off_c"), F.lead("least").over(along).alias("beyond"),
+                   F.sum("br").over(every).alias("n_ref"), F.sum("bc").over(every).alias("n_cur"),
+                   F.sum("bn").over(every).alias("n_values"), F.try_divide(F.sum("bs").over(every), F.sum("br").over(every)).alias("mean")))
+    vc = vc.withColumn("_part", F.xxhash64("feature", "part"))
+    inside = Window.partitionBy("_part", "feature", "part").orderBy("value")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    # Only the join's outcome carries ``beyond``: the last value of a range meets the next range's first.
+    cum = (vc.withColumn("next", F.lead(v).over(inside)).withColumn("rr", F.sum("cr").over(upto)).withColumn("rc", F.sum("cc").over(upto))
+           .join(tot, ["feature", "part"]))
+    away = F.abs(F.try_divide(F.col("off_r") + F.col("rr"), "n_ref") - F.try_divide(F.col("off_c") + F.col("rc"), "n_cur"))
+    gap = F.coalesce(F.coalesce("next", "beyond") - v, F.lit(0.0))
+    p, q = F.try_divide("cr", "n_ref"), F.try_divide("cc", "n_cur")
+    part = lambda x: F.when(x > 0, x * F.log(2 * x / (p + q))).otherwise(F.when(x.isNotNull(), 0.0))
+    return (cum.groupBy("feature", "n_ref", "n_cur", "n_values")
+            .agg(F.max(away).alias("ks_stat"), F.sum(away * gap).alias("_area"),
+                 F.sqrt(F.sum(F.col("cr") * F.pow(v - F.col("mean"), 2)) / F.nullif(F.col("n_ref"), F.lit(0))).alias("_std"),
+                 F.sqrt(F.greatest(F.lit(0.0), F.sum(part(p) + part(q)) / 2)).alias("jensenshannon"))
+            .select("feature", "n_ref", "n_cur", "n_values", "ks_stat",
+                    (F.col("_area") / F.greatest(F.col("_std"), F.lit(0.001))).alias("wasserstein"),
+                    F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), F.col("jensenshannon")).alias("jensenshannon")))
+
+
+def _p_value() -> F.Column:
+    p = ks_pvalue(F.col("ks_stat"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    return F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), p)
+
+
 def ks_per_feature(labelled: DataFrame, features: Sequence[str], alpha: float = 0.05,
                    values_per_range: int = 100_000) -> DataFrame:
-    """One row per feature: n_ref, n_cur, ks_stat, p_value, drifted.
-
-    Distinct values are counted once (partial aggregates, stored); they are cut
-    into ranges whose number follows from how many there are, range totals are
-    summed up, and running counts are kept inside a range only."""
-    long = _long(labelled, [f for f in features])
-    long = long.withColumn("value", F.col("value").cast("double"))
-    is_ref = (F.col("drift_window") == "reference").cast("bigint")
-    is_cur = (F.col("drift_window") == "current").cast("bigint")
-    path = f"{work_dir(labelled.sparkSession, 'ks')}/values"
-    long.groupBy("feature", "value").agg(F.sum(is_ref).alias("cr"), F.sum(is_cur).alias("cc")).write.parquet(path)
-    vc = labelled.sparkSession.read.parquet(path)
-    edges = range_edges(vc, "value", ["feature"], values_per_range).select("feature", "_edges")
-    vb = (vc.join(edges, "feature")
-          .withColumn("bucket", F.size(F.filter("_edges", lambda e: e < F.col("value")))).drop("_edges"))
-    tot = vb.groupBy("feature", "bucket").agg(F.sum("cr").alias("br"), F.sum("cc").alias("bc"))
-    every = Window.partitionBy("feature")
-    wb = every.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select("feature", "bucket", F.coalesce(F.sum("br").over(wb), F.lit(0)).alias("off_r"),
-                     F.coalesce(F.sum("bc").over(wb), F.lit(0)).alias("off_c"),
-                     F.sum("br").over(every).alias("n_ref"), F.sum("bc").over(every).alias("n_cur"))
-    vb = vb.withColumn("_part", F.xxhash64("feature", "bucket"))
-    wv = Window.partitionBy("_part", "feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (vb.join(tot, ["feature", "bucket"])
-           .select("feature", "n_ref", "n_cur", (F.col("off_r") + F.sum("cr").over(wv)).alias("rr"),
-                   (F.col("off_c") + F.sum("cc").over(wv)).alias("rc")))
-    d = (cum.groupBy("feature", "n_ref", "n_cur")
-         .agg(F.max(F.abs(F.try_divide("rr", "n_ref") - F.try_divide("rc", "n_cur"))).alias("ks_stat")))
-    p = ks_pvalue(F.col("ks_stat"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
-    return (d.withColumn("p_value", F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), p))
-            .withColumn("drifted", F.col("p_value") < F.lit(alpha)))
+    """One row per feature: n_ref, n_cur, ks_stat, p_value, drifted."""
+    return (drift_scores(labelled, features, values_per_range).select("feature", "n_ref", "n_cur", "ks_stat")
+            .withColumn("p_value", _p_value()).withColumn("drifted", F.col("p_value") < F.lit(alpha)))
+
+
+def drift_per_feature(labelled: DataFrame, features: Sequence[str], method: str = "auto", alpha: float = 0.05,
+                      threshold: float = 0.1, few_values: int = 5, many_rows: int = 1000,
+                      values_per_range: int = 100_000) -> DataFrame:
+    """One row per feature: method, n_ref, n_cur, score, p_value (``ks`` only)
+    and drifted: a p-value below ``alpha``, or a distance of ``threshold`` or more."""
+    if method not in ("ks", "wasserstein", "jensenshannon", "auto"):
+        raise ValueError(f"unknown drift test: {method}")
+    d = drift_scores(labelled, features, values_per_range).withColumn("p_value", _p_value())
+    pick = F.lit(method) if method != "auto" else (F.when(F.col("n_values") <= few_values, "jensenshannon")
+                                                   .when(F.col("n_ref") > many_rows, "wasserstein").otherwise("ks"))
+    d = d.withColumn("method", pick)
+    ks = F.col("method") == "ks"
+    score = F.when(ks, F.col("ks_stat")).when(F.col("method") == "wasserstein", F.col("wasserstein")).otherwise(F.col("jensenshannon"))
+    return (d.withColumn("score", score).withColumn("p_value", F.when(ks, F.col("p_value")))
+            .select("feature", "method", "n_ref", "n_cur", "score", "p_value",
+                    F.when(ks, F.col("p_value") < alpha).otherwise(F.col("score") >= threshold).alias("drifted")))
 
 
 def fetched(per_feature: DataFrame) -> DataFrame:

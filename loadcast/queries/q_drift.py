@@ -14,7 +14,7 @@ from loadcast.session import work_dir
 
 W = O.with_
 R = O.rnd
-REF_DAYS, CUR_DAYS = 20, 7
+REF_DAYS, CUR_DAYS = 60, 7  # the operator's defaults
 GOLD = O.silver_ctes() + O.gold_ctes()
 MX = "(SELECT max(timestamp_utc) FROM gold)"
 
@@ -74,6 +74,49 @@ def target_drift(spark, sf_dir):
     return finish(dr.ks_per_feature(_labelled(spark, sf_dir), ["load_mw_clean"]))
 
 
+def scores_ctes(features):
+    """The three distances in SQL: distribution functions and frequencies over the pooled values."""
+    return ks_ctes(features) + [
+        ("dist", """SELECT vc.feature, value, cr / n_ref AS p, cc / n_cur AS q, cr, n_ref,
+  sum(cr) OVER w / n_ref AS f, sum(cc) OVER w / n_cur AS g, lead(value) OVER (PARTITION BY vc.feature ORDER BY value) - value AS gap,
+  count(*) OVER (PARTITION BY vc.feature) AS n_values
+FROM vc JOIN nn USING (feature) WINDOW w AS (PARTITION BY vc.feature ORDER BY value ROWS UNBOUNDED PRECEDING)"""),
+        ("sds", "SELECT feature, stddev_pop(value) AS sd FROM long WHERE drift_window = 'reference' GROUP BY feature"),
+        ("dd", """SELECT feature, n_values, sum(abs(f - g) * coalesce(gap, 0)) / greatest(max(sd), 0.001) AS wasserstein,
+  sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2)) AS jensenshannon
+FROM dist JOIN sds USING (feature) GROUP BY feature, n_values"""),
+        ("scored", "SELECT * FROM ksd JOIN dd USING (feature)"),
+    ]
+
+
+def _scores_sql(method, features=DRIFT_FEATURES):
+    """``method``: a test's name, or SQL that gives one per feature."""
+    return W(*scores_ctes(features), ("picked", f"SELECT *, {method} AS method FROM scored"),
+             ("judged", """SELECT *, CASE method WHEN 'ks' THEN ks_stat WHEN 'wasserstein' THEN wasserstein ELSE jensenshannon END AS score FROM picked""")) + f"""
+SELECT feature, method, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, {R('score')} AS score,
+       CASE WHEN method = 'ks' THEN {R('p_value')} END AS p_value, CASE WHEN method = 'ks' THEN p_value < 0.05 ELSE score >= 0.1 END AS drifted FROM judged"""
+
+
+@query("drift_wasserstein", _scores_sql("'wasserstein'"))
+def drift_wasserstein(spark, sf_dir):
+    return finish(dr.drift_per_feature(_labelled(spark, sf_dir), DRIFT_FEATURES, "wasserstein"))
+
+
+#: Features of few values: frequencies say something about these.
+CATEGORIES = ["hour", "day_of_week", "is_weekend"]
+
+
+@query("drift_jensenshannon", _scores_sql("'jensenshannon'", CATEGORIES))
+def drift_jensenshannon(spark, sf_dir):
+    return finish(dr.drift_per_feature(_labelled(spark, sf_dir), CATEGORIES, "jensenshannon"))
+
+
+@query("drift_auto", _scores_sql("CASE WHEN n_values <= 5 THEN 'jensenshannon' WHEN n_ref > 1000 THEN 'wasserstein' ELSE 'ks' END"))
+def drift_auto(spark, sf_dir):
+    """Each feature by the test its distinct values and rows call for."""
+    return finish(dr.drift_per_feature(_labelled(spark, sf_dir), DRIFT_FEATURES))
+
+
 SHARE_SQL = W(*ks_ctes(DRIFT_FEATURES)) + f"""
 SELECT {R('avg(CAST(drifted AS DOUBLE))')} AS drift_share, count(*) AS n_features, avg(CAST(drifted AS DOUBLE)) >= 0.15 AS drift_detected FROM ksd"""
 

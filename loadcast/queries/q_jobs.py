@@ -81,7 +81,7 @@ def job_train(spark, sf_dir):
 @query("job_drift", report_sql(GOLD))
 def job_drift(spark, sf_dir):
     p = _run(spark, sf_dir, "gold")
-    return finish(jobs.job_drift(spark, p["gold"], p["drift"], ref_days=20, cur_days=7))
+    return finish(jobs.job_drift(spark, p["gold"], p["drift"], ref_days=60, cur_days=7))
 
 
 @query("job_dashboard_tables", W(*GOLD) + f"""
@@ -104,4 +104,4 @@ def job_full(spark, sf_dir):
     return finish(jobs.job_full(spark, root, _readers(spark, sf_dir), "eia", _as_of(spark, sf_dir),
                                 zone_map=td.FIXTURE_ZONE_MAP, fence_method="exact",
                                 train_kwargs={"test_days": 7, "gbt_params": GBT_QUICK, "seq_len": 24, "n_trees": 200},
-                                drift_kwargs={"ref_days": 20, "cur_days": 7}))
+                                drift_kwargs={"ref_days": 60, "cur_days": 7}))

@@ -64,3 +64,38 @@ def test_insufficient_rows(spark):
     lab = dr.label_windows(df, 20, 7)
     rep = dr.drift_report(lab, ["x"]).first()
     assert rep["status"] == "insufficient" and rep["drift_share"] == 0.0 and rep["drift_detected"] is False
+
+
+def _counted(x):
+    v, c = np.unique(x, return_counts=True)
+    return dict(zip(v.tolist(), (c / len(x)).tolist(), strict=True))
+
+
+def test_distances_match_brute_force(spark):
+    rng = np.random.default_rng(3)
+    ref = {"x": np.round(rng.normal(0, 3, 900), 1), "k": rng.integers(0, 4, 900).astype(float), "c": np.full(900, 2.0)}
+    cur = {"x": np.round(rng.normal(1, 2, 400), 1), "k": rng.integers(1, 5, 400).astype(float), "c": np.full(400, 2.0)}
+    rows = [("reference", *map(float, r)) for r in zip(*ref.values(), strict=True)] + [("current", *map(float, r)) for r in zip(*cur.values(), strict=True)]
+    df = spark.createDataFrame(rows + [("current", None, float("nan"), None)], "drift_window string, x double, k double, c double")
+    for per_range in (100_000, 7):  # ranges of a few values: gaps and counts cross their borders
+        got = {r["feature"]: r for r in dr.drift_scores(df, ["x", "k", "c"], per_range).collect()}
+        for f in ref:
+            v = np.unique(np.concatenate((ref[f], cur[f])))
+            fa = np.searchsorted(np.sort(ref[f]), v, side="right") / 900
+            fb = np.searchsorted(np.sort(cur[f]), v, side="right") / 400
+            area = float((np.abs(fa - fb)[:-1] * np.diff(v)).sum()) / max(ref[f].std(), 0.001)
+            p, q = _counted(ref[f]), _counted(cur[f])
+            js = sum(a * np.log(2 * a / (a + b)) / 2 for a, b in [(p.get(k, 0), q.get(k, 0)) for k in v] + [(q.get(k, 0), p.get(k, 0)) for k in v] if a > 0)
+            assert (got[f]["n_ref"], got[f]["n_cur"], got[f]["n_values"]) == (900, 400, len(v))
+            assert abs(got[f]["ks_stat"] - np.abs(fa - fb).max()) < 1e-12
+            assert abs(got[f]["wasserstein"] - area) < 1e-9 and abs(got[f]["jensenshannon"] - np.sqrt(max(0.0, js))) < 1e-7
+    picked = {r["feature"]: (r["method"], r["drifted"]) for r in dr.drift_per_feature(df, ["x", "k", "c"], many_rows=1000).collect()}
+    assert picked == {"x": ("ks", True), "k": ("jensenshannon", True), "c": ("jensenshannon", False)}
+    assert {r["method"] for r in dr.drift_per_feature(df, ["x"], many_rows=500).collect()} == {"wasserstein"}
+
+
+def test_one_window_alone_has_no_scores(spark):
+    df = spark.createDataFrame([("reference", float(i)) for i in range(20)], "drift_window string, x double")
+    r = dr.drift_scores(df, ["x"]).first()
+    assert r["n_cur"] == 0 and r["ks_stat"] is None and r["wasserstein"] is None and r["jensenshannon"] is None
+    assert dr.drift_scores(df.limit(0), ["x"]).collect() == []

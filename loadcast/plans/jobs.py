@@ -17,10 +17,11 @@ from loadcast.operators import anomaly as an
 from loadcast.operators import drift as dr
 from loadcast.operators import ledger as lg
 from loadcast.operators import summaries as sm
-from loadcast.operators.features import build_gold
-from loadcast.operators.quality import dedup_latest, densify, flag_and_fill, silver_projection
+from loadcast.operators import quality as qa
 from loadcast.operators.training import train_forecasters
-from loadcast.schemas import DRIFT_FEATURES, SILVER_COLUMNS
+from loadcast.plans import incremental as inc
+from loadcast.schemas import DRIFT_FEATURES
+from loadcast.session import work_dir
 from loadcast.sources import tables
 from loadcast.sources.landed import source_dispatch
 
@@ -31,39 +32,36 @@ def _count(obs: Observation) -> int:
 
 def job_bronze(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], source: str,
                bronze_path: str, ingested_at) -> DataFrame:
-    """dispatch -> typed -> one row per key -> upsert -> observed count; rows
-    that lack a required value go to a table of their own, counted too."""
+    """dispatch -> typed -> one row per key -> upsert -> observed count; the
+    changed hours go to the change log, rows that lack a required value to a
+    table of their own, counted too."""
     raw = source_dispatch(readers, source)
     typed = tables.bronze_typed(raw, ingested_at=ingested_at)
-    batch = dedup_latest(typed, order=[F.col("ingested_at")])
+    path = f"{work_dir(spark, 'batch')}/t"
+    qa.dedup_latest(typed, order=[F.col("ingested_at")]).write.parquet(path)
+    batch = spark.read.parquet(path)
     obs, bad = Observation("bronze"), Observation("rejects")
     tables.upsert(spark, batch, bronze_path, obs=obs)
+    inc.log_changes(inc.batch_changes(batch), bronze_path, inc.next_seq(spark, bronze_path))
     (tables.bronze_rejects(raw, ingested_at).observe(bad, F.count(F.lit(1)).alias("rows"))
      .write.mode("append").parquet(f"{bronze_path}_rejects"))
     return spark.createDataFrame([("bronze", _count(obs)), ("bronze_rejects", _count(bad))], "layer string, rows bigint")
 
 
 def job_silver(spark: SparkSession, bronze_path: str, silver_path: str, fence_method: str = "approx",
-               scope: str = "zone", bucket_steps: int | None = 2016) -> DataFrame:
-    """scan -> latest per key -> hourly grid per zone -> fences -> flags ->
-    bounded fill -> projection -> upsert."""
-    b = tables.scan_layer(spark, bronze_path)
-    latest = dedup_latest(b.select("timestamp_utc", "country", "kind", "load_mw", "ingested_at"))
-    grid = densify(latest, bounds="zone")
-    silver = silver_projection(flag_and_fill(grid, scope=scope, method=fence_method, bucket_steps=bucket_steps, dense=True))
-    obs = Observation("silver")
-    tables.upsert(spark, silver, silver_path, obs=obs)
-    return spark.createDataFrame([("silver", _count(obs))], "layer string, rows bigint")
-
-
-def job_gold(spark: SparkSession, silver_path: str, gold_path: str, zone_map: dict | None = None,
-             bucket_steps: int | None = 2016) -> DataFrame:
-    """scan -> actual only -> calendar, holidays, lags, rolls -> drop -> overwrite."""
-    s = tables.scan_layer(spark, silver_path).select(*SILVER_COLUMNS).filter(F.col("kind") == "actual")
-    gold = build_gold(s, zone_map=zone_map, bucket_steps=bucket_steps)
-    obs = Observation("gold")
-    tables.overwrite_partitioned(gold, gold_path, obs=obs)
-    return spark.createDataFrame([("gold", _count(obs))], "layer string, rows bigint")
+               scope: str = "zone") -> DataFrame:
+    """Changed months of bronze -> latest per key -> hourly grid per zone ->
+    bounded fill -> fences -> flags -> partitions replaced (``incremental``);
+    the count is of the rows written."""
+    done = inc.refresh_silver(spark, bronze_path, silver_path, fence_method, scope)
+    return spark.createDataFrame([("silver", done["rows"])], "layer string, rows bigint")
+
+
+def job_gold(spark: SparkSession, silver_path: str, gold_path: str, zone_map: dict | None = None) -> DataFrame:
+    """Changed months of silver, actual only -> calendar, holidays, lags, rolls
+    -> drop -> partitions replaced; the count is of the rows written."""
+    done = inc.refresh_gold(spark, silver_path, gold_path, zone_map)
+    return spark.createDataFrame([("gold", done["rows"])], "layer string, rows bigint")
 
 
 def job_train(spark: SparkSession, gold_path: str, model_dir: str, ledger_path: str, test_days: int = 30,

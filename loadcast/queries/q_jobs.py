@@ -8,6 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 from loadcast import oracle_sql as O
+from loadcast.functions.timecols import date_offset
 from loadcast.plans import jobs
 from loadcast.present import finish
 from loadcast.queries.q_drift import report_sql
@@ -39,15 +40,18 @@ def _as_of(spark, sf_dir):
 
 
 def _run(spark, sf_dir, upto: str):
+    """Two batches, each taken through all layers: the first 20 days, then what
+    starts at day 15 (five days again, the rest new)."""
     root = work_dir(spark, "jobs")
     p = {k: os.path.join(root, k) for k in ("bronze", "silver", "gold", "models", "ledger", "drift", "dashboard")}
-    jobs.job_bronze(spark, _readers(spark, sf_dir), "eia", p["bronze"], _as_of(spark, sf_dir))
-    if upto == "bronze":
-        return p
-    jobs.job_silver(spark, p["bronze"], p["silver"], fence_method="exact")
-    if upto == "silver":
-        return p
-    jobs.job_gold(spark, p["silver"], p["gold"], td.FIXTURE_ZONE_MAP)
+    series = _readers(spark, sf_dir)["eia"]()
+    lo = td.load_grid(spark, sf_dir).select(F.min("timestamp_utc")).scalar()
+    for part in (F.col("timestamp_utc") < date_offset(lo, days=20), F.col("timestamp_utc") >= date_offset(lo, days=15)):
+        jobs.job_bronze(spark, {"eia": lambda part=part: series.filter(part)}, "eia", p["bronze"], _as_of(spark, sf_dir))
+        if upto != "bronze":
+            jobs.job_silver(spark, p["bronze"], p["silver"], fence_method="exact")
+        if upto == "gold":
+            jobs.job_gold(spark, p["silver"], p["gold"], td.FIXTURE_ZONE_MAP)
     return p
 
 

@@ -23,6 +23,7 @@ from loadcast.schemas import BRONZE_SCHEMA, KEY
 from loadcast.session import work_dir
 
 MONTH = "_month"
+MOST_LITERALS = 1000  # partition values that may travel as literals of a filter
 
 EVENTS_READ_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -140,13 +141,8 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str]
     cols = source.columns
     _by_month(source, ts).write.parquet(f"{folder}/source")
     batch = spark.read.parquet(f"{folder}/source")
-    table = spark.read.parquet(path)
     touched = batch.select(*parts).distinct()
-    # Zones and months prune the scan as literals; few of either, whatever the rows.
-    pruned = table
-    for c in parts:
-        pruned = pruned.filter(F.col(c).isin([r[0] for r in batch.select(c).distinct().collect()]))
-    old = pruned.join(touched, parts, "left_semi").select(*cols, MONTH)
+    old = pruned_to(spark.read.parquet(path), touched).select(*cols, MONTH)
     merged = old.join(batch.select(*key), key, "left_anti").unionByName(batch.select(*cols, MONTH))
     merged.write.parquet(f"{folder}/merged")
     (spark.read.parquet(f"{folder}/merged").hint("rebalance", *parts).write.mode("overwrite")
@@ -156,6 +152,39 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, key: Sequence[str]
     return path
 
 
+def pruned_to(table: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of the partitions in ``wanted`` (its columns).  Values prune the
+    scan as literals while they are few (checked); the join decides anyway."""
+    for c in wanted.columns:
+        values = [r[0] for r in wanted.select(c).distinct().limit(MOST_LITERALS + 1).collect()]
+        if len(values) <= MOST_LITERALS:
+            table = table.filter(F.col(c).isin(values))
+    return table.join(wanted, wanted.columns, "left_semi")
+
+
+def scan_partitions(spark: SparkSession, path: str, wanted: DataFrame, schema: T.StructType) -> DataFrame:
+    """The wanted (zone, month) partitions of a layer, months included; a table
+    that does not exist has none."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return pruned_to(spark.read.schema(schema).parquet(path), wanted)
+
+
+def replace_partitions(rows: DataFrame, path: str, touched: DataFrame, sort_within: Sequence[str] = ()) -> None:
+    """Put stored ``rows`` in the place of the touched partitions (columns of
+    ``touched``, in order); a touched partition without rows goes."""
+    spark, parts = rows.sparkSession, touched.columns
+    out = rows.hint("rebalance", *parts)
+    if sort_within:
+        out = out.sortWithinPartitions(*parts, *sort_within)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    gone = touched.distinct().join(rows.select(*parts).distinct(), parts, "left_anti")
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for r in gone.toLocalIterator():  # rare; one folder each
+        p = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/")] + [utils.getPartitionPathString(c, r[c]) for c in parts]))
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append_log(df: DataFrame, path: str, partition_by: Sequence[str] = ("country",)) -> str:
     """Append-only raw log (bronze as documented: immutable)."""
     df.write.mode("append").partitionBy(*partition_by).parquet(path)

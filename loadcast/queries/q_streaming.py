@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loadcast import oracle_sql as O
 from loadcast.functions.timecols import date_offset
 from loadcast.operators import forecast as fc
+from loadcast.operators.features import add_calendar, add_holidays
 from loadcast.present import finish
 from loadcast.queries.q_forecast import GBT_QUICK, split
 from loadcast.registry import query
@@ -132,14 +133,67 @@ def stream_schema_evolution(spark, sf_dir):
 
 @query("stream_score")
 def stream_score(spark, sf_dir):
-    """Gold feature rows land as files; each micro-batch is scored by the
-    trained pipeline and appended to the predictions table."""
+    """Raw hours land as files after the training cutoff; the stream's state,
+    warmed up with the hours before it, makes their features, and each
+    micro-batch is scored by the trained pipeline."""
     d = work_dir(spark, "stream_score")
     train, test = split(spark, sf_dir)
     model = fc.fit_gbt(train, **GBT_QUICK)
-    land = _land(test.drop("split"), d, "land")
-    src = st.file_stream(spark, land, spark.read.parquet(land).schema)
-    out = os.path.join(d, "out")
-    st.stream_score(src, lambda b: fc.predict(model, b).select("timestamp_utc", "country", "y", "prediction"),
-                    out, os.path.join(d, "ckpt"))
-    return finish(spark.read.parquet(out).select("timestamp_utc", "country", "y", "prediction"))
+    cutoff = test.select(F.min("timestamp_utc")).scalar()
+    hourly = td.load_hourly(spark, sf_dir)
+    land, out, ckpt = (os.path.join(d, x) for x in ("land", "out", "ckpt"))
+
+    def score(rows):
+        gold = add_holidays(add_calendar(rows), zone_map=td.FIXTURE_ZONE_MAP).withColumn("y", F.col("load_mw_clean"))
+        return fc.predict(model, gold).select("timestamp_utc", "country", "y", "prediction")
+
+    def run():
+        st.stream_score(st.stream_features(st.file_stream(spark, land, hourly.schema)), score, out, ckpt)
+
+    _land(hourly.filter(F.col("timestamp_utc") < cutoff), land)
+    run()
+    _land(hourly.filter(F.col("timestamp_utc") >= cutoff), land)
+    run()
+    return finish(spark.read.parquet(out).filter(F.col("timestamp_utc") >= cutoff).select("timestamp_utc", "country", "y", "prediction"))
+
+
+@query("stream_corrections", f"""
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, event_type AS country, {R('sum(value)')} AS load_sum,
+       {R('avg(value)')} AS load_avg, count(*) AS n FROM events GROUP BY 1, 2""")
+def stream_corrections(spark, sf_dir):
+    """The last 15 days land first, the others after them, all late: their
+    windows are emitted again, and the table is that of all rows."""
+    d = work_dir(spark, "stream_corrections")
+    ev = td.table(spark, sf_dir, "events")
+    cut = date_offset(ev.select(F.min("ts")).scalar(), days=15)
+    land, table = os.path.join(d, "land"), os.path.join(d, "table")
+
+    def run():
+        st.correct_windows(st.file_stream(spark, land, st.EVENTS_SCHEMA), table, os.path.join(d, "late"), os.path.join(d, "ckpt"))
+
+    _land(ev.filter(F.col("ts") >= cut), land)
+    run()
+    _land(ev.filter(F.col("ts") < cut), land)
+    run()
+    return finish(tables.scan_layer(spark, table).select("window_start", "country", "load_sum", "load_avg", "n"))
+
+
+STREAM_COLUMNS = [f.split()[0] for f in st.FEATURES.split(", ") if not f.startswith(("late", "kind"))]
+
+
+@query("stream_features", W(("load_hourly", O.LOAD_HOURLY), ("sgrid", O.grid_zone_of("load_hourly")),
+                            ("clean", f"""SELECT *, coalesce(load_mw, last_value(load_mw IGNORE NULLS) OVER (PARTITION BY country, kind
+  ORDER BY timestamp_utc ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)) AS load_mw_clean FROM sgrid"""),
+                            ("feat", f"SELECT *, {O.lags_rolls_sql()} FROM clean"))
+       + f"\nSELECT {O.select_rounded(STREAM_COLUMNS)} FROM feat")
+def stream_features(spark, sf_dir):
+    """Hours arrive in three runs of the stream, which restarts from its
+    checkpoint; the state carries fills, lags and rolls across."""
+    d = work_dir(spark, "stream_features")
+    hourly = td.load_hourly(spark, sf_dir)
+    lo = hourly.select(F.min("timestamp_utc")).scalar()
+    land, out, ckpt = os.path.join(d, "land"), os.path.join(d, "out"), os.path.join(d, "ckpt")
+    for a, z in ((0, 10), (10, 11), (11, 100_000)):
+        _land(hourly.filter((F.col("timestamp_utc") >= date_offset(lo, days=a)) & (F.col("timestamp_utc") < date_offset(lo, days=z))), land)
+        st.stream_to_parquet(st.stream_features(st.file_stream(spark, land, hourly.schema)), out, ckpt)
+    return finish(spark.read.parquet(out).select(*STREAM_COLUMNS))

@@ -15,7 +15,7 @@ score: the forest (trees x <= 2*sample_size-1 nodes) is broadcast and path
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -147,16 +147,15 @@ def score_samples(df: DataFrame, nodes: DataFrame, features: Sequence[str] = tup
     node_pdf = nodes.toPandas()
     sc = df.sparkSession.sparkContext
     bc = sc.broadcast(node_pdf)
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])  # copy: never mutate df.schema
 
-    def run(it):
+    @F.pandas_udf("double")
+    def score(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         forest = Forest(bc.value, sample_size)
-        for pdf in it:
-            X = pdf[features].to_numpy(dtype=float)
-            pdf[out] = forest.score(X) if len(pdf) else np.array([], dtype=float)
-            yield pdf
+        for columns in parts:
+            x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            yield pd.Series(forest.score(x) if len(x) else [], dtype=float)
 
-    return df.mapInPandas(run, schema=schema)
+    return df.withColumn(out, score(*[F.col(c).cast("double") for c in features]))
 
 
 def fit_offset(train_scored: DataFrame, contamination: float = 0.01, col: str = "raw_score"):

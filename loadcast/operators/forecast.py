@@ -5,18 +5,21 @@ an autoregressive sequence model)."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadcast.functions.timecols import epoch_hours
+from loadcast.operators.evaluate import tail_fraction_split
 from loadcast.plans.halo import series_window
 from loadcast.schemas import FEATURE_COLS, TARGET
 
@@ -186,17 +189,69 @@ def predict_seasonal(df: DataFrame, coefs: DataFrame, settings: dict, by: str =
 
 # ---------------------------------------------------------------- sequence (autoregressive) model
 
-def fit_sequence(train: DataFrame, length: int = 168, target: str = TARGET, reg: float = 1e-3,
-                 bucket_steps: int | None = 2016):
-    """Next value from the previous ``length`` standardised values: an AR(L)
-    fitted by MLlib linear regression on sequence windows."""
-    stats = standardize_stats(train, [target]).cache()
+PENALTIES = (0.0, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0)
+
+
+def gram_matrices(seq: DataFrame, split: str, x: str, y: str) -> dict[str, np.ndarray]:
+    """Per value of ``split``: the Gram matrix of (1, x..., y), summed up over
+    tasks; a task sends one row per line of the matrix."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for b in batches:
+            if not len(b):
+                continue
+            m = np.column_stack((np.ones(len(b)), b.column("x").flatten().to_numpy().reshape(len(b), -1), b.column("y").to_numpy()))
+            names = np.array(b.column("s").to_pylist())
+            for s in np.unique(names):
+                own = m[names == s]
+                sums[s] = sums.get(s, 0.0) + own.T @ own
+        for s, g in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([s] * len(g)), pa.array(range(len(g)), pa.int32()), pa.array(list(g), pa.list_(pa.float64()))], ["s", "i", "row"])
+
+    parts = seq.select(F.col(split).alias("s"), F.col(x).alias("x"), F.col(y).cast("double").alias("y")).mapInArrow(partial, "s string, i int, row array<double>")
+    total = parts.groupBy("s", "i").agg(Summarizer.sum(array_to_vector("row")).alias("row"))
+    out: dict[str, list] = {}
+    for r in total.orderBy("s", "i").collect():  # two matrices of (window + 2) lines
+        out.setdefault(r["s"], []).append(r["row"].toArray())
+    return {s: np.array(g) for s, g in out.items()}
+
+
+def ridge_path(train: np.ndarray, validation: np.ndarray | None, penalties: Sequence[float]) -> list[tuple[float, float | None, np.ndarray]]:
+    """``(penalty, validation RMSE, weights)`` along the path, all from Gram
+    matrices of (1, x..., y); the intercept is not penalised."""
+    g, b, n = train[:-1, :-1], train[:-1, -1], train[0, 0]
+    out = []
+    for p in penalties:
+        w = np.linalg.lstsq(g + p * n * np.diag([0.0] + [1.0] * (len(g) - 1)), b, rcond=None)[0]
+        error = None
+        if validation is not None:
+            u = np.append(w, -1.0)
+            error = math.sqrt(max(0.0, u @ validation @ u) / validation[0, 0])
+        out.append((p, error, w))
+    return out
+
+
+def fit_sequence(train: DataFrame, length: int = 168, target: str = TARGET, penalties: Sequence[float] = PENALTIES,
+                 validation: float = 0.1, bucket_steps: int | None = 2016) -> dict:
+    """Next value from the previous ``length`` standardised values: a ridge
+    autoregression.  The last ``validation`` of each series chooses the penalty;
+    the weights are then solved from all training rows.  One pass over the
+    sequence windows: everything follows from two Gram matrices."""
+    stats = standardize_stats(train, [target]).first()
+    stats = train.sparkSession.createDataFrame([tuple(stats)], train.agg(F.avg(target).alias(f"{target}__mean"), F.stddev_samp(target).alias(f"{target}__std")).schema)
     z = standardize(train, [target], stats)
-    seq = sequence_windows(z, f"{target}_z", length, bucket_steps=bucket_steps)
-    data = _labelled(seq.select(array_to_vector("seq").alias("features"), F.col(f"{target}_z").alias("y_z")), "y_z")
-    lr = LinearRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=0.0,
-                          solver="l-bfgs", maxIter=100)
-    return {"model": lr.fit(data), "stats": stats, "length": length, "target": target, "bucket_steps": bucket_steps}
+    seq = sequence_windows(z, f"{target}_z", length, bucket_steps=bucket_steps).filter(F.col(f"{target}_z").isNotNull())
+    seq = tail_fraction_split(seq, 1 - validation, by=("country", "kind"))
+    grams = gram_matrices(seq, "split", "seq", f"{target}_z")
+    if "train" not in grams:
+        raise ValueError(f"no series has more than {length} rows")
+    path = ridge_path(grams["train"], grams.get("validation"), penalties)
+    best = min(path, key=lambda r: (math.inf if r[1] is None else r[1], r[0]))
+    weights = ridge_path(sum(grams.values()), None, [best[0]])[0][2]
+    return {"intercept": float(weights[0]), "coef": [float(w) for w in weights[1:]], "penalty": best[0], "path": [(p, e) for p, e, _ in path],
+            "stats": stats, "length": length, "target": target, "bucket_steps": bucket_steps,
+            "n_train": int(grams["train"][0, 0]), "n_validation": int(grams["validation"][0, 0]) if "validation" in grams else 0}
 
 
 def predict_sequence(fitted: dict, df: DataFrame) -> DataFrame:
@@ -205,9 +260,14 @@ def predict_sequence(fitted: dict, df: DataFrame) -> DataFrame:
     target, length = fitted["target"], fitted["length"]
     z = standardize(df, [target], fitted["stats"])
     seq = sequence_windows(z, f"{target}_z", length, bucket_steps=fitted["bucket_steps"])
-    scored = fitted["model"].transform(seq.withColumn("features", array_to_vector("seq")))
+    coef, intercept = np.array(fitted["coef"]), fitted["intercept"]
+
+    @F.pandas_udf("double")
+    def dot(windows: pd.Series) -> pd.Series:
+        return pd.Series(np.stack(windows.to_numpy()) @ coef + intercept if len(windows) else [], dtype=float)
+
     st = fitted["stats"].first()
     m, s = F.lit(st[f"{target}__mean"]).cast("double"), F.lit(st[f"{target}__std"]).cast("double")
-    scored = scored.withColumn("prediction", F.col("prediction") * s + m)
+    scored = seq.withColumn("prediction", dot("seq") * F.when(s > 0, s).otherwise(F.lit(1.0)) + m)
     keys = ["timestamp_utc", "country", "kind"]
     return df.join(scored.select(*keys, "prediction"), keys, "left")

@@ -113,6 +113,40 @@ def mean_abs_attribution(spark, sf_dir):
     return finish(at.mean_abs_attribution(_attribution(spark, sf_dir)))
 
 
+def _exact(spark, sf_dir):
+    """Exact tree attribution of the sampled rows by the fitted boosting."""
+    train, test = split(spark, sf_dir)
+    model = fc.fit_gbt(train, **GBT_QUICK)
+    rows = layers.materialize(at.sample_n(test, SAMPLE_ROWS, KEY), "explained")
+    phi, baseline = at.tree_attribution(model.stages[-1], rows, FEATURE_COLS, KEY)
+    return model, rows, phi, baseline
+
+
+@query("attribution_exact")
+def attribution_exact(spark, sf_dir):
+    return finish(_exact(spark, sf_dir)[2])
+
+
+_SAMPLED = f"""SELECT timestamp_utc, country FROM gold WHERE timestamp_utc > {CUT}
+ORDER BY md5(CAST(timestamp_utc AS VARCHAR) || '|' || country || '|42'), timestamp_utc, country LIMIT {SAMPLE_ROWS}"""
+
+
+@query("attribution_additivity", W(*GOLD) + f"""
+SELECT timestamp_utc, country, CAST({len(FEATURE_COLS)} AS BIGINT) AS n_features, true AS adds_up FROM ({_SAMPLED}) s""")
+def attribution_additivity(spark, sf_dir):
+    """Values of a row add up to its prediction less the baseline."""
+    model, rows, phi, baseline = _exact(spark, sf_dir)
+    sums = phi.groupBy(*KEY).agg(F.sum("phi").alias("total"), F.count(F.lit(1)).alias("n_features"))
+    pred = fc.predict(model, rows).select(*KEY, "prediction")
+    gap = F.abs(F.col("total") + F.lit(baseline) - F.col("prediction"))
+    return finish(sums.join(pred, KEY).select(*KEY, "n_features", (gap <= 1e-9 * F.greatest(F.abs("prediction"), F.lit(1.0))).alias("adds_up")))
+
+
+@query("mean_abs_exact")
+def mean_abs_exact(spark, sf_dir):
+    return finish(at.mean_abs_attribution(_exact(spark, sf_dir)[2]))
+
+
 @query("sink_csv")
 def sink_csv(spark, sf_dir):
     """Importances written as CSV with a header, read back."""

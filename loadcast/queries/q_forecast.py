@@ -57,7 +57,7 @@ def standardize(spark, sf_dir):
     return finish(out.select("timestamp_utc", "country", *[f"{c}_z" for c in _Z]))
 
 
-SEQ_L = 24
+SEQ_L = 168
 _FR = f"PARTITION BY country, kind ORDER BY timestamp_utc ROWS BETWEEN {SEQ_L} PRECEDING AND 1 PRECEDING"
 
 
@@ -128,11 +128,31 @@ def fit_seasonal(spark, sf_dir):
 
 @query("fit_sequence")
 def fit_sequence(spark, sf_dir):
-    """AR(24) on standardised sequence windows; metrics on the test rows."""
+    """AR(168) on standardised sequence windows; the penalty that the tail of
+    each training series chose, and metrics on the test rows."""
     g = ev.time_split(layers.gold_table(spark, sf_dir, drop=False), TEST_DAYS).withColumn("y", F.col("load_mw_clean"))
-    fitted = fc.fit_sequence(g.filter("split = 'train'"), length=24)
+    fitted = fc.fit_sequence(g.filter("split = 'train'"), length=SEQ_L)
     pred = fc.predict_sequence(fitted, g).filter("split = 'test'")
-    return finish(ev.forecast_metrics(ev.mask_valid(pred), by=["country"]))
+    chosen = dict(fitted["path"])[fitted["penalty"]]
+    return finish(ev.forecast_metrics(ev.mask_valid(pred), by=["country"])
+                  .withColumn("penalty", F.lit(fitted["penalty"])).withColumn("validation_rmse", F.lit(chosen).cast("double")))
+
+
+@query("sequence_validation", W(*SILVER, ("cut", f"SELECT max(timestamp_utc) - INTERVAL {TEST_DAYS} DAY AS c FROM silver"), ("s", f"""SELECT timestamp_utc, country, kind, load_mw_clean,
+  count(load_mw_clean) OVER ({_FR}) AS n FROM silver, cut WHERE timestamp_utc <= c"""),
+                                ("w", f"""SELECT *, row_number() OVER (PARTITION BY country, kind ORDER BY timestamp_utc) AS r,
+  count(*) OVER (PARTITION BY country, kind) AS k FROM s WHERE n = {SEQ_L} AND load_mw_clean IS NOT NULL"""))
+       + """
+SELECT CAST(sum(CASE WHEN r <= floor(0.9 * k) THEN 1 ELSE 0 END) AS BIGINT) AS n_train, CAST(sum(CASE WHEN r > floor(0.9 * k) THEN 1 ELSE 0 END) AS BIGINT) AS n_validation,
+       true AS least_error, true AS path_is_whole FROM w""")
+def sequence_validation(spark, sf_dir):
+    """Rows on either side of the 90/10 tail split, and whether the chosen
+    penalty is the path's best."""
+    g = ev.time_split(layers.materialize(layers.silver_grid(spark, sf_dir), "silver"), TEST_DAYS)
+    fitted = fc.fit_sequence(g.filter("split = 'train'").drop("split"), length=SEQ_L)
+    errors = dict(fitted["path"])
+    return spark.createDataFrame([(fitted["n_train"], fitted["n_validation"], errors[fitted["penalty"]] == min(errors.values()), len(errors) == len(fc.PENALTIES))],
+                                 "n_train long, n_validation long, least_error boolean, path_is_whole boolean")
 
 
 _H = 24
@@ -186,7 +206,7 @@ def rolling_origin_cv(spark, sf_dir):
     return finish(ev.forecast_metrics(both, by=["fold", "model"]))
 
 
-def train_forecasters_df(spark, sf_dir, gbt_params=None, seq_len=24, save_dir=None):
+def train_forecasters_df(spark, sf_dir, gbt_params=None, seq_len=SEQ_L, save_dir=None):
     from loadcast.operators.training import train_forecasters as tf
     return tf(layers.gold_table(spark, sf_dir, drop=False), TEST_DAYS, gbt_params or GBT_QUICK, seq_len, save_dir)
 

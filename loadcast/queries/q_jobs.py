@@ -78,7 +78,7 @@ def job_train(spark, sf_dir):
     """Candidates on the job's gold table (7-day holdout), champion, forest, ledger."""
     p = _run(spark, sf_dir, "gold")
     m = jobs.job_train(spark, p["gold"], p["models"], p["ledger"], test_days=7, gbt_params=GBT_QUICK,
-                       seq_len=24, n_trees=200)
+                       seq_len=168, n_trees=200)
     return finish(m.select("model", "status", "mape", "rmse", "mae", "is_champion"))
 
 
@@ -107,5 +107,5 @@ def job_full(spark, sf_dir):
     root = work_dir(spark, "job_full")
     return finish(jobs.job_full(spark, root, _readers(spark, sf_dir), "eia", _as_of(spark, sf_dir),
                                 zone_map=td.FIXTURE_ZONE_MAP, fence_method="exact",
-                                train_kwargs={"test_days": 7, "gbt_params": GBT_QUICK, "seq_len": 24, "n_trees": 200},
+                                train_kwargs={"test_days": 7, "gbt_params": GBT_QUICK, "seq_len": 168, "n_trees": 200},
                                 drift_kwargs={"ref_days": 60, "cur_days": 7}))

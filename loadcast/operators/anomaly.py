@@ -158,10 +158,9 @@ def score_samples(df: DataFrame, nodes: DataFrame, features: Sequence[str] = tup
     return df.withColumn(out, score(*[F.col(c).cast("double") for c in features]))
 
 
-def fit_offset(train_scored: DataFrame, contamination: float = 0.01, col: str = "raw_score"):
-    """The contamination quantile of training scores, as a scalar column."""
-    v = train_scored.select(F.percentile_approx(col, contamination, 100000)).first()[0]  # fitted threshold
-    return F.lit(v).cast("double")
+def fit_offset(train_scored: DataFrame, contamination: float = 0.01, col: str = "raw_score") -> float:
+    """The contamination quantile of training scores (a fitted threshold)."""
+    return float(train_scored.select(F.percentile_approx(col, contamination, 100000)).first()[0])
 
 
 def detect(df: DataFrame, nodes: DataFrame, offset, features: Sequence[str] = tuple(ANOMALY_FEATURES),
@@ -169,7 +168,7 @@ def detect(df: DataFrame, nodes: DataFrame, offset, features: Sequence[str] = tu
     """anomaly_score (decision function) and is_anomaly per row."""
     x = impute(df, features, means) if means is not None else df
     s = score_samples(x, nodes, features, sample_size)
-    return (s.withColumn("anomaly_score", F.col("raw_score") - offset)
+    return (s.withColumn("anomaly_score", F.col("raw_score") - F.lit(offset))
             .withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("bigint")))
 
 
@@ -182,11 +181,11 @@ def anomaly_summary(scored: DataFrame) -> DataFrame:
 def train_anomaly(df: DataFrame, features: Sequence[str] = tuple(ANOMALY_FEATURES), n_trees: int = 200,
                   sample_size: int = 256, contamination: float = 0.01, seed: int = 42):
     """Fit on complete rows; score every row with training-mean imputation.
-    Returns (scored rows, node table, means)."""
+    Returns (scored rows, node table, means, offset)."""
     features = list(features)
     train = df.na.drop(subset=features)
     nodes = fit_forest(train, features, n_trees, sample_size, seed).cache()
     means = impute_means(train, features)
     offset = fit_offset(score_samples(train, nodes, features, sample_size), contamination)
     scored = detect(df, nodes, offset, features, means, sample_size)
-    return scored, nodes, means
+    return scored, nodes, means, offset

@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: F401  (the latter re-exported)
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession

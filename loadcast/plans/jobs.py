@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from loadcast.operators import anomaly as an
 from loadcast.operators import drift as dr
 from loadcast.operators import ledger as lg
+from loadcast.operators import models
 from loadcast.operators import summaries as sm
 from loadcast.operators import quality as qa
-from loadcast.operators.training import train_forecasters
+from loadcast.operators.training import ledger_records, train_forecasters
 from loadcast.plans import incremental as inc
 from loadcast.schemas import DRIFT_FEATURES
 from loadcast.session import work_dir
@@ -70,17 +71,14 @@ def job_train(spark: SparkSession, gold_path: str, model_dir: str, ledger_path:
     """split -> fit all candidates -> champion -> anomaly model -> ledger rows."""
     gold = tables.scan_layer(spark, gold_path)
     metrics, runs = train_forecasters(gold, test_days, gbt_params, seq_len, save_dir=model_dir)
-    rows = metrics.filter("status = 'ok'").select("model", "mape", "rmse", "mae", "is_champion").collect()  # one per candidate
-    params = {r["family"]: r["params"] for r in runs}
-    scored, nodes, _ = an.train_anomaly(gold, n_trees=n_trees, contamination=contamination)
-    nodes.write.mode("overwrite").parquet(os.path.join(model_dir, "isolation_forest"))
+    recs = ledger_records(metrics, runs)
+    scored, nodes, means, offset = an.train_anomaly(gold, n_trees=n_trees, contamination=contamination)
+    path = os.path.join(model_dir, "isolation_forest")
+    signature = models.save_model(spark, "isolation_forest", (nodes, offset, means, 256), path, gold)
     summ = an.anomaly_summary(scored).first()  # one row
-    recs = [{"family": r["model"], "params": params.get(r["model"], {}),
-             "metrics": {"mape": r["mape"], "rmse": r["rmse"], "mae": r["mae"]},
-             "alias": "champion" if r["is_champion"] else None} for r in rows]
-    recs.append({"family": "isolation_forest", "params": {"n_trees": n_trees, "contamination": contamination},
+    recs.append({"family": "isolation_forest", "params": {"n_trees": n_trees, "contamination": contamination}, "alias": "anomaly",
                  "metrics": {"anomaly_rate": summ["anomaly_rate"], "n_anomalies": summ["n_anomalies"]},
-                 "model_path": os.path.join(model_dir, "isolation_forest")})
+                 "model_path": path, "signature": signature})
     lg.append_ledger(lg.ledger_rows(spark, recs), ledger_path)
     return metrics
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from loadcast import oracle_sql as O
@@ -10,8 +9,9 @@ from loadcast.operators import anomaly as an
 from loadcast.operators import attribution as at
 from loadcast.operators import evaluate as ev
 from loadcast.operators import forecast as fc
+from loadcast.operators import models
 from loadcast.operators import scoring as sc
-from loadcast.plans import layers
+from loadcast.plans import jobs, layers
 from loadcast.present import finish
 from loadcast.queries.q_forecast import GBT_QUICK, TEST_DAYS, split
 from loadcast.registry import query
@@ -69,20 +69,20 @@ def fit_isolation_forest(spark, sf_dir):
 
 @query("score_isolation_forest")
 def score_isolation_forest(spark, sf_dir):
-    scored, _, _ = _forest(spark, sf_dir)
+    scored, *_ = _forest(spark, sf_dir)
     return finish(scored.select(*KEY, "load_mw_clean", "anomaly_score", "is_anomaly"))
 
 
 @query("anomaly_summary")
 def anomaly_summary(spark, sf_dir):
-    scored, _, _ = _forest(spark, sf_dir)
+    scored, *_ = _forest(spark, sf_dir)
     return finish(an.anomaly_summary(scored))
 
 
 @query("train_anomaly")
 def train_anomaly(spark, sf_dir):
     """Fit, score and summarise (contamination 0.05, as in the unit test)."""
-    scored, nodes, _ = _forest(spark, sf_dir, contamination=0.05)
+    scored, nodes, *_ = _forest(spark, sf_dir, contamination=0.05)
     s = an.anomaly_summary(scored)
     return finish(s.withColumn("n_trees", nodes.select(F.countDistinct("tree_id")).scalar()))
 
@@ -187,28 +187,53 @@ def score_request_check(spark, sf_dir):
     return finish(sc.batch_report(chk))
 
 
+_TRAINED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _registered(spark, sf_dir):
+    """Ledger of all candidates and of the forest, trained on the gold table;
+    once per application and data folder (the models are stored)."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key in _TRAINED:
+        ledger, gold = _TRAINED[key]
+        return ledger, spark.read.parquet(gold)
+    d = work_dir(spark, "registered")
+    g = layers.gold_table(spark, sf_dir, drop=False)
+    g.write.parquet(f"{d}/gold")
+    jobs.job_train(spark, f"{d}/gold", f"{d}/models", f"{d}/ledger", test_days=TEST_DAYS, gbt_params=GBT_QUICK, n_trees=QUICK_TREES)
+    _TRAINED[key] = f"{d}/ledger", f"{d}/gold"
+    return f"{d}/ledger", spark.read.parquet(f"{d}/gold")
+
+
+def _valid(spark, sf_dir, request, schema):
+    rows = sc.check_request(request, schema).filter("valid")
+    return rows.withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp_ntz")).withColumn("kind", F.lit("actual"))
+
+
 @query("batch_forecast")
 def batch_forecast(spark, sf_dir):
-    """Train, save the pipeline, load it back and score the valid request rows."""
-    train, _ = split(spark, sf_dir)
-    path = work_dir(spark, "model_gbt")
-    fc.fit_gbt(train, **GBT_QUICK).write().overwrite().save(path)
-    model = PipelineModel.load(path)
-    chk = sc.check_request(_forecast_request(spark, sf_dir), sc.FORECAST_REQUEST)
-    return finish(fc.predict(model, chk.filter("valid")).select("timestamp_utc", "country", "prediction"))
+    """The champion, found by its alias in the ledger, scores the valid request rows."""
+    ledger, g = _registered(spark, sf_dir)
+    rows = _valid(spark, sf_dir, _forecast_request(spark, sf_dir), sc.FORECAST_REQUEST)
+    return finish(models.score_by_alias(spark, ledger, "champion", rows, history=g).select("timestamp_utc", "country", "prediction"))
+
+
+@query("batch_forecast_rows", W(*GOLD_ALL) + f"""
+SELECT timestamp_utc, country, true AS scored
+FROM gold WHERE NOT ({" OR ".join(f"{f.name} IS NULL" for f in sc.FORECAST_REQUEST.fields)})""")
+def batch_forecast_rows(spark, sf_dir):
+    """Every valid request row is scored by the registered champion."""
+    out = batch_forecast(spark, sf_dir)
+    return out.select("timestamp_utc", "country", F.col("prediction").isNotNull().alias("scored"))
 
 
 @query("batch_anomaly")
 def batch_anomaly(spark, sf_dir):
-    """Score anomaly requests (continuous score and flag, training-mean imputation)."""
-    g = layers.gold_table(spark, sf_dir)
-    train = g.na.drop(subset=ANOMALY_FEATURES)
-    nodes = an.fit_forest(train, n_trees=QUICK_TREES).cache()
-    means = an.impute_means(train, ANOMALY_FEATURES)
-    offset = an.fit_offset(an.score_samples(train, nodes))
-    chk = sc.check_request(_anomaly_request(spark, sf_dir), sc.ANOMALY_REQUEST)
-    return finish(an.detect(chk.filter("valid"), nodes, offset, ANOMALY_FEATURES, means)
-                  .select("timestamp_utc", "country", "anomaly_score", "is_anomaly"))
+    """The registered forest, by its alias, scores anomaly requests (continuous
+    score and flag, training-mean imputation)."""
+    ledger, _ = _registered(spark, sf_dir)
+    rows = _valid(spark, sf_dir, _anomaly_request(spark, sf_dir), sc.ANOMALY_REQUEST)
+    return finish(models.score_by_alias(spark, ledger, "anomaly", rows).select("timestamp_utc", "country", "anomaly_score", "is_anomaly"))
 
 
 def _counter_sql(endpoint, fields):

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loadcast import oracle_sql as O
+from loadcast.functions.timecols import epoch_hours
+from loadcast.operators import backtest as bt
 from loadcast.operators import evaluate as ev
 from loadcast.operators import features as feat
 from loadcast.operators import forecast as fc
 from loadcast.operators import ledger as lg
+from loadcast.operators.training import ledger_records
 from loadcast.plans import layers
 from loadcast.present import finish
 from loadcast.registry import query
@@ -190,11 +195,8 @@ FROM cv GROUP BY fold, model"""
 def rolling_origin_cv(spark, sf_dir):
     """Five time-ordered folds of 2 days; training means from prefix sums of
     per-segment aggregates (no row is copied per fold)."""
-    g = layers.gold_grid(spark, sf_dir)
-    mx = g.select(F.max("timestamp_utc")).scalar()
-    cuts = [mx - F.expr(f"INTERVAL {(FOLDS + 1 - f) * FOLD_DAYS} DAY") for f in range(1, FOLDS + 1)]
-    seg = sum((F.col("timestamp_utc") > c).cast("int") for c in cuts)
-    g = g.withColumn("seg", seg)
+    g = layers.gold_table(spark, sf_dir)
+    g = bt.with_segment(g, bt.cutoffs(g, FOLDS, FOLD_DAYS))
     agg = g.groupBy("seg").agg(F.sum("load_mw_clean").alias("s"), F.count("load_mw_clean").alias("c"))
     w = Window.orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
     means = agg.select(F.col("seg").alias("fold"), (F.sum("s").over(w) / F.sum("c").over(w)).alias("train_mean"))
@@ -206,6 +208,33 @@ def rolling_origin_cv(spark, sf_dir):
     return finish(ev.forecast_metrics(both, by=["fold", "model"]))
 
 
+@query("rolling_origin_refits")
+def rolling_origin_refits(spark, sf_dir):
+    """Five folds, four models, each refitted from the sums before its cutoff."""
+    pred = bt.rolling_origin(layers.gold_table(spark, sf_dir, drop=False), FOLDS, FOLD_DAYS, SEQ_L)
+    return finish(ev.forecast_metrics(ev.mask_valid(pred), by=["fold", "model"]))
+
+
+def _sums_sql():
+    cut = lambda f: f"((SELECT max(timestamp_utc) FROM gold) - INTERVAL {(FOLDS + 1 - f) * FOLD_DAYS} DAY)"
+    seg = " + ".join(f"CAST(timestamp_utc > {cut(f)} AS INTEGER)" for f in range(1, FOLDS + 1))
+    x = "sin(2 * pi() * (epoch(timestamp_utc) / 3600) / 24)"
+    return W(*GOLD, ("s", f"SELECT country, {seg} AS seg, load_mw_clean AS y, {x} AS x FROM gold WHERE load_mw_clean IS NOT NULL")) + f"""
+SELECT country, CAST(seg AS BIGINT) AS seg, CAST(count(*) AS DOUBLE) AS n, {R('sum(y)')} AS sum_y, {R('sum(y * y)')} AS sum_yy, {R('sum(x * x)')} AS sum_xx, {R('sum(x * y)')} AS sum_xy
+FROM s GROUP BY country, seg"""
+
+
+@query("rolling_origin_sums", _sums_sql())
+def rolling_origin_sums(spark, sf_dir):
+    """Normal equations of (1, daily sine) per zone and segment."""
+    g = layers.gold_table(spark, sf_dir)
+    g = bt.with_segment(g, bt.cutoffs(g, FOLDS, FOLD_DAYS)).filter("load_mw_clean is not null")
+    g = g.withColumns({"one": F.lit(1.0), "x": F.sin(F.lit(2 * math.pi / 24) * epoch_hours("timestamp_utc"))})
+    m = bt.segment_grams(g, "country", ["one", "x"], "load_mw_clean")
+    at = lambda i, j: F.max(F.when(F.col("i") == i, F.col("row")[j]))
+    return finish(m.groupBy("country", "seg").agg(at(0, 0).alias("n"), at(0, 2).alias("sum_y"), at(2, 2).alias("sum_yy"), at(1, 1).alias("sum_xx"), at(1, 2).alias("sum_xy")))
+
+
 def train_forecasters_df(spark, sf_dir, gbt_params=None, seq_len=SEQ_L, save_dir=None):
     from loadcast.operators.training import train_forecasters as tf
     return tf(layers.gold_table(spark, sf_dir, drop=False), TEST_DAYS, gbt_params or GBT_QUICK, seq_len, save_dir)
@@ -221,11 +250,7 @@ def train_forecasters(spark, sf_dir):
 def model_ledger(spark, sf_dir):
     """Append one ledger row per candidate (params, metrics, alias) and read it back."""
     m, runs = train_forecasters_df(spark, sf_dir)
-    rows = m.filter("status = 'ok'").select("model", "mape", "rmse", "mae", "is_champion").collect()  # one row per candidate
-    params = {r["family"]: r["params"] for r in runs}
-    recs = [{"family": r["model"], "params": params.get(r["model"], {}),
-             "metrics": {"mape": r["mape"], "rmse": r["rmse"], "mae": r["mae"]},
-             "alias": "champion" if r["is_champion"] else None} for r in rows]
+    recs = ledger_records(m, runs)
     path = lg.append_ledger(lg.ledger_rows(spark, recs), work_dir(spark, "ledger"))
     led = spark.read.parquet(path)
     return led.select("family", "alias", F.col("metrics")["mape"].alias("mape"),

@@ -65,7 +65,7 @@ def test_isolation_forest_share_and_spike(spark, synthetic_gold):
     spiked = synthetic_gold.withColumns({c: F.when(at, F.lit(90000.0)).otherwise(F.col(c)) for c in
                                          ["load_mw_clean", "load_mw_clean_lag_24", "load_mw_clean_lag_168",
                                           "load_mw_clean_roll_mean_24", "load_mw_clean_roll_std_24"]})
-    scored, nodes, _ = an.train_anomaly(spiked, n_trees=50, contamination=0.05, sample_size=128)
+    scored, nodes, *_ = an.train_anomaly(spiked, n_trees=50, contamination=0.05, sample_size=128)
     share = scored.agg(F.avg("is_anomaly")).first()[0]
     assert 0 < share < 0.2
     top = scored.orderBy("anomaly_score").first()
@@ -76,7 +76,7 @@ def test_isolation_forest_share_and_spike(spark, synthetic_gold):
 
 def test_scores_do_not_depend_on_batch(spark, synthetic_gold):
     """Imputation uses training means, so a row scores the same alone or in a batch."""
-    scored, nodes, means = an.train_anomaly(synthetic_gold, n_trees=20, sample_size=64)
+    scored, nodes, means, _ = an.train_anomaly(synthetic_gold, n_trees=20, sample_size=64)
     offset = F.lit(0.0)
     one = synthetic_gold.limit(1)
     a = an.detect(one, nodes, offset, ANOMALY_FEATURES, means).select("raw_score").first()[0]
@@ -103,3 +103,45 @@ def test_rows_with_a_missing_feature_stay_without_a_prediction(synthetic_gold):
     assert pred.filter("prediction is null").count() == n == pred.filter("prediction is null and hour(timestamp_utc) = 5").count()
     whole = fc.predict(model, test).select("timestamp_utc", "prediction").exceptAll(pred.select("timestamp_utc", "prediction"))
     assert whole.count() == n
+
+
+def test_every_family_is_stored_resolved_and_refuses_a_wrong_signature(spark, synthetic, tmp_path):
+    import datetime as dt
+
+    import pytest
+    from loadcast.operators import anomaly as an
+    from loadcast.operators import ledger as lg
+    from loadcast.operators import models
+    from loadcast.operators.features import build_gold
+    from loadcast.operators.training import CANDIDATES, ledger_records, train_forecasters
+    gold = build_gold(synthetic, zone_map={"ES": "ES"}, bucket_steps=None, drop=False).cache()
+    metrics, runs = train_forecasters(gold, 2, {"max_iter": 3, "max_depth": 3}, seq_len=24, save_dir=f"{tmp_path}/models")
+    nodes, means = an.fit_forest(gold, n_trees=20, sample_size=64), an.impute_means(gold, an.ANOMALY_FEATURES)
+    offset = an.fit_offset(an.score_samples(gold.na.drop(subset=an.ANOMALY_FEATURES), nodes, sample_size=64), 0.05)
+    signature = models.save_model(spark, "isolation_forest", (nodes, offset, means, 64), f"{tmp_path}/forest", gold)
+    records = ledger_records(metrics, runs) + [{"family": "isolation_forest", "alias": "anomaly", "model_path": f"{tmp_path}/forest", "signature": signature}]
+    ledger = f"{tmp_path}/ledger"
+    lg.append_ledger(lg.ledger_rows(spark, records), ledger)
+    assert {r["family"] for r in records} == {*CANDIDATES, "isolation_forest"} and all(r["signature"] for r in records)
+    champion = next(r for r in records if r["alias"] == "champion")
+    assert models.resolve(spark, ledger, "champion") == champion["model_path"]
+    rows = gold.filter(F.col("timestamp_utc") >= F.lit(dt.datetime(2023, 5, 17))).na.drop()
+    for r in records[:-1]:  # stored and loaded, a model scores as before
+        out = models.Model(spark, r["model_path"]).score(rows, history=gold)
+        got = forecast_metrics_of(out)
+        want = metrics.filter(F.col("model") == r["family"]).first()
+        assert abs(got["rmse"] - want["rmse"]) < 1e-6 * want["rmse"], r["family"]
+    scored = models.score_by_alias(spark, ledger, "anomaly", rows)
+    plain = an.detect(rows, nodes, offset, means=means, sample_size=64)
+    assert sorted(scored.select("timestamp_utc", "anomaly_score").collect()) == sorted(plain.select("timestamp_utc", "anomaly_score").collect())
+    with pytest.raises(models.SignatureMismatch, match="hour is missing"):
+        models.score_by_alias(spark, ledger, "anomaly", rows.drop("hour"))
+    with pytest.raises(models.SignatureMismatch, match="load_mw_clean_lag_24 is string"):
+        models.score_by_alias(spark, ledger, "anomaly", rows.withColumn("load_mw_clean_lag_24", F.lit("x")))
+    with pytest.raises(LookupError):
+        models.resolve(spark, ledger, "nobody")
+
+
+def forecast_metrics_of(df):
+    from loadcast.operators import evaluate as ev
+    return ev.forecast_metrics(ev.mask_valid(df), y="load_mw_clean").first()

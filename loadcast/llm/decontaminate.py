@@ -10,8 +10,8 @@ are scanned once per block.  A hash hit counts only after the words themselves
 were compared.
 
 Defined results: null and empty texts have no words (0 hits); an item without
-words has no window; repeated items and repeated document rows count on their
-own; an empty benchmark hits nothing; extra columns are ignored or passed on.
+words has no window; the texts of a repeated item id are one item, found once;
+repeated document rows count on their own; an empty benchmark hits nothing; extra columns are ignored or passed on.
 """
 
 from __future__ import annotations
@@ -46,8 +46,10 @@ class WindowIndex:
     def __init__(self, items: list[tuple[object, bytes | None]], n: int) -> None:
         self.vocab: dict[bytes, int] = {}
         found: dict[int, dict[tuple[int, ...], set[int]]] = {}
-        self.items = [i for i, _ in items]
-        for k, (_, text) in enumerate(items):
+        self.items = list(dict.fromkeys(i for i, _ in items))
+        number = {i: k for k, i in enumerate(self.items)}
+        for i, text in items:
+            k = number[i]
             ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text or b"")]
             size = min(n, len(ids))
             for s in range(len(ids) - size + 1 if size else 0):
@@ -135,12 +137,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, row: F.Column, field: str | N
     state = docs.select(row.alias("row"), *text, F.lit(0).cast("long").alias("n_words"),
                         F.expr("cast(array() as array<struct<s:bigint,e:bigint>>)").alias("spans"),
                         F.expr("cast(array() as array<string>)").alias("items"))
-    bench = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).cast("binary").alias("t"))
+    bench = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).cast("binary").alias("t")).distinct()
     # A word takes two bytes at least, so this bounds the words that travel.
     total = bench.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = n_blocks(total, 2 * max_words)
     for k in range(blocks):
-        own = bench.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
+        own = bench.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k)  # an item is in one block
         state = _scan_block(state, [(r["i"], r["t"] and bytes(r["t"])) for r in own.collect()], n, field)
     return state.drop("t")
 

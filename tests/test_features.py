@@ -106,6 +106,9 @@ def test_holiday_rules_known_dates(spark):
                  ("ES", dt.date(2025, 4, 18)), ("ES", dt.date(2023, 4, 7)), ("ES", dt.date(2024, 12, 8))]:
         assert (c, d) in got, (c, d)
     assert ("US", dt.date(2024, 3, 29)) not in got
+    observed = {r["holiday_date"] for r in cal.holiday_dimension(cal.years_between(spark, 2020, 2023)).filter("name like '%(observed)'").collect()}
+    assert observed == {dt.date(2020, 7, 3), dt.date(2021, 6, 18), dt.date(2021, 7, 5), dt.date(2021, 12, 24), dt.date(2021, 12, 31),
+                        dt.date(2022, 6, 20), dt.date(2022, 12, 26), dt.date(2023, 1, 2), dt.date(2023, 11, 10)}
 
 
 def test_movable_flag_matches_dimension(spark):

@@ -9,8 +9,9 @@ The documents are read once per block of items; their counts are stored, and
 document frequencies follow from the stored table.  Then tasks take them in
 shards of bounded size.  A shard is split recursively at the median between two
 far documents into balls (centroid, radius).  No document of a ball scores over
-``<item, centroid> + |item| * radius``; the bound is taken in doubles and
-rounded up by more than its error.  An item visits the balls of a shard
+``<item, centroid> + |item| * radius``, nor over ``<item, centroid + reach>``,
+the radius taken term by term (an item has few terms, the ball many); the lesser
+bound is taken in doubles and rounded up by more than its error.  An item visits the balls of a shard
 best-first and stops at the first whose bound is below its ``k``-th best score
 so far, which tightens from shard to shard.  Leaves are scored in integers, so
 the result is exact; balls decide only the work.
@@ -45,7 +46,7 @@ TOP = 20
 BLOCK_BYTES = 1 << 17   # text of the items that travel together
 SHARD = 2048            # documents of a tree, at most
 CELLS = 1 << 23         # documents times terms of a tree, at most (about)
-LEAF = 32
+LEAF = 16
 _PART = 1 << 20
 _UP = 1 + 1e-9          # over the relative error of sums of some thousand doubles
 
@@ -135,18 +136,20 @@ class Tree:
             node += 1
         self.cells = cells[self.order]
         self.centroid = np.empty((len(self.start), cells.shape[1]))
-        self.radius = np.empty(len(self.start))
+        self.radius, self.reach = np.empty(len(self.start)), np.empty((len(self.start), cells.shape[1]))
         for k, (a, z) in enumerate(zip(self.start, self.stop, strict=True)):
             own = self.cells[a:z]
             c = own.mean(axis=0)
             away = own - c
             self.centroid[k] = c
             self.radius[k] = math.sqrt(np.einsum("ij,ij->i", away, away).max()) * _UP
+            self.reach[k] = away.max(axis=0)
 
     def bounds(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """No row of a node scores over its bound."""
         q = counts.astype(np.float64)
-        return (self.centroid[:, terms] @ q + math.sqrt(q @ q) * self.radius) * _UP + 1
+        beyond = np.minimum(math.sqrt(q @ q) * self.radius, self.reach[:, terms] @ q)
+        return (self.centroid[:, terms] @ q + beyond) * _UP + 1
 
 
 class Best:

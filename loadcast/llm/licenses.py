@@ -9,14 +9,17 @@ each) agrees; the number of bands is set so that a window which holds the
 required share of a template's shingles is missed with a probability under
 ``MISS``.  Candidates are verified by exact shingle containment.
 
-Two things keep this cheap without changing it.  A band can only agree if the
-window holds one of the template's shingles, so windows without any are never
-signed.  And template tables are bounded by the templates, which are checked to
-be few enough to be literals and broadcast; more of them are dealt into blocks.
+A text is tokenised once, and its shingles meet those of all templates in one
+join, word for word.  Windows are built around these hits only and signed over
+the shingles that their class knows: other shingles of a window can never agree
+with a template, and leaving them out only raises the similarity that the bands
+are set for.  The template side is broadcast while it has at most
+``MAX_SHINGLES`` shingles; a larger one is shuffled.
 
 Defined results: null and empty texts, and texts without words, match nothing;
-repeated rows give their own rows (results are per id and text); an empty table
-gives an empty result; extra columns are not read.
+templates without words are never found; repeated rows give their own rows
+(results are per id and text); an empty table gives an empty result; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -26,13 +29,14 @@ import re
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE = 5
 CONTAINMENT = 0.8
 MISS = 1e-6
-MAX_SHINGLES = 5000  # of the templates of one pass
+MAX_SHINGLES = 500_000  # of all templates, while they are broadcast (about 50 MB)
+MAX_TEMPLATE_BYTES = 64_000_000  # of a table of templates
 PART = 128  # words of a part of a full licence text
 
 # Texts of public licences and notices, and their SPDX names.
@@ -126,55 +130,39 @@ def classes_of(templates, shingle: int, containment: float, miss: float) -> dict
     return out
 
 
-def _shingle_hash(codes: Column, i: Column, k: int) -> Column:
-    return F.xxhash64(*[F.get(codes, i + j) for j in range(k)])
-
-
-def _bands(n: Column, marks: Column) -> Column:
+def _bands(n: Column, held: Column) -> Column:
     """One MinHash a band: the least shingle code under the band's own hash."""
     return F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.struct(
-        b.alias("b"), F.array_min(F.transform(marks, lambda m: F.xxhash64(b, m))).alias("h")))
-
-
-def _template_table(spark, classes: list[tuple[LengthClass, list[tuple[str, list[str]]]]]) -> DataFrame:
-    rows = [(c, shape.shingle, shape.bands, name, shingles) for c, (shape, own) in enumerate(classes) for name, shingles in own]
-    t = spark.createDataFrame(rows, "cls int, k int, bands int, template string, shingles array<string>")
-    mark = F.lit(None).cast("array<bigint>")
-    for k in {shape.shingle for shape, _ in classes}:
-        mark = F.when(F.col("k") == k, F.transform("shingles", lambda s: _shingle_hash(
-            F.transform(F.split(s, " "), lambda x: F.xxhash64(x)), F.lit(0), k))).otherwise(mark)
-    return t.withColumn("marks", mark)
-
-
-def _pass(base: DataFrame, classes: list[tuple[LengthClass, list[tuple[str, list[str]]]]], containment: float) -> DataFrame:
-    """Verified (id, version, template, start, share) for some templates."""
-    known = _template_table(base.sparkSession, classes)
-    wanted: dict[int, set[int]] = {}
-    for r in known.select("cls", "marks").collect():  # bounded: max_shingles
-        wanted.setdefault(r["cls"], set()).update(r["marks"])
-    sizes = sorted({shape.shingle for shape, _ in classes})
-    rows = base.select("*", *[F.when(F.size("codes") >= k, F.transform(
-        F.sequence(F.lit(0), F.size("codes") - k), lambda i: _shingle_hash(F.col("codes"), i, k))).alias(f"marks{k}") for k in sizes])
-    kind = "array<struct<cls:int,bands:int,k:int,start:int,marks:array<bigint>,words:array<string>>>"
-    found = []
-    for c, (shape, _) in enumerate(classes):
-        marks, mine = F.col(f"marks{shape.shingle}"), F.lit(sorted(wanted[c]))
-        starts = F.sequence(F.lit(0), F.size(marks) - 1, F.lit(shape.stride))
-        cut = F.transform(starts, lambda s: F.struct(
-            s.alias("start"), F.slice(marks, s + 1, F.lit(shape.width - shape.shingle + 1)).alias("marks")))
-        cut = F.transform(F.filter(cut, lambda w: F.arrays_overlap(w["marks"], mine)), lambda w: F.struct(
-            F.lit(c).alias("cls"), F.lit(shape.bands).alias("bands"), F.lit(shape.shingle).alias("k"), w["start"].alias("start"),
-            w["marks"].alias("marks"), F.slice("words", w["start"] + 1, F.lit(shape.width)).alias("words")))
-        found.append(F.when(F.arrays_overlap(marks, mine), cut).otherwise(F.expr(f"cast(array() as {kind})")))
-    windows = (rows.select("id", "version", F.explode(F.concat(*found)).alias("w")).select("id", "version", "w.*")
-               .withColumn("band", F.explode(_bands(F.col("bands"), F.col("marks")))))
-    signed = known.select("cls", "template", "shingles", F.explode(_bands(F.col("bands"), F.col("marks"))).alias("band"))
-    met = (windows.join(F.broadcast(signed), ["cls", "band"]).groupBy("id", "version", "start", "k", "template")
-           .agg(F.max("words").alias("words"), F.max("shingles").alias("shingles")))
-    held = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("words") - F.col("k")),
-                                        lambda i: F.array_join(F.slice("words", i + 1, F.col("k")), " ")))
-    share = F.size(F.array_intersect(held, F.col("shingles"))) / F.size("shingles")
-    return met.select("id", "version", "template", "start", share.alias("share")).filter(F.col("share") >= containment)
+        b.alias("b"), F.array_min(F.transform(held, lambda m: F.xxhash64(b, m))).alias("h")))
+
+
+def _template_tables(spark: SparkSession, classes: list[tuple[LengthClass, list[tuple[str, list[str]]]]]) -> tuple[DataFrame, DataFrame, int]:
+    """``(cls, k, stride, width, shingle, code)`` of every shingle of a class,
+    ``(cls, bands, template, codes)``, and the number of rows of the former."""
+    code = {x: n for n, x in enumerate(sorted({x for _, own in classes for _, ss in own for x in ss}))}
+    shingles = [(c, shape.shingle, shape.stride, shape.width, x, code[x]) for c, (shape, own) in enumerate(classes)
+                for x in sorted({x for _, ss in own for x in ss})]
+    templates = [(c, shape.bands, name, [code[x] for x in ss]) for c, (shape, own) in enumerate(classes) for name, ss in own]
+    return (spark.createDataFrame(shingles, "cls int, k int, stride int, width int, shingle string, code int"),
+            spark.createDataFrame(templates, "cls int, bands int, template string, codes array<int>"), len(shingles))
+
+
+def _hits(docs: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """``(id, version, pos, cls, k, stride, width, code)`` of every shingle of a
+    template in a text; shingles meet by their first words, then word for word."""
+    least, most = min(sizes), max(sizes)
+    names = [f"w{j}" for j in range(most)]
+    words = docs.select("id", "version", F.array_remove(F.split(F.lower(F.col("t")), "[^a-z0-9]+"), "").alias("words"))
+    rows = words.select("id", "version", F.posexplode(F.arrays_zip(*[
+        (F.slice("words", j + 1, F.size("words")) if j else F.col("words")).alias(n) for j, n in enumerate(names)])).alias("pos", "w"))
+    rows = rows.select("id", "version", "pos", *[F.col("w")[n].alias(n) for n in names]).filter(F.col(names[least - 1]).isNotNull())
+    first = F.split(F.col("shingle"), " ")
+    known = known.withColumn("meet", F.xxhash64(*[F.get(first, j) for j in range(least)]))
+    same = F.lit(False)
+    for k in sizes:
+        same = same | ((F.col("k") == k) & F.col(names[k - 1]).isNotNull() & (F.concat_ws(" ", *names[:k]) == F.col("shingle")))
+    return (rows.withColumn("meet", F.xxhash64(*names[:least])).join(known, "meet").filter(same)
+            .select("id", "version", "pos", "cls", "k", "stride", "width", "code"))
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, shingle: int = SHINGLE,
@@ -185,22 +173,27 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tem
     id and text give one result.  ``templates`` are pairs of a name and a text,
     or a table of two such columns."""
     if isinstance(templates, DataFrame):
-        templates = [tuple(r) for r in templates.collect()]
-    base = (docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("version"),
-                        F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "").alias("words"))
-            .withColumn("codes", F.transform("words", lambda w: F.xxhash64(w))))
-    passes, size = [[]], 0
-    for t in templates:
-        n = len(words_of(t[1]))
-        if size + n > max_shingles and passes[-1]:
-            passes.append([])
-            size = 0
-        passes[-1].append(t)
-        size += n
-    verified = base.select("id", "version", F.lit("").alias("template"), F.lit(0).alias("start"), F.lit(0.0).alias("share")).limit(0)
-    for own in passes if any(words_of(t) for _, t in templates) else []:
-        hit = _pass(base, list(classes_of(own, shingle, containment, miss).items()), containment)
-        verified = hit if own is passes[0] else verified.union(hit)
+        named = templates.select(*[F.col(c).cast("string") for c in templates.columns[:2]])
+        size = named.agg(F.coalesce(F.sum(F.octet_length(named.columns[1])), F.lit(0))).first()[0]
+        if size > MAX_TEMPLATE_BYTES:
+            raise ValueError(f"templates of {size} bytes; at most {MAX_TEMPLATE_BYTES} are scanned for at once")
+        templates = [tuple(r) for r in named.dropna().collect()]
+    classes = list(classes_of(templates, shingle, containment, miss).items())
+    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).cast("string").alias("t"))
+    if not classes:
+        return base.limit(0).select(F.col("id").alias(id_col), F.lit("").alias("template"), F.lit(0).cast("long").alias("n_windows"),
+                                    F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("first_word"))
+    known, wanted, size = _template_tables(docs.sparkSession, classes)
+    few = F.broadcast if size <= max_shingles else (lambda t: t)
+    hits = _hits(base, few(known), sorted({shape.shingle for shape, _ in classes}))
+    earliest = F.ceil(F.greatest(F.lit(0), F.col("pos") - F.col("width") + F.col("k")) / F.col("stride")).cast("int") * F.col("stride")
+    windows = (hits.withColumn("start", F.explode(F.sequence(earliest, "pos", "stride")))
+               .groupBy("id", "version", "cls", "start").agg(F.collect_set("code").alias("held")))
+    signed = few(wanted.withColumn("band", F.explode(_bands(F.col("bands"), F.col("codes")))))
+    bands = few(wanted.select("cls", "bands").distinct())
+    met = windows.join(bands, "cls").withColumn("band", F.explode(_bands(F.col("bands"), F.col("held")))).drop("bands").join(signed, ["cls", "band"])
+    share = F.size(F.array_intersect("held", "codes")) / F.size("codes")
+    verified = met.select("id", "version", "template", "start", share.alias("share")).filter(F.col("share") >= containment)
     return (verified.groupBy("id", "version", "template").agg(
         F.count_distinct("start").alias("n_windows"), F.max("share").alias("containment"), F.min("start").cast("long").alias("first_word"))
         .select(F.col("id").alias(id_col), "template", "n_windows", "containment", "first_word"))

@@ -154,10 +154,15 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    classes = licenses.classes_of(licenses.TEMPLATES, licenses.SHINGLE, licenses.CONTAINMENT, licenses.MISS)
-    rows = ", ".join(f"('{name}', '{s}', {c.shingle}, {c.stride}, {c.width}, {len(ss)})" for c, own in classes.items() for name, ss in own for s in ss)
+    known = licenses.known_templates()
+    text = dict(known)
+    classes = licenses.classes_of(known, licenses.SHINGLE, licenses.CONTAINMENT, licenses.MISS)
+    rows = ", ".join(f"('{name}', '{' '.join(licenses.words_of(text[name]))}', {c.shingle}, {c.stride}, {c.width})" for c, own in classes.items() for name, _ in own)
     return f"""
-WITH tpl(template, shingle, k, stride, width, n_shingles) AS (VALUES {rows}),
+WITH given(template, words, k, stride, width) AS (VALUES {rows}),
+cut AS (SELECT DISTINCT template, k, stride, width, array_to_string(list_slice(w, p + 1, p + k), ' ') AS shingle
+        FROM (SELECT *, string_split(words, ' ') AS w, unnest(range(0, len(string_split(words, ' ')))) AS p FROM given) WHERE p + k <= len(w)),
+tpl AS (SELECT *, count(*) OVER (PARTITION BY template) AS n_shingles FROM cut),
 d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
 ks AS (SELECT DISTINCT k FROM tpl),
 s AS (SELECT doc_id, k, p, array_to_string(list_slice(w, p + 1, p + k), ' ') AS shingle

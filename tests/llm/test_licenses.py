@@ -10,10 +10,11 @@ from loadcast.llm import licenses as lic
 
 def brute(docs, templates, shingle=5, containment=0.8):
     out = {}
+    shapes = {n: c for c, own in lic.classes_of(templates, shingle, containment, 1e-6).items() for n, _ in own}
     for d, t in docs:
         w = lic.words_of(t or "")
         for name, text in templates:
-            shape = next(c for c, own in lic.classes_of(templates, shingle, containment, 1e-6).items() for n, _ in own if n == name)
+            shape = shapes[name]
             want = set(lic.shingles_of(lic.words_of(text), shape.shingle))
             for start in range(0, len(w), shape.stride):
                 held = set(lic.shingles_of(w[start:start + shape.width], shape.shingle)) & want
@@ -64,3 +65,22 @@ def test_full_texts_and_headers_are_found(spark):
     templates = spark.createDataFrame(own, "name string, text string")
     got = {(r.doc_id, r.template) for r in lic.scan(spark.createDataFrame(docs, "doc_id long, text string"), templates=templates).collect()}
     assert {(i, n) for i, (n, _) in enumerate(own)} <= got and not [d for d, _ in got if d == 100]
+
+
+def test_full_set_matches_brute_force(spark):
+    rng = random.Random(3)
+    known = lic.known_templates()
+    text = dict(known)
+    some = [text[n] for n in ("MIT#1", "MIT#2", "ISC#1", "GPL-3.0#7", "GPL-3.0#8", "LGPL-2.1#3", "MPL-2.0-header", "proprietary")]
+    docs = [(i, " ".join(x for t in rng.sample(some, 2) for x in ["before it", *(w for w in t.split() if rng.random() > 0.02), "and after"])) for i in range(12)]
+    got = {(r.doc_id, r.template): (r.n_windows, r.containment, r.first_word)
+           for r in lic.scan(spark.createDataFrame(docs, "doc_id long, text string"), templates=known).collect()}
+    assert got == brute(docs, known)
+
+
+def test_templates_without_words_and_long_texts(spark):
+    docs = spark.createDataFrame([(1, "word " * 300_000 + "All rights reserved."), (2, None)], "doc_id long, text string")
+    assert lic.scan(docs, templates=[("none", "!!")]).count() == 0
+    assert [(r.doc_id, r.template, r.first_word) for r in lic.scan(docs).collect()] == [(1, "proprietary", 300_000)]
+    templates = spark.createDataFrame([("x", None), ("y", "All rights reserved.")], "name string, text string")
+    assert [r.template for r in lic.scan(docs, templates=templates).collect()] == ["y"]

@@ -2,20 +2,27 @@
 
 A line's tokens are split at spaces; tokens with a digit are variable fields
 (``<*>``), unless more than half of the line would be.  The tree has a fixed
-depth: token count, then the first ``lead`` tokens.  In a leaf, lines are first
-one template per masked text.  A leaf with several such templates also has a
-generalised one: the token that most of them share at a position stays, the
-other positions are variable; templates of at least ``merge_tokens`` tokens
-that agree with ``similarity`` of its positions are its instances.
+depth: token count, then the first ``lead`` tokens.  A leaf holds any number of
+templates:
+
+- every masked text is one;
+- every text with one token after the leading ones left open is one, if lines of
+  several texts fit it (so a family is found whatever else shares its leaf);
+- for lines of at least ``merge_tokens`` tokens, the text of the tokens that
+  most texts of the leaf share at their positions, the others open; texts that
+  agree with ``similarity`` of all positions are its instances.
 
 A template that recurs in more than one document is kept in the document with
 the smallest id (every occurrence there) and dropped from all others.  Lines of
-fewer than ``min_tokens`` tokens are never dropped.
+fewer than ``min_tokens`` tokens (text without spaces, too) have no variable
+fields: they recur as they stand.  Blank lines are never dropped.
 
-Only hashes travel: 128 bits of the masked line, 64 of the leaf, 7 of each
-token (for the positions of merged templates).  Everything before a shuffle is
-a partial aggregate (smallest and largest document id), so a line that a third
-of all documents share is one row a task.
+Hashes travel: 128 bits of the masked line and 64 of its leaf; 64 bits of each
+token only where a leaf has several texts.  A text with one token open is the
+XOR of its positions' hashes (128 bits) without that position, so a line takes
+time in proportion to its length.  Everything before a shuffle is a partial
+aggregate (smallest and largest document id), so a line that a third of all
+documents share is one row a task.
 
 Defined results: null text stays null, empty text empty; a document whose lines
 all go keeps its row with empty text; rows without an id are left alone and
@@ -35,6 +42,7 @@ LEAD = 4
 MIN_TOKENS = 5
 MERGE_TOKENS = 8
 SIMILARITY = 0.8
+BROADCAST_LEAVES = 1_000_000  # leaves that may be broadcast (16 MB)
 VARIABLE = "<*>"
 
 
@@ -49,46 +57,68 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.when(fields * 2 <= _spaces(line) + 1, out).otherwise(line)).otherwise(line)
 
 
-def _lines(docs: DataFrame, lead: int, min_tokens: int, codes_from: int | None) -> DataFrame:
-    """``(doc, version, pos, leaf, h1, h2[, codes])`` of every line long enough."""
-    rows = docs.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    rows = rows.withColumn("n_tokens", _spaces(F.col("line")) + 1).filter(F.col("n_tokens") >= min_tokens)
-    rows = rows.withColumn("m", masked(F.col("line")))
-    out = ["doc", "version", "pos", F.xxhash64("n_tokens", F.substring_index("m", " ", lead)).alias("leaf"),
-           F.xxhash64("m").alias("h1"), F.xxhash64(F.lit(1), "m").alias("h2")]
-    if codes_from is not None:
-        tokens = F.transform(F.split("m", " "), lambda t: F.hash(t).bitwiseAND(127).cast("tinyint"))
-        out.append(F.when(F.col("n_tokens") >= codes_from, tokens).otherwise(F.expr("cast(array() as array<tinyint>)")).alias("codes"))
-    return rows.select(*out)
-
-
-def recurring_templates(docs: DataFrame, *, lead: int = LEAD, min_tokens: int = MIN_TOKENS, merge_tokens: int = MERGE_TOKENS,
-                        similarity: float = SIMILARITY) -> DataFrame:
-    """``(h1, h2, keep)`` of masked lines whose template recurs across
-    documents; ``keep`` is the document that keeps it.  ``docs`` has
-    ``(doc, version, text)``."""
-    lines = _lines(docs, lead, min_tokens, merge_tokens).filter("doc is not null")
-    span = F.min("doc").alias("low"), F.max("doc").alias("high")
-    # Codes are a function of h1, h2; as a key they need no aggregation buffer.
-    kinds = written(lines.groupBy("leaf", "h1", "h2", "codes").agg(*span), "line-templates")
-    exact = kinds.filter("low < high").select("h1", "h2", F.col("low").alias("keep"))
-    long = kinds.filter(F.size("codes") > 0)
-    leaves = (long.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("a"), F.max("high").alias("b"))
-              .filter("n > 1 and a < b").select("leaf", "n"))
-    shared = written(long.join(leaves, "leaf"), "shared-leaves")
-    votes = (shared.select("leaf", "n", F.posexplode("codes").alias("at", "code")).groupBy("leaf", "n", "at", "code").count()
+def _lines(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
+    """``(doc, version, pos, n_tokens, m, leaf, h1, h2)`` of every line that is
+    not blank; ``leaf`` is null for a line of few tokens."""
+    rows = docs.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(F.btrim("line", F.lit(" \t\r")) != "")
+    rows = rows.withColumn("n_tokens", _spaces(F.col("line")) + 1)
+    long = F.col("n_tokens") >= min_tokens
+    rows = rows.withColumn("m", F.when(long, masked(F.col("line"))).otherwise(F.col("line")))
+    return rows.select("doc", "version", "pos", "n_tokens", "m", F.when(long, F.xxhash64("n_tokens", F.substring_index("m", " ", lead))).alias("leaf"),
+                       F.xxhash64("m").alias("h1"), F.xxhash64(F.lit(1), "m").alias("h2"))
+
+
+def _one_open(shared: DataFrame, lead: int, similarity: float) -> DataFrame:
+    """``(h1, h2, keep)`` of texts that agree with another in all but one token."""
+    at = lambda seed, p, code: F.xxhash64(F.lit(seed), p, code)
+    whole = [F.aggregate(F.transform("codes", lambda c, p: at(seed, p, c)), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)).alias(f"all{seed}")
+             for seed in (0, 1)]
+    texts = shared.filter(F.size("codes") - 1 >= similarity * F.size("codes")).select("leaf", "h1", "h2", "low", "high", *whole, "codes")
+    fields = texts.select("leaf", "h1", "h2", "low", "high", "all0", "all1", F.posexplode("codes").alias("p", "code")).filter(F.col("p") >= lead)
+    fields = fields.select("leaf", "p", *[F.col(f"all{seed}").bitwiseXOR(at(seed, F.col("p"), F.col("code"))).alias(f"k{seed}") for seed in (0, 1)],
+                           "h1", "h2", "low", "high")
+    template = ["leaf", "p", "k0", "k1"]
+    several = (fields.groupBy(*template).agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("keep"), F.max("high").alias("last"))
+               .filter("n > 1 and keep < last").select(*template, "keep"))
+    return fields.join(several, template).select("h1", "h2", "keep")
+
+
+def _majority(shared: DataFrame, merge_tokens: int, similarity: float) -> DataFrame:
+    """``(h1, h2, keep)`` of instances of the template that most of a leaf share."""
+    long = shared.filter(F.size("codes") >= merge_tokens)
+    votes = (long.select("leaf", "n", F.posexplode("codes").alias("at", "code")).groupBy("leaf", "n", "at", "code").count()
              .filter(F.col("count") * 2 > F.col("n")))
     constant = (votes.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("at", "code"))).alias("constant"),
                                           F.count(F.lit(1)).alias("n_constant")))
     constant = constant.select("leaf", F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("constant"))),
                                                    lambda i: F.try_element_at("constant", i)).alias("fixed"), "n_constant")
     agree = F.aggregate(F.zip_with("codes", "fixed", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda a, x: a + x)
-    instances = (shared.join(constant, "leaf").filter(F.col("n_constant") >= similarity * F.size("codes"))
+    instances = (long.join(constant, "leaf").filter(F.col("n_constant") >= similarity * F.size("codes"))
                  .filter(agree >= similarity * F.size("codes")).select("leaf", "h1", "h2", "low", "high"))
     merged = (instances.groupBy("leaf").agg(F.min("low").alias("keep"), F.max("high").alias("last"))
               .filter("keep < last").select("leaf", "keep"))
-    general = instances.join(merged, "leaf").select("h1", "h2", "keep")
-    # A template may be both; its generalised one keeps the earlier document.
+    return instances.join(merged, "leaf").select("h1", "h2", "keep")
+
+
+def recurring_templates(docs: DataFrame, *, lead: int = LEAD, min_tokens: int = MIN_TOKENS, merge_tokens: int = MERGE_TOKENS,
+                        similarity: float = SIMILARITY, broadcast_leaves: int = BROADCAST_LEAVES) -> DataFrame:
+    """``(h1, h2, keep)`` of masked lines whose template recurs across
+    documents; ``keep`` is the document that keeps it.  ``docs`` has
+    ``(doc, version, text)``."""
+    lines = _lines(docs, lead, min_tokens).filter("doc is not null")
+    span = F.min("doc").alias("low"), F.max("doc").alias("high")
+    kinds = written(lines.groupBy("leaf", "h1", "h2").agg(*span), "line-templates")
+    exact = kinds.filter("low < high").select("h1", "h2", F.col("low").alias("keep"))
+    leaves = written(kinds.filter("leaf is not null").groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("a"), F.max("high").alias("b"))
+                     .filter("n > 1 and a < b").select("leaf", "n"), "shared-leaves")
+    few = leaves.limit(broadcast_leaves + 1).count() <= broadcast_leaves
+    # Codes are a function of h1, h2; as a key they need no aggregation buffer.
+    shared = (lines.select("doc", "leaf", "h1", "h2", "m").join(F.broadcast(leaves) if few else leaves, "leaf")
+              .withColumn("codes", F.transform(F.split("m", " "), lambda t: F.xxhash64(t)))
+              .groupBy("leaf", "n", "h1", "h2", "codes").agg(*span))
+    shared = written(shared, "shared-lines")
+    general = _one_open(shared, lead, similarity).union(_majority(shared, merge_tokens, similarity))
+    # A text may be of several templates; the earliest document keeps it.
     return exact.union(general).groupBy("h1", "h2").agg(F.min("keep").alias("keep"))
 
 
@@ -100,7 +130,7 @@ def drop_recurring(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     keyed = docs.select(F.col(id_col).cast("long").alias("doc"), version.alias("version"), F.col(text_col).alias("text"))
     known = written(recurring_templates(keyed, lead=lead, min_tokens=min_tokens, merge_tokens=merge_tokens, similarity=similarity),
                     "recurring-lines")
-    lines = _lines(keyed, lead, min_tokens, None).select("doc", "version", "pos", "h1", "h2")
+    lines = _lines(keyed, lead, min_tokens).select("doc", "version", "pos", "h1", "h2")
     gone = (lines.join(known, ["h1", "h2"]).filter(F.col("doc") != F.col("keep"))
             .groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version")).agg(F.collect_set("pos").alias("_gone")))
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))

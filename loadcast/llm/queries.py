@@ -119,16 +119,20 @@ WITH l AS (
 t AS (
     SELECT doc_id, pos, line, len(string_split(line, ' ')) AS n, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS gen FROM l),
 m AS (
-    SELECT doc_id, pos, n, CASE WHEN regexp_matches(line, '[0-9]') AND 2 * ((length(gen) - length(replace(gen, '<*>', ''))) / 3) <= n
+    SELECT doc_id, pos, n, CASE WHEN n >= 5 AND regexp_matches(line, '[0-9]') AND 2 * ((length(gen) - length(replace(gen, '<*>', ''))) / 3) <= n
                                 THEN gen ELSE line END AS m
-    FROM t WHERE n >= 5),
+    FROM t WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''),
 k AS (
     SELECT n, array_to_string(list_slice(string_split(m, ' '), 1, 4), ' ') AS head, m, min(doc_id) AS low, max(doc_id) AS high
     FROM m GROUP BY n, head, m),
-leaf AS (SELECT n, head, count(*) AS kinds FROM k WHERE n >= 8 GROUP BY n, head HAVING count(*) > 1 AND min(low) < max(high)),
+leaf AS (SELECT n, head, count(*) AS kinds FROM k WHERE n >= 5 GROUP BY n, head HAVING count(*) > 1 AND min(low) < max(high)),
+field AS (
+    SELECT n, head, m, low, high, p, array_to_string(list_slice(s, 1, p), ' ') AS l, array_to_string(list_slice(s, p + 2, n), ' ') AS r
+    FROM (SELECT k.*, string_split(m, ' ') AS s, unnest(range(4, n)) AS p FROM k JOIN leaf USING (n, head))),
+field_keep AS (SELECT n, head, p, l, r, min(low) AS keep FROM field GROUP BY n, head, p, l, r HAVING count(*) > 1 AND min(low) < max(high)),
 tok AS (
     SELECT n, head, m, kinds, unnest(range(0, n)) AS p, unnest(string_split(m, ' ')) AS tok
-    FROM k JOIN leaf USING (n, head)),
+    FROM k JOIN leaf USING (n, head) WHERE n >= 8),
 votes AS (SELECT n, head, p, tok FROM tok GROUP BY n, head, kinds, p, tok HAVING 2 * count(*) > kinds),
 consts AS (SELECT n, head FROM votes GROUP BY n, head HAVING count(*) >= 0.8 * n),
 agree AS (
@@ -138,7 +142,8 @@ inst AS (SELECT k.* FROM k JOIN agree USING (n, head, m)),
 merged AS (SELECT n, head, min(low) AS keep FROM inst GROUP BY n, head HAVING min(low) < max(high)),
 known AS (
     SELECT m, min(keep) AS keep
-    FROM (SELECT m, low AS keep FROM k WHERE low < high UNION ALL SELECT m, keep FROM inst JOIN merged USING (n, head)) GROUP BY m),
+    FROM (SELECT m, low AS keep FROM k WHERE low < high UNION ALL SELECT m, keep FROM inst JOIN merged USING (n, head)
+          UNION ALL SELECT m, keep FROM field JOIN field_keep USING (n, head, p, l, r)) GROUP BY m),
 gone AS (SELECT doc_id, pos FROM m JOIN known USING (m) WHERE doc_id <> keep),
 kept AS (
     SELECT l.doc_id, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n_kept FROM l ANTI JOIN gone USING (doc_id, pos) GROUP BY l.doc_id),

@@ -17,7 +17,8 @@ the smallest id (every occurrence there) and dropped from all others.  Lines of
 fewer than ``min_tokens`` tokens (text without spaces, too) have no variable
 fields: they recur as they stand.  Blank lines are never dropped.
 
-Hashes travel: 128 bits of the masked line and 64 of its leaf; 64 bits of each
+The text of a line is read once for its hashes and, where its leaf has several
+texts, from one place more.  Hashes travel: 128 bits of the masked line and 64 of its leaf; 64 bits of each
 token only where a leaf has several texts.  A text with one token open is the
 XOR of its positions' hashes (128 bits) without that position, so a line takes
 time in proportion to its length.  Everything before a shuffle is a partial
@@ -36,13 +37,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import written
+from loadcast.llm.common import discard, stored, written
 
 LEAD = 4
 MIN_TOKENS = 5
 MERGE_TOKENS = 8
 SIMILARITY = 0.8
-BROADCAST_LEAVES = 1_000_000  # leaves that may be broadcast (16 MB)
+BROADCAST_ROWS = 500_000  # leaves (16 bytes) or lines (68 bytes) that may be broadcast
 VARIABLE = "<*>"
 
 
@@ -57,17 +58,35 @@ def masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.when(fields * 2 <= _spaces(line) + 1, out).otherwise(line)).otherwise(line)
 
 
-def _lines(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
-    """``(doc, version, pos, n_tokens, m, leaf, h1, h2)`` of every line that is
-    not blank; ``leaf`` is null for a line of few tokens."""
-    rows = docs.select("doc", "version", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(F.btrim("line", F.lit(" \t\r")) != "")
+def placed_lines(docs: DataFrame, *, lead: int = LEAD, min_tokens: int = MIN_TOKENS) -> DataFrame:
+    """``(doc, version, pos, leaf, h1, h2)`` of every line of ``docs(doc,
+    version, text)`` that is not blank; ``leaf`` is null for a line of few tokens."""
+    rows = (docs.filter("doc is not null").select("doc", "version", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+            .filter(F.btrim("line", F.lit(" \t\r")) != ""))
     rows = rows.withColumn("n_tokens", _spaces(F.col("line")) + 1)
     long = F.col("n_tokens") >= min_tokens
     rows = rows.withColumn("m", F.when(long, masked(F.col("line"))).otherwise(F.col("line")))
-    return rows.select("doc", "version", "pos", "n_tokens", "m", F.when(long, F.xxhash64("n_tokens", F.substring_index("m", " ", lead))).alias("leaf"),
+    return rows.select("doc", "version", "pos", F.when(long, F.xxhash64("n_tokens", F.substring_index("m", " ", lead))).alias("leaf"),
                        F.xxhash64("m").alias("h1"), F.xxhash64(F.lit(1), "m").alias("h2"))
 
 
+def _shared_texts(docs: DataFrame, places: DataFrame, leaves: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``(leaf, n, h1, h2, low, high, codes)``: the texts of the leaves that
+    several have, with their tokens, read from one place each."""
+    few = F.broadcast if leaves.limit(broadcast_rows + 1).count() <= broadcast_rows else (lambda t: t)
+    texts = (places.join(few(leaves), "leaf").groupBy("leaf", "n", "h1", "h2")
+             .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min(F.struct("doc", "version", "pos")).alias("at")))
+    wanted = written(texts.select(F.col("at.doc").alias("d"), F.col("at.version").alias("v"), "at.pos", "leaf", "n", "h1", "h2", "low", "high"), "line-places")
+    few = F.broadcast if wanted.limit(broadcast_rows + 1).count() <= broadcast_rows else (lambda t: t)
+    lines = wanted.groupBy("d", "v").agg(F.collect_list(F.struct("pos", "leaf", "n", "h1", "h2", "low", "high")).alias("own"))
+    held = docs.join(few(lines), (F.col("doc") == F.col("d")) & (F.col("version") == F.col("v")))
+    picked = lambda lines: F.transform("own", lambda x: F.struct(x.alias("x"), F.get(lines, x["pos"]).alias("line")))
+    # A variable, so that a text is split once, not once a line.
+    found = held.select(F.explode(F.get(F.transform(F.array(F.split("text", "\n")), picked), F.lit(0))).alias("y")).select("y.x.*", "y.line")
+    return (found.withColumn("codes", F.transform(F.split(masked(F.col("line")), " "), lambda t: F.xxhash64(t)))
+            .dropDuplicates(["leaf", "h1", "h2"]).select("leaf", "n", "h1", "h2", "low", "high", "codes"))
+
+
 def _one_open(shared: DataFrame, lead: int, similarity: float) -> DataFrame:
     """``(h1, h2, keep)`` of texts that agree with another in all but one token."""
     at = lambda seed, p, code: F.xxhash64(F.lit(seed), p, code)
@@ -75,9 +94,10 @@ def _one_open(shared: DataFrame, lead: int, similarity: float) -> DataFrame:
              for seed in (0, 1)]
     texts = shared.filter(F.size("codes") - 1 >= similarity * F.size("codes")).select("leaf", "h1", "h2", "low", "high", *whole, "codes")
     fields = texts.select("leaf", "h1", "h2", "low", "high", "all0", "all1", F.posexplode("codes").alias("p", "code")).filter(F.col("p") >= lead)
-    fields = fields.select("leaf", "p", *[F.col(f"all{seed}").bitwiseXOR(at(seed, F.col("p"), F.col("code"))).alias(f"k{seed}") for seed in (0, 1)],
-                           "h1", "h2", "low", "high")
-    template = ["leaf", "p", "k0", "k1"]
+    # The leaf and the open position are part of the template's 128 bits.
+    open_at = lambda seed: F.col(f"all{seed}").bitwiseXOR(at(seed, F.col("p"), F.col("code"))).bitwiseXOR(F.xxhash64(F.lit(seed), "leaf", "p"))
+    template = ["k0", "k1"]
+    fields = fields.select(*[open_at(seed).alias(k) for seed, k in enumerate(template)], "h1", "h2", "low", "high")
     several = (fields.groupBy(*template).agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("keep"), F.max("high").alias("last"))
                .filter("n > 1 and keep < last").select(*template, "keep"))
     return fields.join(several, template).select("h1", "h2", "keep")
@@ -100,26 +120,22 @@ def _majority(shared: DataFrame, merge_tokens: int, similarity: float) -> DataFr
     return instances.join(merged, "leaf").select("h1", "h2", "keep")
 
 
-def recurring_templates(docs: DataFrame, *, lead: int = LEAD, min_tokens: int = MIN_TOKENS, merge_tokens: int = MERGE_TOKENS,
-                        similarity: float = SIMILARITY, broadcast_leaves: int = BROADCAST_LEAVES) -> DataFrame:
+def recurring_templates(docs: DataFrame, places: DataFrame, *, lead: int = LEAD, merge_tokens: int = MERGE_TOKENS,
+                        similarity: float = SIMILARITY, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(h1, h2, keep)`` of masked lines whose template recurs across
-    documents; ``keep`` is the document that keeps it.  ``docs`` has
-    ``(doc, version, text)``."""
-    lines = _lines(docs, lead, min_tokens).filter("doc is not null")
-    span = F.min("doc").alias("low"), F.max("doc").alias("high")
-    kinds = written(lines.groupBy("leaf", "h1", "h2").agg(*span), "line-templates")
+    documents; ``keep`` is the document that keeps it.  ``places`` are the
+    ``placed_lines`` of ``docs``."""
+    kinds, kept = stored(places.groupBy("leaf", "h1", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")), "line-templates")
     exact = kinds.filter("low < high").select("h1", "h2", F.col("low").alias("keep"))
     leaves = written(kinds.filter("leaf is not null").groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("a"), F.max("high").alias("b"))
                      .filter("n > 1 and a < b").select("leaf", "n"), "shared-leaves")
-    few = leaves.limit(broadcast_leaves + 1).count() <= broadcast_leaves
-    # Codes are a function of h1, h2; as a key they need no aggregation buffer.
-    shared = (lines.select("doc", "leaf", "h1", "h2", "m").join(F.broadcast(leaves) if few else leaves, "leaf")
-              .withColumn("codes", F.transform(F.split("m", " "), lambda t: F.xxhash64(t)))
-              .groupBy("leaf", "n", "h1", "h2", "codes").agg(*span))
-    shared = written(shared, "shared-lines")
+    shared, texts = stored(_shared_texts(docs, places, leaves, broadcast_rows), "shared-lines")
     general = _one_open(shared, lead, similarity).union(_majority(shared, merge_tokens, similarity))
     # A text may be of several templates; the earliest document keeps it.
-    return exact.union(general).groupBy("h1", "h2").agg(F.min("keep").alias("keep"))
+    known = written(exact.union(general).groupBy("h1", "h2").agg(F.min("keep").alias("keep")), "recurring-lines")
+    for path in (kept, texts):
+        discard(docs.sparkSession, path)
+    return known
 
 
 def drop_recurring(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", counts: bool = False, lead: int = LEAD,
@@ -128,10 +144,9 @@ def drop_recurring(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ``n_dropped``."""
     version = F.xxhash64(F.col(text_col))
     keyed = docs.select(F.col(id_col).cast("long").alias("doc"), version.alias("version"), F.col(text_col).alias("text"))
-    known = written(recurring_templates(keyed, lead=lead, min_tokens=min_tokens, merge_tokens=merge_tokens, similarity=similarity),
-                    "recurring-lines")
-    lines = _lines(keyed, lead, min_tokens).select("doc", "version", "pos", "h1", "h2")
-    gone = (lines.join(known, ["h1", "h2"]).filter(F.col("doc") != F.col("keep"))
+    places = written(placed_lines(keyed, lead=lead, min_tokens=min_tokens), "placed-lines")
+    known = recurring_templates(keyed, places, lead=lead, merge_tokens=merge_tokens, similarity=similarity)
+    gone = (places.select("doc", "version", "pos", "h1", "h2").join(known, ["h1", "h2"]).filter(F.col("doc") != F.col("keep"))
             .groupBy(F.col("doc").alias("_doc"), F.col("version").alias("_version")).agg(F.collect_set("pos").alias("_gone")))
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     row = lambda c: F.col("_row")[c]

@@ -111,4 +111,11 @@ def test_tokens_are_compared_in_full(spark):
     docs = [(i, f"one two three four {i:05d}x".replace("0", "o").translate(str.maketrans("123456789", "abcdefghi")) + f" six seven {chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(300)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted(map(tuple, ln.drop_recurring(df).collect())) == sorted(brute(docs)) == docs
-    assert sorted(map(tuple, ln.recurring_templates(df.selectExpr("doc_id as doc", "0L as version", "text"), broadcast_leaves=0).collect())) == []
+
+
+def test_shuffled_and_broadcast_sides_agree(spark):
+    docs = [(i % 50, f"the server was started by {chr(97 + i % 26)} on host {i}\nwe have read this {chr(97 + i % 7)}") for i in range(120)]
+    keyed = spark.createDataFrame(docs, "doc long, text string").selectExpr("doc", "xxhash64(text) as version", "text")
+    places = ln.placed_lines(keyed)
+    few, many = (sorted(map(tuple, ln.recurring_templates(keyed, places, broadcast_rows=n).collect())) for n in (1000, 0))
+    assert few == many and few

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]"]
 TURNS = "array<struct<role:string,text:string>>"
 LOSS_ROLE = "assistant"
-VARIANT_BYTES = 100_000_000  # Spark's variants hold 128 MB; beyond this, records are parsed by their message arrays
+VARIANT_BYTES = 100_000_000  # Spark's variants hold 128 MB; beyond this, records are parsed by the fields of the mappings
+_LONG = {"maxStringLen": str(2**31 - 1)}
 _CHUNK = 200
 
 
@@ -104,18 +105,44 @@ def _messages(items: Column, m: Mapping) -> Column:
     return F.transform(items, lambda x: F.struct(canonical(x["r"]).alias("role"), x["t"].alias("text")))
 
 
-def _fields(v: Column, m: Mapping) -> Column:
-    parts = F.array(*(F.struct(F.lit(role).alias("role"), F.coalesce(F.variant_get(v, path, "string"), F.lit("")).alias("text"))
-                      for role, path in m.parts))
+def _parts(m: Mapping, value) -> Column:
+    parts = F.array(*(F.struct(F.lit(role).alias("role"), F.coalesce(value(path), F.lit("")).alias("text")) for role, path in m.parts))
     return F.filter(parts, lambda x: x["text"] != "")
 
 
+def _fields(v: Column, m: Mapping) -> Column:
+    return _parts(m, lambda path: F.variant_get(v, path, "string"))
+
+
+def _long_fields(record: Column, m: Mapping) -> tuple[Column, Column]:
+    """Whether a record holds all parts that every layout of a ``fields``
+    mapping has (paths of one or two names), and its turns."""
+    names = {path: path.removeprefix("$.").split(".") for _, path in m.parts}
+    tops: dict[str, list[str]] = {}
+    for n in names.values():
+        tops.setdefault(n[0], []).extend(n[1:])
+    schema = ", ".join(f"`{t}`: " + (f"struct<{', '.join(f'`{x}`: string' for x in inner)}>" if inner else "string") for t, inner in tops.items())
+    own = F.from_json(record, f"struct<{schema}>", _LONG)
+
+    def value(path: str) -> Column:
+        out = own
+        for n in names[path]:
+            out = out[n]
+        return out
+    needed = [p for p, n in names.items() if all(f"{n[-1]}: " in s for s in m.example_schemas)]
+    held = F.lit(True)
+    for p in needed:
+        held = held & value(p).isNotNull()
+    return held, _parts(m, value)
+
+
 def canonical_turns(records: DataFrame, *, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS,
                     variant_bytes: int = VARIANT_BYTES) -> DataFrame:
     """``records`` plus ``layout``, ``fingerprint`` and ``turns``.  A record is
     JSON text; text that is no JSON has a null fingerprint and null turns.  A
     record too long for a variant has no fingerprint either; the first mapping
-    whose array of messages it holds (top-level paths) gives its turns."""
+    whose array of messages, or all of whose parts, it holds (values that are not
+    null, at paths of at most two names) gives its turns."""
     spark = records.sparkSession
     rows = [(m.name, s) for m in mappings for s in m.example_schemas]
     known = {r[0]: r[1] for r in spark.createDataFrame(rows, "name string, s string")
@@ -130,11 +157,17 @@ def canonical_turns(records: DataFrame, *, record_col: str = "record", mappings:
         layout = F.when(hit, m.name).otherwise(layout)
         own = _messages(F.variant_get("_variant", m.path, _items_type(m)), m) if m.kind == "messages" else _fields(F.col("_variant"), m)
         turns = F.when(hit, own.cast(TURNS)).otherwise(turns)
-    for m in reversed([m for m in mappings if m.kind == "messages" and m.path.count(".") == 1]):
+    for m in reversed(mappings):
         name = m.path.removeprefix("$.")
-        items = F.from_json(F.col(record_col), f"struct<`{name}`:{_items_type(m)}>")[name]
-        turns = F.when(long & items.isNotNull(), _messages(items, m).cast(TURNS)).otherwise(turns)
-        layout = F.when(long & items.isNotNull(), m.name).otherwise(layout)
+        if m.kind == "messages" and m.path.count(".") == 1:
+            items = F.from_json(F.col(record_col), f"struct<`{name}`:{_items_type(m)}>", _LONG)[name]
+            held, own = items.isNotNull(), _messages(items, m)
+        elif m.kind == "fields" and all(p.count(".") <= 2 for _, p in m.parts):
+            held, own = _long_fields(F.col(record_col), m)
+        else:
+            continue
+        turns = F.when(long & held, own.cast(TURNS)).otherwise(turns)
+        layout = F.when(long & held, m.name).otherwise(layout)
     return with_print.withColumn("layout", layout).withColumn("turns", turns).drop("_variant")
 
 
@@ -186,12 +219,26 @@ def parse_turns(formatted: Column) -> Column:
 
 def conversation_records(conversations: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text") -> DataFrame:
-    """Rows by turn -> one JSON record a conversation (layout ``turns``)."""
-    return (conversations.select(F.col(id_col).alias("conv_id"), F.struct(
+    """Rows by turn -> one JSON record a conversation, dealt by a hash of the id
+    over the layouts ``turns``, ``messages``, ``share`` and ``prompt``; where one
+    of the last two would lose something, ``messages`` takes its place."""
+    turns = (conversations.select(F.col(id_col).alias("conv_id"), F.struct(
                 F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"),
                 F.col(turn_col).cast("long").alias("turn")).alias("x"))
-            .groupBy("conv_id").agg(F.collect_list("x").alias("turns"))
-            .select("conv_id", F.to_json(F.struct("turns"), {"ignoreNullFields": "false"}).alias("record")))
+             .groupBy("conv_id").agg(F.collect_list("x").alias("turns")))
+    ordered = F.array_sort(F.transform("turns", lambda x: F.struct(
+        x["turn"].alias("o"), F.coalesce(x["role"], F.lit("")).alias("r"), F.coalesce(x["text"], F.lit("")).alias("t"))))
+    turns = turns.select("conv_id", "turns", ordered.alias("ordered"), F.pmod(F.xxhash64("conv_id"), F.lit(4)).alias("deal"))
+    first, second = F.get("ordered", F.lit(0)), F.get("ordered", F.lit(1))
+    pair = (F.size("ordered") == 2) & (first["r"] == "user") & (second["r"] == "assistant") & (first["t"] != "") & (second["t"] != "")
+    theirs = lambda r: F.when(r == "user", "human").when(r == "assistant", "gpt").otherwise(r)
+    as_json = lambda **parts: F.to_json(F.struct(*[v.alias(k) for k, v in parts.items()]), {"ignoreNullFields": "false"})
+    record = (F.when(F.col("deal") == 0, as_json(turns=F.col("turns")))
+              .when((F.col("deal") == 1) & pair, as_json(prompt=first["t"], completion=second["t"]))
+              .when((F.col("deal") == 2) & ~F.exists("ordered", lambda x: x["r"].isin("human", "gpt")), as_json(conversations=F.transform(
+                  "ordered", lambda x: F.struct(theirs(x["r"]).alias("from"), x["t"].alias("value")))))
+              .otherwise(as_json(messages=F.transform("ordered", lambda x: F.struct(x["t"].alias("content"), x["r"].alias("role"))))))
+    return turns.select("conv_id", record.alias("record"))
 
 
 def report(conversations: DataFrame) -> DataFrame:

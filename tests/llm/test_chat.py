@@ -38,7 +38,7 @@ def test_layouts(spark):
                      "unknown": None, "broken": None, "null": None}
     assert all(got[k].layout == k for k in list(records)[:6])
     long = {r.name: r for r in chat.canonical_turns(df, variant_bytes=10).collect()}
-    for k in ("messages", "share", "turns"):
+    for k in ("messages", "share", "turns", "prompt", "instruction", "question"):
         assert [(x.role, x.text) for x in long[k].turns] == turns[k] and long[k].layout == k
     assert got["unknown"].fingerprint is not None and got["broken"].fingerprint is None
 
@@ -62,3 +62,13 @@ def test_many_turns(spark):
     r = chat.report(df).first()
     texts = [f"t<s>{i}" for i in range(1001)]
     assert r.n_turns == 1001 and r.loss_sha256 == hashlib.sha256("".join(texts[1::2]).encode()).hexdigest()
+
+
+def test_conversations_are_dealt_over_layouts(spark):
+    rows = [(i, 1, "assistant", f"b{i}") for i in range(80)] + [(i, 0, ["user", "human", None, "user"][i % 4], "" if i % 16 == 3 else "a") for i in range(80)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for limit in (chat.VARIANT_BYTES, 10):
+        out = chat.canonical_turns(chat.conversation_records(df), variant_bytes=limit).collect()
+        assert {r.layout for r in out} == {"turns", "messages", "share", "prompt"}
+        for r in out:
+            assert [(x.role, x.text) for x in r.turns] == [((["user", "human", "", "user"][r.conv_id % 4]), "" if r.conv_id % 16 == 3 else "a"), ("assistant", f"b{r.conv_id}")]

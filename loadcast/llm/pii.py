@@ -7,15 +7,17 @@ Luhn, international telephone numbers.  The regular expressions are the stated
 ones made linear: possessive where nothing can follow, and started only where a
 run of their first class starts (or where the last match ended).
 
-Base matches are the seeds of the bootstrap.  Identifier-like tokens (white
-space free, with a digit) are instances; the word before, the two words before
-and the word after are lexical patterns, digits blurred.  Each round scores
-the pattern-instance graph: a pattern by the mean confidence of the distinct
+Base matches are the seeds of the bootstrap, whatever their characters.
+Identifier-like tokens (white space free, with a digit, ``@``, ``_`` or a symbol
+between letters) are instances; the word before, the two words before and the
+word after are lexical patterns, digits blurred.  Each round scores the
+pattern-instance graph: a pattern by the mean confidence of the distinct
 instances it extracts (at least ``MIN_SEEDS`` of them trusted), an instance by a
-noisy-or over its patterns; seeds stay 1.  After ``ROUNDS`` rounds an occurrence
-of an unseen identifier whose own patterns reach ``CONFIDENCE`` is a span of
-kind ``id``.  The graph is aggregated before every join, so a pattern that
-occurs everywhere is one row a task.
+noisy-or over its patterns; seeds stay 1.  After ``ROUNDS`` rounds every
+occurrence of an unseen identifier (``MIN_LENGTH`` characters; two digits or such
+a symbol) whose score reaches ``CONFIDENCE`` is a span of kind ``id``.  The graph
+is aggregated before every join, so a pattern that occurs everywhere is one row
+a task.
 
 Defined results: null and empty texts have no spans; repeated rows have equal
 results; ties need no order (scores are means and products); an empty table
@@ -33,7 +35,8 @@ from loadcast.llm.common import written
 ROUNDS = 3
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.6   # of a pattern, to extract at all
-CONFIDENCE = 0.9       # of an occurrence, to be a span
+CONFIDENCE = 0.9       # of an unseen identifier, for its occurrences to be spans
+MIN_LENGTH = 6         # of an unseen identifier
 KINDS = ["email", "ip", "card", "phone", "id"]
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -41,7 +44,8 @@ EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+_SIGN = r"[0-9@_]|(?<=[A-Za-z])[()\[\]{}:/\\#~+=&*.](?=[A-Za-z])"
+TOKEN = rf"(?<!\S)(?:(?!{_SIGN})\S)*+(?:{_SIGN})\S*+"
 _BYTE = r"0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _SPAN = "array<struct<s:bigint,e:bigint,m:string,g:string>>"
 _CHUNK = 200
@@ -109,21 +113,26 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def candidates(tokens: Column, near: int = 80) -> Column:
+def candidates(tokens: Column) -> Column:
     """Matches of ``TOKEN`` -> ``array<struct<s, e, core, patterns>>``; ``core``
-    has no outer punctuation."""
+    has no outer punctuation, patterns are hashes."""
     def one(x: Column, i: Column) -> Column:
         core = F.ltrim(x["m"], F.lit("\"'(["))
         s = x["s"] + F.length(x["m"]) - F.length(core)
         core = F.rtrim(core, F.lit("\"')].,;:!?"))
         before, after = F.get(tokens, i - 1), F.get(tokens, i + 1)
-        left = _words(F.concat_ws(" ", F.right(before["m"], F.lit(near)), F.right(x["g"], F.lit(near))))
-        right = _words(F.concat_ws(" ", F.left(after["g"], F.lit(near)), F.left(after["m"], F.lit(near))))
-        one_left, two_left = F.get(left, F.size(left) - 1), F.get(left, F.size(left) - 2)
-        patterns = F.array(F.concat(F.lit("L "), _blur(one_left)), F.concat(F.lit("LL "), _blur(two_left), F.lit(" "), _blur(one_left)),
-                           F.concat(F.lit("R "), _blur(F.get(right, F.lit(0)))))
+
+        def patterns(near: Column) -> Column:
+            left, right = near["left"], near["right"]
+            one_left, two_left = F.get(left, F.size(left) - 1), F.get(left, F.size(left) - 2)
+            named = F.array(F.concat(F.lit("L "), _blur(one_left)), F.concat(F.lit("LL "), _blur(two_left), F.lit(" "), _blur(one_left)),
+                            F.concat(F.lit("R "), _blur(F.get(right, F.lit(0)))))
+            return F.transform(F.filter(named, lambda p: p.isNotNull()), lambda p: F.xxhash64(p))
+        # A variable, so that the gaps are split once.
+        near = F.array(F.struct(_words(F.concat_ws(" ", before["m"], x["g"])).alias("left"),
+                                _words(F.concat_ws(" ", after["g"], after["m"])).alias("right")))
         return F.struct(s.alias("s"), (s + F.length(core)).alias("e"), core.alias("core"),
-                        F.filter(patterns, lambda p: p.isNotNull()).alias("patterns"))
+                        F.get(F.transform(near, patterns), F.lit(0)).alias("patterns"))
     return F.transform(tokens, one)
 
 
@@ -139,15 +148,15 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rou
     # A last, empty match carries what follows the last token.
     rest = F.struct(F.lit(None).cast("long").alias("s"), F.lit(None).cast("long").alias("e"), F.lit(None).cast("string").alias("m"),
                     F.element_at(F.split(text, TOKEN, -1), -1).alias("g"))
-    tokens = matches(text, TOKEN, has_digit)
+    tokens = matches(text, TOKEN, F.lit(True))
     rows = rows.select("doc_id", "version", base.alias("base"), F.when(F.size(tokens) > 0, F.concat(tokens, F.array(rest))).otherwise(tokens).alias("tokens"))
     cand = F.filter(candidates(F.col("tokens")), lambda c: c["s"].isNotNull())
     found = written(rows.select("doc_id", "version", "base", cand.alias("cand")), "pii")
     seed = F.exists("base", lambda b: (b["s"] < F.col("c.e")) & (b["e"] > F.col("c.s")))
     seen = written(found.select("doc_id", "version", "base", F.explode("cand").alias("c"))
                    .select("doc_id", "version", "c.s", "c.e", F.xxhash64("c.core").alias("instance"), seed.alias("seed"),
-                           (~seed & F.col("c.core").rlike("[0-9].*[0-9]") & (F.length("c.core") >= 6)).alias("unseen"),
-                           F.transform("c.patterns", lambda p: F.xxhash64(p)).alias("patterns")), "pii-instances")
+                           (~seed & F.col("c.core").rlike(rf"[0-9].*[0-9]|(?![0-9])(?:{_SIGN})") & (F.length("c.core") >= MIN_LENGTH)).alias("unseen"),
+                           F.col("c.patterns").alias("patterns")), "pii-instances")
     edges = written(seen.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy("pattern", "instance")
                     .agg(F.max("seed").alias("seed")), "pii-graph")
     scores = seen.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
@@ -160,10 +169,8 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rou
         doubt = F.exp(F.sum(F.log1p(-F.least(F.coalesce("conf", F.lit(0.0)), F.lit(0.999)))))
         scores = written(edges.join(trusted, "pattern", "left").groupBy("instance")
                          .agg(F.when(F.max("seed"), 1.0).otherwise(1 - doubt).alias("score")), "pii-scores")
-    more = (seen.filter("unseen").withColumn("pattern", F.explode("patterns")).join(trusted, "pattern")
-            .groupBy("doc_id", "version", "s", "e").agg((1 - F.exp(F.sum(F.log1p(-F.least("conf", F.lit(0.999)))))).alias("p"))
-            .filter(F.col("p") >= confidence)
-            .groupBy(F.col("doc_id").alias("d"), F.col("version").alias("v"))
+    known = scores.filter(F.col("score") >= confidence).select("instance")
+    more = (seen.filter("unseen").join(known, "instance", "left_semi").groupBy(F.col("doc_id").alias("d"), F.col("version").alias("v"))
             .agg(F.collect_set(F.struct(F.lit(KINDS.index("id")).alias("k"), "s", "e")).alias("more")))
     both = found.join(more, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("version").eqNullSafe(F.col("v")), "left")
     return both.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.expr("cast(array() as array<struct<k:int,s:bigint,e:bigint>>)")))).alias("spans"))

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadcast.llm.common import in_small_batches, shared, texts_of, written
-from loadcast.llm.wordmodel import WordModel
+from loadcast.llm.wordmodel import WordModel, discounts
 
 ORDER = 4
 QUANTILE = 0.99
@@ -164,10 +164,7 @@ def fit(texts: DataFrame) -> Model:
         t = tables[n]
         if n == 1:
             t = t.sparkSession.range(SIZE).withColumnRenamed("id", "key").join(t, "key", "left").fillna(0, ["c"])
-        n1, n2, n3, n4 = t.agg(*[F.coalesce(F.sum((F.col("c") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4)]).first()
-        y = n1 / max(1, n1 + 2 * n2)
-        d1, d2, d3 = (x if 0 < x < k else k / 2 for k, x in (
-            (1, 1 - 2 * y * n2 / max(1, n1)), (2, 2 - 3 * y * n3 / max(1, n2)), (3, 3 - 4 * y * n4 / max(1, n3))))
+        _, d1, d2, d3 = discounts(*t.agg(*[F.coalesce(F.sum((F.col("c") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4)]).first())
         d = F.when(F.col("c") == 0, 0.0).when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         contexts = (t.groupBy(F.floor(F.col("key") / SIZE).alias("context"))
                     .agg(F.sum("c").alias("total"), F.sum(d).alias("off")).filter("total > 0")
@@ -203,13 +200,17 @@ def scored(rows: DataFrame, model: Model, field: str | None = None) -> DataFrame
     return in_small_batches(rows).mapInArrow(run, schema)
 
 
-def perplexities(docs: DataFrame, models: tuple[Model, WordModel], *, row: Column, field: str | None, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``(row, lang, spelled, worded)``: perplexity by symbol and by word."""
-    letters, words = models
-    doc, text = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.col(text_col).cast("binary").alias("t")
-    spelled = scored(docs.select(row.alias("row"), F.col(lang_col).cast("string").alias("lang"), doc.alias("doc"), *([] if field else [text])), letters, field)
-    worded = words.score(docs.select(doc.alias("doc"), F.col(text_col).cast("string").alias("t"))).withColumnRenamed("h", "h_words")
-    return spelled.join(worded, "doc", "left").select("row", "lang", F.exp("h").alias("spelled"), F.exp("h_words").alias("worded"))
+def _doc(id_col: str, text_col: str) -> Column:
+    """Code of a document; rows that repeat id and text share it."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("doc")
+
+
+def perplexities(docs: DataFrame, letters: Model, words: DataFrame, *, row: Column, field: str | None, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``(row, lang, spelled, worded)``: perplexity by symbol and by word, the
+    latter from ``words(doc, h)``."""
+    text = F.col(text_col).cast("binary").alias("t")
+    spelled = scored(docs.select(row.alias("row"), F.col(lang_col).cast("string").alias("lang"), _doc(id_col, text_col), *([] if field else [text])), letters, field)
+    return spelled.join(words.withColumnRenamed("h", "h_words"), "doc", "left").select("row", "lang", F.exp("h").alias("spelled"), F.exp("h_words").alias("worded"))
 
 
 def _levels(tried: DataFrame, column: str, quantile: float) -> dict[str | None, float | None]:
@@ -233,16 +234,21 @@ def judged(docs: DataFrame, labels: DataFrame, *, row: Column, field: str | None
     the text inside ``row``, if ``row`` holds it."""
     trusted = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("trusted_id")).distinct()
     train = _of_ids(docs, trusted.filter(~_held_out("trusted_id", folds)), id_col, broadcast_ids)
-    models = fit(train.select(F.col(text_col).cast("binary").alias("t"))), WordModel(train.select(F.col(text_col).cast("string").alias("t")))
+    texts = train.select(F.col(text_col).cast("binary").alias("t"))
+    model = WordModel(texts)
+    # Every document is scored by words once; thresholds read the same scores.
+    words = model.score(docs.select(_doc(id_col, text_col), F.col(text_col).cast("binary").alias("t")))
+    model.forget()
+    letters = fit(texts)
     names = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}
     apart = trusted.filter(_held_out("trusted_id", folds))
-    tried = perplexities(_of_ids(docs, apart, id_col, broadcast_ids), models, row=F.col(id_col), field=None, **names).filter("spelled is not null")
+    tried = perplexities(_of_ids(docs, apart, id_col, broadcast_ids), letters, words, row=F.col(id_col), field=None, **names).filter("spelled is not null")
     tried = written(tried, "trusted-perplexity")
     by_symbol, by_word = (_levels(tried, c, quantile) for c in ("spelled", "worded"))
     scale = {k: by_symbol[k] / x for k, x in by_word.items() if x}
     worse = F.greatest("spelled", F.col("worded") * F.coalesce(_by_lang(scale), F.lit(1.0)))
     limits = _levels(tried.withColumn("perplexity", worse), "perplexity", quantile)
-    all_docs = perplexities(docs, models, row=row, field=field, **names)
+    all_docs = perplexities(docs, letters, words, row=row, field=field, **names)
     threshold = _by_lang({k: None if x is None else slack * x for k, x in limits.items()})
     return all_docs.withColumn("perplexity", worse).withColumn("threshold", threshold).select(
         "row", "perplexity", "threshold",

@@ -1,13 +1,21 @@
-"""Interpolated Kneser-Ney over word n-grams whose tables grow with the text.
+"""Interpolated modified Kneser-Ney over word trigrams whose tables grow with the text.
 
 Words are runs of letters, marks and digits as they stand; other marks, and
 characters of scripts written without spaces, are words of their own.  Words
-travel as 64-bit hashes.  Counts, contexts and probabilities are tables dealt by
-n-gram: no vocabulary is fixed and nothing of them is collected or broadcast.
+travel as 64-bit hashes.  No vocabulary is fixed, and nothing of the counts is
+collected or broadcast.
 
-The n-grams of the texts meet the table of trigrams by a join; those unseen go
-on to contexts and bigrams, and those unseen again to contexts and words.  Word
-pairs that occur everywhere are skewed sides of plain joins, which Spark splits.
+A trigram (u, v, w), its context (u, v), its bigram (v, w) and that one's context
+(v) share the middle word, so all of them are dealt by v into shards and met
+there in one exchange.  Tasks send one packed row per block of text and shard,
+counted grams already summed.  A middle word that is frequent enough to fill a
+shard has several, chosen by u; its contexts and trigrams stay whole, its bigrams
+(sums over these shards) are given to each.  What is still open after the shard,
+an unseen bigram, meets the table of words in a second, small exchange.
+
+Shards are worked off in ``SLICES`` parts one after the other, whose files are
+deleted, so what is on disk at a time is a part of the n-grams at every size.
+The texts are read again for each part; that costs less than storing their grams.
 
 Defined results: a text without words has no row; without any counted text
 every word has probability 1.
@@ -15,70 +23,401 @@ every word has probability 1.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import written
+from loadcast.llm.common import discard, in_small_batches, kept, n_blocks, stored, written
+
+SLICES = 8
+SHARD_WORDS = 2_000_000
+LEAST_SHARDS = 12
+MOST_PARTS = 64  # shards of one middle word
+FREQUENT = 256  # a word with one in so many of all words may have several shards
+CHUNK_CHARS = 4_000_000
+_ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}"
+SPACE, RUN, ALONE = 0, 1, 2
+_GRAMS = "shard int, kind int, u binary, v binary, w binary, x binary, docs binary"
+_COUNTED, _BIGRAMS, _ASKED = 0, 1, 2
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """What is taken off counts of 0, 1, 2 and more, from the counts of counts."""
+    y = n1 / max(1, n1 + 2 * n2)
+    raw = 1 - 2 * y * n2 / max(1, n1), 2 - 3 * y * n3 / max(1, n2), 3 - 4 * y * n4 / max(1, n3)
+    return [0.0, *(x if 0 < x < k else k / 2 for k, x in enumerate(raw, 1))]
+
+
+def _classes() -> np.ndarray:
+    table = np.full(0x110000, ALONE, np.uint8)
+    for first, last in ((0, 0xD800), (0xE000, 0x110000)):
+        chars = "".join(map(chr, range(first, last)))
+        for kind, pattern in ((RUN, r"[\p{L}\p{M}\p{N}]+"), (ALONE, rf"[{_ALONE}]+"), (SPACE, r"\s+")):
+            for m in regex.finditer(pattern, chars):
+                table[first + m.start():first + m.end()] = kind
+    return table
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Scatter 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return _mix(_mix(x + np.uint64(1)) + y)
+
+
+def word_codes(texts: list[str], block: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, and which text each stands in."""
+    points = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
+    kinds = kept("word-classes", _classes)[points]
+    run = kinds == RUN
+    starts = kinds != SPACE
+    starts[1:] &= ~(run[1:] & run[:-1])
+    starts = np.flatnonzero(starts)
+    codes = np.empty(len(starts), np.uint64)
+    for k in range(0, len(starts), block):
+        at = starts[k:k + block]
+        lo, hi = at[0], starts[k + block] if k + block < len(starts) else len(points)
+        at = at - lo
+        place = np.arange(hi - lo) - np.repeat(at, np.diff(np.append(at, hi - lo)))
+        value = _mix(points[lo:hi].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21)) + np.uint64(1))
+        value[kinds[lo:hi] == SPACE] = 0
+        codes[k:k + block] = _mix(np.add.reduceat(value, at))
+    firsts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    return codes, np.searchsorted(firsts, starts, "right") - 1
+
+
+def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(u, v, w, text)``, one for every word; 0 stands before a text."""
+    w, of = word_codes(texts)
+    place = np.arange(len(w)) + 2 * (of + 1)
+    row = np.zeros(len(w) + 2 * len(texts) + 2, np.uint64)
+    row[place] = w
+    return row[place - 2], row[place - 1], w, of
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[str]]]:
+    """``(docs, texts)`` of about ``CHUNK_CHARS`` together."""
+    docs, texts, size = [], [], 0
+    for b in batches:
+        for doc, t in zip(b.column("doc").to_pylist(), b.column("t").to_pylist(), strict=True):
+            if t:
+                docs.append(doc)
+                texts.append(t.decode("utf-8", "replace"))
+                size += len(texts[-1])
+            if size >= CHUNK_CHARS:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+    if texts:
+        yield docs, texts
+
+
+@dataclass
+class Dealing:
+    """Where a middle word's grams go: a slice, and a shard (or several) of it."""
+
+    shards: int
+    frequent: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # sorted
+    parts: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+
+    def shards_of(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First shard of every word, and how many it has."""
+        parts = np.ones(len(v), np.uint64)
+        if len(self.frequent):
+            at = np.searchsorted(self.frequent, v).clip(max=len(self.frequent) - 1)
+            parts = np.where(self.frequent[at] == v, self.parts[at], parts)
+        return _mix(v + np.uint64(7)) // np.uint64(SLICES), parts
+
+    def shard(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        first, parts = self.shards_of(v)
+        return ((first + _mix(u + np.uint64(11)) % parts) % np.uint64(self.shards)).astype(np.int32)
+
+
+def _slice(v: np.ndarray) -> np.ndarray:
+    return _mix(v + np.uint64(7)) % np.uint64(SLICES)
+
+
+def dealing_of(docs: DataFrame) -> Dealing:
+    """Shards for the words of ``docs(doc, t)``, more for frequent middle words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _chunks(batches):
+            v, n = np.unique(trigrams(texts)[1], return_counts=True)
+            most = n >= max(2, n.sum() / FREQUENT)
+            yield pa.RecordBatch.from_pydict({"all": [True, *[False] * int(most.sum())], "v": pa.array(np.append(np.uint64(0), v[most]).view(np.int64)),
+                                              "n": pa.array(np.append(n.sum(), n[most]).astype(np.int64))})
+
+    found = in_small_batches(docs).mapInArrow(count, "all boolean, v long, n long").groupBy("all", "v").agg(F.sum("n").alias("n"))
+    words = found.filter("all").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shards = max(LEAST_SHARDS, n_blocks(words, SLICES * SHARD_WORDS))
+    each = words / (shards * SLICES)
+    most = found.filter(~F.col("all") & (F.col("n") >= max(each, words / FREQUENT))).select("v", "n").collect()  # at most FREQUENT rows
+    codes = np.array([r["v"] for r in most], np.int64).view(np.uint64)
+    parts = np.array([min(shards, MOST_PARTS, n_blocks(r["n"], each)) for r in most], np.uint64)
+    order = np.argsort(codes)
+    return Dealing(shards, codes[order], parts[order])
 
-_ALONE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
-WORD = rf"[{_ALONE}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{_ALONE}]]+|[^\s]"
 
+def _rows(shard: np.ndarray, kind: int, u: np.ndarray, v: np.ndarray, w: np.ndarray, x: np.ndarray, docs: np.ndarray | None = None) -> pa.RecordBatch:
+    """One packed row per shard of grams sorted by shard; with ``docs``, ``x``
+    are places in it, and each row gets those that it needs."""
+    cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard)) if len(shard) else np.zeros(1, int)
+    out = {k: [] for k in ("shard", "kind", "u", "v", "w", "x", "docs")}
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        part, held = x[lo:hi], b""
+        if docs is not None:
+            own, part = np.unique(part, return_inverse=True)
+            part, held = part.astype(np.uint32), docs[own].tobytes()
+        for k, y in zip(out, (int(shard[lo]), kind, u[lo:hi].tobytes(), v[lo:hi].tobytes(), w[lo:hi].tobytes(), part.tobytes(), held), strict=True):
+            out[k].append(y)
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(y, t) for y, t in zip(out.values(), types, strict=True)], list(out))
 
-def trigrams(text: Column) -> Column:
-    """``array<struct<u, v, w>>``, one for every word; 0 stands before a text."""
-    codes = F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda x: F.xxhash64(x))
-    start = F.lit(0).cast("long")
 
-    def of(known: Column) -> Column:  # a variable, so that the words are made once
-        at = lambda i: F.coalesce(F.get(known, i), start)
-        return F.transform(known, lambda w, i: F.struct(at(i - 2).alias("u"), at(i - 1).alias("v"), w.alias("w")))
-    return F.get(F.transform(F.array(codes), of), F.lit(0))
+def dealt(docs: DataFrame, plan: Dealing, which: int, kind: int) -> DataFrame:
+    """Packed trigrams of ``docs(doc, t)`` whose middle word is in a slice:
+    counted, or with the documents that ask for them."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _chunks(batches):
+            u, v, w, of = trigrams(texts)
+            own = _slice(v) == which
+            u, v, w, of = u[own], v[own], w[own], of[own]
+            shard = plan.shard(u, v)
+            order = np.lexsort((u, w, v, shard))
+            shard, u, v, w, of = shard[order], u[order], v[order], w[order], of[order]
+            if kind == _ASKED:
+                yield _rows(shard, kind, u, v, w, of, np.array(ids, np.int64))
+            else:
+                new = _changes(v, w, u)
+                yield _rows(shard[new], kind, u[new], v[new], w[new], np.diff(np.append(new, len(v))).astype(np.uint32))
 
-def _discount(t: DataFrame) -> float:
-    n1, n2 = t.agg(*[F.coalesce(F.sum((F.col("c") == k).cast("long")), F.lit(0)) for k in (1, 2)]).first()
-    d = n1 / max(1, n1 + 2 * n2)
-    return d if 0 < d < 1 else 0.5
+    return in_small_batches(docs).mapInArrow(run, _GRAMS)
 
 
-def _order(counts: DataFrame, context: list[str], lower: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """``(n-gram, p)`` and ``(context, gamma)`` of one order."""
-    d = _discount(counts)
-    gammas = written(counts.groupBy(*context).agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
-                     .select(*context, "total", (d * F.col("kinds") / F.col("total")).alias("gamma")), f"{name}-contexts")
-    low = lower.withColumnRenamed("p", "p_low")
-    p = (F.col("c") - d) / F.col("total") + F.col("gamma") * F.col("p_low")
-    table = counts.join(gammas, context).join(low, [c for c in low.columns if c != "p_low"]).select(*context, "w", p.alias("p"))
-    return written(table, name), gammas.select(*context, "gamma")
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a sorted run of equal rows begins."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
+    for b in batches:
+        for r in b.to_pylist():
+            x = np.frombuffer(r["x"], np.float64 if r["kind"] == _BIGRAMS else np.uint32)
+            yield r["shard"], r["kind"], [*(np.frombuffer(r[c], np.uint64) for c in "uvw"), x], np.frombuffer(r["docs"], np.int64)
+
+
+def _joined(rows: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.empty(0, np.uint64)] * 3 + [np.empty(0)]
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted rows of whole shards -> bigrams with their number of distinct
+    words before (``(v, w, c)``), and how many trigrams have a count ``w`` of
+    1 to 4 (rows of kind 1)."""
+
+    def bigrams(rows: list[list[np.ndarray]]) -> pa.RecordBatch:
+        u, v, w, x = _joined(rows)
+        order = np.lexsort((u, w, v))
+        u, v, w, x = u[order], v[order], w[order], x[order]
+        new = _changes(v, w, u)
+        times = np.bincount(np.minimum(np.add.reduceat(x.astype(np.int64), new), 5), minlength=6)[1:5]
+        v, w = v[new], w[new]
+        new = _changes(v, w)
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.append(np.zeros(len(new), np.int32), np.ones(4, np.int32))),
+            pa.array(np.append(v[new].view(np.int64), np.zeros(4, np.int64))),
+            pa.array(np.append(w[new].view(np.int64), np.arange(1, 5))),
+            pa.array(np.append(np.diff(np.append(new, len(v))), times).astype(np.int64))], ["kind", "v", "w", "c"])
+
+    now, rows = None, []
+    for shard, _, columns, _ in _in_shards(batches):
+        if shard != now and rows:
+            yield bigrams(rows)
+            rows = []
+        now = shard
+        rows.append(columns)
+    if rows:
+        yield bigrams(rows)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in sorted ``keys``, and which of them are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), int), np.zeros(len(wanted), bool)
+    at = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+class Shard:
+    """Seen trigrams, bigrams and contexts of the middle words of one shard."""
+
+    def __init__(self, counted: list[np.ndarray], bigrams: list[np.ndarray], off2: list[float], off3: list[float]) -> None:
+        _, v, w, x = bigrams
+        c, p1 = x[0::2], x[1::2]
+        d = np.array(off2)[np.minimum(c, 3).astype(int)]
+        self.middle, at = np.unique(v, return_inverse=True)
+        total = np.bincount(at, c, len(self.middle))
+        self.gamma2 = np.bincount(at, d, len(self.middle)) / total
+        p2 = (c - d) / total[at] + self.gamma2[at] * p1
+        self.pairs, first = np.unique(_pair(v, w), return_index=True)
+        self.p2 = p2[first]
+        u, v, w, x = counted
+        context, pair = _pair(u, v), _pair(v, w)
+        self.grams, first, at = np.unique(_pair(context, w), return_index=True, return_inverse=True)
+        c = np.bincount(at, x, len(self.grams))
+        d = np.array(off3)[np.minimum(c, 3).astype(int)]
+        self.contexts, at = np.unique(context[first], return_inverse=True)
+        total = np.bincount(at, c, len(self.contexts))
+        self.gamma3 = np.bincount(at, d, len(self.contexts)) / total
+        low, _ = _find(self.pairs, pair[first])  # each of them has been counted
+        self.p3 = (c - d) / total[at] + self.gamma3[at] * self.p2[low] if len(low) else np.empty(0)
+
+    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities, or weights of the word's own where ``open``."""
+        context = _pair(u, v)
+        at, seen = _find(self.grams, _pair(context, w))
+        p = np.ones(len(u))
+        p[seen] = self.p3[at[seen]]
+        rest = np.flatnonzero(~seen)
+        at, known = _find(self.contexts, context[rest])
+        p[rest[known]] = self.gamma3[at[known]]
+        at, seen = _find(self.pairs, _pair(v[rest], w[rest]))
+        p[rest[seen]] *= self.p2[at[seen]]
+        rest = rest[~seen]
+        at, known = _find(self.middle, v[rest])
+        p[rest[known]] *= self.gamma2[at[known]]
+        unseen = np.zeros(len(u), bool)
+        unseen[rest] = True
+        return p, unseen
+
+
+def _scorer(off2: list[float], off3: list[float]):
+    def out(doc: np.ndarray, key: np.ndarray, is_open: bool, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(key), pa.array(np.full(len(doc), is_open)), pa.array(h.astype(float)), pa.array(n.astype(np.int64))],
+                                          ["doc", "key", "open", "h", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, model, held = None, None, {_COUNTED: [], _BIGRAMS: []}
+        for shard, kind, columns, docs in _in_shards(batches):
+            if shard != now:
+                now, model, held = shard, None, {_COUNTED: [], _BIGRAMS: []}
+            if kind != _ASKED:
+                held[kind].append(columns)
+                continue
+            if model is None:
+                model = Shard(_joined(held[_COUNTED]), _joined(held[_BIGRAMS]), off2, off3)
+                held = None
+            u, v, w, x = columns
+            p, unseen = model.score(u, v, w)
+            h = -np.log(p)
+            n = np.bincount(x[~unseen], minlength=len(docs))
+            some = n > 0
+            yield out(docs[some], docs[some], False, np.bincount(x[~unseen], h[~unseen], len(docs))[some], n[some])
+            if unseen.any():
+                yield out(docs[x[unseen]], w[unseen].view(np.int64), True, h[unseen], np.ones(int(unseen.sum())))
+
+    return run
+
+
+@contextmanager
+def _shuffles_deleted(spark: SparkSession):
+    """Shuffle files go as soon as the query that wrote them is done."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _by_shard(grams: DataFrame, plan: Dealing) -> DataFrame:
+    return in_small_batches(grams.repartition(plan.shards, "shard").sortWithinPartitions("shard", "kind"))
 
 
 class WordModel:
-    """Probabilities of every seen n-gram and weights of every seen context."""
+    """Counts of words and bigrams by slice; trigrams are counted when needed."""
 
     def __init__(self, texts: DataFrame) -> None:
-        """From all ``texts`` (one string column ``t``)."""
-        c3 = written(texts.select(F.explode(trigrams(F.col("t"))).alias("g")).select("g.*").groupBy("u", "v", "w")
-                     .agg(F.count(F.lit(1)).alias("c")), "word-trigrams")
-        c2 = written(c3.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c")), "word-bigrams")
-        c1 = written(c2.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "words")
-        kinds, total = c1.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-        d = _discount(c1)
+        """From all ``texts`` (one binary column ``t``)."""
+        self.texts = texts.select(F.lit(0).cast("long").alias("doc"), "t")
+        self.spark = texts.sparkSession
+        with _shuffles_deleted(self.spark):
+            plan, self.slices, times = dealing_of(self.texts), [], np.zeros(4, int)
+            for s in range(SLICES):
+                found = _by_shard(dealt(self.texts, plan, s, _COUNTED), plan).mapInArrow(_tally, "kind int, v long, w long, c long")
+                part, path = stored(found.groupBy("kind", "v", "w").agg(F.sum("c").alias("c")), f"word-bigrams-{s}")
+                for r in part.filter("kind = 1").collect():  # four rows
+                    times[r["w"] - 1] += r["c"]
+                self.slices.append((part.filter("kind = 0").drop("kind"), path))
+            bigrams = self.slices[0][0]
+            for part, _ in self.slices[1:]:
+                bigrams = bigrams.union(part)
+            self.off3, self.off2 = discounts(*map(int, times)), _off(bigrams)
+            words, self.words_path = stored(bigrams.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "words")
+            off1 = _off(words)
+            d = F.when(F.col("c") == 1, off1[1]).when(F.col("c") == 2, off1[2]).otherwise(off1[3])
+            kinds, total, taken = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(d), F.lit(0.0))).first()
         #: Probability of any word not seen.
-        self.unseen = (d * kinds / total if total else 1.0) / (kinds + 1)
-        self.p1 = c1.select("w", ((F.col("c") - d) / total + self.unseen).alias("p")) if total else c1.selectExpr("w", "1D as p")
-        self.p2, self.g2 = _order(c2, ["v"], self.p1, "word-order-2")
-        self.p3, self.g3 = _order(c3, ["u", "v"], self.p2, "word-order-3")
+        self.unseen = (taken / total if total else 1.0) / (kinds + 1)
+        self.p1 = words.select("w", ((F.col("c") - d) / max(1, total) + self.unseen).alias("p"))
+
+    def _bigrams(self, which: int, plan: Dealing) -> DataFrame:
+        """Bigrams of a slice with their word's probability, in all shards of
+        their middle word."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                v, w, c, p = (b.column(k).to_numpy() for k in ("v", "w", "c", "p"))
+                v, w = v.view(np.uint64), w.view(np.uint64)
+                first, parts = plan.shards_of(v)
+                row = np.repeat(np.arange(len(v)), parts.astype(int))
+                part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts.astype(int)).astype(int)
+                shard = ((first[row] + part.astype(np.uint64)) % np.uint64(plan.shards)).astype(np.int32)
+                order = np.lexsort((v[row], shard))
+                row, shard = row[order], shard[order]
+                x = np.stack([c[row].astype(np.float64), p[row]], axis=1).view(np.complex128).ravel()  # both of a bigram together
+                yield _rows(shard, _BIGRAMS, v[row][:0], v[row], w[row], x)
+
+        rows = self.slices[which][0].join(self.p1, "w")
+        return rows.repartition(plan.shards, "v").mapInArrow(run, _GRAMS)
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs(doc, t)`` -> ``(doc, h)``: mean negative log-probability of a word."""
-        grams = docs.select("doc", F.explode(trigrams(F.col("t"))).alias("g")).select("doc", "g.*")
-        one = written(grams.join(self.p3, ["u", "v", "w"], "left")
-                      .selectExpr("doc", "if(p is null, u, null) as u", "if(p is null, v, null) as v", "if(p is null, w, null) as w", "p"), "scored-3")
-        rest = one.filter("p is null").select("doc", "u", "v", "w")
-        weight = F.coalesce("gamma", F.lit(1.0))
-        two = written(rest.join(self.g3, ["u", "v"], "left").select("doc", "v", "w", weight.alias("g"))
-                      .join(self.p2, ["v", "w"], "left").select("doc", "v", "w", "g", "p"), "scored-2")
-        last = (two.filter("p is null").select("doc", "v", "w", "g").join(self.g2, "v", "left").select("doc", "w", (F.col("g") * weight).alias("g"))
-                .join(self.p1, "w", "left").select("doc", (F.col("g") * F.coalesce("p", F.lit(self.unseen))).alias("p")))
-        seen = one.filter("p is not null").select("doc", "p").union(two.filter("p is not null").select("doc", F.col("g") * F.col("p")))
-        return seen.union(last).groupBy("doc").agg(F.avg(-F.log("p")).alias("h"))
+        parts, unseen = [], -float(np.log(self.unseen))
+        with _shuffles_deleted(self.spark):
+            plan = dealing_of(docs)
+            for s in range(SLICES):
+                rows = dealt(self.texts, plan, s, _COUNTED).union(self._bigrams(s, plan)).union(dealt(docs, plan, s, _ASKED))
+                found = _by_shard(rows, plan).mapInArrow(_scorer(self.off2, self.off3), "doc long, key long, open boolean, h double, n long")
+                h = F.col("h") + F.when(F.col("open"), F.coalesce(-F.log("p"), F.lit(unseen))).otherwise(0.0)
+                ended = found.join(self.p1.withColumnRenamed("w", "key"), "key", "left")
+                parts.append(stored(ended.groupBy("doc").agg(F.sum(h).alias("h"), F.sum("n").alias("n")), f"word-scores-{s}"))
+            whole = parts[0][0]
+            for part, _ in parts[1:]:
+                whole = whole.union(part)
+            result = written(whole.groupBy("doc").agg((F.sum("h") / F.sum("n")).alias("h")), "word-scores")
+        for _, path in parts:
+            discard(self.spark, path)
+        return result
+
+    def forget(self) -> None:
+        """Delete the stored counts."""
+        for path in [*(p for _, p in self.slices), self.words_path]:
+            discard(self.spark, path)
+
+
+def _off(counts: DataFrame) -> list[float]:
+    return discounts(*counts.agg(*[F.coalesce(F.sum((F.col("c") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4)]).first())

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadcast.llm import quality as q
+from loadcast.llm import wordmodel as wm
 
 SF = "/root/testdata/sf0.1"
 
@@ -118,19 +119,46 @@ def test_word_model_matches_the_definition(spark):
     c2 = Counter(g[1:] for g in c3)
     c1 = Counter(g[1:] for g in c2)
     def order(c, low):
-        n1, n2 = (sum(v == k for v in c.values()) for k in (1, 2))
-        d = n1 / max(1, n1 + 2 * n2)
-        d = d if 0 < d < 1 else 0.5
-        total, kinds = Counter(), Counter()
+        n1, n2, n3, n4 = (sum(v == k for v in c.values()) for k in (1, 2, 3, 4))
+        y = n1 / max(1, n1 + 2 * n2)
+        raw = (1 - 2 * y * n2 / max(1, n1), 2 - 3 * y * n3 / max(1, n2), 3 - 4 * y * n4 / max(1, n3))
+        d = [0, *(x if 0 < x < k else k / 2 for k, x in enumerate(raw, 1))]
+        total, off = Counter(), Counter()
         for g, v in c.items():
             total[g[:-1]] += v
-            kinds[g[:-1]] += 1
+            off[g[:-1]] += d[min(v, 3)]
         def prob(g):
             h = g[:-1]
-            return low(g[1:]) if not total[h] else max(c[g] - d, 0) / total[h] + d * kinds[h] / total[h] * low(g[1:])
+            return low(g[1:]) if not total[h] else (c[g] - d[min(c[g], 3)] + off[h] * low(g[1:])) / total[h]
         return prob
     prob = order(c3, order(c2, order(c1, lambda g: 1 / (len(c1) + 1))))
-    model = q.WordModel(spark.createDataFrame([(t,) for t in texts], "t string"))
-    got = {r.doc: r.h for r in model.score(spark.createDataFrame(list(enumerate(texts[:10] + new)), "doc long, t string")).collect()}
+    model = q.WordModel(spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("cast(t as binary) as t").repartition(3))
+    asked = spark.createDataFrame(list(enumerate(texts[:10] + new)), "doc long, t string").selectExpr("doc", "cast(t as binary) as t").repartition(2)
+    got = {r.doc: r.h for r in model.score(asked).collect()}
     want = {i: -np.mean([math.log(prob(g)) for s in [["", "", *split(t)]] for g in zip(s, s[1:], s[2:])]) for i, t in enumerate(texts[:10] + new) if t and t.strip()}
     assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_words_are_cut_and_coded_alike_wherever_they_stand():
+    texts = ["don't stop", "東京abc x_1", "\u00a0\u2003 ", "", "é" * 40 + " stop\nstop", "a\rb\x0bc"]
+    split = [["don", "'", "t", "stop"], ["東", "京", "abc", "x", "_", "1"], [], [], ["é" * 40, "stop", "stop"], ["a", "b", "c"]]
+    codes, of = wm.word_codes(texts, block=2)
+    assert of.tolist() == [i for i, ws in enumerate(split) for _ in ws]
+    alone = {w: int(wm.word_codes([w])[0][0]) for ws in split for w in ws}
+    assert len(set(alone.values())) == len(alone)
+    assert codes.tolist() == [alone[w] for ws in split for w in ws]
+
+
+def test_shards_of_frequent_words_change_nothing(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["the", "of", *"abcdefgh"], [30, 15, *[1] * 8], k=rng.randrange(1, 60))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc long, t string").selectExpr("doc", "cast(t as binary) as t").repartition(4)
+    def scores():
+        model = wm.WordModel(df.filter("doc < 50").select("t"))
+        return {r.doc: r.h for r in model.score(df).collect()}
+    many = scores()
+    assert wm.dealing_of(df).parts.max() > 4
+    monkeypatch.setattr(wm, "MOST_PARTS", 1)
+    monkeypatch.setattr(wm, "CHUNK_CHARS", 50)
+    assert scores() == pytest.approx(many, rel=1e-9)
+    assert wm.dealing_of(df).parts.max() == 1

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from loadcast.llm.common import discard, in_small_batches, kept, n_blocks, stored, written
 
-SLICES = 8
+SLICES = 4
 SHARD_WORDS = 2_000_000
 LEAST_SHARDS = 12
 MOST_PARTS = 64  # shards of one middle word

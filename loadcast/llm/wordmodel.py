@@ -8,10 +8,11 @@ collected or broadcast.
 A trigram (u, v, w), its context (u, v), its bigram (v, w) and that one's context
 (v) share the middle word, so all of them are dealt by v into shards and met
 there in one exchange.  Tasks send one packed row per block of text and shard,
-counted grams already summed.  A middle word that is frequent enough to fill a
+counted grams already summed: the distinct words of the row once, grams as places
+among them, all compressed.  A middle word that is frequent enough to fill a
 shard has several, chosen by u; its contexts and trigrams stay whole, its bigrams
 (sums over these shards) are given to each.  What is still open after the shard,
-an unseen bigram, meets the table of words in a second, small exchange.
+an unseen bigram, meets the table of words in a second exchange, packed likewise.
 
 Shards are worked off in ``SLICES`` parts one after the other, whose files are
 deleted, so what is on disk at a time is a part of the n-grams at every size.
@@ -23,6 +24,7 @@ every word has probability 1.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -35,16 +37,20 @@ from pyspark.sql import functions as F
 
 from loadcast.llm.common import discard, in_small_batches, kept, n_blocks, stored, written
 
-SLICES = 4
-SHARD_WORDS = 2_000_000
+SLICES = 3
+SHARD_WORDS = 1_000_000
 LEAST_SHARDS = 12
 MOST_PARTS = 64  # shards of one middle word
 FREQUENT = 256  # a word with one in so many of all words may have several shards
 CHUNK_CHARS = 4_000_000
 _ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}"
 SPACE, RUN, ALONE = 0, 1, 2
-_GRAMS = "shard int, kind int, u binary, v binary, w binary, x binary, docs binary"
+SENT = 500_000  # bigrams, or open words, that a task sends together
+BATCH_BYTES = 16_000_000  # packed rows that a task takes at a time
+_PACKED = "shard int, kind int, data binary"
+_SCORES = "doc long, h double, n long"
 _COUNTED, _BIGRAMS, _ASKED = 0, 1, 2
+_WORDS, _OPEN, _SUMS = 0, 1, 2
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -96,13 +102,63 @@ def word_codes(texts: list[str], block: int = 200_000) -> tuple[np.ndarray, np.n
     return codes, np.searchsorted(firsts, starts, "right") - 1
 
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(u, v, w, text)``, one for every word; 0 stands before a text."""
+def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, and ``(u, v, w, text)`` of every word as places among
+    them; 0 stands before a text."""
     w, of = word_codes(texts)
+    words, w = np.unique(np.append(np.uint64(0), w), return_inverse=True)
+    start, w = w[0], w[1:]
     place = np.arange(len(w)) + 2 * (of + 1)
-    row = np.zeros(len(w) + 2 * len(texts) + 2, np.uint64)
+    row = np.full(len(w) + 2 * len(texts) + 2, start, np.int32)
     row[place] = w
-    return row[place - 2], row[place - 1], w, of
+    return words, row[place - 2], row[place - 1], w.astype(np.int32), of
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, compressed behind their types and lengths."""
+    raw = b"".join(c.tobytes() for c in columns)
+    head = b"".join(struct.pack("<cQ", c.dtype.char.encode(), len(c)) for c in columns)
+    return struct.pack("<BQ", len(columns), len(raw)) + head + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    n, size = struct.unpack_from("<BQ", data)
+    raw = pa.decompress(data[9 + 9 * n:], size, "zstd", asbytes=True) if size else b""
+    out, at = [], 0
+    for k in range(n):
+        kind, length = struct.unpack_from("<cQ", data, 9 + 9 * k)
+        out.append(np.frombuffer(raw, kind.decode(), length, at))
+        at += out[-1].nbytes
+    return out
+
+
+def _places(*columns: np.ndarray) -> list[np.ndarray]:
+    """Distinct values of columns of one length, and the columns as places among them."""
+    values, at = np.unique(np.concatenate(columns), return_inverse=True)
+    return [values, *np.split(at.astype(np.uint16 if len(values) <= 1 << 16 else np.uint32), len(columns))]
+
+
+def _packed(shard: list[int], kind: int, data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([kind] * len(shard), pa.int32()), pa.array(data, pa.binary())], ["shard", "kind", "data"])
+
+
+def _runs(column: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last end of every run of equal values."""
+    cuts = np.append(_changes(column), len(column))
+    return zip(cuts[:-1], cuts[1:], strict=True)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """Columns of about ``SENT`` rows together."""
+    held, size = [], 0
+    for b in batches:
+        held.append([b.column(k).to_numpy() for k in names])
+        size += len(b)
+        if size >= SENT:
+            yield _joined(held)
+            held, size = [], 0
+    if size:
+        yield _joined(held)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[str]]]:
@@ -137,9 +193,10 @@ class Dealing:
             parts = np.where(self.frequent[at] == v, self.parts[at], parts)
         return _mix(v + np.uint64(7)) // np.uint64(SLICES), parts
 
-    def shard(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-        first, parts = self.shards_of(v)
-        return ((first + _mix(u + np.uint64(11)) % parts) % np.uint64(self.shards)).astype(np.int32)
+    def shard(self, words: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Shards of grams whose words are places in ``words``."""
+        first, parts = self.shards_of(words)
+        return ((first[v] + _mix(words + np.uint64(11))[u] % parts[v]) % np.uint64(self.shards)).astype(np.int32)
 
 
 def _slice(v: np.ndarray) -> np.ndarray:
@@ -151,9 +208,10 @@ def dealing_of(docs: DataFrame) -> Dealing:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _chunks(batches):
-            v, n = np.unique(trigrams(texts)[1], return_counts=True)
+            words, _, v, _, _ = trigrams(texts)
+            n = np.bincount(v, minlength=len(words))
             most = n >= max(2, n.sum() / FREQUENT)
-            yield pa.RecordBatch.from_pydict({"all": [True, *[False] * int(most.sum())], "v": pa.array(np.append(np.uint64(0), v[most]).view(np.int64)),
+            yield pa.RecordBatch.from_pydict({"all": [True, *[False] * int(most.sum())], "v": pa.array(np.append(np.uint64(0), words[most]).view(np.int64)),
                                               "n": pa.array(np.append(n.sum(), n[most]).astype(np.int64))})
 
     found = in_small_batches(docs).mapInArrow(count, "all boolean, v long, n long").groupBy("all", "v").agg(F.sum("n").alias("n"))
@@ -167,41 +225,35 @@ def dealing_of(docs: DataFrame) -> Dealing:
     return Dealing(shards, codes[order], parts[order])
 
 
-def _rows(shard: np.ndarray, kind: int, u: np.ndarray, v: np.ndarray, w: np.ndarray, x: np.ndarray, docs: np.ndarray | None = None) -> pa.RecordBatch:
-    """One packed row per shard of grams sorted by shard; with ``docs``, ``x``
-    are places in it, and each row gets those that it needs."""
-    cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard)) if len(shard) else np.zeros(1, int)
-    out = {k: [] for k in ("shard", "kind", "u", "v", "w", "x", "docs")}
-    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-        part, held = x[lo:hi], b""
-        if docs is not None:
-            own, part = np.unique(part, return_inverse=True)
-            part, held = part.astype(np.uint32), docs[own].tobytes()
-        for k, y in zip(out, (int(shard[lo]), kind, u[lo:hi].tobytes(), v[lo:hi].tobytes(), w[lo:hi].tobytes(), part.tobytes(), held), strict=True):
-            out[k].append(y)
-    types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
-    return pa.RecordBatch.from_arrays([pa.array(y, t) for y, t in zip(out.values(), types, strict=True)], list(out))
-
-
 def dealt(docs: DataFrame, plan: Dealing, which: int, kind: int) -> DataFrame:
     """Packed trigrams of ``docs(doc, t)`` whose middle word is in a slice:
     counted, or with the documents that ask for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _chunks(batches):
-            u, v, w, of = trigrams(texts)
-            own = _slice(v) == which
+            words, u, v, w, of = trigrams(texts)
+            own = np.flatnonzero((_slice(words) == which)[v])
             u, v, w, of = u[own], v[own], w[own], of[own]
-            shard = plan.shard(u, v)
+            shard = plan.shard(words, u, v)
             order = np.lexsort((u, w, v, shard))
             shard, u, v, w, of = shard[order], u[order], v[order], w[order], of[order]
-            if kind == _ASKED:
-                yield _rows(shard, kind, u, v, w, of, np.array(ids, np.int64))
-            else:
+            if kind == _COUNTED:
                 new = _changes(v, w, u)
-                yield _rows(shard[new], kind, u[new], v[new], w[new], np.diff(np.append(new, len(v))).astype(np.uint32))
-
-    return in_small_batches(docs).mapInArrow(run, _GRAMS)
+                of = np.diff(np.append(new, len(v))).astype(np.uint32)
+                shard, u, v, w = shard[new], u[new], v[new], w[new]
+            ids, to, data = np.array(ids, np.int64), [], []
+            for lo, hi in _runs(shard):
+                used, *grams = _places(u[lo:hi], v[lo:hi], w[lo:hi])
+                if kind == _ASKED:
+                    asking, at = _places(of[lo:hi])
+                    rest = [at, ids[asking]]
+                else:
+                    rest = [of[lo:hi]]
+                to.append(int(shard[lo]))
+                data.append(_pack(words[used], *grams, *rest))
+            yield _packed(to, kind, data)
+
+    return in_small_batches(docs).mapInArrow(run, _PACKED)
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -211,15 +263,20 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray]]:
+def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     for b in batches:
-        for r in b.to_pylist():
-            x = np.frombuffer(r["x"], np.float64 if r["kind"] == _BIGRAMS else np.uint32)
-            yield r["shard"], r["kind"], [*(np.frombuffer(r[c], np.uint64) for c in "uvw"), x], np.frombuffer(r["docs"], np.int64)
+        for shard, kind, data in zip(*b.columns, strict=True):
+            yield shard.as_py(), kind.as_py(), _unpack(data.as_py())
 
 
-def _joined(rows: list[list[np.ndarray]]) -> list[np.ndarray]:
-    return [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.empty(0, np.uint64)] * 3 + [np.empty(0)]
+def _grams_in(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Packed grams with their words again, and what came with them."""
+    words, u, v, w, *rest = columns
+    return [words[u], words[v], words[w], *rest]
+
+
+def _joined(rows: list[list[np.ndarray]], columns: int = 4) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.empty(0, np.uint64)] * (columns - 1) + [np.empty(0)]
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,12 +299,12 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(np.append(np.diff(np.append(new, len(v))), times).astype(np.int64))], ["kind", "v", "w", "c"])
 
     now, rows = None, []
-    for shard, _, columns, _ in _in_shards(batches):
+    for shard, _, columns in _in_shards(batches):
         if shard != now and rows:
             yield bigrams(rows)
             rows = []
         now = shard
-        rows.append(columns)
+        rows.append(_grams_in(columns))
     if rows:
         yield bigrams(rows)
 
@@ -264,8 +321,7 @@ class Shard:
     """Seen trigrams, bigrams and contexts of the middle words of one shard."""
 
     def __init__(self, counted: list[np.ndarray], bigrams: list[np.ndarray], off2: list[float], off3: list[float]) -> None:
-        _, v, w, x = bigrams
-        c, p1 = x[0::2], x[1::2]
+        v, w, c, p1 = bigrams
         d = np.array(off2)[np.minimum(c, 3).astype(int)]
         self.middle, at = np.unique(v, return_inverse=True)
         total = np.bincount(at, c, len(self.middle))
@@ -303,48 +359,103 @@ class Shard:
         return p, unseen
 
 
-def _scorer(off2: list[float], off3: list[float]):
-    def out(doc: np.ndarray, key: np.ndarray, is_open: bool, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(key), pa.array(np.full(len(doc), is_open)), pa.array(h.astype(float)), pa.array(n.astype(np.int64))],
-                                          ["doc", "key", "open", "h", "n"])
+def _scorer(off2: list[float], off3: list[float], shards: int):
+    """Asked rows -> sums by document, and the open words dealt by themselves."""
+
+    def sent(rows: list[list[np.ndarray]], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        w, at = _joined(rows, 2)
+        ids = np.concatenate(ids)
+        shard = (_mix(w + np.uint64(13)) % np.uint64(shards)).astype(np.int32)
+        order = np.lexsort((at, w, shard))
+        shard, w, at = shard[order], w[order], at[order]
+        to, data = [], []
+        for lo, hi in _runs(shard):
+            asking, of = _places(at[lo:hi])
+            to.append(int(shard[lo]))
+            data.append(_pack(*_places(w[lo:hi]), of, ids[asking]))
+        yield _packed(to, _OPEN, data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, model, held = None, None, {_COUNTED: [], _BIGRAMS: []}
-        for shard, kind, columns, docs in _in_shards(batches):
+        rows, ids, size, n_ids = [], [], 0, 0
+        for shard, kind, columns in _in_shards(batches):
             if shard != now:
                 now, model, held = shard, None, {_COUNTED: [], _BIGRAMS: []}
             if kind != _ASKED:
-                held[kind].append(columns)
+                held[kind].append(columns if kind == _BIGRAMS else _grams_in(columns))
                 continue
             if model is None:
                 model = Shard(_joined(held[_COUNTED]), _joined(held[_BIGRAMS]), off2, off3)
                 held = None
-            u, v, w, x = columns
+            u, v, w, x, docs = _grams_in(columns)
             p, unseen = model.score(u, v, w)
-            h = -np.log(p)
-            n = np.bincount(x[~unseen], minlength=len(docs))
-            some = n > 0
-            yield out(docs[some], docs[some], False, np.bincount(x[~unseen], h[~unseen], len(docs))[some], n[some])
-            if unseen.any():
-                yield out(docs[x[unseen]], w[unseen].view(np.int64), True, h[unseen], np.ones(int(unseen.sum())))
+            yield _packed([shard], _SUMS, [_pack(docs, np.bincount(x, -np.log(p), len(docs)), np.bincount(x, minlength=len(docs)))])
+            rows.append([w[unseen], x[unseen] + np.int64(n_ids)])
+            ids.append(docs)
+            size, n_ids = size + len(rows[-1][0]), n_ids + len(docs)
+            if size >= SENT:
+                yield from sent(rows, ids)
+                rows, ids, size, n_ids = [], [], 0, 0
+        if size:
+            yield from sent(rows, ids)
+
+    return run
+
+
+def _ender(unseen: float):
+    """Sums by document, and open words that meet the table of words."""
+
+    def added(rows: list[list[np.ndarray]]) -> pa.RecordBatch:
+        docs, h, n = _joined(rows, 3)
+        ids, at = np.unique(docs, return_inverse=True)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.bincount(at, h, len(ids)).astype(float)), pa.array(np.bincount(at, n, len(ids)).astype(np.int64))], ["doc", "h", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, table, held, rows, size = None, None, [], [], 0
+        for shard, kind, columns in _in_shards(batches):
+            if shard != now:
+                now, table, held = shard, None, []
+            if kind == _WORDS:
+                held.append(columns)
+                continue
+            if kind == _OPEN:
+                if table is None:
+                    w, p = _joined(held, 2)
+                    order = np.argsort(w)
+                    table, held = (w[order], p[order]), []
+                words, at, of, docs = columns
+                place, seen = _find(table[0], words)
+                h = np.full(len(words), unseen)
+                h[seen] = -np.log(table[1][place[seen]])
+                columns = [docs, np.bincount(of, h[at], len(docs)), np.zeros(len(docs), np.int64)]
+            rows.append(columns)
+            size += len(columns[0])
+            if size >= SENT:
+                yield added(rows)
+                rows, size = [], 0
+        if size:
+            yield added(rows)
 
     return run
 
 
 @contextmanager
-def _shuffles_deleted(spark: SparkSession):
-    """Shuffle files go as soon as the query that wrote them is done."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def _bounded(spark: SparkSession):
+    """Shuffle files go as soon as the query that wrote them is done; packed rows
+    reach a task in batches of bounded bytes."""
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _by_shard(grams: DataFrame, plan: Dealing) -> DataFrame:
-    return in_small_batches(grams.repartition(plan.shards, "shard").sortWithinPartitions("shard", "kind"))
+    return in_small_batches(grams.repartitionById(plan.shards, "shard").sortWithinPartitions("shard", "kind"))
 
 
 class WordModel:
@@ -354,11 +465,12 @@ class WordModel:
         """From all ``texts`` (one binary column ``t``)."""
         self.texts = texts.select(F.lit(0).cast("long").alias("doc"), "t")
         self.spark = texts.sparkSession
-        with _shuffles_deleted(self.spark):
+        with _bounded(self.spark):
             plan, self.slices, times = dealing_of(self.texts), [], np.zeros(4, int)
             for s in range(SLICES):
                 found = _by_shard(dealt(self.texts, plan, s, _COUNTED), plan).mapInArrow(_tally, "kind int, v long, w long, c long")
-                part, path = stored(found.groupBy("kind", "v", "w").agg(F.sum("c").alias("c")), f"word-bigrams-{s}")
+                counts = found.groupBy("kind", "v", "w").agg(F.sum("c").alias("c")).sortWithinPartitions("kind", "v")  # equal words take next to no room
+                part, path = stored(counts, f"word-bigrams-{s}")
                 for r in part.filter("kind = 1").collect():  # four rows
                     times[r["w"] - 1] += r["c"]
                 self.slices.append((part.filter("kind = 0").drop("kind"), path))
@@ -379,8 +491,7 @@ class WordModel:
         their middle word."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                v, w, c, p = (b.column(k).to_numpy() for k in ("v", "w", "c", "p"))
+            for v, w, c, p in _gathered(batches, ("v", "w", "c", "p")):
                 v, w = v.view(np.uint64), w.view(np.uint64)
                 first, parts = plan.shards_of(v)
                 row = np.repeat(np.arange(len(v)), parts.astype(int))
@@ -388,23 +499,35 @@ class WordModel:
                 shard = ((first[row] + part.astype(np.uint64)) % np.uint64(plan.shards)).astype(np.int32)
                 order = np.lexsort((v[row], shard))
                 row, shard = row[order], shard[order]
-                x = np.stack([c[row].astype(np.float64), p[row]], axis=1).view(np.complex128).ravel()  # both of a bigram together
-                yield _rows(shard, _BIGRAMS, v[row][:0], v[row], w[row], x)
+                some = [row[lo:hi] for lo, hi in _runs(shard)]
+                yield _packed([int(shard[lo]) for lo, _ in _runs(shard)], _BIGRAMS, [_pack(v[r], w[r], c[r], p[r]) for r in some])
+
+        return self.slices[which][0].join(self.p1, "w").select("v", "w", "c", "p").mapInArrow(run, _PACKED)
+
+    def _words(self, plan: Dealing) -> DataFrame:
+        """Words with their probability, dealt by themselves."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for w, p in _gathered(batches, ("w", "p")):
+                w = w.view(np.uint64)
+                shard = (_mix(w + np.uint64(13)) % np.uint64(plan.shards)).astype(np.int32)
+                order = np.argsort(shard, kind="stable")
+                shard, w, p = shard[order], w[order], p[order]
+                cuts = list(_runs(shard))
+                yield _packed([int(shard[lo]) for lo, _ in cuts], _WORDS, [_pack(w[lo:hi], p[lo:hi]) for lo, hi in cuts])
 
-        rows = self.slices[which][0].join(self.p1, "w")
-        return rows.repartition(plan.shards, "v").mapInArrow(run, _GRAMS)
+        return self.p1.mapInArrow(run, _PACKED)
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs(doc, t)`` -> ``(doc, h)``: mean negative log-probability of a word."""
         parts, unseen = [], -float(np.log(self.unseen))
-        with _shuffles_deleted(self.spark):
+        with _bounded(self.spark):
             plan = dealing_of(docs)
             for s in range(SLICES):
                 rows = dealt(self.texts, plan, s, _COUNTED).union(self._bigrams(s, plan)).union(dealt(docs, plan, s, _ASKED))
-                found = _by_shard(rows, plan).mapInArrow(_scorer(self.off2, self.off3), "doc long, key long, open boolean, h double, n long")
-                h = F.col("h") + F.when(F.col("open"), F.coalesce(-F.log("p"), F.lit(unseen))).otherwise(0.0)
-                ended = found.join(self.p1.withColumnRenamed("w", "key"), "key", "left")
-                parts.append(stored(ended.groupBy("doc").agg(F.sum(h).alias("h"), F.sum("n").alias("n")), f"word-scores-{s}"))
+                found = _by_shard(rows, plan).mapInArrow(_scorer(self.off2, self.off3, plan.shards), _PACKED)
+                ended = _by_shard(found.union(self._words(plan)), plan).mapInArrow(_ender(unseen), _SCORES)
+                parts.append(stored(ended.groupBy("doc").agg(F.sum("h").alias("h"), F.sum("n").alias("n")), f"word-scores-{s}"))
             whole = parts[0][0]
             for part, _ in parts[1:]:
                 whole = whole.union(part)

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,24 @@ def test_shards_of_frequent_words_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(wm, "CHUNK_CHARS", 50)
     assert scores() == pytest.approx(many, rel=1e-9)
     assert wm.dealing_of(df).parts.max() == 1
+
+
+def test_packed_rows_are_read_again():
+    columns = np.array([2**63, 5], np.uint64), np.array([], np.int64), np.array([0.5, -1.0, 3.0]), np.array([7], np.uint16)
+    for got in (wm._unpack(wm._pack(*columns)), wm._unpack(wm._pack(columns[1]))):
+        assert [(c.dtype, c.tolist()) for c in got] == [(c.dtype, c.tolist()) for c in (columns if len(got) > 1 else columns[1:2])]
+
+
+def test_packed_rows_reach_a_task_in_batches_of_bounded_bytes(spark, monkeypatch):
+    monkeypatch.setattr(wm, "BATCH_BYTES", 3_000_000)
+    rows = spark.range(40).selectExpr("cast(id % 2 as int) shard", "cast(id % 3 as int) kind", "cast(repeat('x', 1000000) as binary) data")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [len(b)], "bytes": [b.nbytes], "shards": [len(set(b.column("shard").to_pylist()))]})
+
+    with wm._bounded(spark):
+        found = wm._by_shard(rows, wm.Dealing(2)).mapInArrow(sizes, "n long, bytes long, shards long").collect()
+    assert sum(r["n"] for r in found) == 40
+    assert max(r["bytes"] for r in found) < 6_000_000
+    assert {r["shards"] for r in found} == {1}

@@ -108,3 +108,33 @@ def test_a_partition_that_loses_its_rows_goes(spark):
     df.write.partitionBy("country", tables.MONTH).parquet(path)
     tables.replace_partitions(df.filter("v = 1").withColumn("v", F.lit(5)), path, df.select("country", tables.MONTH))
     assert [r["v"] for r in spark.read.parquet(path).collect()] == [5]
+
+
+def test_many_small_partitions_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(40 * 24).selectExpr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(cast(id as int)) as timestamp_utc", "concat('Z', id % 4) as country",
+                                           "'actual' as kind", "cast(id as double) as load_mw")
+    writers = lambda path: {f.split("/")[-1].split("-")[1] for f in snapshot(path)}
+    path = f"{tmp_path}/t"
+    tables.create_table(rows, path)
+    assert len(snapshot(path)) > 3 * tables.FOLDERS_A_TASK and len(writers(path)) > 2
+    assert tables.scan_layer(spark, path).count() == rows.count()
+    tables.upsert(spark, rows.withColumn("load_mw", F.col("load_mw") + 1), path)
+    assert len(writers(path)) > 2
+    assert tables.scan_layer(spark, path).select(F.sum("load_mw")).first()[0] == rows.select(F.sum(F.col("load_mw") + 1)).first()[0]
+
+
+def test_a_large_partition_is_left_to_a_rebalance(spark, monkeypatch):
+    rows = spark.range(100).selectExpr("id % 3 as a")
+    plan = lambda: tables.dealt(rows, ["a"])._jdf.queryExecution().logical().toString()
+    assert "rebalance" not in plan().lower()
+    monkeypatch.setattr(tables, "SMALL_PARTITION", 10)
+    assert "rebalance" in plan().lower()
+
+
+def test_pages_and_bounds_come_from_a_stored_grid(spark):
+    from loadcast.queries import q_jobs
+    sf = "/root/testdata/sf0.001"
+    grid = q_jobs._grid(spark, sf)
+    plan = grid.select(q_jobs._as_of(grid).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "event" not in plan and grid.count() > 0
+    assert not any("events" in f for f in grid.inputFiles())

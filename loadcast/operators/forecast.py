@@ -22,6 +22,7 @@ from loadcast.functions.timecols import epoch_hours
 from loadcast.operators.evaluate import tail_fraction_split
 from loadcast.plans.halo import series_window
 from loadcast.schemas import FEATURE_COLS, TARGET
+from loadcast.session import work_dir
 
 
 # ---------------------------------------------------------------- matrices
@@ -175,8 +176,10 @@ def fit_seasonal(train: DataFrame, target: str = TARGET, ridge: float = 1e-3, by
             rows.append((r[by], [float(c) for c in coef]))
         return pd.DataFrame(rows, columns=[by, "coef"])
 
-    coefs = ne.groupBy(by).applyInPandas(solve, schema=f"{by} string, coef array<double>")
-    return coefs, {"origin": origin, "span": span, "names": names, "design": design}
+    # One row per zone, stored: whoever scores or saves the model would fit it again.
+    path, schema = work_dir(train.sparkSession, "seasonal"), f"{by} string, coef array<double>"
+    ne.groupBy(by).applyInPandas(solve, schema=schema).write.parquet(path)
+    return train.sparkSession.read.schema(schema).parquet(path), {"origin": origin, "span": span, "names": names, "design": design}
 
 
 def predict_seasonal(df: DataFrame, coefs: DataFrame, settings: dict, by: str = "country") -> DataFrame:

@@ -157,13 +157,13 @@ def sink_csv(spark, sf_dir):
     return spark.read.option("header", True).schema("feature string, importance double, rank int").csv(path)
 
 
-def _forecast_request(spark, sf_dir):
-    g = layers.gold_grid(spark, sf_dir, drop=False)
+def _forecast_request(spark, sf_dir, g=None):
+    g = layers.gold_grid(spark, sf_dir, drop=False) if g is None else g
     return sc.as_request(g, sc.FORECAST_REQUEST, extra=[F.to_date("timestamp_utc").cast("string").alias("batch_id"), "country"])
 
 
-def _anomaly_request(spark, sf_dir):
-    g = layers.gold_grid(spark, sf_dir, drop=False)
+def _anomaly_request(spark, sf_dir, g=None):
+    g = layers.gold_grid(spark, sf_dir, drop=False) if g is None else g
     return sc.as_request(g, sc.ANOMALY_REQUEST, extra=[F.to_date("timestamp_utc").cast("string").alias("batch_id")])
 
 
@@ -198,8 +198,7 @@ def _registered(spark, sf_dir):
         ledger, gold = _TRAINED[key]
         return ledger, spark.read.parquet(gold)
     d = work_dir(spark, "registered")
-    g = layers.gold_table(spark, sf_dir, drop=False)
-    g.write.parquet(f"{d}/gold")
+    layers.gold_grid(spark, sf_dir, drop=False).write.parquet(f"{d}/gold")
     jobs.job_train(spark, f"{d}/gold", f"{d}/models", f"{d}/ledger", test_days=TEST_DAYS, gbt_params=GBT_QUICK, n_trees=QUICK_TREES)
     _TRAINED[key] = f"{d}/ledger", f"{d}/gold"
     return f"{d}/ledger", spark.read.parquet(f"{d}/gold")
@@ -214,7 +213,7 @@ def _valid(spark, sf_dir, request, schema):
 def batch_forecast(spark, sf_dir):
     """The champion, found by its alias in the ledger, scores the valid request rows."""
     ledger, g = _registered(spark, sf_dir)
-    rows = _valid(spark, sf_dir, _forecast_request(spark, sf_dir), sc.FORECAST_REQUEST)
+    rows = _valid(spark, sf_dir, _forecast_request(spark, sf_dir, g), sc.FORECAST_REQUEST)
     return finish(models.score_by_alias(spark, ledger, "champion", rows, history=g).select("timestamp_utc", "country", "prediction"))
 
 
@@ -231,8 +230,8 @@ def batch_forecast_rows(spark, sf_dir):
 def batch_anomaly(spark, sf_dir):
     """The registered forest, by its alias, scores anomaly requests (continuous
     score and flag, training-mean imputation)."""
-    ledger, _ = _registered(spark, sf_dir)
-    rows = _valid(spark, sf_dir, _anomaly_request(spark, sf_dir), sc.ANOMALY_REQUEST)
+    ledger, g = _registered(spark, sf_dir)
+    rows = _valid(spark, sf_dir, _anomaly_request(spark, sf_dir, g), sc.ANOMALY_REQUEST)
     return finish(models.score_by_alias(spark, ledger, "anomaly", rows).select("timestamp_utc", "country", "anomaly_score", "is_anomaly"))
 
 

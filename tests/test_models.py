@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from loadcast.operators import anomaly as an
@@ -145,3 +147,20 @@ def test_every_family_is_stored_resolved_and_refuses_a_wrong_signature(spark, sy
 def forecast_metrics_of(df):
     from loadcast.operators import evaluate as ev
     return ev.forecast_metrics(ev.mask_valid(df), y="load_mw_clean").first()
+
+
+def test_a_seasonal_model_is_fitted_once(spark):
+    rows = spark.range(400).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id as int)) as timestamp_utc", "'A' as country",
+                                       "100.0 + id % 24 as load_mw_clean")
+    coefs, settings = fc.fit_seasonal(rows)
+    assert "seasonal" in coefs.inputFiles()[0]
+    assert "Range" not in coefs._jdf.queryExecution().optimizedPlan().toString()
+    assert fc.predict_seasonal(rows, coefs, settings).filter("abs(prediction - load_mw_clean) > 20").count() == 0
+
+
+def test_requests_are_built_from_the_registered_gold(spark, monkeypatch):
+    from loadcast.queries import q_anomaly as qa
+    g = spark.range(3).selectExpr("timestamp_ntz'2024-01-01 00:00:00' as timestamp_utc", "'A' as country",
+                                  *[f"cast(id as double) as {f.name}" for f in qa.sc.FORECAST_REQUEST.fields if f.name != "timestamp_utc"])
+    monkeypatch.setattr(qa.layers, "gold_grid", lambda *a, **k: pytest.fail("gold was built again"))
+    assert qa._forecast_request(spark, "/nowhere", g).count() == 3

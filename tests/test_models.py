@@ -3,7 +3,6 @@ from __future__ import annotations
 import math
 
 import pytest
-
 from pyspark.sql import functions as F
 
 from loadcast.operators import anomaly as an

@@ -37,15 +37,16 @@ from pyspark.sql import functions as F
 
 from loadcast.llm.common import discard, in_small_batches, kept, n_blocks, stored, written
 
-SLICES = 3
-SHARD_WORDS = 1_000_000
+SLICES = 6
+SHARD_WORDS = 2_000_000
 LEAST_SHARDS = 12
 MOST_PARTS = 64  # shards of one middle word
 FREQUENT = 256  # a word with one in so many of all words may have several shards
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 16_000_000
+PIECE_CHARS = 500_000  # cut into words together
 _ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}"
 SPACE, RUN, ALONE = 0, 1, 2
-SENT = 500_000  # bigrams, or open words, that a task sends together
+SENT = 1_000_000  # bigrams, or open words, that a task sends together
 BATCH_BYTES = 16_000_000  # packed rows that a task takes at a time
 _PACKED = "shard int, kind int, data binary"
 _SCORES = "doc long, h double, n long"
@@ -81,42 +82,134 @@ def _pair(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return _mix(_mix(x + np.uint64(1)) + y)
 
 
-def word_codes(texts: list[str], block: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, and which text each stands in."""
+_BASE = 0x9E3779B97F4A7C15 - 2  # odd, so its powers can be undone
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    row = np.full(n, base, np.uint64)
+    row[0] = 1
+    return np.multiply.accumulate(row)
+
+
+def _coding() -> tuple[np.ndarray, np.ndarray]:
+    """Class and scattered number of every character; 0 for spaces."""
+    kinds = _classes()
+    numbers = _mix(np.arange(1, 0x110001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    numbers[kinds == SPACE] = 0
+    return kinds, numbers
+
+
+def word_codes(texts: list[str], block: int = 50_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, and which text each stands in.
+
+    A word's hash is the sum of its characters' numbers times powers of an odd
+    base, divided by the power at its start, scattered."""
     points = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
-    kinds = kept("word-classes", _classes)[points]
+    classes, numbers = kept("word-coding", _coding)
+    kinds = classes[points]
     run = kinds == RUN
     starts = kinds != SPACE
     starts[1:] &= ~(run[1:] & run[:-1])
     starts = np.flatnonzero(starts)
     codes = np.empty(len(starts), np.uint64)
-    for k in range(0, len(starts), block):
+    ends = np.append(starts[block::block], len(points))
+    longest = int((ends - starts[::block]).max()) if len(starts) else 1
+    up, down = (kept("word-powers", lambda: (_powers(_BASE, 1 << 20), _powers(pow(_BASE, -1, 1 << 64), 1 << 20))) if longest <= 1 << 20
+                else (_powers(_BASE, longest), _powers(pow(_BASE, -1, 1 << 64), longest)))
+    for k, hi in zip(range(0, len(starts), block), ends, strict=True):
         at = starts[k:k + block]
-        lo, hi = at[0], starts[k + block] if k + block < len(starts) else len(points)
+        lo = at[0]
         at = at - lo
-        place = np.arange(hi - lo) - np.repeat(at, np.diff(np.append(at, hi - lo)))
-        value = _mix(points[lo:hi].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21)) + np.uint64(1))
-        value[kinds[lo:hi] == SPACE] = 0
-        codes[k:k + block] = _mix(np.add.reduceat(value, at))
+        codes[k:k + block] = _mix(np.add.reduceat(numbers[points[lo:hi]] * up[:hi - lo], at) * down[at])
     firsts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-    return codes, np.searchsorted(firsts, starts, "right") - 1
+    return codes, np.repeat(np.arange(len(texts)), np.diff(np.append(np.searchsorted(starts, firsts), len(starts))))
+
+
+def _pieces(texts: list[str]) -> Iterator[list[str]]:
+    lo, size = 0, 0
+    for hi, t in enumerate(texts, 1):
+        size += len(t)
+        if size >= PIECE_CHARS or hi == len(texts):
+            yield texts[lo:hi]
+            lo, size = hi, 0
+
+
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values as they first appear, and the values as places among them."""
+    found = pa.array(values).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words, and ``(u, v, w, text)`` of every word as places among
-    them; 0 stands before a text."""
-    w, of = word_codes(texts)
-    words, w = np.unique(np.append(np.uint64(0), w), return_inverse=True)
-    start, w = w[0], w[1:]
-    place = np.arange(len(w)) + 2 * (of + 1)
-    row = np.full(len(w) + 2 * len(texts) + 2, start, np.int32)
+    them; the first, 0, stands before a text."""
+    codes, of, n = [np.zeros(1, np.uint64)], [], 0
+    for some in _pieces(texts):
+        c, o = word_codes(some)
+        codes.append(c)
+        of.append((o + n).astype(np.int32))
+        n += len(some)
+    words, w = _coded(np.concatenate(codes))
+    w, of = w[1:], np.concatenate(of) if of else np.empty(0, np.int32)
+    place = np.arange(len(w)) + 2 * (of + np.int64(1))
+    row = np.zeros(len(w) + 2 * len(texts) + 2, np.int32)
     row[place] = w
-    return words, row[place - 2], row[place - 1], w.astype(np.int32), of
+    return words, row[place - 2], row[place - 1], w, of
+
+
+def _keyed(*columns: np.ndarray) -> tuple[np.ndarray | None, list[int]]:
+    """One number a row that sorts like the columns, if 64 bits are enough for
+    it, and the bits of each column."""
+    bits = [int(c.max()).bit_length() if len(c) else 0 for c in columns]
+    if sum(bits) > 63:
+        return None, bits
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c, n in zip(columns, bits, strict=True):
+        key = (key << np.uint64(n)) | c.astype(np.uint64)
+    return key, bits
+
+
+def _order(*columns: np.ndarray) -> np.ndarray:
+    """Stable order by columns of numbers, none below 0, the first one foremost."""
+    key, bits = _keyed(*columns, np.arange(len(columns[0])))
+    if key is None:
+        return np.lexsort(columns[::-1])
+    key.sort()
+    return (key & np.uint64((1 << bits[-1]) - 1)).astype(np.int64)
+
+
+def _distinct(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of columns of places, sorted, and how often each is there."""
+    key, bits = _keyed(*columns)
+    if key is None:
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+        new = _changes(*columns)
+        return [c[new] for c in columns], np.diff(np.append(new, len(order)))
+    key.sort()
+    new = _changes(key)
+    times, key, out = np.diff(np.append(new, len(key))), key[new], []
+    for n in reversed(bits):
+        out.append((key & np.uint64((1 << n) - 1)).astype(np.int32))
+        key = key >> np.uint64(n)
+    return out[::-1], times
+
+
+def _compact(size: int, *columns: np.ndarray) -> list[np.ndarray]:
+    """Which of ``size`` places the columns hold, and the columns as places among these."""
+    there = np.zeros(size, bool)
+    for c in columns:
+        there[c] = True
+    used = np.flatnonzero(there)
+    rank = np.empty(size, np.uint16 if len(used) <= 1 << 16 else np.uint32)
+    rank[used] = np.arange(len(used))
+    return [used, *(rank[c] for c in columns)]
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    """Columns of numbers, compressed behind their types and lengths."""
-    raw = b"".join(c.tobytes() for c in columns)
+    """Columns of numbers, compressed behind their types and lengths; first bytes
+    of all numbers stand together, and so on, which are more alike."""
+    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
     head = b"".join(struct.pack("<cQ", c.dtype.char.encode(), len(c)) for c in columns)
     return struct.pack("<BQ", len(columns), len(raw)) + head + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
 
@@ -127,17 +220,13 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
     for k in range(n):
         kind, length = struct.unpack_from("<cQ", data, 9 + 9 * k)
-        out.append(np.frombuffer(raw, kind.decode(), length, at))
-        at += out[-1].nbytes
+        kind = np.dtype(kind.decode())
+        planes = np.frombuffer(raw, np.uint8, length * kind.itemsize, at).reshape(kind.itemsize, length)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(length))
+        at += length * kind.itemsize
     return out
 
 
-def _places(*columns: np.ndarray) -> list[np.ndarray]:
-    """Distinct values of columns of one length, and the columns as places among them."""
-    values, at = np.unique(np.concatenate(columns), return_inverse=True)
-    return [values, *np.split(at.astype(np.uint16 if len(values) <= 1 << 16 else np.uint32), len(columns))]
-
-
 def _packed(shard: list[int], kind: int, data: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([kind] * len(shard), pa.int32()), pa.array(data, pa.binary())], ["shard", "kind", "data"])
 
@@ -234,18 +323,17 @@ def dealt(docs: DataFrame, plan: Dealing, which: int, kind: int) -> DataFrame:
             words, u, v, w, of = trigrams(texts)
             own = np.flatnonzero((_slice(words) == which)[v])
             u, v, w, of = u[own], v[own], w[own], of[own]
+            if kind == _COUNTED:
+                (v, w, u), of = _distinct(v, w, u)
+                of = of.astype(np.uint32)
             shard = plan.shard(words, u, v)
-            order = np.lexsort((u, w, v, shard))
+            order = _order(shard) if kind == _COUNTED else _order(shard, v)
             shard, u, v, w, of = shard[order], u[order], v[order], w[order], of[order]
-            if kind == _COUNTED:
-                new = _changes(v, w, u)
-                of = np.diff(np.append(new, len(v))).astype(np.uint32)
-                shard, u, v, w = shard[new], u[new], v[new], w[new]
             ids, to, data = np.array(ids, np.int64), [], []
             for lo, hi in _runs(shard):
-                used, *grams = _places(u[lo:hi], v[lo:hi], w[lo:hi])
+                used, *grams = _compact(len(words), u[lo:hi], v[lo:hi], w[lo:hi])
                 if kind == _ASKED:
-                    asking, at = _places(of[lo:hi])
+                    asking, at = _compact(len(ids), of[lo:hi])
                     rest = [at, ids[asking]]
                 else:
                     rest = [of[lo:hi]]
@@ -286,17 +374,16 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def bigrams(rows: list[list[np.ndarray]]) -> pa.RecordBatch:
         u, v, w, x = _joined(rows)
-        order = np.lexsort((u, w, v))
-        u, v, w, x = u[order], v[order], w[order], x[order]
-        new = _changes(v, w, u)
-        times = np.bincount(np.minimum(np.add.reduceat(x.astype(np.int64), new), 5), minlength=6)[1:5]
-        v, w = v[new], w[new]
-        new = _changes(v, w)
+        pair = _pair(v, w)
+        _, first, at = np.unique(_pair(pair, u), return_index=True, return_inverse=True)
+        times = np.bincount(np.bincount(at, x, len(first)).clip(max=5).astype(int), minlength=6)[1:5]
+        _, new, n = np.unique(pair[first], return_index=True, return_counts=True)
+        v, w = v[first[new]], w[first[new]]
         return pa.RecordBatch.from_arrays([
             pa.array(np.append(np.zeros(len(new), np.int32), np.ones(4, np.int32))),
-            pa.array(np.append(v[new].view(np.int64), np.zeros(4, np.int64))),
-            pa.array(np.append(w[new].view(np.int64), np.arange(1, 5))),
-            pa.array(np.append(np.diff(np.append(new, len(v))), times).astype(np.int64))], ["kind", "v", "w", "c"])
+            pa.array(np.append(v.view(np.int64), np.zeros(4, np.int64))),
+            pa.array(np.append(w.view(np.int64), np.arange(1, 5))),
+            pa.array(np.append(n, times).astype(np.int64))], ["kind", "v", "w", "c"])
 
     now, rows = None, []
     for shard, _, columns in _in_shards(batches):
@@ -309,12 +396,24 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield bigrams(rows)
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``wanted`` in sorted ``keys``, and which of them are there."""
-    if not len(keys):
-        return np.zeros(len(wanted), int), np.zeros(len(wanted), bool)
-    at = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
-    return at, keys[at] == wanted
+class Keys:
+    """Places of scattered numbers among sorted distinct ones: the first bits
+    lead to where to begin, from there it is a step or two."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.n, self.keys = len(keys), np.append(keys, np.uint64(2**64 - 1))
+        bits = max(1, self.n.bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of ``wanted``, and which of them are there."""
+        at = self.first[wanted >> self.shift]
+        late = np.flatnonzero(self.keys[at] < wanted)
+        while len(late):
+            at[late] += 1
+            late = late[self.keys[at[late]] < wanted[late]]
+        return at, (self.keys[at] == wanted) & (at < self.n)
 
 
 class Shard:
@@ -337,22 +436,23 @@ class Shard:
         self.contexts, at = np.unique(context[first], return_inverse=True)
         total = np.bincount(at, c, len(self.contexts))
         self.gamma3 = np.bincount(at, d, len(self.contexts)) / total
-        low, _ = _find(self.pairs, pair[first])  # each of them has been counted
+        low = np.searchsorted(self.pairs, pair[first])  # each of them has been counted
         self.p3 = (c - d) / total[at] + self.gamma3[at] * self.p2[low] if len(low) else np.empty(0)
+        self.grams, self.contexts, self.pairs, self.middle = map(Keys, (self.grams, self.contexts, self.pairs, self.middle))
 
     def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities, or weights of the word's own where ``open``."""
         context = _pair(u, v)
-        at, seen = _find(self.grams, _pair(context, w))
+        at, seen = self.grams.find(_pair(context, w))
         p = np.ones(len(u))
         p[seen] = self.p3[at[seen]]
         rest = np.flatnonzero(~seen)
-        at, known = _find(self.contexts, context[rest])
+        at, known = self.contexts.find(context[rest])
         p[rest[known]] = self.gamma3[at[known]]
-        at, seen = _find(self.pairs, _pair(v[rest], w[rest]))
+        at, seen = self.pairs.find(_pair(v[rest], w[rest]))
         p[rest[seen]] *= self.p2[at[seen]]
         rest = rest[~seen]
-        at, known = _find(self.middle, v[rest])
+        at, known = self.middle.find(v[rest])
         p[rest[known]] *= self.gamma2[at[known]]
         unseen = np.zeros(len(u), bool)
         unseen[rest] = True
@@ -365,14 +465,16 @@ def _scorer(off2: list[float], off3: list[float], shards: int):
     def sent(rows: list[list[np.ndarray]], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         w, at = _joined(rows, 2)
         ids = np.concatenate(ids)
-        shard = (_mix(w + np.uint64(13)) % np.uint64(shards)).astype(np.int32)
-        order = np.lexsort((at, w, shard))
+        words, w = _coded(w)
+        shard = (_mix(words + np.uint64(13)) % np.uint64(shards)).astype(np.int32)[w]
+        order = _order(shard, w)
         shard, w, at = shard[order], w[order], at[order]
         to, data = [], []
         for lo, hi in _runs(shard):
-            asking, of = _places(at[lo:hi])
+            asking, of = _compact(len(ids), at[lo:hi])
+            used, w_at = _compact(len(words), w[lo:hi])
             to.append(int(shard[lo]))
-            data.append(_pack(*_places(w[lo:hi]), of, ids[asking]))
+            data.append(_pack(words[used], w_at, of, ids[asking]))
         yield _packed(to, _OPEN, data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,9 +524,9 @@ def _ender(unseen: float):
                 if table is None:
                     w, p = _joined(held, 2)
                     order = np.argsort(w)
-                    table, held = (w[order], p[order]), []
+                    table, held = (Keys(w[order]), p[order]), []
                 words, at, of, docs = columns
-                place, seen = _find(table[0], words)
+                place, seen = table[0].find(words)
                 h = np.full(len(words), unseen)
                 h[seen] = -np.log(table[1][place[seen]])
                 columns = [docs, np.bincount(of, h[at], len(docs)), np.zeros(len(docs), np.int64)]

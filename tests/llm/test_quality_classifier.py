@@ -184,3 +184,30 @@ def test_packed_rows_reach_a_task_in_batches_of_bounded_bytes(spark, monkeypatch
     assert sum(r["n"] for r in found) == 40
     assert max(r["bytes"] for r in found) < 6_000_000
     assert {r["shards"] for r in found} == {1}
+
+
+def test_asked_words_of_a_slice_take_few_bytes(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(200_000)]
+    texts = [" ".join(words[min(int(rng.paretovariate(0.25)), len(words)) - 1] for _ in range(2_000)) for _ in range(700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, t string").selectExpr("doc", "cast(t as binary) as t").coalesce(1)
+    asked = wm.dealt(docs, wm.Dealing(wm.LEAST_SHARDS), 0, wm._ASKED).select(F.sum(F.length("data"))).first()[0]
+    assert 0 < asked / (2_000 * 700) < 1.3
+
+
+def test_rows_are_ordered_and_counted_with_few_bits_and_with_many():
+    rng = np.random.default_rng(1)
+    for top in (9, 1 << 31):
+        a, b, c = (rng.integers(top - 4, top, 300) for _ in range(3))
+        rows = list(zip(a.tolist(), b.tolist(), c.tolist(), strict=True))
+        assert wm._order(a, b, c).tolist() == sorted(range(300), key=lambda i: rows[i])
+        found, times = wm._distinct(a, b, c)
+        assert dict(zip(zip(*(x.tolist() for x in found), strict=True), times.tolist(), strict=True)) == Counter(rows)
+
+
+def test_places_are_found_wherever_keys_crowd():
+    for keys in ([], [0], [0, 1, 2, 3, 2**40, 2**63, 2**64 - 1], [2**64 - 1]):
+        wanted = [0, 1, 4, 2**40, 2**63 + 1, 2**64 - 2, 2**64 - 1]
+        at, seen = wm.Keys(np.array(keys, np.uint64)).find(np.array(wanted, np.uint64))
+        assert seen.tolist() == [w in keys for w in wanted]
+        assert [keys[i] for i in at[seen]] == [w for w in wanted if w in keys]

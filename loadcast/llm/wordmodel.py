@@ -42,11 +42,11 @@ SHARD_WORDS = 2_000_000
 LEAST_SHARDS = 12
 MOST_PARTS = 64  # shards of one middle word
 FREQUENT = 256  # a word with one in so many of all words may have several shards
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 8_000_000
 PIECE_CHARS = 500_000  # cut into words together
 _ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}"
 SPACE, RUN, ALONE = 0, 1, 2
-SENT = 1_000_000  # bigrams, or open words, that a task sends together
+SENT = 500_000  # bigrams, or open words, that a task sends together
 BATCH_BYTES = 16_000_000  # packed rows that a task takes at a time
 _PACKED = "shard int, kind int, data binary"
 _SCORES = "doc long, h double, n long"

@@ -2,8 +2,9 @@
 
 Words are runs of letters, marks and digits as they stand; other marks, and
 characters of scripts written without spaces, are words of their own.  Words
-travel as 64-bit hashes.  No vocabulary is fixed, and nothing of the counts is
-collected or broadcast.
+travel as 64-bit hashes; up to ``SHORT`` of the most frequent have their rank for
+a code instead, which takes fewer bytes and changes no result.  No vocabulary is
+fixed, and nothing of the counts but that code table is collected or broadcast.
 
 A trigram (u, v, w), its context (u, v), its bigram (v, w) and that one's context
 (v) share the middle word, so all of them are dealt by v into shards and met
@@ -14,9 +15,11 @@ shard has several, chosen by u; its contexts and trigrams stay whole, its bigram
 (sums over these shards) are given to each.  What is still open after the shard,
 an unseen bigram, meets the table of words in a second exchange, packed likewise.
 
-Shards are worked off in ``SLICES`` parts one after the other, whose files are
-deleted, so what is on disk at a time is a part of the n-grams at every size.
-The texts are read again for each part; that costs less than storing their grams.
+Shards are worked off in ``SLICES`` parts one after the other (in ``PASSES`` when
+trigrams are only counted), whose files are deleted, so what is on disk at a time
+is a part of the n-grams at every size.  The most frequent words are dealt to the
+parts by their counts, so that these are alike.  The texts are read again for each
+part; that costs less than storing their grams.
 
 Defined results: a text without words has no row; without any counted text
 every word has probability 1.
@@ -25,9 +28,10 @@ every word has probability 1.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +39,23 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import discard, in_small_batches, kept, n_blocks, stored, written
+from loadcast.llm.common import discard, in_small_batches, kept, n_blocks, shared, stored, work_dir, written
 
-SLICES = 6
+SLICES = 5
+PASSES = 2  # over the counted text
+SHORT = 1 << 18  # words with a short code (2 MB broadcast)
+PINNED = 1000  # of them, dealt to slices by their counts
 SHARD_WORDS = 2_000_000
+COUNTED_WORDS = 700_000  # of a shard whose trigrams are only counted
 LEAST_SHARDS = 12
 MOST_PARTS = 64  # shards of one middle word
 FREQUENT = 256  # a word with one in so many of all words may have several shards
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 6_000_000
 PIECE_CHARS = 500_000  # cut into words together
 _ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}"
 SPACE, RUN, ALONE = 0, 1, 2
 SENT = 500_000  # bigrams, or open words, that a task sends together
-BATCH_BYTES = 16_000_000  # packed rows that a task takes at a time
+BATCH_BYTES = 8_000_000  # packed rows that a task takes at a time
 _PACKED = "shard int, kind int, data binary"
 _SCORES = "doc long, h double, n long"
 _COUNTED, _BIGRAMS, _ASKED = 0, 1, 2
@@ -140,9 +148,18 @@ def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found.dictionary.to_numpy(), found.indices.to_numpy()
 
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words, and ``(u, v, w, text)`` of every word as places among
-    them; the first, 0, stands before a text."""
+def _short(words: np.ndarray, table: np.ndarray | None) -> np.ndarray:
+    """Codes of words: their place in ``table`` (from 1), or the hash they have."""
+    if table is None or not table.size:
+        return words
+    known, ranks = table
+    at = np.searchsorted(known, words).clip(max=len(known) - 1)
+    return np.where(known[at] == words, ranks[at], words)
+
+
+def trigrams(texts: list[str], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the distinct words, sorted, and ``(u, v, w, text)`` of every word
+    as places among them; the first, 0, stands before a text."""
     codes, of, n = [np.zeros(1, np.uint64)], [], 0
     for some in _pieces(texts):
         c, o = word_codes(some)
@@ -150,7 +167,12 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         of.append((o + n).astype(np.int32))
         n += len(some)
     words, w = _coded(np.concatenate(codes))
-    w, of = w[1:], np.concatenate(of) if of else np.empty(0, np.int32)
+    del codes
+    words = _short(words, table)
+    order = np.argsort(words)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    words, w, of = words[order], rank[w[1:]], np.concatenate(of) if of else np.empty(0, np.int32)
     place = np.arange(len(w)) + 2 * (of + np.int64(1))
     row = np.zeros(len(w) + 2 * len(texts) + 2, np.int32)
     row[place] = w
@@ -206,6 +228,11 @@ def _compact(size: int, *columns: np.ndarray) -> list[np.ndarray]:
     return [used, *(rank[c] for c in columns)]
 
 
+def _steps(words: np.ndarray) -> np.ndarray:
+    """Sorted codes as differences, which take fewer bytes; sums give them back."""
+    return np.diff(words, prepend=np.uint64(0))
+
+
 def _pack(*columns: np.ndarray) -> bytes:
     """Columns of numbers, compressed behind their types and lengths; first bytes
     of all numbers stand together, and so on, which are more alike."""
@@ -266,6 +293,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
         yield docs, texts
 
 
+def _no_table() -> None:
+    """No word has a short code."""
+
+
 @dataclass
 class Dealing:
     """Where a middle word's grams go: a slice, and a shard (or several) of it."""
@@ -273,6 +304,14 @@ class Dealing:
     shards: int
     frequent: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # sorted
     parts: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    table: Callable[[], np.ndarray | None] = _no_table  # words with short codes, sorted, and the codes
+    pinned: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # slices of the first codes
+
+    def slice_of(self, v: np.ndarray) -> np.ndarray:
+        slices = _mix(v + np.uint64(7)) % np.uint64(SLICES)
+        first = np.flatnonzero(v < len(self.pinned))
+        slices[first] = self.pinned[v[first]]
+        return slices
 
     def shards_of(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First shard of every word, and how many it has."""
@@ -288,40 +327,72 @@ class Dealing:
         return ((first[v] + _mix(words + np.uint64(11))[u] % parts[v]) % np.uint64(self.shards)).astype(np.int32)
 
 
-def _slice(v: np.ndarray) -> np.ndarray:
-    return _mix(v + np.uint64(7)) % np.uint64(SLICES)
-
-
-def dealing_of(docs: DataFrame) -> Dealing:
-    """Shards for the words of ``docs(doc, t)``, more for frequent middle words."""
+def _coding_of(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``SHORT`` of the most frequent words of ``found(v, n)`` with their
+    ranks, sorted by word, and the slices of the first ranks."""
+    times = F.least("n", F.lit(100_000)).alias("n")
+    least = None
+    many = 0
+    for r in found.groupBy(times).count().orderBy(F.desc("n")).collect():  # at most 100,000 rows
+        many += r["count"]
+        if many > SHORT:
+            break
+        least = r["n"]
+    rows = found.filter(F.lit(False) if least is None else F.col("n") >= least).select("v", "n").toArrow()  # at most SHORT rows
+    known, n = rows["v"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+    order = np.lexsort((known, -n))
+    known, n = known[order], n[order]
+    load, slices = [0] * SLICES, [0]  # 0 is the code of what stands before a text
+    for x in n[:PINNED].tolist():
+        slices.append(load.index(min(load)))
+        load[slices[-1]] += x
+    order = np.argsort(known)
+    return np.stack([known[order], order.astype(np.uint64) + np.uint64(1)]), np.array(slices, np.uint64)
+
+
+def dealing_of(docs: DataFrame, like: Dealing | None = None) -> Dealing:
+    """Shards for the words of ``docs(doc, t)``, more for frequent middle words.
+    Codes and slices are those of another dealing, ``like``, or made for these,
+    which are then to be counted."""
+    held = like.table if like else _no_table
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held()
         for _, texts in _chunks(batches):
-            words, _, v, _, _ = trigrams(texts)
+            words, _, v, _, _ = trigrams(texts, table)
             n = np.bincount(v, minlength=len(words))
-            most = n >= max(2, n.sum() / FREQUENT)
+            most = (n >= (max(2, n.sum() / FREQUENT) if like else 2)) & (words > 0)
             yield pa.RecordBatch.from_pydict({"all": [True, *[False] * int(most.sum())], "v": pa.array(np.append(np.uint64(0), words[most]).view(np.int64)),
                                               "n": pa.array(np.append(n.sum(), n[most]).astype(np.int64))})
 
-    found = in_small_batches(docs).mapInArrow(count, "all boolean, v long, n long").groupBy("all", "v").agg(F.sum("n").alias("n"))
-    words = found.filter("all").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shards = max(LEAST_SHARDS, n_blocks(words, SLICES * SHARD_WORDS))
-    each = words / (shards * SLICES)
-    most = found.filter(~F.col("all") & (F.col("n") >= max(each, words / FREQUENT))).select("v", "n").collect()  # at most FREQUENT rows
+    counts, path = stored(in_small_batches(docs).mapInArrow(count, "all boolean, v long, n long").groupBy("all", "v").agg(F.sum("n").alias("n")), "word-dealing")
+    found = counts.filter(~F.col("all"))
+    words = counts.filter("all").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    passes, most_words = (SLICES, SHARD_WORDS) if like else (PASSES, COUNTED_WORDS)
+    shards = max(LEAST_SHARDS, n_blocks(words, passes * most_words))
+    each = words / (shards * passes)
+    most = found.filter(F.col("n") >= max(each, words / FREQUENT)).select("v", "n").collect()  # at most FREQUENT rows
     codes = np.array([r["v"] for r in most], np.int64).view(np.uint64)
     parts = np.array([min(shards, MOST_PARTS, n_blocks(r["n"], each)) for r in most], np.uint64)
+    if like:
+        table, pinned = like.table, like.pinned
+    else:
+        short, pinned = _coding_of(found)
+        codes, table = _short(codes, short), shared(docs.sparkSession, short)
+    discard(docs.sparkSession, path)
     order = np.argsort(codes)
-    return Dealing(shards, codes[order], parts[order])
+    return Dealing(shards, codes[order], parts[order], table, pinned)
 
 
-def dealt(docs: DataFrame, plan: Dealing, which: int, kind: int) -> DataFrame:
-    """Packed trigrams of ``docs(doc, t)`` whose middle word is in a slice:
-    counted, or with the documents that ask for them."""
+def dealt(docs: DataFrame, plan: Dealing, which: int | list[int], kind: int) -> DataFrame:
+    """Packed trigrams of ``docs(doc, t)`` whose middle word is in a slice (or one
+    of several): counted, or with the documents that ask for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = plan.table()
         for ids, texts in _chunks(batches):
-            words, u, v, w, of = trigrams(texts)
-            own = np.flatnonzero((_slice(words) == which)[v])
+            words, u, v, w, of = trigrams(texts, table)
+            own = np.flatnonzero(np.isin(plan.slice_of(words), which)[v])
             u, v, w, of = u[own], v[own], w[own], of[own]
             if kind == _COUNTED:
                 (v, w, u), of = _distinct(v, w, u)
@@ -338,7 +409,7 @@ def dealt(docs: DataFrame, plan: Dealing, which: int, kind: int) -> DataFrame:
                 else:
                     rest = [of[lo:hi]]
                 to.append(int(shard[lo]))
-                data.append(_pack(words[used], *grams, *rest))
+                data.append(_pack(_steps(words[used]), *grams, *rest))
             yield _packed(to, kind, data)
 
     return in_small_batches(docs).mapInArrow(run, _PACKED)
@@ -360,6 +431,7 @@ def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, li
 def _grams_in(columns: list[np.ndarray]) -> list[np.ndarray]:
     """Packed grams with their words again, and what came with them."""
     words, u, v, w, *rest = columns
+    words = np.cumsum(words, dtype=np.uint64)
     return [words[u], words[v], words[w], *rest]
 
 
@@ -367,10 +439,10 @@ def _joined(rows: list[list[np.ndarray]], columns: int = 4) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.empty(0, np.uint64)] * (columns - 1) + [np.empty(0)]
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tally(batches: Iterator[pa.RecordBatch], plan: Dealing) -> Iterator[pa.RecordBatch]:
     """Counted rows of whole shards -> bigrams with their number of distinct
-    words before (``(v, w, c)``), and how many trigrams have a count ``w`` of
-    1 to 4 (rows of kind 1)."""
+    words before (``(v, w, c)``, of the kind of their slice), and how many
+    trigrams have a count ``w`` of 1 to 4 (rows of kind -1)."""
 
     def bigrams(rows: list[list[np.ndarray]]) -> pa.RecordBatch:
         u, v, w, x = _joined(rows)
@@ -380,7 +452,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, new, n = np.unique(pair[first], return_index=True, return_counts=True)
         v, w = v[first[new]], w[first[new]]
         return pa.RecordBatch.from_arrays([
-            pa.array(np.append(np.zeros(len(new), np.int32), np.ones(4, np.int32))),
+            pa.array(np.append(plan.slice_of(v).astype(np.int32), np.full(4, -1, np.int32))),
             pa.array(np.append(v.view(np.int64), np.zeros(4, np.int64))),
             pa.array(np.append(w.view(np.int64), np.arange(1, 5))),
             pa.array(np.append(n, times).astype(np.int64))], ["kind", "v", "w", "c"])
@@ -416,13 +488,31 @@ class Keys:
         return at, (self.keys[at] == wanted) & (at < self.n)
 
 
+@dataclass
+class Alone:
+    """Probability of a word by itself, from the number of distinct words before it."""
+
+    total: int = 0
+    kinds: int = 0
+    off: list[float] = field(default_factory=lambda: [0.0] * 4)
+    taken: float = 0.0
+
+    @property
+    def unseen(self) -> float:
+        return (self.taken / self.total if self.total else 1.0) / (self.kinds + 1)
+
+    def of(self, c: np.ndarray) -> np.ndarray:
+        return (c - np.array(self.off)[np.minimum(c, 3).astype(int)]) / max(1, self.total) + self.unseen
+
+
 class Shard:
     """Seen trigrams, bigrams and contexts of the middle words of one shard."""
 
-    def __init__(self, counted: list[np.ndarray], bigrams: list[np.ndarray], off2: list[float], off3: list[float]) -> None:
-        v, w, c, p1 = bigrams
+    def __init__(self, counted: list[np.ndarray], bigrams: list[np.ndarray], off2: list[float], off3: list[float], alone: Alone) -> None:
+        v, w, c, c1 = bigrams
+        p1 = alone.of(c1)
         d = np.array(off2)[np.minimum(c, 3).astype(int)]
-        self.middle, at = np.unique(v, return_inverse=True)
+        self.middle, at = np.unique(_mix(v), return_inverse=True)
         total = np.bincount(at, c, len(self.middle))
         self.gamma2 = np.bincount(at, d, len(self.middle)) / total
         p2 = (c - d) / total[at] + self.gamma2[at] * p1
@@ -452,20 +542,20 @@ class Shard:
         at, seen = self.pairs.find(_pair(v[rest], w[rest]))
         p[rest[seen]] *= self.p2[at[seen]]
         rest = rest[~seen]
-        at, known = self.middle.find(v[rest])
+        at, known = self.middle.find(_mix(v[rest]))
         p[rest[known]] *= self.gamma2[at[known]]
         unseen = np.zeros(len(u), bool)
         unseen[rest] = True
         return p, unseen
 
 
-def _scorer(off2: list[float], off3: list[float], shards: int):
+def _scorer(off2: list[float], off3: list[float], alone: Alone, shards: int):
     """Asked rows -> sums by document, and the open words dealt by themselves."""
 
     def sent(rows: list[list[np.ndarray]], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         w, at = _joined(rows, 2)
         ids = np.concatenate(ids)
-        words, w = _coded(w)
+        words, w = np.unique(w, return_inverse=True)
         shard = (_mix(words + np.uint64(13)) % np.uint64(shards)).astype(np.int32)[w]
         order = _order(shard, w)
         shard, w, at = shard[order], w[order], at[order]
@@ -474,7 +564,7 @@ def _scorer(off2: list[float], off3: list[float], shards: int):
             asking, of = _compact(len(ids), at[lo:hi])
             used, w_at = _compact(len(words), w[lo:hi])
             to.append(int(shard[lo]))
-            data.append(_pack(words[used], w_at, of, ids[asking]))
+            data.append(_pack(_steps(words[used]), w_at, of, ids[asking]))
         yield _packed(to, _OPEN, data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -484,10 +574,10 @@ def _scorer(off2: list[float], off3: list[float], shards: int):
             if shard != now:
                 now, model, held = shard, None, {_COUNTED: [], _BIGRAMS: []}
             if kind != _ASKED:
-                held[kind].append(columns if kind == _BIGRAMS else _grams_in(columns))
+                held[kind].append([np.cumsum(columns[0], dtype=np.uint64), *columns[1:]] if kind == _BIGRAMS else _grams_in(columns))
                 continue
             if model is None:
-                model = Shard(_joined(held[_COUNTED]), _joined(held[_BIGRAMS]), off2, off3)
+                model = Shard(_joined(held[_COUNTED]), _joined(held[_BIGRAMS]), off2, off3, alone)
                 held = None
             u, v, w, x, docs = _grams_in(columns)
             p, unseen = model.score(u, v, w)
@@ -504,7 +594,7 @@ def _scorer(off2: list[float], off3: list[float], shards: int):
     return run
 
 
-def _ender(unseen: float):
+def _ender(alone: Alone):
     """Sums by document, and open words that meet the table of words."""
 
     def added(rows: list[list[np.ndarray]]) -> pa.RecordBatch:
@@ -513,22 +603,23 @@ def _ender(unseen: float):
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.bincount(at, h, len(ids)).astype(float)), pa.array(np.bincount(at, n, len(ids)).astype(np.int64))], ["doc", "h", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, table, held, rows, size = None, None, [], [], 0
+        now, table, held, rows, size, unseen = None, None, [], [], 0, -np.log(alone.unseen)
         for shard, kind, columns in _in_shards(batches):
             if shard != now:
                 now, table, held = shard, None, []
             if kind == _WORDS:
-                held.append(columns)
+                held.append([np.cumsum(columns[0], dtype=np.uint64), columns[1]])
                 continue
             if kind == _OPEN:
                 if table is None:
-                    w, p = _joined(held, 2)
+                    w, c = _joined(held, 2)
+                    w = _mix(w)
                     order = np.argsort(w)
-                    table, held = (Keys(w[order]), p[order]), []
+                    table, held = (Keys(w[order]), -np.log(alone.of(c[order]))), []
                 words, at, of, docs = columns
-                place, seen = table[0].find(words)
-                h = np.full(len(words), unseen)
-                h[seen] = -np.log(table[1][place[seen]])
+                place, seen = table[0].find(_mix(np.cumsum(words, dtype=np.uint64)))
+                h = np.full(len(seen), unseen)
+                h[seen] = table[1][place[seen]]
                 columns = [docs, np.bincount(of, h[at], len(docs)), np.zeros(len(docs), np.int64)]
             rows.append(columns)
             size += len(columns[0])
@@ -568,67 +659,72 @@ class WordModel:
         self.texts = texts.select(F.lit(0).cast("long").alias("doc"), "t")
         self.spark = texts.sparkSession
         with _bounded(self.spark):
-            plan, self.slices, times = dealing_of(self.texts), [], np.zeros(4, int)
-            for s in range(SLICES):
-                found = _by_shard(dealt(self.texts, plan, s, _COUNTED), plan).mapInArrow(_tally, "kind int, v long, w long, c long")
-                counts = found.groupBy("kind", "v", "w").agg(F.sum("c").alias("c")).sortWithinPartitions("kind", "v")  # equal words take next to no room
-                part, path = stored(counts, f"word-bigrams-{s}")
-                for r in part.filter("kind = 1").collect():  # four rows
+            self.plan, self.slices, self.paths, times = dealing_of(self.texts), {}, [], np.zeros(4, int)
+            for k in range(PASSES):
+                part, path = self._counted(list(range(k, SLICES, PASSES)))
+                for r in part.filter("kind = -1").collect():  # four rows
                     times[r["w"] - 1] += r["c"]
-                self.slices.append((part.filter("kind = 0").drop("kind"), path))
-            bigrams = self.slices[0][0]
-            for part, _ in self.slices[1:]:
-                bigrams = bigrams.union(part)
+                self.slices |= {s: part.filter(F.col("kind") == s).drop("kind") for s in range(k, SLICES, PASSES)}
+                self.paths.append(path)
+            bigrams = reduce(DataFrame.union, self.slices.values())
             self.off3, self.off2 = discounts(*map(int, times)), _off(bigrams)
-            words, self.words_path = stored(bigrams.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "words")
-            off1 = _off(words)
+            self.words, path = stored(bigrams.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "words")
+            self.paths.append(path)
+            off1 = _off(self.words)
             d = F.when(F.col("c") == 1, off1[1]).when(F.col("c") == 2, off1[2]).otherwise(off1[3])
-            kinds, total, taken = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(d), F.lit(0.0))).first()
-        #: Probability of any word not seen.
-        self.unseen = (taken / total if total else 1.0) / (kinds + 1)
-        self.p1 = words.select("w", ((F.col("c") - d) / max(1, total) + self.unseen).alias("p"))
+            kinds, total, taken = self.words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum(d), F.lit(0.0))).first()
+        self.alone = Alone(total, kinds, off1, taken)
+
+    def _counted(self, which: list[int]) -> tuple[DataFrame, str]:
+        """Bigrams of some slices, stored slice by slice, and the folder."""
+        plan = self.plan
+        found = _by_shard(dealt(self.texts, plan, which, _COUNTED), plan).mapInArrow(lambda batches: _tally(batches, plan), "kind int, v long, w long, c long")
+        counts = found.groupBy("kind", "v", "w").agg(F.sum("c").alias("c")).sortWithinPartitions("kind", "v", "w")  # equal words take next to no room
+        path = f"{work_dir(self.spark, 'word-bigrams')}/t"
+        counts.write.partitionBy("kind").option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(counts.schema).parquet(path), path
 
     def _bigrams(self, which: int, plan: Dealing) -> DataFrame:
-        """Bigrams of a slice with their word's probability, in all shards of
+        """Bigrams of a slice with the count of their word, in all shards of
         their middle word."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for v, w, c, p in _gathered(batches, ("v", "w", "c", "p")):
+            for v, w, c, c1 in _gathered(batches, ("v", "w", "c", "c1")):
                 v, w = v.view(np.uint64), w.view(np.uint64)
                 first, parts = plan.shards_of(v)
                 row = np.repeat(np.arange(len(v)), parts.astype(int))
                 part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts.astype(int)).astype(int)
                 shard = ((first[row] + part.astype(np.uint64)) % np.uint64(plan.shards)).astype(np.int32)
-                order = np.lexsort((v[row], shard))
+                order = np.lexsort((w[row], v[row], shard))
                 row, shard = row[order], shard[order]
                 some = [row[lo:hi] for lo, hi in _runs(shard)]
-                yield _packed([int(shard[lo]) for lo, _ in _runs(shard)], _BIGRAMS, [_pack(v[r], w[r], c[r], p[r]) for r in some])
+                yield _packed([int(shard[lo]) for lo, _ in _runs(shard)], _BIGRAMS, [_pack(_steps(v[r]), w[r], c[r].astype(np.uint32), c1[r].astype(np.uint32)) for r in some])
 
-        return self.slices[which][0].join(self.p1, "w").select("v", "w", "c", "p").mapInArrow(run, _PACKED)
+        return self.slices[which].join(self.words.withColumnRenamed("c", "c1"), "w").select("v", "w", "c", "c1").mapInArrow(run, _PACKED)
 
     def _words(self, plan: Dealing) -> DataFrame:
-        """Words with their probability, dealt by themselves."""
+        """Words with their count, dealt by themselves."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for w, p in _gathered(batches, ("w", "p")):
+            for w, c in _gathered(batches, ("w", "c")):
                 w = w.view(np.uint64)
                 shard = (_mix(w + np.uint64(13)) % np.uint64(plan.shards)).astype(np.int32)
-                order = np.argsort(shard, kind="stable")
-                shard, w, p = shard[order], w[order], p[order]
+                order = np.lexsort((w, shard))
+                shard, w, c = shard[order], w[order], c[order].astype(np.uint32)
                 cuts = list(_runs(shard))
-                yield _packed([int(shard[lo]) for lo, _ in cuts], _WORDS, [_pack(w[lo:hi], p[lo:hi]) for lo, hi in cuts])
+                yield _packed([int(shard[lo]) for lo, _ in cuts], _WORDS, [_pack(_steps(w[lo:hi]), c[lo:hi]) for lo, hi in cuts])
 
-        return self.p1.mapInArrow(run, _PACKED)
+        return self.words.mapInArrow(run, _PACKED)
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs(doc, t)`` -> ``(doc, h)``: mean negative log-probability of a word."""
-        parts, unseen = [], -float(np.log(self.unseen))
+        parts = []
         with _bounded(self.spark):
-            plan = dealing_of(docs)
+            plan = dealing_of(docs, self.plan)
             for s in range(SLICES):
                 rows = dealt(self.texts, plan, s, _COUNTED).union(self._bigrams(s, plan)).union(dealt(docs, plan, s, _ASKED))
-                found = _by_shard(rows, plan).mapInArrow(_scorer(self.off2, self.off3, plan.shards), _PACKED)
-                ended = _by_shard(found.union(self._words(plan)), plan).mapInArrow(_ender(unseen), _SCORES)
+                found = _by_shard(rows, plan).mapInArrow(_scorer(self.off2, self.off3, self.alone, plan.shards), _PACKED)
+                ended = _by_shard(found.union(self._words(plan)), plan).mapInArrow(_ender(self.alone), _SCORES)
                 parts.append(stored(ended.groupBy("doc").agg(F.sum("h").alias("h"), F.sum("n").alias("n")), f"word-scores-{s}"))
             whole = parts[0][0]
             for part, _ in parts[1:]:
@@ -640,7 +736,7 @@ class WordModel:
 
     def forget(self) -> None:
         """Delete the stored counts."""
-        for path in [*(p for _, p in self.slices), self.words_path]:
+        for path in self.paths:
             discard(self.spark, path)
 
 

@@ -211,3 +211,47 @@ def test_places_are_found_wherever_keys_crowd():
         at, seen = wm.Keys(np.array(keys, np.uint64)).find(np.array(wanted, np.uint64))
         assert seen.tolist() == [w in keys for w in wanted]
         assert [keys[i] for i in at[seen]] == [w for w in wanted if w in keys]
+
+
+def zipf_docs(spark, n=400):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(20_000)]
+    texts = [" ".join(words[min(int(10 * rng.paretovariate(0.8)), len(words)) - 1] for _ in range(800)) for _ in range(n)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc long, t string").selectExpr("doc", "cast(t as binary) as t").coalesce(1)
+
+
+def test_short_codes_take_fewer_bytes_and_slices_are_alike(spark):
+    docs = zipf_docs(spark)
+    coded = wm.dealing_of(docs)
+    size = lambda plan, s: wm.dealt(docs, plan, s, wm._COUNTED).select(F.sum(F.length("data"))).first()[0]
+    short = [size(coded, s) for s in range(wm.SLICES)]
+    plain = [size(wm.Dealing(coded.shards), s) for s in range(wm.SLICES)]
+    assert sum(short) < 0.7 * sum(plain)
+    known, ranks = coded.table()
+    assert len(known) and sorted(ranks.tolist()) == list(range(1, len(known) + 1))
+    words, _, v, _, _ = wm.trigrams([bytes(r.t).decode() for r in docs.collect()], coded.table())
+    shares = np.bincount(coded.slice_of(words)[v].astype(int), minlength=wm.SLICES) / len(v)
+    assert shares.max() < 1.15 / wm.SLICES
+
+
+def test_short_codes_change_no_score(spark, monkeypatch):
+    docs = zipf_docs(spark, 60)
+    def scores():
+        model = wm.WordModel(docs.filter("doc < 40").select("t"))
+        return {r.doc: r.h for r in model.score(docs).collect()}
+    found = scores()
+    monkeypatch.setattr(wm, "SHORT", 0)
+    assert scores() == pytest.approx(found, rel=1e-9)
+
+
+def test_texts_are_read_once_to_deal_them(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    docs = zipf_docs(spark, 20).mapInArrow(seen, "doc long, t binary")
+    wm.dealing_of(docs)
+    assert read.value == 20

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import pickle
+import re
 import sys
 import types
 from collections.abc import Callable
@@ -57,8 +58,12 @@ def shared(spark: SparkSession, value: object) -> Callable[[], object]:
 
 def kept(name: str, make: Callable[[], object]) -> object:
     """An object that a worker process makes once and keeps for later tasks
-    (a bounded cache; tasks give the same results without it)."""
+    (a bounded cache; tasks give the same results without it).  What operators
+    before kept goes (names that begin otherwise up to the first - or :)."""
     held = sys.modules.setdefault("loadcast_worker_state", types.ModuleType("loadcast_worker_state")).__dict__
+    owner = re.split("[-:]", name)[0]
+    for other in [k for k in held if not k.startswith("__") and re.split("[-:]", k)[0] != owner]:
+        del held[other]
     if name not in held:
         held[name] = make()
     return held[name]

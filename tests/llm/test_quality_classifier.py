@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loadcast.llm import quality as q
 from loadcast.llm import wordmodel as wm
+from loadcast.llm.common import kept
 
 SF = "/root/testdata/sf0.1"
 
@@ -255,3 +256,11 @@ def test_texts_are_read_once_to_deal_them(spark):
     docs = zipf_docs(spark, 20).mapInArrow(seen, "doc long, t binary")
     wm.dealing_of(docs)
     assert read.value == 20
+
+
+def test_a_worker_drops_what_operators_before_kept():
+    made = lambda name: kept(name, object)
+    first = made("one-a"), made("one-b")
+    assert (made("one-a"), made("one-b")) == first
+    other = made("two:x")
+    assert made("two:x") is other and made("one-a") is not first[0]

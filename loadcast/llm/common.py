@@ -6,6 +6,8 @@ or clashing columns of the input never reach its plan.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 import pickle
 import re
@@ -69,6 +71,14 @@ def kept(name: str, make: Callable[[], object]) -> object:
     return held[name]
 
 
+def give_back() -> None:
+    """Return memory that a worker process has freed to the machine: workers
+    outlive their tasks, and what they hold counts for the executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def in_small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     """``df``, whose texts go to Python in batches of at most ``rows`` (the
     session's own setting if that is smaller), so that a task's memory does not

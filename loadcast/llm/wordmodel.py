@@ -39,18 +39,18 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadcast.llm.common import discard, in_small_batches, kept, n_blocks, shared, stored, work_dir, written
+from loadcast.llm.common import discard, give_back, in_small_batches, kept, n_blocks, shared, stored, work_dir, written
 
 SLICES = 5
 PASSES = 2  # over the counted text
 SHORT = 1 << 18  # words with a short code (2 MB broadcast)
 PINNED = 1000  # of them, dealt to slices by their counts
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_500_000
 COUNTED_WORDS = 700_000  # of a shard whose trigrams are only counted
 LEAST_SHARDS = 12
 MOST_PARTS = 64  # shards of one middle word
 FREQUENT = 256  # a word with one in so many of all words may have several shards
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 4_000_000
 PIECE_CHARS = 500_000  # cut into words together
 _ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}"
 SPACE, RUN, ALONE = 0, 1, 2
@@ -173,7 +173,7 @@ def trigrams(texts: list[str], table: np.ndarray | None = None) -> tuple[np.ndar
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
     words, w, of = words[order], rank[w[1:]], np.concatenate(of) if of else np.empty(0, np.int32)
-    place = np.arange(len(w)) + 2 * (of + np.int64(1))
+    place = np.arange(len(w), dtype=np.int32) + 2 * (of + 1)
     row = np.zeros(len(w) + 2 * len(texts) + 2, np.int32)
     row[place] = w
     return words, row[place - 2], row[place - 1], w, of
@@ -289,8 +289,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
             if size >= CHUNK_CHARS:
                 yield docs, texts
                 docs, texts, size = [], [], 0
+                give_back()
     if texts:
         yield docs, texts
+    give_back()
 
 
 def _no_table() -> None:
@@ -392,6 +394,7 @@ def dealt(docs: DataFrame, plan: Dealing, which: int | list[int], kind: int) ->
         table = plan.table()
         for ids, texts in _chunks(batches):
             words, u, v, w, of = trigrams(texts, table)
+            texts.clear()
             own = np.flatnonzero(np.isin(plan.slice_of(words), which)[v])
             u, v, w, of = u[own], v[own], w[own], of[own]
             if kind == _COUNTED:
@@ -466,6 +469,7 @@ def _tally(batches: Iterator[pa.RecordBatch], plan: Dealing) -> Iterator[pa.Reco
         rows.append(_grams_in(columns))
     if rows:
         yield bigrams(rows)
+    give_back()
 
 
 class Keys:
@@ -573,12 +577,14 @@ def _scorer(off2: list[float], off3: list[float], alone: Alone, shards: int):
         for shard, kind, columns in _in_shards(batches):
             if shard != now:
                 now, model, held = shard, None, {_COUNTED: [], _BIGRAMS: []}
+                give_back()
             if kind != _ASKED:
                 held[kind].append([np.cumsum(columns[0], dtype=np.uint64), *columns[1:]] if kind == _BIGRAMS else _grams_in(columns))
                 continue
             if model is None:
-                model = Shard(_joined(held[_COUNTED]), _joined(held[_BIGRAMS]), off2, off3, alone)
+                model = Shard(*(_joined(held.pop(k)) for k in (_COUNTED, _BIGRAMS)), off2, off3, alone)
                 held = None
+                give_back()
             u, v, w, x, docs = _grams_in(columns)
             p, unseen = model.score(u, v, w)
             yield _packed([shard], _SUMS, [_pack(docs, np.bincount(x, -np.log(p), len(docs)), np.bincount(x, minlength=len(docs)))])

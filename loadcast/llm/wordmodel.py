@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from loadcast.llm.common import discard, give_back, in_small_batches, kept, n_blocks, shared, stored, work_dir, written
 
-SLICES = 5
+SLICES = 6
 PASSES = 2  # over the counted text
 SHORT = 1 << 18  # words with a short code (2 MB broadcast)
 PINNED = 1000  # of them, dealt to slices by their counts

@@ -126,6 +126,13 @@ def _of_ids(docs: DataFrame, ids: DataFrame, id_col: str, limit: int) -> DataFra
     return docs.join(F.broadcast(ids) if few else ids, docs[id_col] == ids["trusted_id"], "left_semi")
 
 
+def _marked(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, limit: int) -> DataFrame:
+    """``(doc, t, counted)`` of all ``docs``, marked if their id is among the distinct ``ids``."""
+    few = ids.limit(limit + 1).count() <= limit
+    rows = docs.select(F.col(id_col).alias("id"), _doc(id_col, text_col), F.col(text_col).cast("binary").alias("t"))
+    return rows.join(F.broadcast(ids) if few else ids, rows["id"] == ids["trusted_id"], "left").select("doc", "t", F.col("trusted_id").isNotNull().alias("counted"))
+
+
 def _held_out(id_col: str | Column, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col) % folds == 0
 
@@ -233,11 +240,11 @@ def judged(docs: DataFrame, labels: DataFrame, *, row: Column, field: str | None
     """``(row, perplexity, threshold, keep)`` of every document; ``field`` names
     the text inside ``row``, if ``row`` holds it."""
     trusted = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("trusted_id")).distinct()
-    train = _of_ids(docs, trusted.filter(~_held_out("trusted_id", folds)), id_col, broadcast_ids)
-    texts = train.select(F.col(text_col).cast("binary").alias("t"))
-    model = WordModel(texts)
+    train = trusted.filter(~_held_out("trusted_id", folds))
+    texts = _of_ids(docs, train, id_col, broadcast_ids).select(F.col(text_col).cast("binary").alias("t"))
+    model = WordModel(_marked(docs, train, id_col, text_col, broadcast_ids))
     # Every document is scored by words once; thresholds read the same scores.
-    words = model.score(docs.select(_doc(id_col, text_col), F.col(text_col).cast("binary").alias("t")))
+    words = model.score(last=True)
     model.forget()
     letters = fit(texts)
     names = {"id_col": id_col, "text_col": text_col, "lang_col": lang_col}

@@ -18,8 +18,9 @@ an unseen bigram, meets the table of words in a second exchange, packed likewise
 Shards are worked off in ``SLICES`` parts one after the other (in ``PASSES`` when
 trigrams are only counted), whose files are deleted, so what is on disk at a time
 is a part of the n-grams at every size.  The most frequent words are dealt to the
-parts by their counts, so that these are alike.  The texts are read again for each
-part; that costs less than storing their grams.
+parts by their counts, so that these are alike.  Texts are cut into words once and
+stored as blocks of places among their words, of half the size of the input; each
+part reads these again, which costs less than storing the grams.
 
 Defined results: a text without words has no row; without any counted text
 every word has probability 1.
@@ -28,6 +29,7 @@ every word has probability 1.
 from __future__ import annotations
 
 import struct
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from loadcast.llm.common import discard, give_back, in_small_batches, kept, n_blocks, shared, stored, work_dir, written
 
-SLICES = 6
+SLICES = 12
 PASSES = 2  # over the counted text
 SHORT = 1 << 18  # words with a short code (2 MB broadcast)
 PINNED = 1000  # of them, dealt to slices by their counts
@@ -58,7 +60,7 @@ SENT = 500_000  # bigrams, or open words, that a task sends together
 BATCH_BYTES = 8_000_000  # packed rows that a task takes at a time
 _PACKED = "shard int, kind int, data binary"
 _SCORES = "doc long, h double, n long"
-_COUNTED, _BIGRAMS, _ASKED = 0, 1, 2
+_COUNTED, _BIGRAMS, _ASKED, _BOTH = 0, 1, 2, 3  # of asked grams, those of marked texts are counted as well
 _WORDS, _OPEN, _SUMS = 0, 1, 2
 
 
@@ -157,9 +159,9 @@ def _short(words: np.ndarray, table: np.ndarray | None) -> np.ndarray:
     return np.where(known[at] == words, ranks[at], words)
 
 
-def trigrams(texts: list[str], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of the distinct words, sorted, and ``(u, v, w, text)`` of every word
-    as places among them; the first, 0, stands before a text."""
+def _cut(texts: list[str], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the distinct words, sorted, all words in a row as places among
+    them, and where each text ends in it; the first, 0, stands twice before a text."""
     codes, of, n = [np.zeros(1, np.uint64)], [], 0
     for some in _pieces(texts):
         c, o = word_codes(some)
@@ -173,10 +175,17 @@ def trigrams(texts: list[str], table: np.ndarray | None = None) -> tuple[np.ndar
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
     words, w, of = words[order], rank[w[1:]], np.concatenate(of) if of else np.empty(0, np.int32)
-    place = np.arange(len(w), dtype=np.int32) + 2 * (of + 1)
-    row = np.zeros(len(w) + 2 * len(texts) + 2, np.int32)
-    row[place] = w
-    return words, row[place - 2], row[place - 1], w, of
+    row = np.zeros(len(w) + 2 * len(texts), np.uint16 if len(words) <= 1 << 16 else np.uint32)
+    row[np.arange(len(w), dtype=np.int32) + 2 * (of + 1)] = w
+    return words, row, np.cumsum(np.bincount(of, minlength=len(texts)) + 2)
+
+
+def trigrams(texts: list[str], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the distinct words, sorted, and ``(u, v, w, text)`` of every word
+    as places among them."""
+    words, row, ends = _cut(texts, table)
+    at = np.flatnonzero(row)
+    return words, row[at - 2], row[at - 1], row[at], np.searchsorted(ends, at, "right")
 
 
 def _keyed(*columns: np.ndarray) -> tuple[np.ndarray | None, list[int]]:
@@ -219,6 +228,9 @@ def _distinct(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
 
 def _compact(size: int, *columns: np.ndarray) -> list[np.ndarray]:
     """Which of ``size`` places the columns hold, and the columns as places among these."""
+    if 16 * sum(map(len, columns)) < size:
+        used, at = np.unique(np.concatenate(columns), return_inverse=True)
+        return [used.astype(np.int64), *np.split(at.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32), np.cumsum([len(c) for c in columns[:-1]]))]
     there = np.zeros(size, bool)
     for c in columns:
         there[c] = True
@@ -230,13 +242,19 @@ def _compact(size: int, *columns: np.ndarray) -> list[np.ndarray]:
 
 def _steps(words: np.ndarray) -> np.ndarray:
     """Sorted codes as differences, which take fewer bytes; sums give them back."""
-    return np.diff(words, prepend=np.uint64(0))
+    return np.diff(words, prepend=words.dtype.type(0))
+
+
+def _planes(column: np.ndarray) -> Iterator[bytes]:
+    bits = column.view(f"u{column.itemsize}")
+    for k in range(0, 8 * column.itemsize, 8):
+        yield (bits >> bits.dtype.type(k)).astype(np.uint8).tobytes()
 
 
 def _pack(*columns: np.ndarray) -> bytes:
     """Columns of numbers, compressed behind their types and lengths; first bytes
     of all numbers stand together, and so on, which are more alike."""
-    raw = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns)
+    raw = b"".join(plane for c in columns for plane in _planes(c))
     head = b"".join(struct.pack("<cQ", c.dtype.char.encode(), len(c)) for c in columns)
     return struct.pack("<BQ", len(columns), len(raw)) + head + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
 
@@ -249,7 +267,11 @@ def _unpack(data: bytes) -> list[np.ndarray]:
         kind, length = struct.unpack_from("<cQ", data, 9 + 9 * k)
         kind = np.dtype(kind.decode())
         planes = np.frombuffer(raw, np.uint8, length * kind.itemsize, at).reshape(kind.itemsize, length)
-        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(length))
+        bits = planes[-1].astype(f"u{kind.itemsize}")
+        for plane in planes[-2::-1]:  # shifts are faster than turning the planes
+            bits <<= bits.dtype.type(8)
+            bits |= plane
+        out.append(bits.view(kind))
         at += length * kind.itemsize
     return out
 
@@ -277,21 +299,24 @@ def _gathered(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iter
         yield _joined(held)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[str]]]:
-    """``(docs, texts)`` of about ``CHUNK_CHARS`` together."""
-    docs, texts, size = [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+    """``(docs, counted, texts)`` of about ``CHUNK_CHARS`` together; without a
+    column ``counted`` all are."""
+    docs, counted, texts, size = [], [], [], 0
     for b in batches:
-        for doc, t in zip(b.column("doc").to_pylist(), b.column("t").to_pylist(), strict=True):
+        marks = b.column("counted").to_pylist() if "counted" in b.schema.names else [True] * len(b)
+        for doc, mark, t in zip(b.column("doc").to_pylist(), marks, b.column("t").to_pylist(), strict=True):
             if t:
                 docs.append(doc)
+                counted.append(mark)
                 texts.append(t.decode("utf-8", "replace"))
                 size += len(texts[-1])
             if size >= CHUNK_CHARS:
-                yield docs, texts
-                docs, texts, size = [], [], 0
+                yield np.array(docs, np.int64), np.array(counted, np.uint8), texts
+                docs, counted, texts, size = [], [], [], 0
                 give_back()
     if texts:
-        yield docs, texts
+        yield np.array(docs, np.int64), np.array(counted, np.uint8), texts
     give_back()
 
 
@@ -299,6 +324,37 @@ def _no_table() -> None:
     """No word has a short code."""
 
 
+def coded(docs: DataFrame, table: Callable[[], np.ndarray | None]) -> DataFrame:
+    """Packed blocks of ``docs(doc, t)``, or ``(doc, t, counted)``: texts cut into
+    words, which ``dealt`` and ``dealing_of`` take in place of ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = table()
+        for ids, counted, texts in _chunks(batches):
+            words, row, ends = _cut(texts, known)
+            yield pa.RecordBatch.from_arrays([pa.array([_pack(_steps(words), row, _steps(ends), ids, counted)], pa.binary())], ["data"])
+
+    return in_small_batches(docs).mapInArrow(run, "data binary")
+
+
+def _reader(docs: DataFrame, table: Callable[[], np.ndarray | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, ...]]]:
+    """How a task gets ``(words, row, ends, ids, counted)`` from texts or packed blocks."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        known = table()
+        for ids, counted, some in _chunks(batches):
+            yield *_cut(some, known), ids, counted
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        for b in batches:
+            for data in b.column("data"):
+                words, row, ends, *rest = _unpack(data.as_buffer())
+                yield np.cumsum(words, dtype=np.uint64), row, np.cumsum(ends), *rest
+        give_back()
+
+    return blocks if "data" in docs.columns else texts
+
+
 @dataclass
 class Dealing:
     """Where a middle word's grams go: a slice, and a shard (or several) of it."""
@@ -353,16 +409,14 @@ def _coding_of(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def dealing_of(docs: DataFrame, like: Dealing | None = None) -> Dealing:
-    """Shards for the words of ``docs(doc, t)``, more for frequent middle words.
-    Codes and slices are those of another dealing, ``like``, or made for these,
-    which are then to be counted."""
-    held = like.table if like else _no_table
+    """Shards for the words of ``docs(doc, t)``, or of their blocks, more for
+    frequent middle words.  Codes and slices are those of another dealing,
+    ``like``, or made for these, which are then to be counted."""
+    read = _reader(docs, like.table if like else _no_table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held()
-        for _, texts in _chunks(batches):
-            words, _, v, _, _ = trigrams(texts, table)
-            n = np.bincount(v, minlength=len(words))
+        for words, row, *_ in read(batches):
+            n = np.bincount(row[1:-1][row[2:] > 0], minlength=len(words))
             most = (n >= (max(2, n.sum() / FREQUENT) if like else 2)) & (words > 0)
             yield pa.RecordBatch.from_pydict({"all": [True, *[False] * int(most.sum())], "v": pa.array(np.append(np.uint64(0), words[most]).view(np.int64)),
                                               "n": pa.array(np.append(n.sum(), n[most]).astype(np.int64))})
@@ -387,30 +441,34 @@ def dealing_of(docs: DataFrame, like: Dealing | None = None) -> Dealing:
 
 
 def dealt(docs: DataFrame, plan: Dealing, which: int | list[int], kind: int) -> DataFrame:
-    """Packed trigrams of ``docs(doc, t)`` whose middle word is in a slice (or one
-    of several): counted, or with the documents that ask for them."""
+    """Packed trigrams of ``docs(doc, t)``, or of their blocks, whose middle word is
+    in a slice (or one of several): counted, or with the documents that ask for them."""
+    read = _reader(docs, plan.table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = plan.table()
-        for ids, texts in _chunks(batches):
-            words, u, v, w, of = trigrams(texts, table)
-            texts.clear()
-            own = np.flatnonzero(np.isin(plan.slice_of(words), which)[v])
-            u, v, w, of = u[own], v[own], w[own], of[own]
+        for words, row, ends, ids, counted in read(batches):
+            own = np.isin(plan.slice_of(words), which)[row[1:-1]]
+            if kind == _COUNTED and not counted.all():
+                own &= np.repeat(counted, np.diff(ends, prepend=0))[2:] > 0
+            own = np.flatnonzero(own)
+            own = own[row[own + 2] > 0]  # what follows is no other text
+            u, v, w = row[own], row[own + 1], row[own + 2]
             if kind == _COUNTED:
                 (v, w, u), of = _distinct(v, w, u)
                 of = of.astype(np.uint32)
+            else:
+                of = np.searchsorted(ends, own + 2, "right")
             shard = plan.shard(words, u, v)
             order = _order(shard) if kind == _COUNTED else _order(shard, v)
             shard, u, v, w, of = shard[order], u[order], v[order], w[order], of[order]
-            ids, to, data = np.array(ids, np.int64), [], []
+            to, data = [], []
             for lo, hi in _runs(shard):
                 used, *grams = _compact(len(words), u[lo:hi], v[lo:hi], w[lo:hi])
-                if kind == _ASKED:
-                    asking, at = _compact(len(ids), of[lo:hi])
-                    rest = [at, ids[asking]]
-                else:
+                if kind == _COUNTED:
                     rest = [of[lo:hi]]
+                else:
+                    asking, at = _compact(len(ids), of[lo:hi])
+                    rest = [at, ids[asking], *([counted[asking]] if kind == _BOTH else [])]
                 to.append(int(shard[lo]))
                 data.append(_pack(_steps(words[used]), *grams, *rest))
             yield _packed(to, kind, data)
@@ -438,6 +496,27 @@ def _grams_in(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [words[u], words[v], words[w], *rest]
 
 
+def _marked(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Grams of counted texts in a packed row of both kinds, once each."""
+    words, u, v, w, at, _, counted = columns
+    own = np.flatnonzero(counted[at])
+    return [*_grams_in([words, u[own], v[own], w[own]]), np.ones(len(own), np.uint32)]
+
+
+def _whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[bytes]]]]:
+    """Every shard's rows by kind, still packed."""
+    now, held = None, None
+    for b in batches:
+        for shard, kind, data in zip(*b.columns, strict=True):
+            if shard.as_py() != now:
+                if held:
+                    yield now, held
+                now, held = shard.as_py(), defaultdict(list)
+            held[kind.as_py()].append(data.as_py())
+    if held:
+        yield now, held
+
+
 def _joined(rows: list[list[np.ndarray]], columns: int = 4) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*rows, strict=True)] if rows else [np.empty(0, np.uint64)] * (columns - 1) + [np.empty(0)]
 
@@ -572,28 +651,24 @@ def _scorer(off2: list[float], off3: list[float], alone: Alone, shards: int):
         yield _packed(to, _OPEN, data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, model, held = None, None, {_COUNTED: [], _BIGRAMS: []}
         rows, ids, size, n_ids = [], [], 0, 0
-        for shard, kind, columns in _in_shards(batches):
-            if shard != now:
-                now, model, held = shard, None, {_COUNTED: [], _BIGRAMS: []}
-                give_back()
-            if kind != _ASKED:
-                held[kind].append([np.cumsum(columns[0], dtype=np.uint64), *columns[1:]] if kind == _BIGRAMS else _grams_in(columns))
-                continue
-            if model is None:
-                model = Shard(*(_joined(held.pop(k)) for k in (_COUNTED, _BIGRAMS)), off2, off3, alone)
-                held = None
-                give_back()
-            u, v, w, x, docs = _grams_in(columns)
-            p, unseen = model.score(u, v, w)
-            yield _packed([shard], _SUMS, [_pack(docs, np.bincount(x, -np.log(p), len(docs)), np.bincount(x, minlength=len(docs)))])
-            rows.append([w[unseen], x[unseen] + np.int64(n_ids)])
-            ids.append(docs)
-            size, n_ids = size + len(rows[-1][0]), n_ids + len(docs)
-            if size >= SENT:
-                yield from sent(rows, ids)
-                rows, ids, size, n_ids = [], [], 0, 0
+        for shard, held in _whole_shards(batches):
+            counted = [_grams_in(_unpack(x)) for x in held[_COUNTED]] + [_marked(_unpack(x)) for x in held[_BOTH]]
+            bigrams = [[np.cumsum(v, dtype=np.uint64), *rest] for v, *rest in map(_unpack, held[_BIGRAMS])]
+            model = Shard(_joined(counted), _joined(bigrams), off2, off3, alone)
+            del counted, bigrams
+            give_back()
+            for data in held[_ASKED] + held[_BOTH]:
+                u, v, w, x, docs, *_ = _grams_in(_unpack(data))
+                p, unseen = model.score(u, v, w)
+                yield _packed([shard], _SUMS, [_pack(docs, np.bincount(x, -np.log(p), len(docs)), np.bincount(x, minlength=len(docs)))])
+                rows.append([w[unseen], x[unseen] + np.int64(n_ids)])
+                ids.append(docs)
+                size, n_ids = size + len(rows[-1][0]), n_ids + len(docs)
+                if size >= SENT:
+                    yield from sent(rows, ids)
+                    rows, ids, size, n_ids = [], [], 0, 0
+            give_back()
         if size:
             yield from sent(rows, ids)
 
@@ -661,18 +736,22 @@ class WordModel:
     """Counts of words and bigrams by slice; trigrams are counted when needed."""
 
     def __init__(self, texts: DataFrame) -> None:
-        """From all ``texts`` (one binary column ``t``)."""
-        self.texts = texts.select(F.lit(0).cast("long").alias("doc"), "t")
+        """From all ``texts`` (one binary column ``t``), or those of ``(doc, t,
+        counted)`` that are marked; these texts may be scored without cutting
+        them again."""
         self.spark = texts.sparkSession
+        counted = texts.filter("counted") if "counted" in texts.columns else texts.select(F.lit(0).cast("long").alias("doc"), "t")
         with _bounded(self.spark):
-            self.plan, self.slices, self.paths, times = dealing_of(self.texts), {}, [], np.zeros(4, int)
+            self.plan, self.slices, times = dealing_of(counted.select("doc", "t")), {}, np.zeros(4, int)
+            self.blocks, path = stored(coded(texts if "counted" in texts.columns else counted, self.plan.table), "word-blocks")
+            self.paths = [path]
             for k in range(PASSES):
                 part, path = self._counted(list(range(k, SLICES, PASSES)))
                 for r in part.filter("kind = -1").collect():  # four rows
                     times[r["w"] - 1] += r["c"]
-                self.slices |= {s: part.filter(F.col("kind") == s).drop("kind") for s in range(k, SLICES, PASSES)}
+                self.slices |= {s: (part.filter(F.col("kind") == s).drop("kind"), f"{path}/kind={s}/all") for s in range(k, SLICES, PASSES)}
                 self.paths.append(path)
-            bigrams = reduce(DataFrame.union, self.slices.values())
+            bigrams = reduce(DataFrame.union, (part for part, _ in self.slices.values()))
             self.off3, self.off2 = discounts(*map(int, times)), _off(bigrams)
             self.words, path = stored(bigrams.groupBy("w").agg(F.count(F.lit(1)).alias("c")), "words")
             self.paths.append(path)
@@ -684,7 +763,7 @@ class WordModel:
     def _counted(self, which: list[int]) -> tuple[DataFrame, str]:
         """Bigrams of some slices, stored slice by slice, and the folder."""
         plan = self.plan
-        found = _by_shard(dealt(self.texts, plan, which, _COUNTED), plan).mapInArrow(lambda batches: _tally(batches, plan), "kind int, v long, w long, c long")
+        found = _by_shard(dealt(self.blocks, plan, which, _COUNTED), plan).mapInArrow(lambda batches: _tally(batches, plan), "kind int, v long, w long, c long")
         counts = found.groupBy("kind", "v", "w").agg(F.sum("c").alias("c")).sortWithinPartitions("kind", "v", "w")  # equal words take next to no room
         path = f"{work_dir(self.spark, 'word-bigrams')}/t"
         counts.write.partitionBy("kind").option("compression", "zstd").parquet(path)
@@ -706,7 +785,7 @@ class WordModel:
                 some = [row[lo:hi] for lo, hi in _runs(shard)]
                 yield _packed([int(shard[lo]) for lo, _ in _runs(shard)], _BIGRAMS, [_pack(_steps(v[r]), w[r], c[r].astype(np.uint32), c1[r].astype(np.uint32)) for r in some])
 
-        return self.slices[which].join(self.words.withColumnRenamed("c", "c1"), "w").select("v", "w", "c", "c1").mapInArrow(run, _PACKED)
+        return self.slices[which][0].join(self.words.withColumnRenamed("c", "c1"), "w").select("v", "w", "c", "c1").mapInArrow(run, _PACKED)
 
     def _words(self, plan: Dealing) -> DataFrame:
         """Words with their count, dealt by themselves."""
@@ -722,16 +801,25 @@ class WordModel:
 
         return self.words.mapInArrow(run, _PACKED)
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """``docs(doc, t)`` -> ``(doc, h)``: mean negative log-probability of a word."""
+    def score(self, docs: DataFrame | None = None, last: bool = False) -> DataFrame:
+        """``docs(doc, t)``, or the texts of the model itself -> ``(doc, h)``: mean
+        negative log-probability of a word.  The ``last`` call deletes bigrams as
+        soon as they are used."""
         parts = []
         with _bounded(self.spark):
-            plan = dealing_of(docs, self.plan)
-            for s in range(SLICES):
-                rows = dealt(self.texts, plan, s, _COUNTED).union(self._bigrams(s, plan)).union(dealt(docs, plan, s, _ASKED))
+            asked, path = (self.blocks, None) if docs is None else stored(coded(docs, self.plan.table), "asked-blocks")
+            plan = dealing_of(asked, self.plan)
+            for s in reversed(range(SLICES)):  # the first one has the most frequent word
+                rows = self._bigrams(s, plan).union(dealt(asked, plan, s, _BOTH if docs is None else _ASKED))
+                if docs is not None:
+                    rows = rows.union(dealt(self.blocks, plan, s, _COUNTED))
                 found = _by_shard(rows, plan).mapInArrow(_scorer(self.off2, self.off3, self.alone, plan.shards), _PACKED)
                 ended = _by_shard(found.union(self._words(plan)), plan).mapInArrow(_ender(self.alone), _SCORES)
                 parts.append(stored(ended.groupBy("doc").agg(F.sum("h").alias("h"), F.sum("n").alias("n")), f"word-scores-{s}"))
+                if last:
+                    discard(self.spark, self.slices[s][1])
+            if path:
+                discard(self.spark, path)
             whole = parts[0][0]
             for part, _ in parts[1:]:
                 whole = whole.union(part)

@@ -264,3 +264,20 @@ def test_a_worker_drops_what_operators_before_kept():
     assert (made("one-a"), made("one-b")) == first
     other = made("two:x")
     assert made("two:x") is other and made("one-a") is not first[0]
+
+
+def test_texts_are_cut_once_to_score_them(spark, monkeypatch):
+    monkeypatch.setattr(wm, "SLICES", 3)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    docs = zipf_docs(spark, 40)
+    model = wm.WordModel(docs.filter("doc < 25"))
+    apart = {r.doc: r.h for r in model.score(docs.mapInArrow(seen, "doc long, t binary")).collect()}
+    assert read.value == 40
+    marked = wm.WordModel(docs.selectExpr("doc", "t", "doc < 25 as counted"))
+    assert {r.doc: r.h for r in marked.score(last=True).collect()} == pytest.approx(apart, rel=1e-9)
